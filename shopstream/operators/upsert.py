@@ -30,29 +30,36 @@ def assign_missing_keys(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.coalesce(F.col(key), F.concat(F.lit("auto-"), F.uuid())))
 
 
+def _reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str) -> DataFrame:
+    pick = latest_per_key if keep == "last" else first_per_key
+    return pick(df, list(keys), list(order)) if order else df.dropDuplicates(list(keys))
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, keys: Sequence[str],
-                order: Sequence[str]) -> None:
-    """Write one micro-batch, reduced to the latest row per key, as
-    ``<path>/batch_id=<batch_id>`` (overwrite: a replay replaces the same folder)."""
+                order: Sequence[str] = (), keep: str = "last") -> None:
+    """Write one micro-batch, reduced to one row per key (the ``last`` or ``first`` by
+    ``order``), as ``<path>/batch_id=<batch_id>`` (overwrite: a replay replaces the
+    same folder)."""
     keys = list(keys)
     if len(keys) == 1:
         df = assign_missing_keys(df, keys[0])
-    reduced = latest_per_key(df, keys, order) if order else df.dropDuplicates(keys)
+    reduced = _reduce(df, keys, order, keep)
     reduced.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str],
-                order: Sequence[str] = ()) -> DataFrame:
-    """Current table state: the row from the highest batch per key (then ``order``)."""
+                order: Sequence[str] = (), keep: str = "last") -> DataFrame:
+    """Current table state. ``keep="last"``: the row from the highest batch per key
+    (then ``order``), i.e. later writes overwrite. ``keep="first"``: the row from the
+    lowest batch, i.e. a key once written is never replaced (the DAU table)."""
     all_batches = spark.read.parquet(path)
-    latest = latest_per_key(all_batches, list(keys), [BATCH_COL, *order])
-    return latest.drop(BATCH_COL)
+    return _reduce(all_batches, keys, [BATCH_COL, *order], keep).drop(BATCH_COL)
 
 
 def compact(spark: SparkSession, path: str, snapshot_path: str, keys: Sequence[str],
-            order: Sequence[str] = ()) -> None:
+            order: Sequence[str] = (), keep: str = "last") -> None:
     """Fold every batch into one snapshot, written as batch 0 of a new table folder."""
-    read_latest(spark, path, keys, order).write.mode("overwrite").parquet(
+    read_latest(spark, path, keys, order, keep).write.mode("overwrite").parquet(
         f"{snapshot_path.rstrip('/')}/{BATCH_COL}=0")
 
 
