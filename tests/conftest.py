@@ -30,4 +30,5 @@ def scratch():
 def rows(df, *cols):
     """Sorted list of tuples of ``cols`` (all columns when empty)."""
     cols = cols or tuple(df.columns)
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()),
+                  key=lambda t: tuple((x is not None, x if x is not None else 0) for x in t))
