@@ -33,6 +33,16 @@ def dedup_daily(logs: DataFrame, order=("ts", "event_id")) -> DataFrame:
     return first_per_key(logs, DAU_KEY, order)
 
 
+def new_devices(logs: DataFrame, seen: DataFrame, order=("ts", "event_id")) -> DataFrame:
+    """First record per device and day among devices not yet seen that day.
+
+    Same result as ``dedup_daily(filter_unseen(logs, seen))`` (the anti join drops
+    whole keys, so it commutes with the per-key pick) but planned the other way
+    round: the per-key aggregate is combined map-side first, so a device that holds
+    a third of all rows reaches the join as one row."""
+    return filter_unseen(dedup_daily(logs, order), seen)
+
+
 def dau_rows(logs: DataFrame) -> DataFrame:
     """The 11 DAU table columns in sink order."""
     return logs.select(*schemas.DAU_COLUMNS)
@@ -50,13 +60,15 @@ def dau_hourly(dau: DataFrame, day: str) -> DataFrame:
 
 
 def filter_counts(logs: DataFrame, seen: DataFrame) -> DataFrame:
-    """Counts around the seen filter in one pass: rows in, rows that pass the filter,
-    and distinct devices after the in-batch dedup (``n_in, n_unseen, n_new``)."""
-    marked = logs.join(seen.select(*DAU_KEY).distinct().withColumn("_seen", F.lit(True)),
-                       on=DAU_KEY, how="left")
+    """Counts around the seen filter: rows in, rows that pass the filter, and devices
+    left after the in-batch dedup (``n_in, n_unseen, n_new``). Rows are counted per
+    key before the join (map-side combined), so the join sees one row per key."""
+    per_key = logs.groupBy(*DAU_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    marked = per_key.join(seen.select(*DAU_KEY).distinct().withColumn("_seen", F.lit(True)),
+                          on=DAU_KEY, how="left")
     unseen = F.col("_seen").isNull()
     return marked.agg(
-        F.count(F.lit(1)).alias("n_in"),
-        F.count_if(unseen).alias("n_unseen"),
-        F.count_distinct(F.when(unseen, F.col("mid")), F.when(unseen, F.col("log_date"))).alias("n_new"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_in"),
+        F.coalesce(F.sum(F.when(unseen, F.col("_n"))), F.lit(0)).alias("n_unseen"),
+        F.count_if(unseen).alias("n_new"),
     )

@@ -52,15 +52,27 @@ def _sale_row(j: DataFrame) -> DataFrame:
 
 def batch_full_join(orders: DataFrame, details: DataFrame, batch_s: int = DEFAULT_BATCH_S) -> DataFrame:
     """Full outer join of orders and details that arrive in the same ``batch_s``-second
-    micro-batch. ``match_kind`` is ``both``, ``order_only`` or ``detail_only``."""
+    micro-batch. ``match_kind`` is ``both``, ``order_only`` or ``detail_only``.
+
+    Planned as ``details LEFT JOIN orders`` plus ``orders LEFT ANTI (distinct detail
+    keys)`` rather than one FULL OUTER join: adaptive execution can split a skewed
+    partition of the outer side of a left join, not of a full outer join, and an
+    order with a third of all details would otherwise land in one task. The anti
+    side only sees de-duplicated keys (combined map-side). Order ids are unique."""
     o = _order_side(orders).withColumn("o_batch", F.floor(F.col("o_ts") / (batch_s * 1000)))
     d = _detail_side(details).withColumn("d_batch", F.floor(F.col("d_ts") / (batch_s * 1000)))
-    j = o.join(d, (o.o_id == d.order_id) & (o.o_batch == d.d_batch), "full_outer")
-    kind = (F.when(F.col("o_id").isNotNull() & F.col("order_detail_id").isNotNull(), F.lit("both"))
-             .when(F.col("o_id").isNotNull(), F.lit("order_only"))
-             .otherwise(F.lit("detail_only")))
-    return j.select(F.coalesce("o_id", "order_id").alias("order_id"), "order_detail_id",
-                    kind.alias("match_kind"), "o_ts", "d_ts")
+    with_order = d.join(o, (d.order_id == o.o_id) & (d.d_batch == o.o_batch), "left")
+    matched = with_order.select(
+        F.col("order_id"), F.col("order_detail_id"),
+        F.when(F.col("o_id").isNotNull(), F.lit("both")).otherwise(F.lit("detail_only")).alias("match_kind"),
+        F.col("o_ts"), F.col("d_ts"))
+    keys = d.select(F.col("order_id").alias("k_id"), F.col("d_batch").alias("k_batch")).distinct()
+    lonely = o.join(keys, (o.o_id == keys.k_id) & (o.o_batch == keys.k_batch), "left_anti")
+    order_only = lonely.select(F.col("o_id").alias("order_id"),
+                               F.lit(None).cast("string").alias("order_detail_id"),
+                               F.lit("order_only").alias("match_kind"), F.col("o_ts"),
+                               F.lit(None).cast("long").alias("d_ts"))
+    return matched.unionByName(order_only)
 
 
 def sale_join(orders: DataFrame, details: DataFrame) -> DataFrame:

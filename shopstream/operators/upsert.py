@@ -36,24 +36,49 @@ def _reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, keys: Sequence[str],
-                order: Sequence[str] = (), keep: str = "last") -> None:
+                order: Sequence[str] = (), keep: str = "last",
+                partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch, reduced to one row per key (the ``last`` or ``first`` by
     ``order``), as ``<path>/batch_id=<batch_id>`` (overwrite: a replay replaces the
-    same folder)."""
+    same folder).
+
+    With ``partition_by`` (e.g. the report date) the layout is
+    ``<path>/<date>=<d>/batch_id=<n>`` so readers filtering on the date prune
+    folders; the batch is written with dynamic partition overwrite, so a replay
+    replaces exactly the folders of that batch. Partition columns must be fixed by
+    the key (an order's create date never changes)."""
     keys = list(keys)
     if len(keys) == 1:
         df = assign_missing_keys(df, keys[0])
     reduced = _reduce(df, keys, order, keep)
-    reduced.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
+    if partition_by:
+        (reduced.withColumn(BATCH_COL, F.lit(int(batch_id)))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*partition_by, BATCH_COL).parquet(path))
+    else:
+        reduced.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str],
-                order: Sequence[str] = (), keep: str = "last") -> DataFrame:
+                order: Sequence[str] = (), keep: str = "last", where=None,
+                batch_first: bool = True, partition_by: Sequence[str] = ()) -> DataFrame:
     """Current table state. ``keep="last"``: the row from the highest batch per key
     (then ``order``), i.e. later writes overwrite. ``keep="first"``: the row from the
-    lowest batch, i.e. a key once written is never replaced (the DAU table)."""
+    lowest batch, i.e. a key once written is never replaced. ``batch_first=False``
+    ranks by ``order`` before the batch number (the earliest record wins whatever
+    batch wrote it: the DAU table).
+
+    ``partition_by`` names string partition columns (read back as strings, not as
+    inferred dates). ``where`` is applied before the per-key reduction, so a
+    predicate on partition columns prunes folders; it must only use columns fixed
+    by the key."""
     all_batches = spark.read.parquet(path)
-    return _reduce(all_batches, keys, [BATCH_COL, *order], keep).drop(BATCH_COL)
+    for c in partition_by:
+        all_batches = all_batches.withColumn(c, F.col(c).cast("string"))
+    if where is not None:
+        all_batches = all_batches.filter(where)
+    rank = [BATCH_COL, *order] if batch_first else [*order, BATCH_COL]
+    return _reduce(all_batches, keys, rank, keep).drop(BATCH_COL)
 
 
 def compact(spark: SparkSession, path: str, snapshot_path: str, keys: Sequence[str],

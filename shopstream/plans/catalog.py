@@ -109,7 +109,7 @@ def _seen_split(spark, sf_dir):
 
 def q_dau_seen_anti(spark, sf_dir):
     batch, seen = _seen_split(spark, sf_dir)
-    return dau.dau_rows(dau.dedup_daily(dau.filter_unseen(batch, seen)))
+    return dau.dau_rows(dau.new_devices(batch, seen))
 
 
 def q_dau_filter_counts(spark, sf_dir):

@@ -71,20 +71,27 @@ def start_intake(lines: DataFrame, archive_path: str, *, topics_fmt: str = "kafk
 
 
 def dau_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Startup lines -> first record per ``(mid, log_date)``. The dedup state of a key
-    lives for one day plus ``lateness`` of event time, enough to cover its whole day."""
+    """Startup lines -> earliest record per ``(mid, log_date)``, as a watermarked
+    streaming aggregate (``min`` of a struct led by ``ts``) in update mode: a device is
+    emitted when first seen and again only if an earlier record arrives late. The
+    day window carries the event time, so a device's state is dropped ``lateness``
+    after its day has closed."""
     logs = parse.parse_startup(lines.select("value")).filter(parse.valid_record("mid"))
-    timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts"))
-    delay = f"{1 * 24 * 60 * 60 + _seconds(lateness)} seconds"
-    deduped = timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["mid", "log_date"])
-    return deduped.select(*schemas.DAU_COLUMNS)
+    timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
+    payload = [c for c in schemas.DAU_COLUMNS if c not in ("mid", "log_date", "ts")]
+    first = (timed.groupBy("mid", "log_date", F.window("event_time", "1 day").alias("day"))
+                  .agg(F.min(F.struct("ts", *payload)).alias("_first")))
+    return first.select("mid", "log_date", "_first.*").select(*schemas.DAU_COLUMNS)
 
 
 def start_dau(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
-    """Append new devices to the DAU table; a key once written is kept (first wins)."""
+    """Write new devices to the DAU table (partitioned by ``log_date``); readers keep
+    the earliest record per device and day (``sources.tables.dau_table``)."""
     observed = lines.observe("dau_in", F.count(F.lit(1)).alias("n_in"))
     out = dau_stream(observed).observe("dau_new", F.count(F.lit(1)).alias("n_new"))
-    return _start(out, "dau", sinks.upsert_sink(table_path, ["mid", "log_date"], ["ts"], keep="first"), **kw)
+    sink = sinks.upsert_sink(table_path, ["mid", "log_date"], ["ts"], keep="first", partition_by=["log_date"])
+    kw.setdefault("output_mode", "update")
+    return _start(out, "dau", sink, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -100,7 +107,7 @@ def order_stream(lines: DataFrame) -> DataFrame:
 
 
 def start_orders(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
-    sink = sinks.upsert_sink(table_path, ["id"], ["timestamp"])
+    sink = sinks.upsert_sink(table_path, ["id"], ["timestamp"], partition_by=["create_date"])
     return _start(order_stream(lines), "orders", sink, **kw)
 
 

@@ -15,10 +15,10 @@ from shopstream.operators import upsert
 
 
 def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str] = (),
-                keep: str = "last") -> Callable[[DataFrame, int], None]:
+                keep: str = "last", partition_by: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function writing each batch as a keyed merge-on-read batch."""
     def write(df: DataFrame, batch_id: int) -> None:
-        upsert.write_batch(df, path, batch_id, keys, order, keep)
+        upsert.write_batch(df, path, batch_id, keys, order, keep, partition_by)
     return write
 
 

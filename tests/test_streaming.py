@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, rows
 from shopstream.operators import alerts, dau, sales, upsert
-from shopstream.sources import streams
+from shopstream.sources import streams, tables
 from shopstream.sources import testdata as td
 from shopstream.streaming import jobs
 
@@ -27,10 +27,10 @@ def test_dau_stream_equals_batch(spark, scratch):
     progress = [p for p in q.recentProgress if p.get("observedMetrics")]
     n_in = sum(int(p["observedMetrics"]["dau_in"]["n_in"]) for p in progress)
     n_new = sum(int(p["observedMetrics"]["dau_new"]["n_new"]) for p in progress)
-    got = upsert.read_latest(spark, table, ["mid", "log_date"], ["ts"], keep="first")
+    got = tables.dau_table(spark, table)
     want = dau.dedup_daily(td.startup_log(spark, SF001))
     assert got.count() == want.count()
-    assert rows(got, "mid", "log_date") == rows(want, "mid", "log_date")
+    assert rows(got, "mid", "log_date", "ts", "uid", "log_hour") == rows(want, "mid", "log_date", "ts", "uid", "log_hour")
     assert n_in == td.log_lines(spark, SF001).count()
     assert n_new == want.count()
 
@@ -42,7 +42,7 @@ def test_dau_stream_equals_batch(spark, scratch):
     lines2 = streams.read_topic(spark, "CAT_STARTUP", fmt="json", path=src + "/*")
     q = jobs.start_dau(lines2, table, available_now=True, checkpoint=os.path.join(scratch, "ck"))
     q.awaitTermination(240)
-    assert upsert.read_latest(spark, table, ["mid", "log_date"], ["ts"], keep="first").count() == want.count()
+    assert tables.dau_table(spark, table).count() == want.count()
 
 
 def test_alert_stream_equals_batch(spark, scratch):
@@ -128,3 +128,21 @@ def test_order_and_cdc_and_intake_streams_run(spark, scratch):
     topics = spark.read.json(os.path.join(scratch, "topics"))
     assert topics.count() == lines.count()
     assert {r.topic for r in topics.select("topic").distinct().collect()} == {"CAT_STARTUP", "CAT_EVENT"}
+
+
+def test_kpi_reads_only_the_report_days(spark, scratch):
+    """DAU table written by the stream, KPI read back with partition pruning."""
+    from shopstream.operators import kpi
+    src = os.path.join(scratch, "startup")
+    _write_lines(td.log_lines(spark, SF001), src, 1)
+    table = os.path.join(scratch, "dau")
+    q = jobs.start_dau(streams.read_topic(spark, "CAT_STARTUP", fmt="json", path=src), table,
+                       available_now=True, checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(240)
+    day = "2024-01-15"
+    stored = tables.dau_table(spark, table, [kpi.yesterday_of(day), day])
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "log_date" in plan
+    got = rows(kpi.dau_hourly_compare(stored, day))
+    want = rows(kpi.dau_hourly_compare(dau.dedup_daily(td.startup_log(spark, SF001)), day))
+    assert got == want and got
