@@ -146,3 +146,18 @@ def test_kpi_reads_only_the_report_days(spark, scratch):
     got = rows(kpi.dau_hourly_compare(stored, day))
     want = rows(kpi.dau_hourly_compare(dau.dedup_daily(td.startup_log(spark, SF001)), day))
     assert got == want and got
+
+
+def test_cdc_stream_publishes_what_batch_routes(spark, scratch):
+    from shopstream.operators import routing
+    from shopstream.schemas import CDC_ENTRY_SCHEMA
+    src = os.path.join(scratch, "cdc")
+    td.cdc_entries(spark, SF001).repartition(3).write.parquet(src)
+    entries = spark.readStream.schema(CDC_ENTRY_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    out = os.path.join(scratch, "topics")
+    q = jobs.start_cdc(entries, topics_fmt="json", topics_path=out, available_now=True,
+                       checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(240)
+    got = spark.read.json(out)
+    want = routing.cdc_after_json(routing.cdc_route(routing.cdc_explode(td.cdc_entries(spark, SF001))))
+    assert rows(got, "topic", "value") == rows(want, "topic", "value")
