@@ -58,6 +58,11 @@ def age_in_years(birthday, as_of) -> Column:
     return (elapsed / F.lit(MS_PER_YEAR_NO_LEAP)).cast("long").cast("int")
 
 
+def floor_to(ms, step_ms: int) -> Column:
+    """Largest multiple of ``step_ms`` not above ``ms`` (exact integer arithmetic)."""
+    return _c(ms) - F.pmod(_c(ms), F.lit(step_ms).cast("long"))
+
+
 def minute_bucket(ms) -> Column:
-    """Epoch millis -> epoch minute (``ms div 60000``)."""
-    return F.floor(_c(ms) / F.lit(60000)).cast("long")
+    """Epoch millis -> epoch minute (``ms div 60000``, floored)."""
+    return (floor_to(ms, 60000) / F.lit(60000)).cast("long")

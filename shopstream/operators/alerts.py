@@ -100,7 +100,7 @@ def coupon_alerts(events: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
 def _pane_windows(events: DataFrame, win_ms: int, slide_ms: int, is_coupon: Column,
                   is_click: Column, ts_col: str) -> DataFrame:
     n_windows = win_ms // slide_ms
-    pane = (F.floor(F.col(ts_col) / F.lit(slide_ms)) * F.lit(slide_ms)).cast("long")
+    pane = timefmt.floor_to(F.col(ts_col).cast("long"), slide_ms)
     panes = (events.groupBy("mid", pane.alias("pane"), "evid")
                    .agg(_set_of(is_coupon, F.col("uid")).alias("c_uids"),
                         _set_of(is_coupon, F.col("itemid")).alias("c_items"),

@@ -59,8 +59,8 @@ def batch_full_join(orders: DataFrame, details: DataFrame, batch_s: int = DEFAUL
     partition of the outer side of a left join, not of a full outer join, and an
     order with a third of all details would otherwise land in one task. The anti
     side only sees de-duplicated keys (combined map-side). Order ids are unique."""
-    o = _order_side(orders).withColumn("o_batch", F.floor(F.col("o_ts") / (batch_s * 1000)))
-    d = _detail_side(details).withColumn("d_batch", F.floor(F.col("d_ts") / (batch_s * 1000)))
+    o = _order_side(orders).withColumn("o_batch", timefmt.floor_to("o_ts", batch_s * 1000))
+    d = _detail_side(details).withColumn("d_batch", timefmt.floor_to("d_ts", batch_s * 1000))
     with_order = d.join(o, (d.order_id == o.o_id) & (d.d_batch == o.o_batch), "left")
     matched = with_order.select(
         F.col("order_id"), F.col("order_detail_id"),

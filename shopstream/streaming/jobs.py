@@ -123,12 +123,15 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
     timed = ev.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
     is_coupon = F.col("evid") == alerts.COUPON_EVID
     is_click = F.coalesce(F.col(click_col) == alerts.CLICK_EVID, F.lit(False))
-    per_kind = (timed.groupBy("mid", F.window("event_time", window, slide).alias("window"), "evid")
+    # 1) tumbling slide-sized panes per (mid, evid): raw events are aggregated once;
+    # 2) sliding windows over the pane rows (their event time is window_time(pane)),
+    #    so only pane rows - not raw events - are copied into the window/slide windows.
+    per_pane = (timed.groupBy("mid", F.window("event_time", slide).alias("pane"), "evid")
                      .agg(F.collect_set(F.when(is_coupon, F.col("uid"))).alias("c_uids"),
                           F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("c_items"),
                           F.bool_or(is_click).alias("clicked"),
                           F.count(F.lit(1)).alias("n")))
-    merged = (per_kind.groupBy("mid", "window")
+    merged = (per_pane.groupBy("mid", F.window(F.window_time("pane"), window, slide).alias("window"))
                       .agg(F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
                            F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
                            F.bool_or("clicked").alias("clicked"),

@@ -161,3 +161,32 @@ def test_cdc_stream_publishes_what_batch_routes(spark, scratch):
     got = spark.read.json(out)
     want = routing.cdc_after_json(routing.cdc_route(routing.cdc_explode(td.cdc_entries(spark, SF001))))
     assert rows(got, "topic", "value") == rows(want, "topic", "value")
+
+
+def test_alert_stream_default_windows_equal_batch(spark, scratch):
+    """5 min / 10 s windows (the upstream sizes) on time-compressed events."""
+    base = 1_704_067_200_000
+    ev = td.event_log(spark, SF001).withColumn(
+        "ts", (F.lit(base) + (F.col("ts") - F.lit(base)) / F.lit(2000)).cast("long"))
+    lines = ev.select(F.to_json(F.struct("type", "mid", "uid", "evid", "itemid", "ts")).alias("value"),
+                      F.col("ts").alias("arrival_ms"))
+    src = os.path.join(scratch, "events")
+    _write_lines(lines, src, 1)
+    sentinel = spark.createDataFrame(
+        [('{"type":"event","mid":"mid_sentinel","uid":"0","evid":"view","ts":1900000000000}',)],
+        "value string").withColumn("timestamp", F.current_timestamp())
+    sentinel.write.json(os.path.join(scratch, "late"))
+    stream = streams.read_topic(spark, "CAT_EVENT", fmt="json", path=src).unionByName(
+        streams.read_topic(spark, "CAT_EVENT", fmt="json", path=os.path.join(scratch, "late")))
+    q = (jobs.alert_stream(stream, lateness="0 seconds").writeStream.format("memory")
+         .queryName("alerts_5m").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(240)
+    got = spark.table("alerts_5m")
+    want = alerts.coupon_alerts(ev)
+
+    def key(df):
+        return rows(df.select("mid", "window_start", "n_uids", F.array_join(F.array_sort("uids"), ",").alias("u"),
+                              alerts.event_counts_text().alias("e")))
+    assert len(key(want)) > 0
+    assert key(got) == key(want)
