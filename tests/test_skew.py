@@ -1,0 +1,98 @@
+"""A key that holds a third of all rows: results stay exact and plans stay splittable."""
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shopstream.operators import alerts, dau, sales
+
+BASE = 1_704_067_200_000  # 2024-01-01 UTC
+
+
+def _plan(df):
+    """The adaptive plan as finally executed (runs the query on its own execution)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _logs(spark, n=3000):
+    # device m0 holds a third of the rows, the rest spread over 200 devices
+    return (spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("m0")).otherwise(F.concat(F.lit("m"), (F.col("id") % 200 + 1).cast("string"))).alias("mid"),
+        (F.col("id") % 7).cast("string").alias("uid"),
+        F.when(F.col("id") % 5 == 0, F.lit("clickItem")).otherwise(F.lit("coupon")).alias("evid"),
+        (F.col("id") % 11).cast("string").alias("itemid"),
+        F.lit("event").alias("type"),
+        (F.lit(BASE) + F.col("id") * 997).alias("ts"))
+        .withColumn("log_date", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")))
+
+
+def test_hot_device_dedup_is_exact_and_combined_map_side(spark):
+    logs = _logs(spark).repartition(8)
+    out = dau.dedup_daily(logs)
+    brute = logs.groupBy("mid", "log_date").agg(F.min("ts").alias("ts"))
+    assert rows(out, "mid", "log_date", "ts") == rows(brute, "mid", "log_date", "ts")
+    plan = _plan(out)
+    assert "partial_min" in plan  # per-partition combine before the exchange
+
+
+def test_seen_filter_runs_after_the_pick(spark):
+    logs = _logs(spark).repartition(8)
+    seen = spark.createDataFrame([("m1", "2024-01-01")], "mid string, log_date string")
+    plan = _plan(dau.new_devices(logs, seen))
+    # the anti join consumes the aggregated rows, not the raw rows
+    assert plan.index("LeftAnti") < plan.index("partial_min")
+
+
+def test_hot_device_alerts_match_window_plan(spark):
+    logs = _logs(spark).repartition(8)
+    a = alerts.coupon_alerts(logs, window="1 hour", slide="10 minutes")
+    b = alerts.coupon_alerts(logs, window="1 hour", slide="10 minutes", method="window")
+    key = ("mid", "window_start", "n_uids")
+    assert rows(a, *key) == rows(b, *key) and rows(a, *key)
+    plan = _plan(a)
+    # raw rows are aggregated per pane before the window copies (Generate) are made
+    assert plan.index("Generate") < plan.rindex("partial_collect_set")
+
+
+def test_full_join_has_no_full_outer_operator(spark):
+    o = spark.createDataFrame([("1", "u", "1", "t", "d", BASE)],
+                              "id string, user_id string, order_status string, create_time string, create_date string, ts long")
+    d = spark.range(3000).select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("id"),
+                                 F.lit("1").alias("order_id"), F.lit("s").alias("sku_id"),
+                                 F.lit("n").alias("sku_name"), F.lit(1.0).alias("order_price"),
+                                 (F.lit(BASE) + F.col("id")).alias("ts"))
+    j = sales.batch_full_join(o, d)
+    assert "FullOuter" not in _plan(j)
+    assert j.filter(F.col("match_kind") == "both").count() == 3000
+
+
+def test_interval_join_hot_order_is_split_by_adaptive_execution(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        orders = spark.range(300).select(F.col("id").cast("string").alias("id"), F.lit("u").alias("user_id"),
+                                         F.lit("1").alias("order_status"), F.lit("t").alias("create_time"),
+                                         F.lit("d").alias("create_date"), F.lit(BASE).alias("ts"))
+        # order 0 holds a third of all details
+        det = spark.range(30000).select(
+            F.concat(F.lit("d"), F.col("id").cast("string")).alias("id"),
+            F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 300).cast("string")).alias("order_id"),
+            F.lit("s").alias("sku_id"), F.lit("n").alias("sku_name"), F.lit(1.0).alias("order_price"),
+            (F.lit(BASE) + (F.col("id") % 120) * 1000 - 60000).alias("ts"))
+        j = sales.interval_join(orders, det)
+        plan = _plan(j)
+        assert "skew=true" in plan
+        assert j.count() == det.filter(F.abs(F.col("ts") - F.lit(BASE)) <= 60000).count()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
