@@ -190,3 +190,33 @@ def test_alert_stream_default_windows_equal_batch(spark, scratch):
                               alerts.event_counts_text().alias("e")))
     assert len(key(want)) > 0
     assert key(got) == key(want)
+
+
+def test_launcher_jobs_feed_the_reports(spark, scratch):
+    """Jobs started from the command-line launcher; both reports read the tables."""
+    import json
+
+    from shopstream.operators import kpi, orders as order_ops
+    from shopstream.plans import reports
+    from shopstream.streaming import apps
+
+    logs_src, orders_src = os.path.join(scratch, "logs"), os.path.join(scratch, "orders")
+    _write_lines(td.log_lines(spark, SF001), logs_src, 2)
+    _write_lines(td.order_lines(spark, SF001), orders_src, 2)
+    dau_tbl, order_tbl = os.path.join(scratch, "dau"), os.path.join(scratch, "orders_tbl")
+    apps.main(["dau", "--source-path", logs_src, "--table", dau_tbl, "--available-now",
+               "--checkpoint", os.path.join(scratch, "ck1")])
+    apps.main(["orders", "--source-path", orders_src, "--table", order_tbl, "--available-now",
+               "--checkpoint", os.path.join(scratch, "ck2")])
+
+    day = "2024-01-15"
+    want_dau = dau.dedup_daily(td.startup_log(spark, SF001))
+    got = rows(reports.realtime_hour(spark, dau_tbl, order_tbl, day, "dau"))
+    assert got == rows(kpi.dau_hourly_compare(want_dau, day)) and got
+
+    oday = td.orders(spark, SF001).agg(F.max("create_date")).first()[0]
+    got_o = rows(reports.realtime_hour(spark, dau_tbl, order_tbl, oday, "order"))
+    assert got_o == rows(kpi.order_hourly_compare(order_ops.enrich_orders(td.orders(spark, SF001)), oday))
+    doc = json.loads(reports.realtime_total(spark, dau_tbl, order_tbl, day, as_json=True).first().doc)
+    assert doc[0]["value"] == want_dau.filter(F.col("log_date") == day).count()
+    assert reports.realtime_hour(spark, dau_tbl, order_tbl, day, "other") is None
