@@ -50,7 +50,7 @@ def _set_of(cond: Column, value: Column) -> Column:
     return F.collect_set(F.when(cond, value))
 
 
-def _finish(windows: DataFrame, min_uids: int) -> DataFrame:
+def finish_alerts(windows: DataFrame, min_uids: int) -> DataFrame:
     """Threshold + no-click filter and the output columns."""
     alerts = windows.filter((F.size("uids") > F.lit(min_uids)) & ~F.col("clicked"))
     return alerts.select(
@@ -62,7 +62,7 @@ def _finish(windows: DataFrame, min_uids: int) -> DataFrame:
     )
 
 
-def _event_mix(pairs: Column) -> Column:
+def event_mix(pairs: Column) -> Column:
     """array<struct<evid, n>> with repeats -> summed, sorted by evid."""
     kinds = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["evid"])))
     return F.transform(kinds, lambda k: F.struct(
@@ -81,7 +81,7 @@ def coupon_alerts(events: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
     is_coupon = F.col("evid") == COUPON_EVID
     is_click = F.coalesce(F.col(click_col) == CLICK_EVID, F.lit(False))
     if method == "panes" and win_ms % slide_ms == 0:
-        return _finish(_pane_windows(events, win_ms, slide_ms, is_coupon, is_click, ts_col), min_uids)
+        return finish_alerts(_pane_windows(events, win_ms, slide_ms, is_coupon, is_click, ts_col), min_uids)
     ts = timefmt.ms_to_ts(F.col(ts_col))
     grouped = (events.groupBy("mid", F.window(ts, window, slide).alias("w"), "evid")
                      .agg(_set_of(is_coupon, F.col("uid")).alias("c_uids"),
@@ -93,8 +93,8 @@ def coupon_alerts(events: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
                      .agg(F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
                           F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
                           F.bool_or("clicked").alias("clicked"),
-                          _event_mix(F.collect_list(F.struct("evid", "n"))).alias("event_counts")))
-    return _finish(merged, min_uids)
+                          event_mix(F.collect_list(F.struct("evid", "n"))).alias("event_counts")))
+    return finish_alerts(merged, min_uids)
 
 
 def _pane_windows(events: DataFrame, win_ms: int, slide_ms: int, is_coupon: Column,
@@ -119,7 +119,7 @@ def _pane_windows(events: DataFrame, win_ms: int, slide_ms: int, is_coupon: Colu
         "mid",
         timefmt.ms_to_ts(F.col("ws")).alias("window_start"),
         timefmt.ms_to_ts(F.col("ws") + F.lit(win_ms)).alias("window_end"),
-        "uids", "item_ids", "clicked", _event_mix(F.col("_pairs")).alias("event_counts"))
+        "uids", "item_ids", "clicked", event_mix(F.col("_pairs")).alias("event_counts"))
 
 
 def alert_id(mid: Column, ts_ms: Column) -> Column:

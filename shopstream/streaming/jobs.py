@@ -138,8 +138,8 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
                            F.collect_list(F.struct("evid", "n")).alias("_pairs")))
     windows = merged.select("mid", F.col("window.start").alias("window_start"),
                             F.col("window.end").alias("window_end"), "uids", "item_ids", "clicked",
-                            alerts._event_mix(F.col("_pairs")).alias("event_counts"))
-    return alerts._finish(windows, min_uids).withColumn(
+                            alerts.event_mix(F.col("_pairs")).alias("event_counts"))
+    return alerts.finish_alerts(windows, min_uids).withColumn(
         "alert_id", alerts.alert_id(F.col("mid"), F.col("ts")))
 
 
