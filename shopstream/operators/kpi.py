@@ -51,15 +51,12 @@ def kpi_total(dau: DataFrame, orders: DataFrame, day: str, order_day: str | None
 def kpi_total_json(kpi: DataFrame) -> DataFrame:
     """One row ``doc``: the KPI rows as a JSON array in ``ord`` order. Counts are
     written as integers, the amount with two decimals; a null amount is omitted."""
-    item = F.struct(
-        F.col("id"), F.col("name"),
-        F.when(F.col("id") == KPI_ORDER_AMOUNT[0], F.col("value").cast("decimal(20,2)").cast("string"))
-         .otherwise(F.col("value").cast("long").cast("string")).alias("value"))
-    rows = kpi.select(F.struct(F.col("ord"), item.alias("item")).alias("r"))
-    items = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["item"])
-    # numbers are emitted unquoted: serialise with string values, then unquote them
-    doc = F.regexp_replace(F.to_json(items), r'"value":"([0-9.\-]+)"', r'"value":$1')
-    return rows.agg(doc.alias("doc"))
+    as_amount = F.to_json(F.struct("id", "name", F.col("value").cast("decimal(20,2)").alias("value")))
+    as_count = F.to_json(F.struct("id", "name", F.col("value").cast("long").alias("value")))
+    item = F.when(F.col("id") == KPI_ORDER_AMOUNT[0], as_amount).otherwise(as_count)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("ord"), item.alias("json"))))
+    doc = F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda r: r["json"]), ","), F.lit("]"))
+    return kpi.agg(doc.alias("doc"))
 
 
 def hourly_compare(df: DataFrame, day: str, date_col: str, hour_col: str, value: Column) -> DataFrame:
