@@ -193,19 +193,28 @@ def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str
     and written keyed by ``order_detail_id``."""
     def write(df, batch_id):
         spark = df.sparkSession
-        users = _read_users(spark, user_table)
-        when = as_of if as_of is not None else F.current_timestamp()
-        wide = sales.with_user(df, users, when)
-        upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], [])
+        df.persist()
+        try:
+            users = _read_users(spark, user_table, df.select(F.col("user_id").alias("id")).distinct())
+            when = as_of if as_of is not None else F.current_timestamp()
+            wide = sales.with_user(df, users, when)
+            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], [])
+        finally:
+            df.unpersist()
 
     return _start(sale_stream(order_lines, detail_lines), "sales", write, **kw)
 
 
-def _read_users(spark: SparkSession, user_table: str) -> DataFrame:
+def _read_users(spark: SparkSession, user_table: str, ids: DataFrame) -> DataFrame:
+    """Latest user rows for the ids of one micro-batch: the table is semi-joined with
+    the batch's ids before the per-id reduction, so the aggregation only sees the
+    users the batch needs (keep the table compacted, ``upsert.compact``)."""
     try:
-        return upsert.read_latest(spark, user_table, ["id"], ["timestamp"])
+        rows = spark.read.parquet(user_table)
     except Exception:  # no user batch written yet: every user is unknown
         return spark.createDataFrame([], schemas.USER_SCHEMA)
+    wanted = rows.join(ids, "id", "left_semi")
+    return upsert.latest_per_key(wanted, ["id"], [upsert.BATCH_COL, "timestamp"]).drop(upsert.BATCH_COL)
 
 
 # ---------------------------------------------------------------------------------
