@@ -222,9 +222,10 @@ def _read_users(spark: SparkSession, user_table: str, ids: DataFrame) -> DataFra
 
 
 def cdc_stream(entries: DataFrame) -> DataFrame:
-    """Change entries -> ``topic, value`` rows for the published changes."""
+    """Change entries -> ``topic, value, timestamp`` rows for the published changes;
+    the timestamp is the change time, so consumers can order versions of a row."""
     routed = routing.cdc_route(routing.cdc_explode(entries))
-    return routing.cdc_after_json(routed).select("topic", "value")
+    return routing.cdc_after_json(routed).select("topic", "value", timefmt.ms_to_ts("ts").alias("timestamp"))
 
 
 def start_cdc(entries: DataFrame, *, topics_fmt: str = "kafka", topics_path: str | None = None,

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shopstream.operators import upsert
 
@@ -25,11 +26,15 @@ def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str] = (),
 def write_topics(df: DataFrame, batch_id: int, *, fmt: str = "kafka", path: str | None = None,
                  bootstrap_servers: str | None = None) -> None:
     """Send ``topic, value`` rows: one Kafka write for all topics, or (files) one
-    folder per batch partitioned by topic."""
-    out = df.select("topic", "value")
+    folder per batch partitioned by topic, each row stamped with its ``timestamp``
+    column when present (e.g. the change time), else the publish time - the record
+    timestamp a Kafka topic would carry."""
     if fmt == "kafka":
-        (out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).save())
+        (df.select("topic", "value").write.format("kafka")
+           .option("kafka.bootstrap.servers", bootstrap_servers).save())
     else:
+        stamp = F.col("timestamp") if "timestamp" in df.columns else F.current_timestamp()
+        out = df.select("topic", "value", stamp.alias("timestamp"))
         out.write.mode("overwrite").partitionBy("topic").format(fmt).save(
             f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 

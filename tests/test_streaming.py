@@ -220,3 +220,24 @@ def test_launcher_jobs_feed_the_reports(spark, scratch):
     doc = json.loads(reports.realtime_total(spark, dau_tbl, order_tbl, day, as_json=True).first().doc)
     assert doc[0]["value"] == want_dau.filter(F.col("log_date") == day).count()
     assert reports.realtime_hour(spark, dau_tbl, order_tbl, day, "other") is None
+
+
+def test_change_feed_to_user_table_end_to_end(spark, scratch):
+    """CDC entries -> topic files -> user job -> latest user rows, as the batch form."""
+    from shopstream.schemas import CDC_ENTRY_SCHEMA
+    src = os.path.join(scratch, "cdc")
+    td.cdc_entries(spark, SF001).filter(F.col("table") == "user_info").write.parquet(src)
+    topics = os.path.join(scratch, "topics")
+    q = jobs.start_cdc(spark.readStream.schema(CDC_ENTRY_SCHEMA).parquet(src), topics_fmt="json",
+                       topics_path=topics, available_now=True, checkpoint=os.path.join(scratch, "ck1"))
+    q.awaitTermination(240)
+    user_topic = os.path.join(topics, "batch_id=*", "topic=CAT_USER")
+    users_tbl = os.path.join(scratch, "users")
+    q = jobs.start_users(streams.read_topic(spark, "CAT_USER", fmt="json", path=user_topic), users_tbl,
+                         available_now=True, checkpoint=os.path.join(scratch, "ck2"))
+    q.awaitTermination(240)
+    stored = tables.keyed_table(spark, users_tbl, "id", ["timestamp"])
+    # one batch carries both versions of a VIP user: the table keeps one row per id
+    assert stored.count() == stored.select("id").distinct().count()
+    want = sales.user_latest(td.user_changes(spark, SF001))
+    assert rows(stored, "id", "user_level") == rows(want, "id", "user_level")
