@@ -206,27 +206,35 @@ def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.to_json(F.struct(*fields)).alias("value"), F.col("ts").alias("arrival_ms"))
 
 
-def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user change feed: insert (seq 1) per present customer, VIP update (seq 2)."""
-    c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change of the user table from one customer scan: DELETE for a negative
+    balance, otherwise INSERT (seq 1) and, above the VIP balance, an UPDATE (seq 2)
+    that sets ``user_level`` to ``VIP``."""
+    c = table(spark, sf_dir, "customer")
     birthday = F.date_format(F.date_add(F.lit(BIRTHDAY_BASE).cast("date"),
                                         (F.col("c_custkey") % BIRTHDAY_SPAN_DAYS).cast("int")),
                              "yyyy-MM-dd")
-    base = c.select(
+    bal = F.col("c_acctbal")
+
+    def change(cond, seq, op, level):
+        return F.when(cond, F.struct(F.lit(seq).alias("seq"), F.lit(op).alias("event_type"),
+                                     level.alias("user_level")))
+
+    changes = F.array(change(bal < 0, 1, "DELETE", F.col("c_mktsegment")),
+                      change(bal >= 0, 1, "INSERT", F.col("c_mktsegment")),
+                      change(bal > VIP_BALANCE, 2, "UPDATE", F.lit(VIP_LEVEL)))
+    exploded = c.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_name").alias("login_name"),
-        F.col("c_mktsegment").alias("user_level"),
         birthday.alias("birthday"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
-        F.lit(1).alias("seq"),
-        F.lit("INSERT").alias("event_type"),
-        F.col("c_acctbal"),
-    )
-    upd = (base.filter(F.col("c_acctbal") > VIP_BALANCE)
-               .withColumn("user_level", F.lit(VIP_LEVEL))
-               .withColumn("seq", F.lit(2))
-               .withColumn("event_type", F.lit("UPDATE")))
-    return base.unionByName(upd).drop("c_acctbal")
+        F.explode(F.filter(changes, lambda x: x.isNotNull())).alias("_c"))
+    return exploded.select("id", "login_name", "_c.user_level", "birthday", "gender", "_c.seq", "_c.event_type")
+
+
+def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user feed: inserts (seq 1) of present customers and VIP updates (seq 2)."""
+    return customer_changes(spark, sf_dir).filter(F.col("event_type") != "DELETE")
 
 
 def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,16 +265,13 @@ def cdc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         _after("id", "user_id", "order_status", "total_amount", "create_time",
                "consignee_tel").alias("rows"),
         F.col("ts"))
-    c = table(spark, sf_dir, "customer")
-    deleted = (c.filter(F.col("c_acctbal") < 0)
-                .select(F.col("c_custkey").cast("string").alias("id"), F.col("c_custkey").alias("ts"))
-                .select(F.lit(DB_NAME).alias("db"), F.lit("user_info").alias("table"),
-                        F.lit("ROWDATA").alias("entry_type"), F.lit("DELETE").alias("event_type"),
-                        _after("id").alias("rows"), F.col("ts")))
-    u = user_changes(spark, sf_dir).select(
+    is_delete = F.col("event_type") == "DELETE"
+    u = customer_changes(spark, sf_dir).select(
         F.lit(DB_NAME).alias("db"), F.lit("user_info").alias("table"),
         F.lit("ROWDATA").alias("entry_type"), "event_type",
-        _after(*schemas.USER_FIELDS).alias("rows"), F.col("seq").cast("long").alias("ts"))
+        # a delete carries only the key in its image
+        F.when(is_delete, _after("id")).otherwise(_after(*schemas.USER_FIELDS)).alias("rows"),
+        F.when(is_delete, F.col("id").cast("long")).otherwise(F.col("seq").cast("long")).alias("ts"))
     d = details(spark, sf_dir).select(
         F.lit(DB_NAME).alias("db"), F.lit("order_detail").alias("table"),
         F.lit("ROWDATA").alias("entry_type"), F.lit("INSERT").alias("event_type"),
@@ -276,4 +281,4 @@ def cdc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("base").alias("db"), F.lit("nation").alias("table"),
         F.lit("ROWDATA").alias("entry_type"), F.lit("INSERT").alias("event_type"),
         _after("n_nationkey", "n_name").alias("rows"), F.lit(0).cast("long").alias("ts"))
-    return o.unionByName(u).unionByName(deleted).unionByName(d).unionByName(n)
+    return o.unionByName(u).unionByName(d).unionByName(n)
