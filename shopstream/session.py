@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,23 +35,35 @@ def get_spark(master: str | None = None, app_name: str = "shopstream",
     return spark
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage and it is used as is. Only
-    when it is unset (local runs, tests) a scratch folder is created and registered.
-    """
+    On a cluster the launcher sets it to shared storage and it is used as is (the
+    RDD checkpoint dir is set from it when missing). Only when it is unset (local
+    runs, tests) a scratch folder is created once per process and used instead.
+    The returned path is the configured base, not the per-application sub-folder
+    Spark creates for RDD checkpoints, so streaming checkpoints under it survive
+    an application restart."""
+    global _LOCAL_ROOT
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shopstream-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if _LOCAL_ROOT is None:
+            _LOCAL_ROOT = tempfile.mkdtemp(prefix="shopstream-ckpt-")
+        configured = _LOCAL_ROOT
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the session checkpoint dir, e.g. for a streaming query."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A stable sub-folder of the checkpoint base, e.g. for a streaming query."""
+    return configured_join(ensure_checkpoint_dir(spark), "streams", name)
+
+
+def configured_join(base: str, *parts: str) -> str:
+    """Join path parts with ``/`` (also for URIs such as ``hdfs://`` or ``s3a://``)."""
+    return "/".join([base.rstrip("/"), *parts])
