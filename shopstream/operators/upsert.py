@@ -82,10 +82,17 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str],
 
 
 def compact(spark: SparkSession, path: str, snapshot_path: str, keys: Sequence[str],
-            order: Sequence[str] = (), keep: str = "last") -> None:
-    """Fold every batch into one snapshot, written as batch 0 of a new table folder."""
-    read_latest(spark, path, keys, order, keep).write.mode("overwrite").parquet(
-        f"{snapshot_path.rstrip('/')}/{BATCH_COL}=0")
+            order: Sequence[str] = (), keep: str = "last", partition_by: Sequence[str] = (),
+            batch_first: bool = True) -> None:
+    """Fold every batch into one snapshot, written as batch 0 of a new table folder
+    (keeping the date partitioning of a partitioned table)."""
+    state = read_latest(spark, path, keys, order, keep, partition_by=partition_by,
+                        batch_first=batch_first)
+    if partition_by:
+        (state.withColumn(BATCH_COL, F.lit(0)).write.mode("overwrite")
+              .partitionBy(*partition_by, BATCH_COL).parquet(snapshot_path))
+    else:
+        state.write.mode("overwrite").parquet(f"{snapshot_path.rstrip('/')}/{BATCH_COL}=0")
 
 
 def order_versions(orders: DataFrame) -> DataFrame:

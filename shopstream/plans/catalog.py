@@ -253,16 +253,16 @@ def _alerts(spark, sf_dir, click_col="evid"):
                                 min_uids=ALERT_MIN_UIDS, click_col=click_col)
 
 
+def _window_start_text():
+    return F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
+
+
 def _alert_out(a):
-    return a.select("mid", timefmt_window_start(a), "n_uids",
+    return a.select("mid", _window_start_text(), "n_uids",
                     F.array_join(F.array_sort("uids"), ",").alias("uids"),
                     F.array_join(F.array_sort("item_ids"), ",").alias("item_ids"))
 
 
-def timefmt_window_start(a):
-    return F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
-
-
 def q_coupon_alert(spark, sf_dir):
     return _alert_out(_alerts(spark, sf_dir))
 
@@ -273,12 +273,12 @@ def q_coupon_alert_literal(spark, sf_dir):
 
 def q_coupon_alert_per_minute(spark, sf_dir):
     per_min = alerts.one_per_minute(_alerts(spark, sf_dir))
-    return per_min.select("alert_id", "mid", timefmt_window_start(per_min), "n_uids")
+    return per_min.select("alert_id", "mid", _window_start_text(), "n_uids")
 
 
 def q_coupon_alert_events(spark, sf_dir):
     a = _alerts(spark, sf_dir)
-    return a.select("mid", timefmt_window_start(a),
+    return a.select("mid", _window_start_text(),
                     alerts.event_counts_text("event_counts").alias("events"))
 
 

@@ -7,6 +7,8 @@
     python -m shopstream.streaming.apps sales  --servers HOST:9092 --table PATH --users PATH
     python -m shopstream.streaming.apps intake --servers HOST:9092 --table ARCHIVE --source-topic logs
     python -m shopstream.streaming.apps cdc    --servers HOST:9092 --source-path PATH
+    python -m shopstream.streaming.apps compact --table PATH --snapshot PATH --key id [--order ts]
+                                                [--partition-by create_date] [--keep first]
 
 ``--source-path`` (with ``--format json|text|parquet``) reads topic files instead of
 Kafka. Checkpoints go under ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
@@ -18,7 +20,7 @@ from __future__ import annotations
 import argparse
 
 from shopstream import schemas
-from shopstream.operators import routing
+from shopstream.operators import routing, upsert
 from shopstream.session import get_spark
 from shopstream.sources import streams
 from shopstream.streaming import jobs
@@ -34,7 +36,7 @@ DEFAULT_TOPICS = {
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="shopstream.streaming.apps")
-    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "intake", "cdc"])
+    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "intake", "cdc", "compact"])
     p.add_argument("--servers", help="Kafka bootstrap servers")
     p.add_argument("--source-topic")
     p.add_argument("--source-path")
@@ -46,9 +48,19 @@ def main(argv=None) -> None:
     p.add_argument("--trigger", default=jobs.DEFAULT_TRIGGER)
     p.add_argument("--max-per-trigger", type=int)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--snapshot", help="compact: folder of the new snapshot table")
+    p.add_argument("--key", action="append", help="compact: key column (repeatable)")
+    p.add_argument("--order", action="append", default=[], help="compact: ordering column (repeatable)")
+    p.add_argument("--keep", default="last", choices=["last", "first"])
+    p.add_argument("--partition-by", action="append", default=[], help="compact: date partition column")
     a = p.parse_args(argv)
 
     spark = get_spark(app_name=f"shopstream-{a.job}")
+    if a.job == "compact":
+        # batch maintenance: fold all merge-on-read batches into one snapshot
+        upsert.compact(spark, a.table, a.snapshot, a.key, a.order, a.keep, a.partition_by,
+                       batch_first=a.keep == "last")
+        return
     fmt = "kafka" if a.source_path is None else a.format
 
     def source(topic):

@@ -40,3 +40,15 @@ def test_compact_equals_read_latest(spark, scratch):
     assert rows(upsert.read_latest(spark, snap, ["id"])) == rows(upsert.read_latest(spark, table, ["id"]))
     assert rows(upsert.read_latest(spark, table, ["id"]), "id", "p") == \
         [("k0", "v00"), ("k1", "v11"), ("k2", "v22"), ("k3", "v23"), ("k4", "v24")]
+
+
+def test_compact_from_the_launcher(spark, scratch):
+    import os
+
+    from shopstream.streaming import apps
+    table, snap = os.path.join(scratch, "t"), os.path.join(scratch, "snap")
+    for b in range(2):
+        df = spark.createDataFrame([("k1", b, f"v{b}"), (f"only{b}", b, "x")], "id string, v int, p string")
+        upsert.write_batch(df, table, b, ["id"], ["v"])
+    apps.main(["compact", "--table", table, "--snapshot", snap, "--key", "id", "--order", "v"])
+    assert rows(upsert.read_latest(spark, snap, ["id"]), "id", "p") == [("k1", "v1"), ("only0", "x"), ("only1", "x")]

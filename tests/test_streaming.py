@@ -241,3 +241,15 @@ def test_change_feed_to_user_table_end_to_end(spark, scratch):
     assert stored.count() == stored.select("id").distinct().count()
     want = sales.user_latest(td.user_changes(spark, SF001))
     assert rows(stored, "id", "user_level") == rows(want, "id", "user_level")
+
+
+def test_compacted_dau_table_reads_the_same(spark, scratch):
+    src = os.path.join(scratch, "startup")
+    _write_lines(td.log_lines(spark, SF001), src, 2)
+    table, snap = os.path.join(scratch, "dau"), os.path.join(scratch, "dau_snap")
+    q = jobs.start_dau(streams.read_topic(spark, "CAT_STARTUP", fmt="json", path=src, max_per_trigger=1),
+                       table, available_now=True, checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(240)
+    upsert.compact(spark, table, snap, ["mid", "log_date"], ["ts"], keep="first",
+                   partition_by=["log_date"], batch_first=False)
+    assert rows(tables.dau_table(spark, snap)) == rows(tables.dau_table(spark, table))
