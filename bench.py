@@ -68,7 +68,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [a for a in sys.argv[1:] if a in QUERIES]
     # best of N runs per query: the first run of a plan also pays codegen / JIT
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = get_spark(f"local[{cpus}]", app_name="shopstream-bench", extra_conf={
         "spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
