@@ -253,3 +253,26 @@ def test_compacted_dau_table_reads_the_same(spark, scratch):
     upsert.compact(spark, table, snap, ["mid", "log_date"], ["ts"], keep="first",
                    partition_by=["log_date"], batch_first=False)
     assert rows(tables.dau_table(spark, snap)) == rows(tables.dau_table(spark, table))
+
+
+def test_raw_text_lines_through_the_intake(spark, scratch):
+    src = os.path.join(scratch, "raw")
+    lines = td.log_lines(spark, SF001, with_ts=False)
+    lines.select("value").write.text(src)
+    raw = streams.read_topic(spark, "logs", fmt="text", path=src, max_per_trigger=1)
+    out = jobs.intake_stream(raw)
+    q = (out.writeStream.format("memory").queryName("intake_text").outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(240)
+    got = spark.table("intake_text")
+    assert got.count() == lines.count()
+    # the server stamp (processing time) replaced any client time; routing follows the type
+    assert got.filter(F.col("ts").isNull()).count() == 0
+    assert rows(got.groupBy("topic").count(), "topic", "count") == \
+        rows(routing_counts(lines), "topic", "count")
+
+
+def routing_counts(lines):
+    from shopstream.operators import routing
+    routed = routing.route_logs(routing.stamp_logs(lines, F.col("arrival_ms")))
+    return routed.groupBy("topic").count()
