@@ -78,15 +78,20 @@ def main() -> None:
 
     times: dict[str, float] = {}
     cold = 0.0
+    failed = []
     for name in only or QUERIES:
         best = None
-        for i in range(repeats):
-            t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            cold += dt if i == 0 else 0.0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for i in range(repeats):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                cold += dt if i == 0 else 0.0
+                best = dt if best is None else min(best, dt)
+        except Exception:  # a failing query is reported, not fatal for the others
+            failed.append(name)
+            best = None
+        times[name] = round(best, 3) if best is not None else None
     stream_rates = {}
     if os.environ.get("BENCH_STREAMING", "1") != "0" and not only:
         try:
@@ -96,7 +101,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "streaming_rows_per_sec": stream_rates,
@@ -104,6 +109,7 @@ def main() -> None:
         "cpus": int(cpus),
         "repeats": repeats,
         "cold_total_sec": round(cold, 3),
+        "failed": failed,
     }))
     spark.stop()
 
