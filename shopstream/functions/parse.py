@@ -62,6 +62,13 @@ def parse_user(df: DataFrame, value_col: str = "value") -> DataFrame:
     return _parsed(df, schemas.USER_SCHEMA, value_col)
 
 
+def record_json(*cols) -> Column:
+    """Serialise the given columns (all columns of the row when none are given) as one
+    JSON object; null fields are left out."""
+    fields = [F.col(c) if isinstance(c, str) else c for c in cols] or [F.col("*")]
+    return F.to_json(F.struct(*fields))
+
+
 def valid_record(key: str = "mid") -> Column:
     """True when the required key was present, i.e. the line parsed."""
     return F.col(key).isNotNull()

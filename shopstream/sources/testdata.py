@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream import schemas
-from shopstream.functions import timefmt
+from shopstream.functions import parse, timefmt
 
 # Fixed values of the adapter rules.
 ORDER_SECOND_MULTIPLIER = 7919
@@ -137,7 +137,7 @@ def log_lines(spark: SparkSession, sf_dir: str, days=None, with_ts: bool = True)
     fields.append(F.col("itemid").cast("int").alias("itemid"))
     if with_ts:
         fields.append(F.col("ts"))
-    return logs.select("event_id", F.to_json(F.struct(*fields)).alias("value"),
+    return logs.select("event_id", parse.record_json(*fields).alias("value"),
                        F.col("ts").alias("arrival_ms"))
 
 
@@ -174,7 +174,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = spread(orders(spark, sf_dir))
     fields = [F.col(c).cast("string").alias(c) for c in
               ("id", "user_id", "order_status", "total_amount", "create_time", "consignee_tel")]
-    return o.select(F.to_json(F.struct(*fields)).alias("value"), F.col("ts").alias("arrival_ms"))
+    return o.select(parse.record_json(*fields).alias("value"), F.col("ts").alias("arrival_ms"))
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +203,7 @@ def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = details(spark, sf_dir)
     fields = [F.col(c).cast("string").alias(c) for c in
               ("id", "order_id", "sku_name", "sku_id", "order_price", "sku_num")]
-    return d.select(F.to_json(F.struct(*fields)).alias("value"), F.col("ts").alias("arrival_ms"))
+    return d.select(parse.record_json(*fields).alias("value"), F.col("ts").alias("arrival_ms"))
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +239,7 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = user_changes(spark, sf_dir)
-    return u.select(F.to_json(F.struct(*schemas.USER_FIELDS)).alias("value"), "seq")
+    return u.select(parse.record_json(*schemas.USER_FIELDS).alias("value"), "seq")
 
 
 # ---------------------------------------------------------------------------------
