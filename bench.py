@@ -22,6 +22,39 @@ from shopstream.plans.catalog import QUERIES  # noqa: E402
 from shopstream.session import get_spark  # noqa: E402
 
 
+def shuffle_mb_per_query(log_dir: str, repeats: int) -> dict[str, float]:
+    """Shuffle bytes written per query (MB per run), read from the event log: jobs
+    carry the query name as their description, task-end events the shuffle metrics."""
+    stage_query: dict[int, str] = {}
+    written: dict[str, float] = {}
+    paths = [os.path.join(d, f) for d, _, fs in os.walk(log_dir) for f in fs
+             if not f.startswith(".") and not f.startswith("appstatus")]
+    for path in paths:
+        if path.endswith(".zstd"):
+            import io
+
+            import zstandard
+            fh = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(open(path, "rb")))
+        else:
+            fh = open(path)
+        with fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description", "")
+                    if desc.startswith("bench:"):
+                        for sid in ev.get("Stage IDs", []):
+                            stage_query[sid] = desc[len("bench:"):]
+                elif kind == "SparkListenerTaskEnd":
+                    q = stage_query.get(ev.get("Stage ID"))
+                    metrics = ev.get("Task Metrics") or {}
+                    n = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    if q is not None:
+                        written[q] = written.get(q, 0.0) + n
+    return {q: round(b / repeats / 1e6, 3) for q, b in written.items()}
+
+
 def streaming_throughput(spark, sf_dir: str) -> dict[str, float]:
     """Rows per second of the DAU, alert and sale jobs over topic files."""
     import tempfile
@@ -69,9 +102,16 @@ def main() -> None:
     only = [a for a in sys.argv[1:] if a in QUERIES]
     # best of N runs per query: the first run of a plan also pays codegen / JIT
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    import tempfile
+    event_dir = tempfile.mkdtemp(prefix="shopstream-events-")
     spark = get_spark(f"local[{cpus}]", app_name="shopstream-bench", extra_conf={
         "spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+        # event log in a scratch folder: per-query shuffle volume, no UI needed
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": "file://" + event_dir,
+        "spark.eventLog.rolling.enabled": "false",
+        "spark.eventLog.compress": "false",
     })
     # warm-up: JVM class loading and codegen caches, not timed
     QUERIES["dau_total"](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -81,6 +121,7 @@ def main() -> None:
     failed = []
     for name in only or QUERIES:
         best = None
+        spark.sparkContext.setJobDescription(f"bench:{name}")
         try:
             for i in range(repeats):
                 t0 = time.perf_counter()
@@ -92,6 +133,7 @@ def main() -> None:
             failed.append(name)
             best = None
         times[name] = round(best, 3) if best is not None else None
+    spark.sparkContext.setJobDescription(None)
     stream_rates = {}
     if os.environ.get("BENCH_STREAMING", "1") != "0" and not only:
         try:
@@ -99,6 +141,11 @@ def main() -> None:
         except Exception as exc:  # keep the batch results even if a streaming run fails
             stream_rates = {"error": type(exc).__name__}
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    spark.stop()
+    try:
+        shuffle_mb = shuffle_mb_per_query(event_dir, repeats)
+    except Exception as exc:  # the timings stand without the shuffle summary
+        shuffle_mb = {"error": type(exc).__name__}
     print(json.dumps({
         "metric": "total_query_sec",
         "value": round(sum(t for t in times.values() if t is not None), 3),
@@ -110,8 +157,8 @@ def main() -> None:
         "repeats": repeats,
         "cold_total_sec": round(cold, 3),
         "failed": failed,
+        "shuffle_mb_per_query": shuffle_mb,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
