@@ -81,3 +81,13 @@ def test_log_stamp_overwrites_client_ts_and_routes(spark):
     assert [json.loads(r.value)["ts"] for r in out] == [1000, 2000, 3000]
     assert [r.topic for r in out] == ["CAT_STARTUP", "CAT_EVENT", "CAT_EVENT"]
     assert out[0].log_date == "1970-01-01"
+
+
+def test_hour_document_for_a_day_without_rows(spark):
+    dau = spark.createDataFrame([("a", "2020-08-01", "12")], "mid string, log_date string, log_hour string")
+    doc = kpi.hourly_compare_json(kpi.dau_hourly_compare(dau, "2021-01-01")).first().doc
+    assert json.loads(doc) == {"today": {}, "yesterday": {}}
+    orders = spark.createDataFrame([("2020-08-01", "01", 5.0)],
+                                   "create_date string, create_hour string, total_amount double")
+    doc = kpi.hourly_compare_json(kpi.order_hourly_compare(orders, "2020-08-02"), "decimal(20,2)").first().doc
+    assert json.loads(doc) == {"today": {}, "yesterday": {"01": 5.0}}
