@@ -276,3 +276,36 @@ def routing_counts(lines):
     from shopstream.operators import routing
     routed = routing.route_logs(routing.stamp_logs(lines, F.col("arrival_ms")))
     return routed.groupBy("topic").count()
+
+
+def test_order_and_detail_in_different_batches_meet_in_join_state(spark, scratch):
+    """The upstream cached the side that arrived first for 60 s; here the join state
+    holds the order until its detail arrives in a later micro-batch."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 0)
+    orders = spark.createDataFrame(
+        [('{"id":"1","user_id":"7","order_status":"1","total_amount":"5.0","create_time":"2024-01-01 12:00:00",'
+          '"consignee_tel":"13500000007"}', t0),
+         ('{"id":"2","user_id":"7","order_status":"1","total_amount":"6.0","create_time":"2024-01-01 12:00:00",'
+          '"consignee_tel":"13500000007"}', t0)], "value string, timestamp timestamp")
+    details = spark.createDataFrame(
+        [('{"id":"d1","order_id":"1","sku_id":"s","sku_name":"n","order_price":"1.5","sku_num":"1"}',
+          t0 + dt.timedelta(seconds=30)),
+         ('{"id":"d2","order_id":"2","sku_id":"s","sku_name":"n","order_price":"2.5","sku_num":"1"}',
+          t0 + dt.timedelta(seconds=90))], "value string, timestamp timestamp")
+    o_src, d_src = os.path.join(scratch, "o"), os.path.join(scratch, "d")
+    orders.write.json(o_src)
+    details.limit(0).write.json(d_src)  # the detail topic exists but is empty at first
+
+    def run():
+        o = streams.read_topic(spark, "CAT_ORDER", fmt="json", path=o_src)
+        d = streams.read_topic(spark, "CAT_ORDER_DETAIL", fmt="json", path=d_src + "*")
+        out = os.path.join(scratch, "out")
+        q = (jobs.sale_stream(o, d).writeStream.format("parquet").option("path", out).outputMode("append")
+             .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+        q.awaitTermination(240)
+        return {r.order_detail_id for r in spark.read.parquet(out).collect()}
+
+    assert run() == set()           # batch with the orders only: nothing to join yet
+    details.write.json(d_src + "_later")
+    assert run() == {"d1"}          # the detail 30 s later meets the order kept in state; 90 s is too late
