@@ -23,6 +23,13 @@ def order_table(spark: SparkSession, path: str, days=None) -> DataFrame:
                               partition_by=["create_date"])
 
 
+def sale_table(spark: SparkSession, path: str, days=None) -> DataFrame:
+    """Sale detail rows (one per ``order_detail_id``); with ``days`` only those order
+    dates (``dt`` folders) are read."""
+    where = F.col("dt").isin(*days) if days else None
+    return upsert.read_latest(spark, path, ["order_detail_id"], where=where, partition_by=["dt"])
+
+
 def keyed_table(spark: SparkSession, path: str, key: str, order=()) -> DataFrame:
     """Latest row per ``key`` of an index-like table (sale details, alerts, users)."""
     return upsert.read_latest(spark, path, [key], list(order))

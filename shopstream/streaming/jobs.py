@@ -190,7 +190,7 @@ def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str
                 as_of=None, **kw) -> StreamingQuery:
     """Each batch of joined sales is enriched with the user table as it is at that
     moment (re-read per batch, so user updates written by ``start_users`` are seen)
-    and written keyed by ``order_detail_id``."""
+    and written keyed by ``order_detail_id``, partitioned by the order date ``dt``."""
     def write(df, batch_id):
         spark = df.sparkSession
         df.persist()
@@ -198,7 +198,7 @@ def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str
             users = _read_users(spark, user_table, df.select(F.col("user_id").alias("id")).distinct())
             when = as_of if as_of is not None else F.current_timestamp()
             wide = sales.with_user(df, users, when)
-            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], [])
+            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], [], partition_by=["dt"])
         finally:
             df.unpersist()
 

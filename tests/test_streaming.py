@@ -99,8 +99,10 @@ def test_sales_job_enriches_with_users_and_restart_is_idempotent(spark, scratch)
                              users_tbl, sale_tbl, as_of=as_of, available_now=True,
                              checkpoint=os.path.join(scratch, "ck_s"))
         q.awaitTermination(240)
-    got = upsert.read_latest(spark, sale_tbl, ["order_detail_id"])
+    got = tables.sale_table(spark, sale_tbl)
     assert spark.read.parquet(sale_tbl).count() == got.count()
+    one_day = got.agg(F.min("dt")).first()[0]
+    assert tables.sale_table(spark, sale_tbl, [one_day]).count() == got.filter(F.col("dt") == one_day).count()
     want = sales.with_user(sales.interval_join(td.orders(spark, SF001), td.details(spark, SF001)),
                            sales.user_latest(td.user_changes(spark, SF001)), as_of)
     # the sink keeps one row per order_detail_id (the fixture repeats one detail id)
