@@ -52,3 +52,36 @@ def test_compact_from_the_launcher(spark, scratch):
         upsert.write_batch(df, table, b, ["id"], ["v"])
     apps.main(["compact", "--table", table, "--snapshot", snap, "--key", "id", "--order", "v"])
     assert rows(upsert.read_latest(spark, snap, ["id"]), "id", "p") == [("k1", "v1"), ("only0", "x"), ("only1", "x")]
+
+
+EVENT = st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["u1", "u2", "u3", "u4", None]),
+                  st.sampled_from(["coupon", "coupon", "view", "clickItem"]), st.integers(0, 179_999))
+
+
+def _brute_alerts(events, win_ms, slide_ms, min_uids):
+    windows = {}
+    for mid, uid, evid, ts in events:
+        start = ts - ts % slide_ms
+        for k in range(win_ms // slide_ms):
+            ws = start - k * slide_ms
+            w = windows.setdefault((mid, ws), {"uids": set(), "clicked": False})
+            if evid == "coupon" and uid is not None:
+                w["uids"].add(uid)
+            if evid == "clickItem":
+                w["clicked"] = True
+    return sorted((mid, ws, len(w["uids"])) for (mid, ws), w in windows.items()
+                  if len(w["uids"]) > min_uids and not w["clicked"])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(EVENT, min_size=1, max_size=60))
+def test_sliding_alert_matches_brute_force(spark, events):
+    from pyspark.sql import functions as F
+
+    from shopstream.operators import alerts
+    df = spark.createDataFrame([(m, u, e, str(t % 7), "event", t) for m, u, e, t in events],
+                               "mid string, uid string, evid string, itemid string, type string, ts long")
+    got = alerts.coupon_alerts(df, window="1 minute", slide="20 seconds", min_uids=2)
+    got = sorted((r.mid, r.ws, r.n_uids) for r in
+                 got.select("mid", F.unix_millis("window_start").alias("ws"), "n_uids").collect())
+    assert got == _brute_alerts(events, 60_000, 20_000, 2)
