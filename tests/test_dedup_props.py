@@ -85,3 +85,21 @@ def test_sliding_alert_matches_brute_force(spark, events):
     got = sorted((r.mid, r.ws, r.n_uids) for r in
                  got.select("mid", F.unix_millis("window_start").alias("ws"), "n_uids").collect())
     assert got == _brute_alerts(events, 60_000, 20_000, 2)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", "3"]), st.integers(0, 200_000)), min_size=1, max_size=6,
+                unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.sampled_from(["1", "2", "3", "4"]), st.integers(0, 200_000)), max_size=25))
+def test_interval_join_matches_nested_loop(spark, orders, details):
+    from shopstream.operators import sales
+    o = spark.createDataFrame([(i, "u", "s", "t", "d", ts) for i, ts in orders],
+                              "id string, user_id string, order_status string, create_time string, "
+                              "create_date string, ts long")
+    d = spark.createDataFrame([(f"d{k}", oid, "s", "n", 1.0, ts) for k, (oid, ts) in enumerate(details)],
+                              "id string, order_id string, sku_id string, sku_name string, "
+                              "order_price double, ts long")
+    got = sorted((r.order_detail_id, r.order_id) for r in sales.interval_join(o, d).collect())
+    want = sorted((f"d{k}", oid) for k, (oid, dts) in enumerate(details)
+                  for i, ots in orders if i == oid and abs(dts - ots) <= 60_000)
+    assert got == want
