@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,66 @@ def fresh_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 4 << 20):
+    """(ids, bodies) of columns ``id`` and ``body``, a bounded number of text bytes at a time (a longer
+    text is alone), so that a task's memory doesn't follow the size of Arrow's batches."""
+    ids, bodies, size = [], [], 0
+    for batch in batches:
+        for i, body in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            if bodies and size + len(body or b"") > max_bytes:
+                yield ids, bodies
+                ids, bodies, size = [], [], 0
+            ids.append(i)
+            bodies.append(body or b"")
+            size += len(bodies[-1])
+    if bodies:
+        yield ids, bodies
+
+
+class Memo(dict):
+    """Values by key, computed when first asked for; forgets all beyond ``most`` keys."""
+
+    def __init__(self, make, most: int = 1 << 19):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value
+
+
+#: Lower-cases A-Z and turns every other ASCII byte but digits and letters into a space.
+ALNUM = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
+
+FILTER_CHUNK = 17
+
+
+def bit_filter(keys: DataFrame, bits: int) -> bytes:
+    """Bit map of 2**``bits`` bits (a fixed size) with a bit set for the top bits of each long ``key``.
+    It has no false negatives; more keys only mean more false positives."""
+    at = F.shiftrightunsigned("key", 64 - bits)
+    chunk = min(bits, FILTER_CHUNK)
+    rows = keys.select(F.shiftright(at, chunk).alias("chunk"), at.bitwiseAND(F.lit((1 << chunk) - 1)).cast("int").alias("bit"))
+    out = np.zeros(1 << bits, bool)
+    for row in rows.groupBy("chunk").agg(F.collect_set("bit").alias("bits")).toLocalIterator():
+        out[(row["chunk"] << chunk) + np.asarray(row["bits"], np.int64)] = True
+    return np.packbits(out).tobytes()
+
+
+def in_filter(packed: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    at = keys >> np.uint64(64 - bits)
+    return (packed[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values evenly (two multiply-xorshift rounds)."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def binary_views(column: pa.Array) -> list[bytes]:
     """Values of a binary column as bytes (nulls: empty)."""
     return [b"" if v is None else v for v in column.to_pylist()]

@@ -18,4 +18,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op8_line_dedup": OP8}
+_WORDS = "[x for x in regexp_split_to_array({0}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> '']".format(_LOWER.format("coalesce(text, '')"))
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM d, LATERAL unnest(range(1, len(w) - 3)) AS t(i)),
+bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM b, LATERAL unnest(range(1, len(w) - 3)) AS t(i)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared / n_shingles >= 0.8
+"""
+
+ORACLE_SQL = {"op8_line_dedup": OP8, "op10_benchmark_decontamination": OP10}

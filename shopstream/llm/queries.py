@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import line_dedup, simhash
+from shopstream.llm import decontaminate, line_dedup, packing, simhash
 from shopstream.llm.common import read_table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, packing.word_count(F.col("text")), buckets=16, budget=65_536)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs, words=4, max_bits=4).select(
@@ -21,7 +26,13 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), containment=0.8)
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op8_line_dedup": op8_line_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
