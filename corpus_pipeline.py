@@ -7,20 +7,44 @@ again as the ``docs`` of the next one. All but the last return the columns of ``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopstream.llm import line_dedup, simhash
+from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash
 from shopstream.llm.common import read_table, stored
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled rows of ``docs``, accepts."""
+    return quality.accepted(docs, read_table(spark, sf_dir, "labels"), folds=5)
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat across them."""
     return line_dedup.with_lines_dropped(docs, min_docs=3, min_chars=20)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return simhash.one_of_each_group(docs, words=4, max_bits=4)
 
 
-STAGES = [("line_dedup", line_stage), ("simhash_near_dedup", simhash_stage)]
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"), containment=0.8)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batch and slot of every document."""
+    return packing.pack(docs, packing.word_count(F.col("text")), buckets=16, budget=65_536)
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("line_dedup", line_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("benchmark_decontamination", benchmark_stage),
+    ("packing", packing_stage),
+]
 
 #: SQL cannot express the learned quality scores, XXH64 or the packing search.
 ORACLE_SQL = None
