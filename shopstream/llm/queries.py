@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash
+from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash, toxicity
 from shopstream.llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
 
@@ -37,6 +41,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
     "op8_line_dedup": op8_line_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
