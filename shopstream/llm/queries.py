@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash, toxicity
+from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash, token_counts, toxicity
 from shopstream.llm.common import read_table
 
 
@@ -28,6 +28,13 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return line_dedup.dedup_lines(docs, min_docs=3, min_chars=20).select(
@@ -43,6 +50,7 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

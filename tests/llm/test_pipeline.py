@@ -1,0 +1,74 @@
+"""The corpus pipeline: each stage's decision on a small fixture, against plain Python."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from shopstream.llm import packing
+from tests.llm.helpers import prose
+from tests.llm.test_decontaminate import shingles
+from tests.llm.test_line_dedup import key
+from tests.llm.test_simhash import brute_fingerprint, union_find
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rnd = random.Random(11)
+    items = [prose(900 + i, 25, 9000) for i in range(5)]
+    shared = [prose(700 + i, 8, 9000) for i in range(3)]
+    docs, labels = [], []
+    for i in range(160):
+        lines = [prose(10_000 + 10 * i + k, 15, 9000) for k in range(4)]
+        if i % 4 == 1:
+            lines.insert(1, rnd.choice(shared))
+        if i % 16 == 2:
+            lines.insert(2, rnd.choice(items))
+        text = "\n".join(lines)
+        if i % 8 == 5:
+            text = " ".join(w + "$$$" for w in text.split())
+        docs.append((i, text))
+        labels.append((i, int(i % 8 != 5), 0))
+    docs += [(500 + i, docs[3][1]) for i in range(2)] + [(600, None), (601, "")]
+    out = str(tmp_path_factory.mktemp("pipeline"))
+    spark.createDataFrame([(i, t, "en", f"src{i % 7}", len(t or "")) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+    return out
+
+
+def test_each_stage_works_on_what_the_one_before_kept(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, before = docs.columns, {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    steps = dict(corpus_pipeline.STAGES)
+    assert list(steps) == ["quality_classifier", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "packing"]
+
+    docs = steps["quality_classifier"](spark, docs, folder)
+    assert docs.columns == columns
+    kept = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert set(kept) >= {i for i in before if i < 160 and i % 8 != 5} and not set(kept) & {i for i in range(160) if i % 8 == 5}
+
+    docs = steps["line_dedup"](spark, docs, folder)
+    held = {}
+    for i, t in kept.items():
+        for x in t.split("\n"):
+            held.setdefault(key(x), set()).add(i)
+    want = {i: "\n".join(x for x in t.split("\n") if not (len(key(x)) >= 20 and len(held[key(x)]) >= 3 and i != max(held[key(x)]))) for i, t in kept.items()}
+    assert docs.columns == columns and {r["doc_id"]: r["text"] for r in docs.collect()} == want and want != kept
+
+    docs = steps["simhash_near_dedup"](spark, docs, folder)
+    ids = sorted(want)
+    fps = [brute_fingerprint(want[i]) for i in ids]
+    links = [(a, b) for a in range(len(ids)) for b in range(a) if bin(fps[a] ^ fps[b]).count("1") <= 4]
+    first = {ids[i] for i, r in enumerate(union_find(len(ids), links)) if r == i}
+    assert docs.columns == columns and {r["doc_id"] for r in docs.collect()} == first and len(first) < len(ids)
+
+    docs = steps["benchmark_decontamination"](spark, docs, folder)
+    items = [shingles([r["text"]]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    clean = {i for i in first if not any(len(shingles([want[i]]) & s) / len(s) >= 0.8 for s in items)}
+    assert docs.columns == columns and {r["doc_id"] for r in docs.collect()} == clean and clean < first
+
+    rows = steps["packing"](spark, docs, folder).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(want[i].split()) for i in clean}
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()))
+    assert packing.pack(docs.limit(0), packing.word_count(docs["text"])).count() == 0
