@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, line_dedup, packing, quality, simhash, token_counts, toxicity
+from shopstream.llm import decontaminate, licenses, line_dedup, packing, quality, simhash, token_counts, toxicity
 from shopstream.llm.common import read_table
 
 
@@ -28,6 +28,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
+    "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
