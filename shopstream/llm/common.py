@@ -70,13 +70,13 @@ def fresh_name(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 4 << 20):
-    """(ids, bodies) of columns ``id`` and ``body``, a bounded number of text bytes at a time (a longer
-    text is alone), so that a task's memory doesn't follow the size of Arrow's batches."""
+def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 4 << 20, max_docs: int = 20_000):
+    """(ids, bodies) of columns ``id`` and ``body``, a bounded number of text bytes and documents at a time (a
+    longer text is alone), so that a task's memory doesn't follow the size of Arrow's batches."""
     ids, bodies, size = [], [], 0
     for batch in batches:
         for i, body in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            if bodies and size + len(body or b"") > max_bytes:
+            if bodies and (size + len(body or b"") > max_bytes or len(bodies) >= max_docs):
                 yield ids, bodies
                 ids, bodies, size = [], [], 0
             ids.append(i)

@@ -7,12 +7,26 @@ round. Rounds grow with the logarithm of the largest component.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import cut
 
 
+def union_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the components of ``a[i]`` and ``b[i]`` within a task; ``label`` holds each one's smallest member."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while (deeper := label[label] != label).any():
+            label[deeper] = label[label[deeper]]
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u moves to the smallest of u and its neighbours."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(

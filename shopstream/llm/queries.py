@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, licenses, line_dedup, packing, quality, simhash, token_counts, toxicity
+from shopstream.llm import class_lm, decontaminate, embedding_dedup, licenses, line_dedup, packing, quality, simhash, token_counts, toxicity
 from shopstream.llm.common import read_table
 
 
@@ -28,6 +28,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), folds=5)
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.lm_scores(read_table(spark, sf_dir, "documents"), folds=7, held=2)
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -45,6 +49,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", "kept_sha256")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), containment=0.8)
 
@@ -54,8 +62,10 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_class_lm": op5_class_lm,
     "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

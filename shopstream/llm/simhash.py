@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import binary_views, stored, text_rows
-from shopstream.llm.components import connected_components
+from shopstream.llm.components import connected_components, union_labels
 
 FANOUT = 16
 QUERIES = 512       # fingerprints searched at a time
@@ -120,18 +120,6 @@ class GrayIndex:
         self.top_begin = np.searchsorted(group, np.arange(self.group[-1] + 2 if n else 0))
         self.label = np.arange(n)
 
-    def _union(self, a: np.ndarray, b: np.ndarray) -> None:
-        label = self.label
-        while True:
-            x, y = label[a], label[b]
-            apart = x != y
-            if not apart.any():
-                return
-            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
-            while (deeper := label[label] != label).any():
-                label[deeper] = label[label[deeper]]
-
     def _refresh(self) -> None:
         self.low, self.high = [self.label], [self.label]
         for first in self.first[1:]:
@@ -160,7 +148,7 @@ class GrayIndex:
             if not len(q):
                 continue
             if level == 0:
-                self._union(q, node)
+                union_labels(self.label, q, node)
                 self._refresh()
                 continue
             begin = self.first[level][node]
@@ -173,7 +161,7 @@ class GrayIndex:
         if n > 1:
             near = np.flatnonzero((np.bitwise_count(self.fps[1:] ^ self.fps[:-1]) <= self.max_bits)
                                   & (self.group[1:] == self.group[:-1]))
-            self._union(near, near + 1)  # Gray neighbours first: they make most of a dense ball one component
+            union_labels(self.label, near, near + 1)  # Gray neighbours first: they make most of a dense ball one component
             self._refresh()
             for at in range(0, n, QUERIES):
                 self._search(np.arange(at, min(n, at + QUERIES)))
