@@ -4,17 +4,18 @@ Rule per device (``mid``) and window: more than ``min_uids`` distinct users took
 coupon (``evid = 'coupon'``) and no event of the window is an item click. The alert
 carries the distinct coupon users, the distinct coupon item ids and the event mix.
 
-Batch plan (``method="panes"``): when the window is a multiple of the slide, every
-window is a union of consecutive slide-sized panes. Events are first aggregated per
-``(mid, pane, evid)`` - map-side combined, so a device that holds a third of all rows
-is reduced to one partial row per input partition - and only those pane rows are
-copied into the ``window/slide`` windows that contain them, then merged per
-``(mid, window)``. Raw rows are never multiplied by the window overlap (30x for
-5 min / 10 s). ``method="window"`` is the direct ``F.window`` form (used by the
-streaming job and whenever the window is not a multiple of the slide).
+Batch plan: when the window is a multiple of the slide, every window is a union of
+consecutive slide-sized panes. Events are first reduced to distinct ``(mid, pane, evid,
+coupon uid, coupon item)`` rows - map-side combined, so a device that holds a third of all
+rows is reduced before the shuffle - and only those rows are copied into the
+``window/slide`` windows that contain them. Distinct uids are counted in two hash
+aggregates and the threshold and the click rule are applied to these counts; the lists of an
+alert are collected for the surviving windows alone. Other windows (``method="window"``, or a
+window that is no multiple of the slide) take ``F.window`` on the events and the same steps.
 
 Semantics fixed here: null uids / item ids are not members of the sets (SQL set
-semantics); the event list is reported as a multiset (``event_counts``: distinct
+semantics); rows without a device or an event time belong to no window; a coupon take never
+counts as a click; the event list is reported as a multiset (``event_counts``: distinct
 event id and count), which is bounded by the number of event kinds instead of the
 number of events in the window.
 """
@@ -46,22 +47,41 @@ def duration_ms(text: str) -> int:
     return int(float(n) * _UNIT_MS[unit])
 
 
-def _set_of(cond: Column, value: Column) -> Column:
-    return F.collect_set(F.when(cond, value))
+def usable(events: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """Events that can belong to a window of a device."""
+    return events.filter(F.col("mid").isNotNull() & F.col(ts_col).isNotNull())
 
 
-def finish_alerts(windows: DataFrame, min_uids: int) -> DataFrame:
-    """Threshold + no-click filter and the output columns."""
-    alerts = windows.filter((F.size("uids") > F.lit(min_uids)) & ~F.col("clicked"))
-    return alerts.select(
+def rule_columns(click_col: str) -> tuple[Column, Column]:
+    """(is a coupon take, excludes the window): the click is only looked for in rows that take no coupon."""
+    is_coupon = F.coalesce(F.col("evid") == COUPON_EVID, F.lit(False))
+    return is_coupon, F.coalesce(F.col(click_col) == CLICK_EVID, F.lit(False)) & ~is_coupon
+
+
+def merged_sets() -> list[Column]:
+    """Aggregates that merge rows with ``c_uids, c_items, clicked, evid, n`` into a window."""
+    return [F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
+            F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
+            F.bool_or("clicked").alias("clicked"),
+            F.collect_list(F.struct("evid", "n")).alias("_pairs")]
+
+
+def alert_rows(windows: DataFrame) -> DataFrame:
+    """Output columns of the alert windows (``window_start, window_end, uids, item_ids, _pairs``)."""
+    return windows.select(
         "mid", "window_start", "window_end",
         F.size("uids").cast("long").alias("n_uids"), "uids", "item_ids",
-        "event_counts",
+        event_mix(F.col("_pairs")).alias("event_counts"),
         # the time an alert for this window is emitted: the end of the window
         F.unix_millis("window_end").alias("ts"),
     )
 
 
+def finish_alerts(windows: DataFrame, min_uids: int) -> DataFrame:
+    """Threshold + no-click filter on merged windows, and the output columns."""
+    return alert_rows(windows.filter((F.size("uids") > F.lit(min_uids)) & ~F.col("clicked")))
+
+
 def event_mix(pairs: Column) -> Column:
     """array<struct<evid, n>> with repeats -> summed, sorted by evid."""
     kinds = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["evid"])))
@@ -76,50 +96,32 @@ def coupon_alerts(events: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
                   ts_col: str = "ts", method: str = "panes") -> DataFrame:
     """Alerts per ``(mid, window)``. ``events`` needs ``mid, uid, evid, itemid``, the
     click column and ``ts`` (epoch millis). ``click_col="type"`` reproduces the
-    upstream check on the ``type`` field (which never holds a click)."""
+    upstream check on the ``type`` field."""
     win_ms, slide_ms = duration_ms(window), duration_ms(slide)
-    is_coupon = F.col("evid") == COUPON_EVID
-    is_click = F.coalesce(F.col(click_col) == CLICK_EVID, F.lit(False))
+    is_coupon, is_click = rule_columns(click_col)
+    facts = [F.col("evid"), F.when(is_coupon, F.col("uid")).alias("c_uid"), F.when(is_coupon, F.col("itemid")).alias("c_item")]
+    events = usable(events, ts_col)
+    reduced = [F.bool_or(is_click).alias("clicked"), F.count(F.lit(1)).alias("n")]
     if method == "panes" and win_ms % slide_ms == 0:
-        return finish_alerts(_pane_windows(events, win_ms, slide_ms, is_coupon, is_click, ts_col), min_uids)
-    ts = timefmt.ms_to_ts(F.col(ts_col))
-    grouped = (events.groupBy("mid", F.window(ts, window, slide).alias("w"), "evid")
-                     .agg(_set_of(is_coupon, F.col("uid")).alias("c_uids"),
-                          _set_of(is_coupon, F.col("itemid")).alias("c_items"),
-                          F.bool_or(is_click).alias("clicked"),
-                          F.count(F.lit(1)).alias("n")))
-    merged = (grouped.groupBy("mid", F.col("w.start").alias("window_start"),
-                              F.col("w.end").alias("window_end"))
-                     .agg(F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
-                          F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
-                          F.bool_or("clicked").alias("clicked"),
-                          event_mix(F.collect_list(F.struct("evid", "n"))).alias("event_counts")))
-    return finish_alerts(merged, min_uids)
-
-
-def _pane_windows(events: DataFrame, win_ms: int, slide_ms: int, is_coupon: Column,
-                  is_click: Column, ts_col: str) -> DataFrame:
-    n_windows = win_ms // slide_ms
-    pane = timefmt.floor_to(F.col(ts_col).cast("long"), slide_ms)
-    panes = (events.groupBy("mid", pane.alias("pane"), "evid")
-                   .agg(_set_of(is_coupon, F.col("uid")).alias("c_uids"),
-                        _set_of(is_coupon, F.col("itemid")).alias("c_items"),
-                        F.bool_or(is_click).alias("clicked"),
-                        F.count(F.lit(1)).alias("n")))
-    # each pane belongs to the n_windows windows starting at pane, pane - slide, ...
-    offsets = F.sequence(F.lit(0), F.lit(n_windows - 1))
-    spread = panes.select("*", F.explode(offsets).alias("_k")) \
-                  .withColumn("ws", F.col("pane") - F.col("_k") * F.lit(slide_ms))
-    merged = (spread.groupBy("mid", "ws")
-                    .agg(F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
-                         F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
-                         F.bool_or("clicked").alias("clicked"),
-                         F.collect_list(F.struct("evid", "n")).alias("_pairs")))
-    return merged.select(
-        "mid",
-        timefmt.ms_to_ts(F.col("ws")).alias("window_start"),
-        timefmt.ms_to_ts(F.col("ws") + F.lit(win_ms)).alias("window_end"),
-        "uids", "item_ids", "clicked", event_mix(F.col("_pairs")).alias("event_counts"))
+        pane = timefmt.floor_to(F.col(ts_col).cast("long"), slide_ms)
+        panes = events.groupBy("mid", pane.alias("pane"), *facts).agg(*reduced)
+        # each pane belongs to the windows starting at pane, pane - slide, ...
+        offsets = F.sequence(F.lit(0), F.lit(win_ms // slide_ms - 1))
+        placed = panes.select("*", F.explode(offsets).alias("_k")) \
+                      .withColumn("ws", F.col("pane") - F.col("_k") * F.lit(slide_ms))
+    else:
+        w = F.window(timefmt.ms_to_ts(F.col(ts_col)), window, slide)
+        placed = events.groupBy("mid", w.alias("w"), *facts).agg(*reduced) \
+                       .withColumn("ws", F.unix_millis(F.col("w.start")))
+    counted = (placed.groupBy("mid", "ws", "c_uid").agg(F.bool_or("clicked").alias("clicked"))
+                     .groupBy("mid", "ws").agg(F.count("c_uid").alias("_uids"), F.bool_or("clicked").alias("clicked")))
+    alerting = counted.filter((F.col("_uids") > F.lit(min_uids)) & ~F.col("clicked")).select("mid", "ws")
+    per_evid = (placed.join(alerting, ["mid", "ws"], "left_semi").groupBy("mid", "ws", "evid")
+                      .agg(F.collect_set("c_uid").alias("c_uids"), F.collect_set("c_item").alias("c_items"),
+                           F.bool_or("clicked").alias("clicked"), F.sum("n").alias("n")))
+    merged = per_evid.groupBy("mid", "ws").agg(*merged_sets())
+    return alert_rows(merged.withColumn("window_start", timefmt.ms_to_ts(F.col("ws")))
+                            .withColumn("window_end", timefmt.ms_to_ts(F.col("ws") + F.lit(win_ms))))
 
 
 def alert_id(mid: Column, ts_ms: Column) -> Column:

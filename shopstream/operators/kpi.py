@@ -42,7 +42,7 @@ def kpi_total(dau: DataFrame, orders: DataFrame, day: str, order_day: str | None
                                             row(2, KPI_NEW_MID, F.lit(NEW_MID_VALUE)))).alias("r"))
                   .select("r.*"))
     amount = (orders.filter(F.col("create_date") == order_day)
-                    .agg(F.round(F.sum("total_amount"), 2).alias("v"))
+                    .agg(F.sum("total_amount").alias("v"))
                     .select(row(3, KPI_ORDER_AMOUNT, F.col("v")).alias("r"))
                     .select("r.*"))
     return devices.unionByName(amount)
@@ -73,8 +73,7 @@ def dau_hourly_compare(dau: DataFrame, day: str) -> DataFrame:
 
 
 def order_hourly_compare(orders: DataFrame, day: str) -> DataFrame:
-    return hourly_compare(orders, day, "create_date", "create_hour",
-                          F.round(F.sum("total_amount"), 2))
+    return hourly_compare(orders, day, "create_date", "create_hour", F.sum("total_amount"))
 
 
 def metric_hourly_compare(kind: str, dau: DataFrame | None, orders: DataFrame | None,

@@ -28,11 +28,11 @@ def enrich_orders(orders: DataFrame, mask=masking.mask_tel_tail) -> DataFrame:
 def order_total(orders: DataFrame, day: str) -> DataFrame:
     """``sum(total_amount) where create_date = day``; null when the day has no orders."""
     return (orders.filter(F.col("create_date") == day)
-                  .agg(F.round(F.sum("total_amount"), 2).alias("order_amount")))
+                  .agg(F.sum("total_amount").alias("order_amount")))
 
 
 def order_hourly(orders: DataFrame, day: str) -> DataFrame:
     """Amount per hour of ``day``: ``create_hour, order_amount``."""
     return (orders.filter(F.col("create_date") == day)
                   .groupBy("create_hour")
-                  .agg(F.round(F.sum("total_amount"), 2).alias("order_amount")))
+                  .agg(F.sum("total_amount").alias("order_amount")))

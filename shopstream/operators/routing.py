@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopstream import schemas
 from shopstream.functions import timefmt
 
 # Topic names.
@@ -24,23 +23,31 @@ TOPIC_USER = "CAT_USER"
 CDC_SUBSCRIPTION = r"cat2019\..*"
 
 
-def stamp_logs(lines: DataFrame, arrival_ms: Column, value_col: str = "value") -> DataFrame:
-    """Parse each raw log line, overwrite its ``ts`` with the server arrival time and
-    re-serialise it (null fields are left out). Adds ``type``, ``ts`` and ``log_date``
-    (the archive partition) next to the new ``value``.
+def stamp_lines(lines: DataFrame, arrival_ms: Column, value_col: str = "value") -> DataFrame:
+    """Overwrite ``ts`` of each raw log line with the server arrival time; every other field
+    stays as it came (unknown fields, numbers, nested values). Adds ``type``, ``ts``,
+    ``log_date`` (the archive partition) and ``rejected``: a line that is no JSON object keeps
+    its text as ``value`` and is rejected.
 
     In a live intake ``arrival_ms`` is ``unix_millis(current_timestamp())``; batch runs
     and tests pass the recorded arrival column instead."""
     keep = [c for c in lines.columns if c != value_col]
-    parsed = lines.select(*keep, F.from_json(F.col(value_col), schemas.LOG_SCHEMA).alias("_j"),
+    parsed = lines.select(*keep, F.col(value_col).alias("_raw"),
+                          F.from_json(F.col(value_col), "map<string,variant>").alias("_j"),
                           arrival_ms.cast("long").alias("_arrival"))
-    fields = [F.col(f"_j.{f.name}").alias(f.name) for f in schemas.LOG_SCHEMA.fields if f.name != "ts"]
-    stamped = F.struct(*fields, F.col("_arrival").alias("ts"))
+    client = F.map_filter("_j", lambda k, v: k != "ts")
+    stamped = F.map_concat(client, F.create_map(F.lit("ts"), F.parse_json(F.col("_arrival").cast("string"))))
     return parsed.select(*keep,
-                         F.col("_j.type").alias("type"),
+                         F.try_variant_get(F.col("_j")["type"], "$", "string").alias("type"),
                          F.col("_arrival").alias("ts"),
                          timefmt.log_date(F.col("_arrival")).alias("log_date"),
-                         F.to_json(stamped).alias(value_col))
+                         F.col("_j").isNull().alias("rejected"),
+                         F.coalesce(F.to_json(stamped), F.col("_raw")).alias(value_col))
+
+
+def stamp_logs(lines: DataFrame, arrival_ms: Column, value_col: str = "value") -> DataFrame:
+    """The stamped lines without the rejected ones."""
+    return stamp_lines(lines, arrival_ms, value_col).filter(~F.col("rejected")).drop("rejected")
 
 
 def route_logs(stamped: DataFrame) -> DataFrame:

@@ -95,6 +95,13 @@ def interval_join(orders: DataFrame, details: DataFrame,
     return _sale_row(o.join(d, cond, "inner"))
 
 
+def one_per_detail(sales_df: DataFrame) -> DataFrame:
+    """One sale row per ``order_detail_id``: the latest by create time, then by all other columns,
+    so that a replay picks the same row."""
+    rest = [c for c in SALE_COLUMNS if c not in ("order_detail_id", "create_time")]
+    return latest_per_key(sales_df.select(*SALE_COLUMNS), ["order_detail_id"], ["create_time", *rest])
+
+
 def user_latest(users: DataFrame, order=("seq",)) -> DataFrame:
     """Latest row per user ``id`` by ``order`` (change sequence / change time)."""
     return latest_per_key(users, ["id"], list(order))

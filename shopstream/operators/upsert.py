@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shopstream.operators.dedup import first_per_key, latest_per_key
 
 __all__ = ["latest_per_key", "first_per_key", "assign_missing_keys", "write_batch",
-           "read_latest", "compact", "order_versions"]
+           "read_latest", "compact"]
 
 BATCH_COL = "batch_id"
 
@@ -93,14 +93,3 @@ def compact(spark: SparkSession, path: str, snapshot_path: str, keys: Sequence[s
               .partitionBy(*partition_by, BATCH_COL).parquet(snapshot_path))
     else:
         state.write.mode("overwrite").parquet(f"{snapshot_path.rstrip('/')}/{BATCH_COL}=0")
-
-
-def order_versions(orders: DataFrame) -> DataFrame:
-    """Order change feed for the upsert check: version 1 is every order as placed;
-    open orders (``O``) are re-sent as version 2 with the amount raised by 10%
-    (unrounded, so any engine computes the same double)."""
-    v1 = orders.withColumn("version", F.lit(1))
-    v2 = (orders.filter(F.col("order_status") == "O")
-                .withColumn("total_amount", F.col("total_amount") * 1.1)
-                .withColumn("version", F.lit(2)))
-    return v1.unionByName(v2)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream import schemas
 from shopstream.functions import masking, parse, timefmt
 from shopstream.operators import alerts, dau, kpi, orders, routing, sales, upsert
 from shopstream.sources import testdata as td
@@ -39,19 +40,23 @@ def _days(day: str) -> list[str]:
 def q_parse_startup(spark, sf_dir):
     lines = td.log_lines(spark, sf_dir).select("event_id", "value")
     out = parse.parse_startup(lines)
-    return out.select("event_id", "mid", "uid", "type", "ts", "log_date", "log_hour")
+    return out.select("event_id", *schemas.STARTUP_FIELDS, "ts", "log_date", "log_hour")
 
 
 def q_parse_event(spark, sf_dir):
     lines = td.log_lines(spark, sf_dir).select("event_id", "value")
     out = parse.parse_event(lines)
-    return out.select("event_id", "mid", "uid", "evid", "itemid", "ts")
+    return out.select("event_id", *schemas.EVENT_FIELDS, "ts")
 
 
 def q_parse_order(spark, sf_dir):
     out = parse.parse_order(td.order_lines(spark, sf_dir).select("value"))
-    return out.select("id", "user_id", "order_status", "total_amount", "create_time",
-                      "create_date", "create_hour", "consignee_tel")
+    return out.select(*schemas.ORDER_TABLE_COLUMNS)
+
+
+def q_parse_user(spark, sf_dir):
+    out = parse.parse_user(td.user_lines(spark, sf_dir).select("value", "seq"))
+    return out.select("seq", *schemas.USER_FIELDS)
 
 
 def q_parse_detail(spark, sf_dir):
@@ -66,6 +71,12 @@ def q_log_ingest(spark, sf_dir):
     return stamped.select("event_id", "log_date", "value")
 
 
+def q_log_ingest_passthrough(spark, sf_dir):
+    """Lines with unknown, numeric and nested fields and lines that are no JSON object: all that was sent stays."""
+    stamped = routing.stamp_lines(td.foreign_log_lines(spark, sf_dir), F.col("arrival_ms"))
+    return stamped.select("event_id", "rejected", "value")
+
+
 def q_log_route(spark, sf_dir):
     lines = td.log_lines(spark, sf_dir, with_ts=False)
     routed = routing.route_logs(routing.stamp_logs(lines, F.col("arrival_ms")))
@@ -126,7 +137,15 @@ def q_dau_hourly(spark, sf_dir):
 
 
 def q_dau_hourly_compare(spark, sf_dir):
-    return kpi.dau_hourly_compare(_dau_table(spark, sf_dir, _days(DAU_DAY)), DAU_DAY)
+    return kpi.metric_hourly_compare("dau", _dau_table(spark, sf_dir, _days(DAU_DAY)), None, DAU_DAY)
+
+
+def q_route_dau(spark, sf_dir):
+    """Intake to table in one chain: stamp, route, parse the startup topic, first record per device and day."""
+    lines = td.log_lines(spark, sf_dir, with_ts=False)
+    routed = routing.route_logs(routing.stamp_logs(lines, F.col("arrival_ms")))
+    startup = routed.filter(F.col("topic") == routing.TOPIC_STARTUP).select("event_id", "value")
+    return dau.dau_rows(dau.dedup_daily(parse.parse_startup(startup)))
 
 
 def q_dau_hourly_json(spark, sf_dir):
@@ -142,9 +161,7 @@ def _order_table(spark, sf_dir, days=None):
 
 
 def q_order_enrich(spark, sf_dir):
-    return _order_table(spark, sf_dir).select(
-        "id", "user_id", "order_status", "total_amount", "create_time", "create_date",
-        "create_hour", "consignee_tel")
+    return _order_table(spark, sf_dir)
 
 
 def q_mask_tel_tail(spark, sf_dir):
@@ -157,20 +174,30 @@ def q_mask_tel_head(spark, sf_dir):
     return o.select("id", masking.mask_tel_head("consignee_tel").alias("tel_masked"))
 
 
+# Sums of doubles differ in the last bits with the order of addition, so the catalogue
+# compares amounts rounded to cents; the operators return the plain sums.
+def _cents(df, col):
+    return df.withColumn(col, F.round(col, 2))
+
+
 def q_order_total(spark, sf_dir):
-    return orders.order_total(_order_table(spark, sf_dir, [ORDER_DAY]), ORDER_DAY)
+    return _cents(orders.order_total(_order_table(spark, sf_dir, [ORDER_DAY]), ORDER_DAY), "order_amount")
 
 
 def q_order_hourly(spark, sf_dir):
-    return orders.order_hourly(_order_table(spark, sf_dir, [ORDER_DAY]), ORDER_DAY)
+    return _cents(orders.order_hourly(_order_table(spark, sf_dir, [ORDER_DAY]), ORDER_DAY), "order_amount")
+
+
+def _order_hourly_compare(spark, sf_dir):
+    return kpi.metric_hourly_compare("order", None, _order_table(spark, sf_dir, _days(ORDER_DAY)), ORDER_DAY)
 
 
 def q_order_hourly_compare(spark, sf_dir):
-    return kpi.order_hourly_compare(_order_table(spark, sf_dir, _days(ORDER_DAY)), ORDER_DAY)
+    return _cents(_order_hourly_compare(spark, sf_dir), "value")
 
 
 def q_order_hourly_json(spark, sf_dir):
-    return kpi.hourly_compare_json(q_order_hourly_compare(spark, sf_dir), "decimal(20,2)")
+    return kpi.hourly_compare_json(_order_hourly_compare(spark, sf_dir), "decimal(20,2)")
 
 
 def _kpi_total(spark, sf_dir):
@@ -181,7 +208,7 @@ def _kpi_total(spark, sf_dir):
 
 
 def q_kpi_total(spark, sf_dir):
-    return _kpi_total(spark, sf_dir).select("id", "name", "value")
+    return _cents(_kpi_total(spark, sf_dir).select("id", "name", "value"), "value")
 
 
 def q_kpi_total_json(spark, sf_dir):
@@ -189,7 +216,7 @@ def q_kpi_total_json(spark, sf_dir):
 
 
 def q_order_upsert(spark, sf_dir):
-    versions = upsert.order_versions(td.orders(spark, sf_dir))
+    versions = td.order_versions(spark, sf_dir)
     latest = upsert.latest_per_key(versions, ["id"], ["version"])
     return latest.select("id", "version", "order_status", "total_amount")
 
@@ -243,12 +270,17 @@ def q_sale_wide(spark, sf_dir):
     return wide.select(*sales.SALE_COLUMNS)
 
 
+def q_sale_wide_keyed(spark, sf_dir):
+    """What the sale index holds: one row per ``order_detail_id``."""
+    return sales.one_per_detail(q_sale_wide(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------------
 # coupon alerts
 
 
-def _alerts(spark, sf_dir, click_col="evid"):
-    ev = td.event_log(spark, sf_dir)
+def _alerts(spark, sf_dir, click_col="evid", ev=None):
+    ev = td.event_log(spark, sf_dir) if ev is None else ev
     return alerts.coupon_alerts(ev, window=ALERT_WINDOW, slide=ALERT_SLIDE,
                                 min_uids=ALERT_MIN_UIDS, click_col=click_col)
 
@@ -271,6 +303,10 @@ def q_coupon_alert_literal(spark, sf_dir):
     return _alert_out(_alerts(spark, sf_dir, click_col="type"))
 
 
+def q_coupon_alert_literal_click(spark, sf_dir):
+    return _alert_out(_alerts(spark, sf_dir, "type", td.typed_event_log(spark, sf_dir)))
+
+
 def q_coupon_alert_per_minute(spark, sf_dir):
     per_min = alerts.one_per_minute(_alerts(spark, sf_dir))
     return per_min.select("alert_id", "mid", _window_start_text(), "n_uids")
@@ -287,7 +323,9 @@ QUERIES: dict[str, Query] = {
     "parse_event": q_parse_event,
     "parse_order": q_parse_order,
     "parse_detail": q_parse_detail,
+    "parse_user": q_parse_user,
     "log_ingest": q_log_ingest,
+    "log_ingest_passthrough": q_log_ingest_passthrough,
     "log_route": q_log_route,
     "cdc_explode": q_cdc_explode,
     "cdc_route": q_cdc_route,
@@ -299,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "dau_hourly": q_dau_hourly,
     "dau_hourly_compare": q_dau_hourly_compare,
     "dau_hourly_json": q_dau_hourly_json,
+    "route_dau": q_route_dau,
     "order_enrich": q_order_enrich,
     "mask_tel_tail": q_mask_tel_tail,
     "mask_tel_head": q_mask_tel_head,
@@ -315,8 +354,10 @@ QUERIES: dict[str, Query] = {
     "user_latest": q_user_latest,
     "user_age": q_user_age,
     "sale_wide": q_sale_wide,
+    "sale_wide_keyed": q_sale_wide_keyed,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_literal": q_coupon_alert_literal,
+    "coupon_alert_literal_click": q_coupon_alert_literal_click,
     "coupon_alert_per_minute": q_coupon_alert_per_minute,
     "coupon_alert_events": q_coupon_alert_events,
     "upsert_latest": q_upsert_latest,

@@ -17,6 +17,13 @@ app_logs AS (
          CASE WHEN event_type = 'view' THEN 'startup' ELSE 'event' END AS type,
          'mid_' || CAST(user_id AS VARCHAR) AS mid,
          json_extract_string(props, '$.k') AS uid,
+         CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS os,
+         'app' || CAST(user_id % 3 AS VARCHAR) AS appid,
+         'area_' || CAST(user_id % 31 AS VARCHAR) AS area,
+         'ch' || CAST(event_id % 5 AS VARCHAR) AS ch,
+         '1.1.' || CAST(event_id % 4 AS VARCHAR) AS vs,
+         CAST(event_id % 50 AS VARCHAR) AS pgid,
+         CAST((event_id + 7) % 50 AS VARCHAR) AS npgid,
          CASE WHEN event_type = 'purchase' THEN 'coupon'
               WHEN event_type = 'click' THEN 'clickItem'
               ELSE event_type END AS evid,
@@ -37,10 +44,27 @@ orders_l AS (
          strftime(o_orderdate, '%Y-%m-%d') AS create_date,
          strftime(o_orderdate + to_seconds((o_orderkey * 7919) % 86400), '%H') AS create_hour,
          '135' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS consignee_tel,
-         epoch_us(o_orderdate) // 1000 + ((o_orderkey * 7919) % 86400) * 1000 AS ts
+         CAST(o_orderkey % 34 AS VARCHAR) AS province_id,
+         'consignee ' || CAST(o_orderkey AS VARCHAR) AS consignee,
+         'comment ' || CAST(o_orderkey % 97 AS VARCHAR) AS order_comment,
+         CAST(o_orderkey % 3 + 1 AS VARCHAR) AS payment_way,
+         'http://img/' || CAST(o_orderkey AS VARCHAR) || '.png' AS img_url,
+         'exp-' || CAST(o_orderkey AS VARCHAR) AS expire_time,
+         'street ' || CAST(o_orderkey % 500 AS VARCHAR) AS delivery_address,
+         'op-' || CAST(o_orderkey AS VARCHAR) AS operate_time,
+         'T' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS tracking_no,
+         CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey - 1 AS VARCHAR) END AS parent_order_id,
+         'N' || CAST(o_orderkey AS VARCHAR) AS out_trade_no,
+         'body of ' || CAST(o_orderkey AS VARCHAR) AS trade_body,
+         1704067200000 + o_orderkey * 700 AS ts
   FROM orders
 )"""
 
+ORDER_ROW = (
+    "id, province_id, consignee, order_comment, '*******' || substr(consignee_tel, 8, 4) AS consignee_tel, order_status, "
+    "payment_way, user_id, img_url, total_amount, expire_time, delivery_address, create_time, operate_time, tracking_no, "
+    "parent_order_id, out_trade_no, trade_body, create_date, create_hour")
+
 DETAILS = """
 details_l AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-' ||
@@ -50,11 +74,9 @@ details_l AS (
          CAST(l.l_partkey AS VARCHAR) AS sku_id,
          l.l_extendedprice AS order_price,
          CAST(l.l_quantity AS VARCHAR) AS sku_num,
-         epoch_us(o.o_orderdate) // 1000 + ((o.o_orderkey * 7919) % 86400) * 1000
-           + ((l.l_partkey % 180) - 90) * 1000 AS ts,
+         1704067200000 + l.l_orderkey * 700 + ((l.l_partkey % 180) - 90) * 1000 AS ts,
          l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
@@ -80,8 +102,7 @@ users_latest AS (
 
 DAU = """
 dau AS (
-  SELECT mid, uid, NULL::VARCHAR AS appid, NULL::VARCHAR AS area, NULL::VARCHAR AS os,
-         NULL::VARCHAR AS ch, type, NULL::VARCHAR AS vs, log_date, log_hour, ts
+  SELECT mid, uid, appid, area, os, ch, type, vs, log_date, log_hour, ts
   FROM (SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn
         FROM app_logs)
   WHERE rn = 1
@@ -116,7 +137,8 @@ win AS (
          array_to_string(list_sort(list(DISTINCT uid) FILTER (WHERE evid = 'coupon')), ',') AS uids,
          array_to_string(list_sort(list(DISTINCT itemid) FILTER (WHERE evid = 'coupon')), ',') AS item_ids,
          bool_or(evid = 'clickItem') AS clicked_evid,
-         bool_or(type = 'clickItem') AS clicked_type
+         bool_or(type = 'clickItem') AS clicked_type,
+         bool_or(event_id % 211 = 0 AND evid <> 'coupon') AS clicked_other
   FROM ev_w GROUP BY mid, ws
 )"""
 
@@ -146,15 +168,22 @@ def oracle_sql() -> dict[str, str]:
     d, od = C.DAU_DAY, C.ORDER_DAY
     q: dict[str, str] = {}
 
-    q["parse_startup"] = _with(APP_LOGS) + "SELECT event_id, mid, uid, type, ts, log_date, log_hour FROM app_logs"
-    q["parse_event"] = _with(APP_LOGS) + "SELECT event_id, mid, uid, evid, itemid, ts FROM app_logs"
-    q["parse_order"] = _with(ORDERS) + (
-        "SELECT id, user_id, order_status, total_amount, create_time, create_date, create_hour, "
-        "'*******' || substr(consignee_tel, 8, 4) AS consignee_tel FROM orders_l")
+    q["parse_startup"] = _with(APP_LOGS) + "SELECT event_id, mid, uid, appid, area, os, ch, type, vs, ts, log_date, log_hour FROM app_logs"
+    q["parse_event"] = _with(APP_LOGS) + "SELECT event_id, mid, uid, appid, area, os, ch, type, evid, pgid, npgid, itemid, ts FROM app_logs"
+    q["parse_order"] = _with(ORDERS) + f"SELECT {ORDER_ROW} FROM orders_l"
+    q["parse_user"] = _with(USERS) + "SELECT seq, id, login_name, user_level, birthday, gender FROM user_changes"
     q["parse_detail"] = _with(DETAILS) + "SELECT id, order_id, sku_id, sku_name, order_price, sku_num FROM details_l"
     q["log_ingest"] = _with(APP_LOGS) + (
-        "SELECT event_id, log_date, json_object('type', type, 'mid', mid, 'uid', uid, 'evid', evid, "
-        "'itemid', itemid, 'ts', ts)::VARCHAR AS value FROM app_logs")
+        "SELECT event_id, log_date, json_object('type', type, 'mid', mid, 'uid', uid, 'os', os, 'appid', appid, 'area', area, "
+        "'ch', ch, 'vs', vs, 'evid', evid, 'pgid', CAST(pgid AS BIGINT), 'npgid', CAST(npgid AS BIGINT), "
+        "'itemid', CAST(itemid AS BIGINT), 'ts', ts)::VARCHAR AS value FROM app_logs")
+    q["log_ingest_passthrough"] = """
+SELECT event_id, event_id % 101 = 0 AS rejected,
+       CASE WHEN event_id % 101 = 0 THEN substr('{"type":"event","mid":"mid_' || CAST(user_id AS VARCHAR) || '","itemid":', 1, 25)
+            ELSE '{"type":"event","mid":"mid_' || CAST(user_id AS VARCHAR) || '","itemid":' || CAST(event_id % 50 AS VARCHAR)
+                 || ',"brand":"X' || CAST(event_id % 9 AS VARCHAR) || '","extra":{"a":[1,2.5,"b"],"k":true},"ts":'
+                 || CAST(epoch_us(ts) // 1000 AS VARCHAR) || '}' END AS value
+FROM events"""
     q["log_route"] = _with(APP_LOGS) + (
         "SELECT event_id, CASE WHEN type = 'startup' THEN 'CAT_STARTUP' ELSE 'CAT_EVENT' END AS topic "
         "FROM app_logs")
@@ -198,8 +227,7 @@ cdc_routed AS (
     q["dau_dedup"] = _with(APP_LOGS, DAU) + "SELECT * FROM dau"
     seen_dedup = """
 unseen_first AS (
-  SELECT mid, uid, NULL::VARCHAR AS appid, NULL::VARCHAR AS area, NULL::VARCHAR AS os,
-         NULL::VARCHAR AS ch, type, NULL::VARCHAR AS vs, log_date, log_hour, ts
+  SELECT mid, uid, appid, area, os, ch, type, vs, log_date, log_hour, ts
   FROM (SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn
         FROM unseen) WHERE rn = 1
 )"""
@@ -207,6 +235,10 @@ unseen_first AS (
     q["dau_filter_counts"] = _with(APP_LOGS, SEEN) + (
         "SELECT (SELECT count(*) FROM batch) AS n_in, (SELECT count(*) FROM unseen) AS n_unseen, "
         "(SELECT count(*) FROM (SELECT DISTINCT mid, log_date FROM unseen)) AS n_new")
+    q["route_dau"] = _with(APP_LOGS) + (
+        "SELECT mid, uid, appid, area, os, ch, type, vs, log_date, log_hour, ts FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, event_id) AS rn "
+        "FROM app_logs WHERE type = 'startup') WHERE rn = 1")
     q["dau_total"] = _with(APP_LOGS, DAU) + f"SELECT count(*) AS dau_total FROM dau WHERE log_date = '{d}'"
     q["dau_hourly"] = _with(APP_LOGS, DAU) + (
         f"SELECT log_hour, count(*) AS dau FROM dau WHERE log_date = '{d}' GROUP BY log_hour")
@@ -214,9 +246,7 @@ unseen_first AS (
     q["dau_hourly_compare"] = _with(APP_LOGS, DAU, dau_cmp) + "SELECT * FROM dau_cmp"
     q["dau_hourly_json"] = _with(APP_LOGS, DAU, dau_cmp) + _json_hours("dau_cmp", "CAST(value AS VARCHAR)")
 
-    q["order_enrich"] = _with(ORDERS) + (
-        "SELECT id, user_id, order_status, total_amount, create_time, create_date, create_hour, "
-        "'*******' || substr(consignee_tel, 8, 4) AS consignee_tel FROM orders_l")
+    q["order_enrich"] = _with(ORDERS) + f"SELECT {ORDER_ROW} FROM orders_l"
     q["mask_tel_tail"] = _with(ORDERS) + "SELECT id, '*******' || substr(consignee_tel, 8, 4) AS tel_masked FROM orders_l"
     q["mask_tel_head"] = _with(ORDERS) + "SELECT id, substr(consignee_tel, 1, 4) || '*******' AS tel_masked FROM orders_l"
     q["order_total"] = _with(ORDERS) + (
@@ -266,11 +296,21 @@ FROM orders_l o JOIN details_l d ON o.id = d.order_id"""
     q["sale_interval_join"] = _with(ORDERS, DETAILS, SALE_INTERVAL) + "SELECT * FROM sale_iv"
     q["user_latest"] = _with(USERS) + "SELECT * FROM users_latest"
     q["user_age"] = _with(USERS) + f"SELECT id, CAST({AGE} AS INTEGER) AS age FROM users_latest"
-    q["sale_wide"] = _with(ORDERS, DETAILS, SALE_INTERVAL, USERS) + f"""
-SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
-       u.gender AS user_gender, CAST(coalesce({AGE}, 0) AS INTEGER) AS user_age,
-       u.user_level, s.sku_price, s.sku_name, s.dt
-FROM sale_iv s LEFT JOIN users_latest u ON s.user_id = u.id"""
+    wide = f"""
+sale_wide AS (
+  SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+         u.gender AS user_gender, CAST(coalesce({AGE}, 0) AS INTEGER) AS user_age,
+         u.user_level, s.sku_price, s.sku_name, s.dt
+  FROM sale_iv s LEFT JOIN users_latest u ON s.user_id = u.id
+)"""
+    q["sale_wide"] = _with(ORDERS, DETAILS, SALE_INTERVAL, USERS, wide) + "SELECT * FROM sale_wide"
+    q["sale_wide_keyed"] = _with(ORDERS, DETAILS, SALE_INTERVAL, USERS, wide) + """
+SELECT order_detail_id, order_id, order_status, create_time, user_id, sku_id, user_gender, user_age,
+       user_level, sku_price, sku_name, dt
+FROM (SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY create_time DESC, order_id DESC,
+        order_status DESC, user_id DESC, sku_id DESC, user_gender DESC NULLS LAST, user_age DESC,
+        user_level DESC NULLS LAST, sku_price DESC, sku_name DESC NULLS LAST, dt DESC) AS rn FROM sale_wide)
+WHERE rn = 1"""
 
     alert_base = _with(APP_LOGS, ALERT_WINDOWS)
     min_uids = C.ALERT_MIN_UIDS
@@ -280,6 +320,9 @@ FROM sale_iv s LEFT JOIN users_latest u ON s.user_id = u.id"""
     q["coupon_alert_literal"] = alert_base + (
         f"SELECT mid, {WS_TEXT} AS window_start, n_uids, uids, item_ids FROM win "
         f"WHERE n_uids > {min_uids} AND NOT clicked_type")
+    q["coupon_alert_literal_click"] = alert_base + (
+        f"SELECT mid, {WS_TEXT} AS window_start, n_uids, uids, item_ids FROM win "
+        f"WHERE n_uids > {min_uids} AND NOT clicked_other")
     q["coupon_alert_per_minute"] = alert_base + f"""
 SELECT alert_id, mid, window_start, n_uids FROM (
   SELECT mid || '_' || CAST((ws + 3 * 86400000) // 60000 AS VARCHAR) AS alert_id, mid,

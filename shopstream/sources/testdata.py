@@ -11,16 +11,20 @@ Rules (fixed values, shared with the oracle):
 * app log: ``mid = 'mid_' || user_id``, ``uid = props.k``, ``type = 'startup'`` for
   ``view`` events else ``'event'``; ``evid``: ``purchase`` -> ``coupon``,
   ``click`` -> ``clickItem``, otherwise the event type; ``itemid = floor(value) % 50``;
-  ``ts`` = epoch millis of the event time (session zone UTC).
+  ``ts`` = epoch millis of the event time (session zone UTC); ``os, appid, area``
+  follow the user id, ``ch, vs, pgid, npgid`` the event id.
 * order: ``create_time = o_orderdate + (o_orderkey * 7919) % 86400`` seconds;
-  ``consignee_tel = '135' || lpad(o_custkey, 8, '0')``; arrival time = create time.
-* detail: id ``l_orderkey-l_linenumber-l_partkey-l_suppkey``; arrival time =
-  order create time + ``(l_partkey % 180) - 90`` seconds.
+  ``consignee_tel = '135' || lpad(o_custkey, 8, '0')``; the feed delivers order ``k`` at
+  ``ARRIVAL_BASE_MS + k * ARRIVAL_STEP_MS``; the other text columns follow the keys.
+* detail: id ``l_orderkey-l_linenumber-l_partkey-l_suppkey``; arrival time = its
+  order's arrival + ``(l_partkey % 180) - 90`` seconds (computed from the line item alone).
 * user: customers with a negative account balance are not (yet) in the user feed;
   each other customer is inserted once, and customers with a balance above 5000 get
   a later update that sets ``user_level`` to ``VIP``. Birthday =
   ``1950-01-01 + (c_custkey % 18000)`` days, gender ``M`` for even keys else ``F``.
-* CDC: orders as ``order_info`` (status ``F`` INSERT, ``O`` UPDATE, ``P`` DELETE),
+* CDC: orders as ``order_info`` (status ``F`` INSERT, ``O`` UPDATE, ``P`` DELETE; two
+  consecutive order keys of one status share an entry of two rows; orders divisible by
+  10 are followed by a ``TRANSACTIONEND`` entry, which carries no row data),
   the user feed as ``user_info`` (negative balance DELETE, else INSERT, plus the VIP
   UPDATE), line items as ``order_detail`` INSERT, nations as ``base.nation`` (outside
   the subscribed schema).
@@ -47,35 +51,17 @@ BIRTHDAY_SPAN_DAYS = 18000
 VIP_BALANCE = 5000.0
 VIP_LEVEL = "VIP"
 ITEM_BUCKETS = 50
+OS_EVEN, OS_ODD = "android", "ios"
+# feed arrival clock: order k arrives k * ARRIVAL_STEP_MS after ARRIVAL_BASE_MS
+ARRIVAL_BASE_MS = 1_704_067_200_000
+ARRIVAL_STEP_MS = 700
+CLICK_TYPE_EVERY = 211
+BROKEN_EVERY = 101
 DB_NAME = "cat2019"
 
 
-# Large fact tables that are the streamed (probe) side of every query they feed, with
-# the key to spread them by (None: round-robin); line items are spread by order key so
-# per-(order, line) aggregates reuse that partitioning. The orders table is mostly a
-# join build side, so it is spread only before JSON work.
-FACT_TABLES = {"events": None, "lineitem": "l_orderkey"}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df, FACT_TABLES[name]) if spread_scan and name in FACT_TABLES else df
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Parquet splits at row-group granularity, so a file written as one row group is
-    read by one task however many cores there are. When a scan yields fewer splits
-    than the default parallelism, redistribute it round-robin so the per-row work
-    after the scan (JSON, projections, partial aggregates) uses every core. Large
-    inputs already have more splits than cores and are returned unchanged."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave as read
-        return df
-    if want <= 1 or have >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _day_bounds(days) -> tuple[str, str]:
@@ -97,21 +83,24 @@ def _in_days(col: str, days, ntz: bool = True) -> Column:
 
 def app_logs(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """One app log record per event, columns of the log schema plus ``event_id``."""
-    # a report-day filter reaches the scan and leaves little to spread
-    ev = table(spark, sf_dir, "events", spread_scan=not days)
+    ev = table(spark, sf_dir, "events")
     if days:
         ev = ev.filter(_in_days("ts", days))
-    nul = F.lit(None).cast("string")
+    user, event = F.col("user_id"), F.col("event_id")
     return ev.select(
         F.col("event_id"),
         F.when(F.col("event_type") == "view", F.lit("startup")).otherwise(F.lit("event")).alias("type"),
         F.concat(F.lit("mid_"), F.col("user_id").cast("string")).alias("mid"),
         F.get_json_object("props", "$.k").alias("uid"),
-        nul.alias("os"), nul.alias("appid"), nul.alias("area"), nul.alias("ch"), nul.alias("vs"),
+        F.when(user % 2 == 0, F.lit(OS_EVEN)).otherwise(F.lit(OS_ODD)).alias("os"),
+        F.concat(F.lit("app"), (user % 3).cast("string")).alias("appid"),
+        F.concat(F.lit("area_"), (user % 31).cast("string")).alias("area"),
+        F.concat(F.lit("ch"), (event % 5).cast("string")).alias("ch"),
+        F.concat(F.lit("1.1."), (event % 4).cast("string")).alias("vs"),
         F.when(F.col("event_type") == "purchase", F.lit("coupon"))
          .when(F.col("event_type") == "click", F.lit("clickItem"))
          .otherwise(F.col("event_type")).alias("evid"),
-        nul.alias("pgid"), nul.alias("npgid"),
+        (event % 50).cast("string").alias("pgid"), ((event + 7) % 50).cast("string").alias("npgid"),
         (F.floor("value") % ITEM_BUCKETS).cast("string").alias("itemid"),
         timefmt.ts_to_ms("ts").alias("ts"),
     )
@@ -133,12 +122,28 @@ def event_log(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
                        timefmt.log_hour("ts").alias("log_hour"))
 
 
+def typed_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log where every ``CLICK_TYPE_EVERY``-th record, coupon takes among them, has a click as its ``type``."""
+    return event_log(spark, sf_dir).withColumn(
+        "type", F.when(F.col("event_id") % CLICK_TYPE_EVERY == 0, F.lit("clickItem")).otherwise(F.col("type")))
+
+
+def foreign_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with fields the log schema doesn't know (text, number, nested) and a client ``ts``;
+    every ``BROKEN_EVERY``-th line is cut off."""
+    line = F.concat(F.lit('{"type":"event","mid":"mid_'), F.col("user_id").cast("string"), F.lit('","itemid":'), (F.col("event_id") % 50).cast("string"),
+                    F.lit(',"brand":"X'), (F.col("event_id") % 9).cast("string"), F.lit('","ts":1,"extra":{"a":[1,2.5,"b"],"k":true}}'))
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % BROKEN_EVERY == 0, F.substring(line, 1, 25)).otherwise(line).alias("value"),
+        timefmt.ts_to_ms("ts").alias("arrival_ms"))
+
+
 def log_lines(spark: SparkSession, sf_dir: str, days=None, with_ts: bool = True) -> DataFrame:
     """Raw JSON log lines as the intake receives them (``value``), plus the arrival time
     ``arrival_ms`` that the intake stamps. Numeric fields are written as JSON numbers."""
     logs = app_logs(spark, sf_dir, days)
-    fields = [F.col(c) for c in ("type", "mid", "uid", "evid")]
-    fields.append(F.col("itemid").cast("int").alias("itemid"))
+    fields = [F.col(c) for c in ("type", "mid", "uid", "os", "appid", "area", "ch", "vs", "evid")]
+    fields += [F.col(c).cast("int").alias(c) for c in ("pgid", "npgid", "itemid")]
     if with_ts:
         fields.append(F.col("ts"))
     return logs.select("event_id", parse.record_json(*fields).alias("value"),
@@ -149,18 +154,40 @@ def log_lines(spark: SparkSession, sf_dir: str, days=None, with_ts: bool = True)
 # orders, details, users
 
 
-def _order_ts_ms() -> Column:
+def _create_ms() -> Column:
     offset_s = (F.col("o_orderkey") * ORDER_SECOND_MULTIPLIER) % SECONDS_PER_DAY
     return timefmt.ts_to_ms("o_orderdate") + offset_s * 1000
 
 
+def _arrival_ms(order_key: str) -> Column:
+    return F.lit(ARRIVAL_BASE_MS) + F.col(order_key) * ARRIVAL_STEP_MS
+
+
+def _order_text(order_key: Column) -> dict[str, Column]:
+    """Text columns of an order that the shared tables don't have, from its key."""
+    key = order_key.cast("string")
+    return {
+        "province_id": (order_key % 34).cast("string"),
+        "consignee": F.concat(F.lit("consignee "), key),
+        "order_comment": F.concat(F.lit("comment "), (order_key % 97).cast("string")),
+        "payment_way": (order_key % 3 + 1).cast("string"),
+        "img_url": F.concat(F.lit("http://img/"), key, F.lit(".png")),
+        "expire_time": F.concat(F.lit("exp-"), key),
+        "delivery_address": F.concat(F.lit("street "), (order_key % 500).cast("string")),
+        "operate_time": F.concat(F.lit("op-"), key),
+        "tracking_no": F.concat(F.lit("T"), F.lpad(key, 10, "0")),
+        "parent_order_id": F.when(order_key % 7 == 0, (order_key - 1).cast("string")),
+        "out_trade_no": F.concat(F.lit("N"), key),
+        "trade_body": F.concat(F.lit("body of "), key),
+    }
+
+
 def orders(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
     """Order records (raw phone), ``create_date``/``create_hour`` and arrival ``ts``."""
     o = table(spark, sf_dir, "orders")
     if days:
         o = o.filter(_in_days("o_orderdate", days))
-    ts = _order_ts_ms()
-    create_time = F.date_format(timefmt.ms_to_ts(ts), "yyyy-MM-dd HH:mm:ss")
+    create_time = F.date_format(timefmt.ms_to_ts(_create_ms()), "yyyy-MM-dd HH:mm:ss")
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_custkey").cast("string").alias("user_id"),
@@ -168,27 +195,25 @@ def orders(spark: SparkSession, sf_dir: str, days=None) -> DataFrame:
         F.col("o_totalprice").alias("total_amount"),
         create_time.alias("create_time"),
         F.concat(F.lit(TEL_PREFIX), F.lpad(F.col("o_custkey").cast("string"), 8, "0")).alias("consignee_tel"),
-        ts.alias("ts"),
+        *[c.alias(name) for name, c in _order_text(F.col("o_orderkey")).items()],
+        _arrival_ms("o_orderkey").alias("ts"),
     ).withColumn("create_date", timefmt.create_date("create_time")) \
      .withColumn("create_hour", timefmt.create_hour("create_time"))
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order JSON lines (every value quoted, as the CDC feed writes them)."""
-    o = spread(orders(spark, sf_dir))
-    fields = [F.col(c).cast("string").alias(c) for c in
-              ("id", "user_id", "order_status", "total_amount", "create_time", "consignee_tel")]
+    o = orders(spark, sf_dir)
+    fields = [F.col(c).cast("string").alias(c) for c in schemas.ORDER_FIELDS]
     return o.select(parse.record_json(*fields).alias("value"), F.col("ts").alias("arrival_ms"))
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order-detail records with their arrival ``ts`` (needs the order's create time)."""
+    """Order-detail records with their arrival ``ts`` (line items of existing parts get a name)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-                .join(p, li.l_partkey == p.p_partkey, "left"))
+    joined = li.join(p, li.l_partkey == p.p_partkey, "left")
     shift_s = (F.col("l_partkey") % DETAIL_ARRIVAL_SPREAD) - DETAIL_ARRIVAL_SHIFT
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
@@ -197,8 +222,8 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("sku_id"),
         F.col("l_extendedprice").alias("order_price"),
         F.col("l_quantity").cast("string").alias("sku_num"),
-        (_order_ts_ms() + shift_s * 1000).alias("ts"),
-        # raw line-item fields kept for the keyed-upsert demo
+        (_arrival_ms("l_orderkey") + shift_s * 1000).alias("ts"),
+        # raw line-item fields kept for the keyed upsert
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     )
 
@@ -251,24 +276,49 @@ def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _after(*cols: str) -> Column:
-    """After-image as an ordered array of (name, value) strings, one row per entry."""
+    """After-image of a single-row entry: an ordered array of (name, value) strings."""
     image = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
                       for c in cols])
     return F.array(F.struct(image.alias("after")))
 
 
-def cdc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change-set entries (``db, table, entry_type, event_type, rows, ts``): one entry
-    per changed row, as a binlog of single-row transactions would deliver them."""
-    o = spread(orders(spark, sf_dir)).select(
-        F.lit(DB_NAME).alias("db"), F.lit("order_info").alias("table"),
-        F.lit("ROWDATA").alias("entry_type"),
+def order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order change feed: version 1 is every order as placed; open orders (``O``) are
+    re-sent as version 2 with the amount raised by 10% (unrounded, so any engine
+    computes the same double)."""
+    v1 = orders(spark, sf_dir).withColumn("version", F.lit(1))
+    v2 = (orders(spark, sf_dir).filter(F.col("order_status") == "O")
+          .withColumn("total_amount", F.col("total_amount") * 1.1).withColumn("version", F.lit(2)))
+    return v1.unionByName(v2)
+
+
+CDC_ORDER_FIELDS = ("id", "user_id", "order_status", "total_amount", "create_time", "consignee_tel")
+
+
+def _order_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order changes: rows of one status whose keys are 2k and 2k+1 share an entry."""
+    o = orders(spark, sf_dir)
+    image = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
+                      for c in CDC_ORDER_FIELDS])
+    key = F.col("id").cast("long")
+    entry = o.groupBy(F.floor(key / 2).alias("pair"), "order_status").agg(
+        F.array_sort(F.collect_list(F.struct(key.alias("k"), image.alias("after")))).alias("r"), F.min("ts").alias("ts"))
+    return entry.select(
+        F.lit(DB_NAME).alias("db"), F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
         F.when(F.col("order_status") == "F", F.lit("INSERT"))
          .when(F.col("order_status") == "O", F.lit("UPDATE"))
          .otherwise(F.lit("DELETE")).alias("event_type"),
-        _after("id", "user_id", "order_status", "total_amount", "create_time",
-               "consignee_tel").alias("rows"),
-        F.col("ts"))
+        F.transform("r", lambda x: F.struct(x["after"].alias("after"))).alias("rows"), "ts")
+
+
+def cdc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change-set entries (``db, table, entry_type, event_type, rows, ts``) as a binlog
+    delivers them: one table and one operation each, with one or more rows, and
+    transaction ends between them that carry an image of no interest."""
+    o = _order_entries(spark, sf_dir)
+    ends = orders(spark, sf_dir).filter(F.col("id").cast("long") % 10 == 0).select(
+        F.lit(DB_NAME).alias("db"), F.lit("order_info").alias("table"), F.lit("TRANSACTIONEND").alias("entry_type"),
+        F.lit("INSERT").alias("event_type"), _after("id").alias("rows"), "ts")
     is_delete = F.col("event_type") == "DELETE"
     u = customer_changes(spark, sf_dir).select(
         F.lit(DB_NAME).alias("db"), F.lit("user_info").alias("table"),
@@ -285,4 +335,4 @@ def cdc_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("base").alias("db"), F.lit("nation").alias("table"),
         F.lit("ROWDATA").alias("entry_type"), F.lit("INSERT").alias("event_type"),
         _after("n_nationkey", "n_name").alias("rows"), F.lit(0).cast("long").alias("ts"))
-    return o.unionByName(u).unionByName(d).unionByName(n)
+    return o.unionByName(ends).unionByName(u).unionByName(d).unionByName(n)
