@@ -41,7 +41,7 @@ def main():
     args = sys.argv[1:]
     sf = args[0] if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     names = [a for a in args if not os.path.isdir(a)] or list(QUERIES)
-    spark = get_spark("local[8]", extra_conf={"spark.sql.shuffle.partitions": "8"})
+    spark = get_spark("local[8]", extra_conf={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"})
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

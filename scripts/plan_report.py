@@ -51,7 +51,7 @@ def summarise(plan: str) -> dict:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_spark("local[8]", extra_conf={"spark.sql.shuffle.partitions": "16"})
+    spark = get_spark("local[8]", extra_conf={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "16"})
     print(f"# Physical plans at {sf} (final adaptive plans, local[8])\n")
     print("Generated by `scripts/plan_report.py`. Shuffles count exchange stages; joins list the "
           "strategy and type; scans list the table, the number of columns read and the filters "

@@ -44,11 +44,6 @@ def create_hour(create_time) -> Column:
     return F.split(F.split(_c(create_time), " ").getItem(1), ":").getItem(0)
 
 
-def previous_day(day) -> Column:
-    """``yyyy-MM-dd`` -> the day before, same format."""
-    return F.date_format(F.date_sub(F.to_date(_c(day)), 1), "yyyy-MM-dd")
-
-
 def age_in_years(birthday, as_of) -> Column:
     """Whole years between a ``yyyy-MM-dd`` birthday and ``as_of`` (a timestamp column),
     counted as elapsed milliseconds divided by a 365-day year (leap days are ignored,

@@ -32,20 +32,20 @@ DEFAULT_TOLERANCE_S = 60
 DEFAULT_BATCH_S = 5
 
 
-def _order_side(orders: DataFrame) -> DataFrame:
+def order_side(orders: DataFrame, *keep: str) -> DataFrame:
     return orders.select(F.col("id").alias("o_id"), F.col("user_id"), F.col("order_status"),
                          F.col("create_time"), F.col("create_date").alias("dt"),
-                         F.col("ts").alias("o_ts"))
+                         F.col("ts").alias("o_ts"), *keep)
 
 
-def _detail_side(details: DataFrame) -> DataFrame:
+def detail_side(details: DataFrame, *keep: str) -> DataFrame:
     return details.select(F.col("id").alias("order_detail_id"), F.col("order_id"),
                           F.col("sku_id"), F.col("sku_name"),
                           F.col("order_price").cast("double").alias("sku_price"),
-                          F.col("ts").alias("d_ts"))
+                          F.col("ts").alias("d_ts"), *keep)
 
 
-def _sale_row(j: DataFrame) -> DataFrame:
+def sale_row(j: DataFrame) -> DataFrame:
     return j.select("order_detail_id", F.col("o_id").alias("order_id"), "order_status",
                     "create_time", "user_id", "sku_id", "sku_price", "sku_name", "dt")
 
@@ -59,8 +59,8 @@ def batch_full_join(orders: DataFrame, details: DataFrame, batch_s: int = DEFAUL
     partition of the outer side of a left join, not of a full outer join, and an
     order with a third of all details would otherwise land in one task. The anti
     side only sees de-duplicated keys (combined map-side). Order ids are unique."""
-    o = _order_side(orders).withColumn("o_batch", timefmt.floor_to("o_ts", batch_s * 1000))
-    d = _detail_side(details).withColumn("d_batch", timefmt.floor_to("d_ts", batch_s * 1000))
+    o = order_side(orders).withColumn("o_batch", timefmt.floor_to("o_ts", batch_s * 1000))
+    d = detail_side(details).withColumn("d_batch", timefmt.floor_to("d_ts", batch_s * 1000))
     with_order = d.join(o, (d.order_id == o.o_id) & (d.d_batch == o.o_batch), "left")
     matched = with_order.select(
         F.col("order_id"), F.col("order_detail_id"),
@@ -77,8 +77,8 @@ def batch_full_join(orders: DataFrame, details: DataFrame, batch_s: int = DEFAUL
 
 def sale_join(orders: DataFrame, details: DataFrame) -> DataFrame:
     """Every (order, detail) pair with the same order id."""
-    o, d = _order_side(orders), _detail_side(details)
-    return _sale_row(o.join(d, o.o_id == d.order_id, "inner"))
+    o, d = order_side(orders), detail_side(details)
+    return sale_row(o.join(d, o.o_id == d.order_id, "inner"))
 
 
 def interval_condition(o_ts: Column, d_ts: Column, tolerance_s: int) -> Column:
@@ -90,9 +90,9 @@ def interval_join(orders: DataFrame, details: DataFrame,
                   tolerance_s: int = DEFAULT_TOLERANCE_S) -> DataFrame:
     """(order, detail) pairs with the same order id whose arrival times differ by at
     most ``tolerance_s`` seconds (epoch-millis ``ts`` on both inputs)."""
-    o, d = _order_side(orders), _detail_side(details)
+    o, d = order_side(orders), detail_side(details)
     cond = (o.o_id == d.order_id) & interval_condition(o.o_ts, d.d_ts, tolerance_s)
-    return _sale_row(o.join(d, cond, "inner"))
+    return sale_row(o.join(d, cond, "inner"))
 
 
 def one_per_detail(sales_df: DataFrame) -> DataFrame:

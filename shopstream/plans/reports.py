@@ -26,10 +26,9 @@ def realtime_total(spark: SparkSession, dau_path: str, order_path: str, day: str
 def realtime_hour(spark: SparkSession, dau_path: str, order_path: str, day: str, kind: str,
                   as_json: bool = False) -> DataFrame | None:
     days = [kpi.yesterday_of(day), day]
-    if kind == "dau":
-        series = kpi.dau_hourly_compare(tables.dau_table(spark, dau_path, days), day)
-        return kpi.hourly_compare_json(series, "long") if as_json else series
-    if kind == "order":
-        series = kpi.order_hourly_compare(tables.order_table(spark, order_path, days), day)
-        return kpi.hourly_compare_json(series, "decimal(20,2)") if as_json else series
-    return None
+    readers = {"dau": lambda: tables.dau_table(spark, dau_path, days), "order": lambda: tables.order_table(spark, order_path, days)}
+    if kind not in readers:
+        return None
+    source = readers[kind]()
+    series = kpi.metric_hourly_compare(kind, source, source, day)
+    return kpi.hourly_compare_json(series, "long" if kind == "dau" else "decimal(20,2)") if as_json else series

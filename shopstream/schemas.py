@@ -18,6 +18,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# Field and column lists of the raw feeds and tables.
 STARTUP_FIELDS = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs"]
 EVENT_FIELDS = ["mid", "uid", "appid", "area", "os", "ch", "type", "evid", "pgid", "npgid", "itemid"]
 
@@ -47,9 +48,6 @@ ORDER_TABLE_COLUMNS = ["id", "province_id", "consignee", "order_comment", "consi
                        "tracking_no", "parent_order_id", "out_trade_no", "trade_body",
                        "create_date", "create_hour"]
 
-SALE_DETAIL_COLUMNS = ["order_detail_id", "order_id", "order_status", "create_time", "user_id",
-                       "sku_id", "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt"]
-
 # A CDC change-set entry: one binlog entry for one table and one operation; each row is
 # the after-image as an ordered list of (name, value) string pairs.
 CDC_COLUMN = T.StructType([T.StructField("name", S), T.StructField("value", S)])

@@ -19,7 +19,7 @@ def dau_table(spark: SparkSession, path: str, days=None) -> DataFrame:
 def order_table(spark: SparkSession, path: str, days=None) -> DataFrame:
     """Latest order rows; with ``days`` only those ``create_date`` folders are read."""
     where = F.col("create_date").isin(*days) if days else None
-    return upsert.read_latest(spark, path, ["id"], ["timestamp"], where=where,
+    return upsert.read_latest(spark, path, ["id"], ["timestamp", "offset"], where=where,
                               partition_by=["create_date"])
 
 

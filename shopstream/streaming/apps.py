@@ -6,12 +6,13 @@
     python -m shopstream.streaming.apps users  --servers HOST:9092 --table PATH
     python -m shopstream.streaming.apps sales  --servers HOST:9092 --table PATH --users PATH
     python -m shopstream.streaming.apps intake --servers HOST:9092 --table ARCHIVE --source-topic logs
-    python -m shopstream.streaming.apps cdc    --servers HOST:9092 --source-path PATH
+    python -m shopstream.streaming.apps cdc    --servers HOST:9092 --source-topic changes
     python -m shopstream.streaming.apps compact --table PATH --snapshot PATH --key id [--order ts]
                                                 [--partition-by create_date] [--keep first]
 
 ``--source-path`` (with ``--format json|text|parquet``) reads topic files instead of
-Kafka. Checkpoints go under ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
+Kafka; a topic root (what ``cdc`` and ``intake`` write with ``--topics-path``) serves all
+jobs, each takes its own topics. ``--rejects PATH`` keeps the lines a job cannot use. Checkpoints go under ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
 The master and cluster settings come from ``spark-submit``.
 """
 
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import argparse
 
-from shopstream import schemas
 from shopstream.operators import routing, upsert
 from shopstream.session import get_spark
 from shopstream.sources import streams
@@ -31,6 +31,7 @@ DEFAULT_TOPICS = {
     "alerts": routing.TOPIC_EVENT,
     "users": routing.TOPIC_USER,
     "intake": "logs",
+    "cdc": "changes",
 }
 
 
@@ -42,7 +43,9 @@ def main(argv=None) -> None:
     p.add_argument("--source-path")
     p.add_argument("--format", default="json")
     p.add_argument("--table", help="output table / index / archive folder")
-    p.add_argument("--users", help="user table folder (sales job)")
+    p.add_argument("--users", action="append", help="user table folder (sales job; repeatable: snapshot first)")
+    p.add_argument("--rejects", help="folder for the lines the job cannot use")
+    p.add_argument("--timezone", help="time zone of dates and hours (default: the launcher's, else UTC)")
     p.add_argument("--topics-path", help="topic folder when not publishing to Kafka")
     p.add_argument("--checkpoint")
     p.add_argument("--trigger", default=jobs.DEFAULT_TRIGGER)
@@ -55,7 +58,8 @@ def main(argv=None) -> None:
     p.add_argument("--partition-by", action="append", default=[], help="compact: date partition column")
     a = p.parse_args(argv)
 
-    spark = get_spark(app_name=f"shopstream-{a.job}")
+    zone = {"spark.sql.session.timeZone": a.timezone} if a.timezone else None
+    spark = get_spark(app_name=f"shopstream-{a.job}", extra_conf=zone)
     if a.job == "compact":
         # batch maintenance: fold all merge-on-read batches into one snapshot
         upsert.compact(spark, a.table, a.snapshot, a.key, a.order, a.keep, a.partition_by,
@@ -67,7 +71,8 @@ def main(argv=None) -> None:
         return streams.read_topic(spark, topic, fmt=fmt, bootstrap_servers=a.servers,
                                   path=a.source_path, max_per_trigger=a.max_per_trigger)
 
-    run = dict(checkpoint=a.checkpoint, trigger=a.trigger, available_now=a.available_now)
+    run = dict(checkpoint=a.checkpoint, trigger=a.trigger, available_now=a.available_now,
+               source=a.source_path or f"{a.servers} {a.source_topic}")
     topic = a.source_topic or DEFAULT_TOPICS.get(a.job)
     topics_fmt = "kafka" if a.topics_path is None else "json"
     if a.job == "dau":
@@ -82,12 +87,16 @@ def main(argv=None) -> None:
         q = jobs.start_sales(source(routing.TOPIC_ORDER), source(routing.TOPIC_ORDER_DETAIL),
                              a.users, a.table, **run)
     elif a.job == "intake":
-        q = jobs.start_intake(source(topic), a.table, topics_fmt=topics_fmt,
+        q = jobs.start_intake(source(topic), a.table, topics_fmt=topics_fmt, rejects_path=a.rejects,
                               topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
     else:
-        entries = spark.readStream.schema(schemas.CDC_ENTRY_SCHEMA).format(a.format).load(a.source_path)
+        entries = streams.read_changes(spark, topic, fmt=fmt, bootstrap_servers=a.servers, path=a.source_path,
+                                       max_per_trigger=a.max_per_trigger)
         q = jobs.start_cdc(entries, topics_fmt=topics_fmt, topics_path=a.topics_path,
                            bootstrap_servers=a.servers, **run)
+    if a.rejects and a.job in jobs.PARSERS:
+        own = {**run, "checkpoint": f"{a.checkpoint}-rejects" if a.checkpoint else None}
+        jobs.start_rejects(source(topic), a.job, a.rejects, **own).awaitTermination()
     q.awaitTermination()
 
 

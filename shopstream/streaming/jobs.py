@@ -28,42 +28,78 @@ from shopstream.streaming import sinks
 DEFAULT_TRIGGER = "5 seconds"
 
 
-def _start(df: DataFrame, name: str, batch_fn, *, checkpoint: str | None = None,
-           trigger: str = DEFAULT_TRIGGER, available_now: bool = False,
+def _start(df: DataFrame, name: str, batch_fn, *, target: str | None, checkpoint: str | None = None,
+           source: str | None = None, trigger: str = DEFAULT_TRIGGER, available_now: bool = False,
            output_mode: str = "append") -> StreamingQuery:
+    """Start a job. Without ``checkpoint`` it is kept under the session's checkpoint folder, for this job on
+    this ``target`` and ``source``."""
     spark = df.sparkSession
     writer = (df.writeStream.queryName(name).outputMode(output_mode)
-                .option("checkpointLocation", checkpoint or checkpoint_path(spark, name))
+                .option("checkpointLocation", checkpoint or checkpoint_path(spark, name, target, source))
                 .foreachBatch(batch_fn))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
     return writer.start()
 
 
+def counted(df: DataFrame, name: str, valid) -> DataFrame:
+    """The valid rows; how many came in and how many were rejected is reported with each batch."""
+    return df.observe(name, F.count(F.lit(1)).alias("n_in"), F.count_if(~valid).alias("n_rejected")).filter(valid)
+
+
+def rejected_lines(lines: DataFrame, job: str) -> DataFrame:
+    """Lines of a job's topic that its parser cannot use, with their text."""
+    parser, key = PARSERS[job]
+    parsed = parser(lines.select("value", F.col("value").alias("raw"), "timestamp"))
+    return parsed.filter(~parse.valid_record(key)).select(F.col("raw").alias("value"), "timestamp")
+
+
+def start_rejects(lines: DataFrame, job: str, path: str, **kw) -> StreamingQuery:
+    """Keep what ``job`` drops: the text of each rejected line, in a folder per batch."""
+    def write(df, batch_id):
+        df.write.mode("overwrite").json(sinks.batch_folder(df, path, batch_id))
+    return _start(rejected_lines(lines, job), f"{job}-rejects", write, target=path, **kw)
+
+
 # ---------------------------------------------------------------------------------
 # intake: stamp, archive, route
 
 
 def intake_stream(lines: DataFrame, arrival_col: str | None = None) -> DataFrame:
-    """Raw log lines -> stamped lines with ``topic`` and archive partition ``log_date``.
+    """Raw log lines -> stamped lines with ``topic`` and archive partition ``log_date``; lines that are no
+    JSON object have no topic and keep their text.
     The server time is the processing time unless ``arrival_col`` (epoch ms) is given."""
     arrival = F.col(arrival_col) if arrival_col else F.unix_millis(F.current_timestamp())
-    return routing.route_logs(routing.stamp_logs(lines, arrival))
+    stamped = routing.stamp_lines(lines, arrival)
+    return routing.route_logs(stamped).withColumn("topic", F.when(~F.col("rejected"), F.col("topic")))
 
 
 def start_intake(lines: DataFrame, archive_path: str, *, topics_fmt: str = "kafka",
                  topics_path: str | None = None, bootstrap_servers: str | None = None,
-                 arrival_col: str | None = None, **kw) -> StreamingQuery:
-    """Archive every stamped line (JSON, partitioned by ``log_date``) and publish it
-    to its topic, from one computation of each micro-batch."""
+                 arrival_col: str | None = None, rejects_path: str | None = None, **kw) -> StreamingQuery:
+    """Archive every stamped line (JSON, partitioned by ``log_date``), publish it to its topic, and keep the
+    rejected lines as they came in ``rejects_path`` (default: next to the archive), from one computation of
+    each micro-batch."""
+    rejects = rejects_path or f"{archive_path.rstrip('/')}_rejects"
+
+    def write_text(df, path, batch_id):
+        df.select("log_date", "value").write.mode("overwrite").partitionBy("log_date").text(sinks.batch_folder(df, path, batch_id))
+
     def archive(df, batch_id):
-        (df.select("log_date", "value").write.mode("overwrite").partitionBy("log_date")
-           .text(f"{archive_path.rstrip('/')}/batch_id={int(batch_id)}"))
+        write_text(df.filter(F.col("topic").isNotNull()), archive_path, batch_id)
 
     def publish(df, batch_id):
-        sinks.write_topics(df, batch_id, fmt=topics_fmt, path=topics_path,
-                           bootstrap_servers=bootstrap_servers)
+        sinks.write_topics(df.filter(F.col("topic").isNotNull()).drop("timestamp").withColumn("key", _json_key("mid")), batch_id, fmt=topics_fmt,
+                           path=topics_path, bootstrap_servers=bootstrap_servers)
+
+    def reject(df, batch_id):
+        write_text(df.filter(F.col("topic").isNull()), rejects, batch_id)
 
-    return _start(intake_stream(lines, arrival_col), "intake", sinks.fan_out(archive, publish), **kw)
+    out = intake_stream(lines, arrival_col).observe("intake", F.count(F.lit(1)).alias("n_in"), F.count_if("rejected").alias("n_rejected"))
+    return _start(out, "intake", sinks.fan_out(archive, publish, reject), target=archive_path, **kw)
+
+
+def _json_key(field: str):
+    return F.get_json_object("value", f"$.{field}")
 
 
 # ---------------------------------------------------------------------------------
@@ -76,7 +112,7 @@ def dau_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFrame:
     emitted when first seen and again only if an earlier record arrives late. The
     day window carries the event time, so a device's state is dropped ``lateness``
     after its day has closed."""
-    logs = parse.parse_startup(lines.select("value")).filter(parse.valid_record("mid"))
+    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", _valid("dau"))
     timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
     payload = [c for c in schemas.DAU_COLUMNS if c not in ("mid", "log_date", "ts")]
     first = (timed.groupBy("mid", "log_date", F.window("event_time", "1 day").alias("day"))
@@ -91,7 +127,7 @@ def start_dau(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
     out = dau_stream(observed).observe("dau_new", F.count(F.lit(1)).alias("n_new"))
     sink = sinks.upsert_sink(table_path, ["mid", "log_date"], ["ts"], keep="first", partition_by=["log_date"])
     kw.setdefault("output_mode", "update")
-    return _start(out, "dau", sink, **kw)
+    return _start(out, "dau", sink, target=table_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -99,16 +135,14 @@ def start_dau(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
 
 
 def order_stream(lines: DataFrame) -> DataFrame:
-    """Order lines -> 20-column order rows (tail-masked phone, date and hour split)."""
-    orders = parse.parse_order(lines.select("value", "timestamp"), mask=masking.mask_tel_tail)
-    cols = [F.col(c) if c in orders.columns else F.lit(None).cast("string").alias(c)
-            for c in schemas.ORDER_TABLE_COLUMNS]
-    return orders.filter(parse.valid_record("id")).select(*cols, "timestamp")
+    """Order lines -> 20-column order rows (tail-masked phone, date and hour split), with ``timestamp`` and ``offset``."""
+    parsed = counted(parse.parse_order(lines.select("value", "timestamp", "offset"), mask=masking.mask_tel_tail), "orders_rows", _valid("orders"))
+    return parsed.select(*schemas.ORDER_TABLE_COLUMNS, "timestamp", "offset")
 
 
 def start_orders(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
-    sink = sinks.upsert_sink(table_path, ["id"], ["timestamp"], partition_by=["create_date"])
-    return _start(order_stream(lines), "orders", sink, **kw)
+    sink = sinks.upsert_sink(table_path, ["id"], ["timestamp", "offset"], partition_by=["create_date"])
+    return _start(order_stream(lines), "orders", sink, target=table_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -119,10 +153,9 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
                  slide: str = alerts.DEFAULT_SLIDE, lateness: str = "1 minute",
                  min_uids: int = alerts.DEFAULT_MIN_UIDS, click_col: str = "evid") -> DataFrame:
     """Event lines -> alerts, emitted once per window when the watermark passes its end."""
-    ev = parse.parse_event(lines.select("value")).filter(parse.valid_record("mid"))
+    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", _valid("alerts")))
     timed = ev.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
-    is_coupon = F.col("evid") == alerts.COUPON_EVID
-    is_click = F.coalesce(F.col(click_col) == alerts.CLICK_EVID, F.lit(False))
+    is_coupon, is_click = alerts.rule_columns(click_col)
     # 1) tumbling slide-sized panes per (mid, evid): raw events are aggregated once;
     # 2) sliding windows over the pane rows (their event time is window_time(pane)),
     #    so only pane rows - not raw events - are copied into the window/slide windows.
@@ -131,14 +164,9 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
                           F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("c_items"),
                           F.bool_or(is_click).alias("clicked"),
                           F.count(F.lit(1)).alias("n")))
-    merged = (per_pane.groupBy("mid", F.window(F.window_time("pane"), window, slide).alias("window"))
-                      .agg(F.array_distinct(F.flatten(F.collect_list("c_uids"))).alias("uids"),
-                           F.array_distinct(F.flatten(F.collect_list("c_items"))).alias("item_ids"),
-                           F.bool_or("clicked").alias("clicked"),
-                           F.collect_list(F.struct("evid", "n")).alias("_pairs")))
-    windows = merged.select("mid", F.col("window.start").alias("window_start"),
-                            F.col("window.end").alias("window_end"), "uids", "item_ids", "clicked",
-                            alerts.event_mix(F.col("_pairs")).alias("event_counts"))
+    windows = (per_pane.groupBy("mid", F.window(F.window_time("pane"), window, slide).alias("window"))
+                       .agg(*alerts.merged_sets())
+                       .withColumn("window_start", F.col("window.start")).withColumn("window_end", F.col("window.end")))
     return alerts.finish_alerts(windows, min_uids).withColumn(
         "alert_id", alerts.alert_id(F.col("mid"), F.col("ts")))
 
@@ -147,7 +175,8 @@ def start_alerts(lines: DataFrame, index_path: str, **kw) -> StreamingQuery:
     """Write alerts keyed ``mid_<minute>``; a later window in the same minute overwrites."""
     sink = sinks.upsert_sink(index_path, ["alert_id"], ["ts", "window_start"])
     opts = {k: kw.pop(k) for k in ("window", "slide", "lateness", "min_uids", "click_col") if k in kw}
-    return _start(alert_stream(lines, **opts), "alerts", sink, **kw)
+    out = alert_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
+    return _start(out, "alerts", sink, target=index_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -155,13 +184,13 @@ def start_alerts(lines: DataFrame, index_path: str, **kw) -> StreamingQuery:
 
 
 def user_stream(lines: DataFrame) -> DataFrame:
-    users = parse.parse_user(lines.select("value", "timestamp"))
-    return users.filter(parse.valid_record("id"))
+    return counted(parse.parse_user(lines.select("value", "timestamp", "offset")), "users_rows", _valid("users"))
 
 
 def start_users(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
     """Keep the latest row per user id (later arrivals overwrite)."""
-    return _start(user_stream(lines), "users", sinks.upsert_sink(table_path, ["id"], ["timestamp"]), **kw)
+    sink = sinks.upsert_sink(table_path, ["id"], ["timestamp", "offset"])
+    return _start(user_stream(lines), "users", sink, target=table_path, **kw)
 
 
 def sale_stream(order_lines: DataFrame, detail_lines: DataFrame,
@@ -169,52 +198,48 @@ def sale_stream(order_lines: DataFrame, detail_lines: DataFrame,
     """Stream-stream interval join of orders and details on the order id with
     ``|detail arrival - order arrival| <= tolerance_s``; state is evicted once the
     watermark passes the tolerance."""
-    o = (parse.parse_order(order_lines.select("value", "timestamp"), mask=masking.mask_tel_head)
-              .filter(parse.valid_record("id"))
-              .select(F.col("id").alias("o_id"), "user_id", "order_status", "create_time",
-                      F.col("create_date").alias("dt"), F.col("timestamp").alias("o_time"))
-              .withWatermark("o_time", lateness))
-    d = (parse.parse_detail(detail_lines.select("value", "timestamp"))
-              .filter(parse.valid_record("id"))
-              .select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name",
-                      F.col("order_price").alias("sku_price"), F.col("timestamp").alias("d_time"))
-              .withWatermark("d_time", lateness))
+    o = counted(parse.parse_order(order_lines.select("value", "timestamp"), mask=masking.mask_tel_head), "sale_orders_rows", _valid("orders")) \
+        .withColumn("ts", F.unix_millis("timestamp"))
+    d = counted(parse.parse_detail(detail_lines.select("value", "timestamp")), "sale_details_rows", parse.valid_record("id") & F.col("order_id").isNotNull()) \
+        .withColumn("ts", F.unix_millis("timestamp"))
+    o = sales.order_side(o, "timestamp").withColumnRenamed("timestamp", "o_time").withWatermark("o_time", lateness)
+    d = sales.detail_side(d, "timestamp").withColumnRenamed("timestamp", "d_time").withWatermark("d_time", lateness)
     tol = F.expr(f"INTERVAL {int(tolerance_s)} SECONDS")
     cond = (o.o_id == d.order_id) & (d.d_time >= o.o_time - tol) & (d.d_time <= o.o_time + tol)
-    j = o.join(d, cond, "inner")
-    return j.select("order_detail_id", F.col("o_id").alias("order_id"), "order_status",
-                    "create_time", "user_id", "sku_id", "sku_price", "sku_name", "dt")
+    return sales.sale_row(o.join(d, cond, "inner"))
 
 
-def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str, sale_index: str,
+def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str | list[str], sale_index: str,
                 as_of=None, **kw) -> StreamingQuery:
     """Each batch of joined sales is enriched with the user table as it is at that
     moment (re-read per batch, so user updates written by ``start_users`` are seen)
-    and written keyed by ``order_detail_id``, partitioned by the order date ``dt``."""
+    and written keyed by ``order_detail_id``, partitioned by the order date ``dt``. ``user_table`` may be
+    several folders, e.g. a snapshot and what was written after it."""
     def write(df, batch_id):
         spark = df.sparkSession
         df.persist()
         try:
             users = _read_users(spark, user_table, df.select(F.col("user_id").alias("id")).distinct())
             when = as_of if as_of is not None else F.current_timestamp()
-            wide = sales.with_user(df, users, when)
-            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], [], partition_by=["dt"])
+            wide = sales.one_per_detail(sales.with_user(df, users, when))
+            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], ["create_time"], partition_by=["dt"],
+                               writer=upsert.query_id(df))
         finally:
             df.unpersist()
 
-    return _start(sale_stream(order_lines, detail_lines), "sales", write, **kw)
+    return _start(sale_stream(order_lines, detail_lines), "sales", write, target=sale_index, **kw)
 
 
-def _read_users(spark: SparkSession, user_table: str, ids: DataFrame) -> DataFrame:
+def _read_users(spark: SparkSession, user_table: str | list[str], ids: DataFrame) -> DataFrame:
     """Latest user rows for the ids of one micro-batch: the table is semi-joined with
     the batch's ids before the per-id reduction, so the aggregation only sees the
-    users the batch needs (keep the table compacted, ``upsert.compact``)."""
-    try:
-        rows = spark.read.parquet(user_table)
-    except Exception:  # no user batch written yet: every user is unknown
+    users the batch needs. A folder that is not there yet has no users; one that cannot be read
+    fails the batch, which is then tried again."""
+    folders = [user_table] if isinstance(user_table, str) else list(user_table)
+    found = [f for f in folders if upsert.path_exists(spark, f)]
+    if not found:
         return spark.createDataFrame([], schemas.USER_SCHEMA)
-    wanted = rows.join(ids, "id", "left_semi")
-    return upsert.latest_per_key(wanted, ["id"], [upsert.BATCH_COL, "timestamp"]).drop(upsert.BATCH_COL)
+    return upsert.read_latest(spark, found, ["id"], ["timestamp", "offset"], only=ids)
 
 
 # ---------------------------------------------------------------------------------
@@ -222,10 +247,11 @@ def _read_users(spark: SparkSession, user_table: str, ids: DataFrame) -> DataFra
 
 
 def cdc_stream(entries: DataFrame) -> DataFrame:
-    """Change entries -> ``topic, value, timestamp`` rows for the published changes;
-    the timestamp is the change time, so consumers can order versions of a row."""
+    """Change entries -> ``topic, key, value, timestamp`` rows for the published changes; the key is the row's
+    first column (its id), the timestamp the change time, so consumers can order versions of a row."""
     routed = routing.cdc_route(routing.cdc_explode(entries))
-    return routing.cdc_after_json(routed).select("topic", "value", timefmt.ms_to_ts("ts").alias("timestamp"))
+    return routing.cdc_after_json(routed).select(
+        "topic", F.col("after")[0]["value"].alias("key"), "value", timefmt.ms_to_ts("ts").alias("timestamp"))
 
 
 def start_cdc(entries: DataFrame, *, topics_fmt: str = "kafka", topics_path: str | None = None,
@@ -233,8 +259,17 @@ def start_cdc(entries: DataFrame, *, topics_fmt: str = "kafka", topics_path: str
     def publish(df, batch_id):
         sinks.write_topics(df, batch_id, fmt=topics_fmt, path=topics_path,
                            bootstrap_servers=bootstrap_servers)
-    return _start(cdc_stream(entries), "cdc", publish, **kw)
+    return _start(cdc_stream(entries), "cdc", publish, target=topics_path or bootstrap_servers, **kw)
+
+
+# Parser and required key of each job's topic.
+PARSERS = {
+    "dau": (parse.parse_startup, "mid"),
+    "alerts": (parse.parse_event, "mid"),
+    "orders": (parse.parse_order, "id"),
+    "users": (parse.parse_user, "id"),
+}
 
 
-def _seconds(text: str) -> int:
-    return alerts.duration_ms(text) // 1000
+def _valid(job: str):
+    return parse.valid_record(PARSERS[job][1])

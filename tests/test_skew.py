@@ -51,8 +51,9 @@ def test_hot_device_alerts_match_window_plan(spark):
     key = ("mid", "window_start", "n_uids")
     assert rows(a, *key) == rows(b, *key) and rows(a, *key)
     plan = _plan(a)
-    # raw rows are aggregated per pane before the window copies (Generate) are made
-    assert plan.index("Generate") < plan.rindex("partial_collect_set")
+    # raw rows are reduced per pane before the window copies (Generate) are made, and
+    # lists are only collected above the semi-join with the alerting windows
+    assert plan.index("partial_collect_set") < plan.index("LeftSemi") < plan.index("Generate") < plan.rindex("partial_max")
 
 
 def test_full_join_has_no_full_outer_operator(spark):
@@ -67,6 +68,32 @@ def test_full_join_has_no_full_outer_operator(spark):
     assert j.filter(F.col("match_kind") == "both").count() == 3000
 
 
+SPLIT = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+         "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def test_hot_order_through_the_adapters_is_split(spark, scratch):
+    """Nothing between the scan of the line items and the join pins their partitioning."""
+    from shopstream.sources import testdata as td
+    spark.range(300).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice",
+                                "timestamp_ntz'1995-01-01 00:00:00' AS o_orderdate").write.parquet(f"{scratch}/orders.parquet")
+    spark.range(30000).selectExpr("IF(id % 3 = 0, 0, id % 300) AS l_orderkey", "CAST(id AS INT) AS l_linenumber", "id % 200 AS l_partkey",
+                                  "1L AS l_suppkey", "1.0D AS l_quantity", "2.0D AS l_extendedprice").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.range(200).selectExpr("id AS p_partkey", "concat('part ', id) AS p_name").write.parquet(f"{scratch}/part.parquet")
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    try:
+        for k, v in SPLIT.items():
+            spark.conf.set(k, v)
+        plan = _plan(sales.interval_join(td.orders(spark, scratch), td.details(spark, scratch)))
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_interval_join_hot_order_is_split_by_adaptive_execution(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",

@@ -1,0 +1,128 @@
+"""Topics: rejects, topic choice, record keys, time zone, and the whole chain from the change feed."""
+
+import os
+import subprocess
+import sys
+
+from conftest import SF001, rows
+from pyspark.sql import functions as F
+
+from shopstream.operators import orders as order_ops
+from shopstream.operators import sales
+from shopstream.sources import streams, tables
+from shopstream.sources import testdata as td
+from shopstream.streaming import jobs, sinks
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_change_feed_through_one_topic_root_to_all_tables(spark, scratch):
+    """cdc -> topic root -> orders, users and sales, each taking its topics from the same root, equal the batch result."""
+    src, root = os.path.join(scratch, "cdc"), os.path.join(scratch, "topics")
+    td.cdc_entries(spark, SF001).repartition(3).write.parquet(src)
+    entries = streams.read_changes(spark, fmt="parquet", path=src, max_per_trigger=2)
+    run = dict(available_now=True)
+    jobs.start_cdc(entries, topics_fmt="json", topics_path=root, checkpoint=os.path.join(scratch, "k1"), **run).awaitTermination(240)
+
+    def topic(name):
+        return streams.read_topic(spark, name, fmt="json", path=root)
+    out = {t: os.path.join(scratch, t) for t in ("orders", "users", "sales")}
+    jobs.start_orders(topic("CAT_ORDER"), out["orders"], checkpoint=os.path.join(scratch, "k2"), **run).awaitTermination(240)
+    jobs.start_users(topic("CAT_USER"), out["users"], checkpoint=os.path.join(scratch, "k3"), **run).awaitTermination(240)
+    as_of = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    jobs.start_sales(topic("CAT_ORDER"), topic("CAT_ORDER_DETAIL"), out["users"], out["sales"], as_of=as_of,
+                     checkpoint=os.path.join(scratch, "k4"), **run).awaitTermination(240)
+
+    # only inserted orders are published; those sharing an entry share its change time
+    entry_ts = td.cdc_entries(spark, SF001).filter("`table` = 'order_info' AND entry_type = 'ROWDATA' AND event_type = 'INSERT'") \
+        .select(F.explode("rows").alias("r"), "ts").select(F.col("r.after")[0]["value"].alias("id"), "ts")
+    placed = td.orders(spark, SF001).drop("ts").join(entry_ts, "id")
+    want_orders = order_ops.enrich_orders(placed)
+    published = ["id", "user_id", "order_status", "total_amount", "create_time", "consignee_tel", "create_date", "create_hour"]
+    assert rows(tables.order_table(spark, out["orders"]), *published) == rows(want_orders, *published)
+    users = sales.user_latest(td.user_changes(spark, SF001))
+    assert rows(tables.keyed_table(spark, out["users"], "id", ["timestamp", "offset"]), "id", "user_level") == rows(users, "id", "user_level")
+    want = sales.one_per_detail(sales.with_user(sales.interval_join(placed, td.details(spark, SF001)), users, as_of))
+    got = tables.sale_table(spark, out["sales"]).select(*sales.SALE_COLUMNS)
+    assert rows(got) == rows(want) and got.count() > 100
+
+
+def test_published_records_carry_key_and_change_time(spark):
+    df = spark.createDataFrame([("CAT_USER", "u1", "{}", 1000)], "topic string, key string, value string, ms long").withColumn("timestamp", F.timestamp_millis("ms"))
+    records = sinks.kafka_records(df)
+    assert records.columns == ["topic", "key", "value", "headers"] and records.first()["key"] == "u1"
+    # as a consumer sees them: the header's change time wins over the broker's
+    consumed = records.select(F.col("value").cast("binary").alias("value"), "topic", "headers", F.current_timestamp().alias("timestamp"), F.lit(5).cast("long").alias("offset"))
+    line = streams.kafka_lines(consumed, keep_topic=True).select("value", F.unix_millis("timestamp").alias("ms"), "offset", "topic").first()
+    assert tuple(line) == ("{}", 1000, 5, "CAT_USER")
+    assert streams.changes_of(spark.createDataFrame([('{"db":"cat2019","table":"t","entry_type":"ROWDATA","event_type":"INSERT","rows":[{"after":[{"name":"id","value":"1"}]}],"ts":3}',)],
+                                                    "value string")).first()["rows"][0]["after"][0]["value"] == "1"
+
+
+def test_intake_keeps_all_fields_and_rejects_bad_lines_with_their_text(spark, scratch):
+    src = os.path.join(scratch, "logs")
+    good = '{"type":"startup","mid":"m1","itemid":43,"brand":"X9","extra":{"a":[1,2]}}'
+    spark.createDataFrame([(good,), ("{broken",), ("[1,2]",)], "value string").write.text(src)
+    archive, topics = os.path.join(scratch, "archive"), os.path.join(scratch, "topics")
+    q = jobs.start_intake(streams.read_topic(spark, "logs", fmt="text", path=src), archive, topics_fmt="json", topics_path=topics,
+                          available_now=True, checkpoint=os.path.join(scratch, "ck"))
+    q.awaitTermination(240)
+    (value,) = [r["value"] for r in spark.read.text(archive).collect()]
+    assert value.startswith(good[:-1] + ',"ts":')
+    assert sorted(r["value"] for r in spark.read.text(f"{archive}_rejects").collect()) == ["[1,2]", "{broken"]
+    (sent,) = spark.read.json(topics).collect()
+    assert sent["topic"] == "CAT_STARTUP" and sent["value"] == value and sent["key"] == "m1"
+    seen = [p["observedMetrics"]["intake"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(int(m["n_rejected"]) for m in seen) == 2
+
+
+def test_rejected_lines_of_a_job_keep_their_text(spark, scratch):
+    src = os.path.join(scratch, "o")
+    spark.createDataFrame([('{"id":"1"}',), ('{"order_id":"2"}',), ("junk",)], "value string").withColumn("timestamp", F.current_timestamp()).write.json(src)
+    lines = streams.read_topic(spark, "CAT_ORDER", fmt="json", path=src)
+    out = os.path.join(scratch, "rej")
+    jobs.start_rejects(lines, "orders", out, available_now=True, checkpoint=os.path.join(scratch, "ck")).awaitTermination(240)
+    assert sorted(r["value"] for r in spark.read.json(out).collect()) == ["junk", '{"order_id":"2"}']
+
+
+def test_topic_files_are_chosen_by_topic(spark, scratch):
+    spark.createDataFrame([("a", "T1"), ("b", "T2"), ("c", "T3")], "value string, topic string").withColumn("timestamp", F.current_timestamp()) \
+        .write.partitionBy("topic").json(os.path.join(scratch, "root", "gen=0-q", "batch_id=0"))
+    q = (streams.read_topic(spark, "T1, T3", fmt="json", path=os.path.join(scratch, "root")).writeStream.format("memory").queryName("topics_t")
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert rows(spark.table("topics_t"), "value", "topic") == [("a", "T1"), ("c", "T3")]
+
+
+ZONE_APP = """
+import sys
+sys.path.insert(0, {repo!r})
+from shopstream.session import get_spark
+spark = get_spark("local[2]", extra_conf={{"spark.ui.enabled": "false"}})
+print("ZONE", spark.conf.get("spark.sql.session.timeZone"), spark.conf.get("spark.sql.mapKeyDedupPolicy"))
+"""
+
+
+def test_the_launcher_s_settings_win(scratch):
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--conf spark.sql.session.timeZone=Asia/Shanghai pyspark-shell"}
+    out = subprocess.run([sys.executable, "-c", ZONE_APP.format(repo=REPO)], env=env, capture_output=True, text=True, timeout=300).stdout
+    assert "ZONE Asia/Shanghai LAST_WIN" in out
+
+
+def test_local_day_and_hour_in_another_zone_in_batch_and_stream(spark, scratch):
+    """23:30 UTC is 07:30 of the next day in Shanghai."""
+    from shopstream.functions import parse
+    from shopstream.operators import dau
+    line = '{"type":"startup","mid":"m1","ts":1704151800000}'  # 2024-01-01 23:30 UTC
+    src, table = os.path.join(scratch, "src"), os.path.join(scratch, "dau")
+    spark.createDataFrame([(line,)], "value string").withColumn("timestamp", F.current_timestamp()).write.json(src)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        batch = dau.dedup_daily(parse.parse_startup(spark.createDataFrame([(line,)], "value string")))
+        assert rows(batch, "log_date", "log_hour") == [("2024-01-02", "07")]
+        jobs.start_dau(streams.read_topic(spark, "CAT_STARTUP", fmt="json", path=src), table, available_now=True,
+                       checkpoint=os.path.join(scratch, "ck")).awaitTermination(240)
+        assert rows(tables.dau_table(spark, table), "log_date", "log_hour") == [("2024-01-02", "07")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
