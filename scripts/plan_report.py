@@ -49,14 +49,7 @@ def summarise(plan: str) -> dict:
     }
 
 
-def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_spark("local[8]", extra_conf={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "16"})
-    print(f"# Physical plans at {sf} (final adaptive plans, local[8])\n")
-    print("Generated by `scripts/plan_report.py`. Shuffles count exchange stages; joins list the "
-          "strategy and type; scans list the table, the number of columns read and the filters "
-          "pushed into the parquet reader. Small inputs broadcast here; at scale the same joins "
-          "fall back to shuffle joins once the planned size passes the broadcast threshold.\n")
+def report(spark, sf: str) -> None:
     print("| query | shuffles | broadcasts | joins | aggregates | scans (columns read; pushed filters) | python |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name, q in QUERIES.items():
@@ -68,5 +61,20 @@ def main():
               f"{', '.join(s['aggs']) or '-'} | {'; '.join(s['scans'])} | {'yes' if s['python'] else 'no'} |")
 
 
+def main():
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = get_spark("local[8]", extra_conf={"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "16"})
+    print(f"# Physical plans at {sf} (final adaptive plans, local[8])\n")
+    print("Generated by `scripts/plan_report.py`. Shuffles count exchange stages; joins list the "
+          "strategy and type; scans list the table, the number of columns read and the filters "
+          "pushed into the parquet reader.\n")
+    print("## Small tables: the planner broadcasts\n")
+    report(spark, sf)
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    print("\n## Beyond the broadcast threshold (broadcast off)\n")
+    report(spark, sf)
+
+
 if __name__ == "__main__":
     main()
