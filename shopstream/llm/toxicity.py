@@ -2,8 +2,8 @@
 
 * Lexicon: words whose document frequencies in a bounded labelled training sample speak for toxic
   documents (log-odds, kept where the likelihood ratio is large).
-* Matching: the Levenshtein automaton of a word (bit-parallel, at most one error) runs down the
-  lexicon's trie; a branch is left once no state lives, so exact and misspelled terms are found in one walk. A
+* Matching: a Levenshtein automaton (at most one error) intersected with the lexicon's trie reads each distinct
+  word once; it is left as soon as no term can be near, so exact and misspelled terms are found in one walk. A
   form that training saw on its own counts by its own log-odds, not by the term's.
 * Context: each hit is looked at in a window of characters around it: quotation marks and reporting words speak
   for quotation, words of address for abuse. Logistic regression weighs the sums of exact, misspelled,
@@ -48,52 +48,73 @@ def words_of(text: str) -> list[str]:
 
 
 class Trie:
-    """Lexicon trie, walked by the Levenshtein automaton of a word."""
+    """Lexicon trie with a Levenshtein automaton that runs over it.
 
-    def __init__(self, terms):
-        self.root: dict = {}
-        self.heads, self.tails, self.lengths = set(), set(), set()
+    A state of the automaton is the set of trie nodes that the characters read so far can stand for, each with the fewest
+    errors; it is made when a word first leads to it and kept with its transitions, so all words share one deterministic
+    automaton of the whole lexicon and most leave it after a few characters.
+    """
+
+    def __init__(self, terms, errors: int = ERRORS):
+        self.errors = errors
+        self.children: list[dict[str, int]] = [{}]
+        self.term: list[str | None] = [None]
         for term in terms:
-            node = self.root
+            node = 0
             for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
-            self.heads.add(term[:2])
-            self.tails.add(term[-2:])
-            self.lengths.add(len(term))
-
-    def near(self, word: str, errors: int = ERRORS) -> tuple[str, int] | None:
-        """The lexicon term closest to the word (smallest of equals) and its distance, if within ``errors``."""
-        if not any(n in self.lengths for n in range(len(word) - errors, len(word) + errors + 1)):
-            return None
-        if errors == 1 and word[:2] not in self.heads and word[-2:] not in self.tails:
-            return None  # one error leaves the first or the last two characters as they are
-        marks: dict[str, int] = {}
-        for i, c in enumerate(word):
-            marks[c] = marks.get(c, 0) | 1 << i
-        end = 1 << len(word)
-        best: tuple[int, str] | None = None
-        stack = [(self.root, tuple((1 << e + 1) - 1 for e in range(errors + 1)))]
-        while stack:
-            node, states = stack.pop()
-            for c, child in node.items():
-                if c == "":
-                    for e, s in enumerate(states):
-                        if s & end:
-                            best = min(best or (e, child), (e, child))
-                            break
-                    continue
-                here = marks.get(c, 0)
-                new = []
-                for e, s in enumerate(states):
-                    n = (s & here) << 1
-                    if e:
-                        before = states[e - 1]
-                        n |= before | before << 1 | new[e - 1] << 1
-                    new.append(n & (end << 1) - 1)
-                if new[-1]:
-                    stack.append((child, tuple(new)))
-        return (best[1], best[0]) if best else None
+                if c not in self.children[node]:
+                    self.children[node][c] = len(self.children)
+                    self.children.append({})
+                    self.term.append(None)
+                node = self.children[node][c]
+            self.term[node] = term
+        self.numbers: dict[frozenset, int] = {}
+        self.states: list[dict[int, int]] = []
+        self.moves: list[dict[str, int]] = []  # by state: next state by character; -1: no term is near
+        self.found: list[tuple[int, str] | None] = []
+        self.start = self._state({0: 0})
+
+    def _state(self, nodes: dict[int, int]) -> int:
+        """Number of the state with these nodes (fewest errors each) and those reached by leaving out term characters."""
+        queue = list(nodes.items())
+        for node, e in queue:
+            if e < self.errors and nodes[node] == e:
+                for child in self.children[node].values():
+                    if nodes.get(child, self.errors + 1) > e + 1:
+                        nodes[child] = e + 1
+                        queue.append((child, e + 1))
+        if not nodes:
+            return -1
+        key = frozenset(nodes.items())
+        if key not in self.numbers:
+            self.numbers[key] = len(self.states)
+            self.states.append(nodes)
+            self.moves.append({})
+            self.found.append(min(((e, self.term[n]) for n, e in nodes.items() if self.term[n] is not None), default=None))
+        return self.numbers[key]
+
+    def _move(self, state: int, c: str) -> int:
+        new: dict[int, int] = {}
+        for node, e in self.states[state].items():
+            for d, child in self.children[node].items():
+                cost = e if d == c else e + 1
+                if cost <= self.errors and new.get(child, self.errors + 1) > cost:
+                    new[child] = cost
+            if e < self.errors and new.get(node, self.errors + 1) > e + 1:
+                new[node] = e + 1  # a character too many
+        self.moves[state][c] = out = self._state(new)
+        return out
+
+    def near(self, word: str) -> tuple[str, int] | None:
+        """The lexicon term closest to the word (smallest of equals) and its distance, if within the errors."""
+        state, moves = self.start, self.moves
+        for c in word:
+            after = moves[state].get(c)
+            state = self._move(state, c) if after is None else after
+            if state < 0:
+                return None
+        found = self.found[state]
+        return (found[1], found[0]) if found else None
 
 
 @dataclass
