@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopstream.llm.common import stored
+
 EXACT = 4096
 SLICE_ROWS = 100_000  # documents a slice, on average
 
@@ -87,7 +89,8 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     with the shortest. Ties and repeated rows take different slots; rows without an id are packed like any
     other. An empty table gives an empty result. Columns of the input are not returned.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
+    # ids and lengths are stored: the texts are read once, and no later step computes a length again
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")), "lengths")
     histogram = (rows.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
                  .agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total"))
                  .orderBy("bin").collect())
