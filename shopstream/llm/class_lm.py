@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm import blocks
-from shopstream.llm.common import Memo, chunks, from_buffers, stored, text_rows
+from shopstream.llm.common import Memo, chunks, stored, text_rows
 
 CORE = 2048
 CLASSES = 64
@@ -54,12 +54,12 @@ def learnt_from(ids: list, folds: int, held: int) -> np.ndarray:
 
 def _block_rows(folds: int, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, index, numbers, counts, ids, _ in blocks.runs(batches, blocks.Index, words_of):
+        for block, index, numbers, counts, ids, _ in blocks.runs(batches, words_of):
             learnt = np.repeat(learnt_from(ids, folds, held), counts)
             order = np.argsort(numbers, kind="stable").astype(np.uint32)
             ends = np.cumsum(np.bincount(numbers, minlength=len(index)))
             c = np.bincount(numbers[learnt], minlength=len(index)).astype(np.int64)
-            batch = blocks.rows(block, list(index), (order, ends * 4), None, ids, counts)
+            batch = blocks.rows(block, list(index), blocks.packed(order, ends), None, ids, counts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.append(c, 0))], names=[*blocks.NAMES, "c"])
     return run
 
@@ -174,8 +174,8 @@ def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
             pairs, n = np.unique(np.concatenate(held_pairs), return_counts=True)
             ends = np.searchsorted(pairs >> 8, np.arange(len(index)), side="right")
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(index), pa.binary()), from_buffers(pa.binary(), len(index), np.append(0, ends).astype(np.int32), (pairs & 255).astype(np.uint8)),
-                 from_buffers(pa.binary(), len(index), np.append(0, ends * 4).astype(np.int32), n.astype(np.uint32))], names=["piece", "x", "n"])
+                [pa.array(list(index), pa.binary()), blocks.packed((pairs & 255).astype(np.uint8), ends), blocks.packed(n.astype(np.uint32), ends)],
+                names=["piece", "x", "n"])
 
         def number(w):  # a core word: its class; others: past the classes
             return of[w] if w in of else CLASSES + index[w]
@@ -187,7 +187,7 @@ def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
             left = np.flatnonzero(other[1:] & ~other[:-1])
             right = np.flatnonzero(other[:-1] & ~other[1:])
             held_pairs += [(seq[left + 1] - CLASSES) << 8 | seq[left], (seq[right] - CLASSES) << 8 | (seq[right + 1] + CLASSES)]
-            if size >= blocks.BLOCK_BYTES // 6:
+            if size >= blocks.BLOCK_BYTES // 4:
                 yield flush()
                 index.clear()
                 memo.clear()
@@ -234,7 +234,9 @@ def _encoded(folds: int, held: int, n: int, v: int, total: np.ndarray, kinds: np
     unknown = len(total)
 
     def run(table: pa.Table) -> pa.Table:
-        ids, lengths = blocks.header(table)
+        is_head = table.column("head").to_pylist()
+        ids, lengths = blocks.header(table.column("at")[is_head.index(True)].as_py())
+        table = table.filter(pa.array([not h for h in is_head]))
         at, many = blocks.gathered(table.column("at"), np.uint32)
         cls = np.repeat(table.column("cls").fill_null(unknown).to_numpy().astype(np.uint8), many)
         c = np.repeat(table.column("count").fill_null(0).to_numpy().astype(np.int64), many)

@@ -62,19 +62,11 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def fresh_name(taken: Iterable[str], name: str) -> str:
-    """``name``, with underscores in front until no column is called so (case-insensitive)."""
-    low = {c.lower() for c in taken}
-    while name.lower() in low:
-        name = "_" + name
-    return name
-
-
-def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 4 << 20, max_docs: int = 20_000):
+def chunks(batches: Iterable[pa.RecordBatch], max_bytes: int = 1 << 20, max_docs: int = 20_000):
     """(ids, bodies) of columns ``id`` and ``body``, a bounded number of text bytes and documents at a time (a
     longer text is alone), so that a task's memory doesn't follow the size of Arrow's batches."""
     ids, bodies, size = [], [], 0
-    for batch in batches:
+    for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):
         for i, body in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist(), strict=True):
             if bodies and (size + len(body or b"") > max_bytes or len(bodies) >= max_docs):
                 yield ids, bodies
@@ -133,8 +125,3 @@ def mix(x: np.ndarray) -> np.ndarray:
 def binary_views(column: pa.Array) -> list[bytes]:
     """Values of a binary column as bytes (nulls: empty)."""
     return [b"" if v is None else v for v in column.to_pylist()]
-
-
-def from_buffers(kind: pa.DataType, n: int, offsets, data) -> pa.Array:
-    """Binary array of ``n`` values out of int32 offsets and one data buffer, without a Python loop."""
-    return pa.Array.from_buffers(kind, n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])

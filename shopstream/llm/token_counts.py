@@ -1,12 +1,11 @@
 """Operator 7, token counts: pieces counted once per distinct pre-token, joined to per-document frequencies.
 
-1. Texts are cut at the tokenizer's special strings and into pre-tokens; each task keeps the distinct ones.
-2. The library encodes every distinct pre-token of the corpus once; its number of tokens is all that is kept.
-3. Blocks of documents (see ``blocks``) hold for every distinct pre-token the documents it is in and how often.
-   They are joined with the table of step 2 by pre-token, gathered by block, and summed per document. No
-   token ids of any document are ever made.
-
-Both passes read the text; nothing of the size of the text is stored in between.
+1. Texts are cut at the tokenizer's special strings and into pre-tokens. Blocks of documents (see ``blocks``) hold for
+   every distinct pre-token the documents it is in and how often.
+2. The blocks' rows are brought together and sorted by pre-token (the shuffle and sort of a sort-merge join): the library
+   encodes every distinct pre-token of the corpus once, and its number of tokens is joined to the frequencies.
+3. Each task sums per document what it has joined before it hands it on, and the sums are gathered by block. No token
+   ids of any document are ever made, and the text is read once.
 """
 
 from __future__ import annotations
@@ -20,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shopstream.llm import blocks
-from shopstream.llm.common import Memo, chunks, text_rows
+from shopstream.llm.common import Memo, text_rows
+
+MAX_SUMS = 1 << 24  # documents that a task holds sums of before it hands them on
 
 #: fixed value: the byte-level pre-tokenizer's pattern
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -65,48 +65,99 @@ class Cutter:
         return out
 
 
-def _distinct_rows(shared):
+def _block_rows(shared):
+    """Rows of each block: a distinct pre-token, the documents that hold it, and how often (null: once each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, held = Cutter(shared.value), set()
-        for _, bodies in chunks(batches):
-            for body in bodies:
-                held.update(cutter.pieces(body.decode("utf-8", "replace")))
-            if len(held) > 1 << 19:
-                yield pa.RecordBatch.from_arrays([pa.array([p.encode() for p in held], pa.binary())], names=["piece"])
-                held = set()
-        yield pa.RecordBatch.from_arrays([pa.array([p.encode() for p in held], pa.binary())], names=["piece"])
+        cutter = Cutter(shared.value)
+        for block, index, numbers, counts, ids, sizes in blocks.runs(batches, lambda b: cutter.pieces(b.decode("utf-8", "replace"))):
+            pairs = numbers.astype(np.uint64) << np.uint64(32)
+            pairs |= np.repeat(np.arange(len(ids), dtype=np.uint32), counts)
+            pairs.sort()
+            first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else np.empty(0, np.int64)
+            times = np.diff(np.append(first, len(pairs)))
+            pairs = pairs[first]
+            ends = np.searchsorted(pairs >> np.uint64(32), np.arange(len(index)), side="right")
+            at = blocks.packed((pairs & np.uint64(0xFFFFFFFF)).astype(np.uint16), ends)
+            # how often is only kept for pre-tokens that a document holds more than once
+            many = np.diff(np.append(0, ends))
+            several = np.maximum.reduceat(times, np.append(0, ends[:-1])) > 1 if len(ends) else np.empty(0, bool)
+            n = blocks.packed(times[np.repeat(several, many)].astype(np.uint32), np.cumsum(many * several), several)
+            yield blocks.rows(block, [p.encode() for p in index], at, n, ids, sizes)
     return run
 
 
-def _encoded_rows(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Cutter(shared.value).library
-        for batch in batches:
-            found = tokenizer.encode_batch([p.decode() for p in batch.column(0).to_pylist()], add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(e.ids) for e in found], pa.int32())], names=["piece", "tokens"])
-    return run
+class _Sums:
+    """Sums of the documents of many blocks, in one array."""
 
+    def __init__(self):
+        self.first: dict[int, int] = {}
+        self.used, self.total = 0, np.zeros(1 << 16, np.int64)
 
-def _block_rows(shared):
+    def add(self, block: np.ndarray, at: np.ndarray, many: np.ndarray, values: np.ndarray) -> None:
+        """``at[i]``: the document in its block; ``many``: pairs of each row."""
+        names, which = np.unique(block, return_inverse=True)
+        for b in names.tolist():
+            if b not in self.first:
+                self.first[b] = self.used
+                self.used += int(blocks.block_docs(b))
+        if self.used > len(self.total):
+            self.total = np.append(self.total, np.zeros(max(self.used, len(self.total)), np.int64))
+        first = np.array([self.first[b] for b in names.tolist()], np.int64)
+        np.add.at(self.total, np.repeat(first[which], many) + at, values)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Rows (block, head, at, n): the documents with a sum, and the sums."""
+        for block, first in self.first.items():
+            part = self.total[first:first + int(blocks.block_docs(block))]
+            at = np.flatnonzero(part)
+            yield _partial([block], [False], [at.astype(np.uint16).tobytes()], [part[at].astype(np.uint32).tobytes()])
+
+
+def _partial(block: list, head: list, at: list, n: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(head), pa.array(at, pa.binary()), pa.array(n, pa.binary())], names=["block", "head", "at", "n"])
+
+
+def _joined_rows(shared):
+    """Rows sorted by pre-token, all of one pre-token in this task: the library encodes it once, and its number of tokens
+    is joined to all its rows. What is handed on are partial sums of the documents, by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(shared.value)
-        for block, index, numbers, counts, ids, sizes in blocks.runs(batches, blocks.Index, lambda b: cutter.pieces(b.decode("utf-8", "replace"))):
-            docs = np.repeat(np.arange(len(ids), dtype=np.uint64), counts)
-            pairs, times = np.unique(numbers.astype(np.uint64) << np.uint64(32) | docs, return_counts=True)
-            ends = np.searchsorted(pairs >> np.uint64(32), np.arange(len(index)), side="right")
-            at = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint16)
-            yield blocks.rows(block, [p.encode() for p in index], (at, ends * 2), (times.astype(np.uint32), ends * 4), ids, sizes)
+        encode = Cutter(shared.value).library.encode_batch
+        sums, last, last_tokens = _Sums(), None, 0
+        for batch in batches:
+            head = np.asarray(batch.column("head"))
+            if head.any():
+                yield batch.filter(pa.array(head)).select(["block", "head", "at", "n"])
+                batch = batch.filter(pa.array(~head))
+            pieces = batch.column("piece").to_pylist()
+            if not pieces:
+                continue
+            first = [i for i, p in enumerate(pieces) if i == 0 or p != pieces[i - 1]]
+            known = pieces[0] == last
+            fresh = first[1:] if known else first
+            tokens = [len(e.ids) for e in encode([pieces[i].decode() for i in fresh], add_special_tokens=False)]
+            tokens = [last_tokens, *tokens] if known else tokens
+            last, last_tokens = pieces[-1], tokens[-1]
+            of_row = np.repeat(np.array(tokens, np.int64), np.diff([*first, len(pieces)]))
+            at, many = blocks.gathered(batch.column("at"), np.uint16)
+            several, rows_with = blocks.gathered(batch.column("n"), np.uint32)
+            n = np.ones(len(at), np.int64)
+            n[np.repeat(rows_with > 0, many)] = several
+            sums.add(batch.column("block").to_numpy(), at, many, np.repeat(of_row, many) * n)
+            if sums.used > MAX_SUMS:
+                yield from sums.rows()
+                sums = _Sums()
+        yield from sums.rows()
     return run
 
 
 def _sums(table: pa.Table) -> pa.Table:
-    """All rows of a block -> its documents with their sums. A block is bounded, and so is the group."""
-    ids, sizes = blocks.header(table)
-    at, many = blocks.gathered(table.column("at"), np.uint16)
-    n, _ = blocks.gathered(table.column("n"), np.uint32)
-    tokens = np.repeat(table.column("tokens").fill_null(0).to_numpy().astype(np.int64), many)
-    total = np.zeros(len(ids), np.int64)
-    np.add.at(total, at, tokens * n)
+    """All partial sums of a block -> its documents. A block is bounded; each task has a row of it."""
+    is_head = table.column("head").to_pylist()
+    ids, sizes = blocks.header(table.column("at")[is_head.index(True)].as_py())
+    parts = table.filter(pa.array([not h for h in is_head]))
+    at, _ = blocks.gathered(parts.column("at"), np.uint16)
+    n, _ = blocks.gathered(parts.column("n"), np.uint32)
+    total = np.bincount(at, weights=n, minlength=len(ids)).astype(np.int64)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": sizes, "n_tokens": total})
 
 
@@ -120,7 +171,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = text_rows(docs, id_col, text_col)
-    pieces = rows.mapInArrow(_distinct_rows(shared), "piece binary").distinct().mapInArrow(_encoded_rows(shared), "piece binary, tokens int")
-    held = rows.mapInArrow(_block_rows(shared), blocks.SCHEMA)
-    return (held.join(pieces, "piece", "left").drop("piece").groupBy("block")
+    held = rows.mapInArrow(_block_rows(shared), blocks.SCHEMA).repartition("piece").sortWithinPartitions("piece")
+    return (held.mapInArrow(_joined_rows(shared), "block long, head boolean, at binary, n binary").groupBy("block")
             .applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long"))

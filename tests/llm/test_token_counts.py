@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -35,14 +37,25 @@ def texts():
     return ["".join(rnd.choice([rnd.choice(parts), f" {prose(i * 99 + k, 1)}"]) for k in range(rnd.randrange(60))) for i in range(250)]
 
 
-@pytest.mark.parametrize("block", [2_000, 32 << 20])
-def test_counts_are_the_library_s(spark, library, monkeypatch, block):
+@pytest.mark.parametrize(("block", "sums"), [(2_000, 1 << 24), (2_000, 3), (32 << 20, 1 << 24)])
+def test_counts_are_the_library_s(spark, library, monkeypatch, block, sums):
     monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(token_counts, "MAX_SUMS", sums)
     rows = [*texts(), "", None, "<|endoftext|><|endoftext|>", " ", "word " * 30_000, "x" * 5000]
     got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in token_counts.count_tokens(documents(spark, rows), PATH).collect()}
     assert got == {i: (len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(rows)}
 
 
+def test_packed_columns_are_read_back_without_loops():
+    values, ends = np.array([1, 2, 3, 70_000], np.uint32), np.array([2, 2, 2, 4])
+    column = blocks.packed(values, ends, np.array([True, False, True, True]))
+    assert column.null_count == 1
+    for cut in (column, pa.concat_arrays([pa.array([b"\x09\x00\x00\x00"]), column]).slice(1), pa.chunked_array([column.slice(0, 1), column.slice(1)])):
+        got, many = blocks.gathered(cut, np.uint32)
+        assert got.tolist() == values.tolist() and many.tolist() == [2, 0, 0, 2]
+    assert blocks.gathered(pa.chunked_array([], pa.binary()), np.uint16)[0].tolist() == []
+
+
 def test_shared_tables(spark, library):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     for r in token_counts.count_tokens(docs, PATH).join(docs.select("doc_id", "text"), "doc_id").collect():
