@@ -53,9 +53,19 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+#: Rows of an Arrow batch: a batch of long texts must fit the memory of a task on either side.
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the UTF-8 bytes of the text (null: empty), under names of our own, so that
-    extra or clashing columns never meet those of an operator."""
+    extra or clashing columns never meet those of an operator.
+
+    Lowers the session's Arrow batches to BATCH_ROWS rows, if they are larger or without a limit."""
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("body"),

@@ -11,9 +11,11 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,7 @@ class Cutter:
     """Cuts a text into what the tokenizer encodes on its own: pre-tokens and special strings."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer_json)
+        self.source = tokenizer_json
         spec = json.loads(tokenizer_json)
         pre = spec["pre_tokenizer"] or {}
         if spec["normalizer"] or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space"):
@@ -48,6 +48,14 @@ class Cutter:
         # code points that newer Unicode tables than the library's may class otherwise
         self.unassigned = Memo(lambda c: unicodedata.category(c) == "Cn")
 
+    @cached_property
+    def library(self):
+        """The tokenizer itself, loaded where it is needed; a task has one core, so it starts no threads."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.source)
+
     def pre_tokens(self, text: str) -> list[str]:
         if not text.isascii() and any(self.unassigned[c] for c in set(text)):
             return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
