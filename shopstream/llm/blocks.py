@@ -41,11 +41,12 @@ class Index(dict):
         return n
 
 
-def runs(batches: Iterator[pa.RecordBatch], pieces: Callable) -> Iterator[tuple]:
+def runs(batches: Iterator[pa.RecordBatch], pieces: Callable, block_bytes: int | None = None) -> Iterator[tuple]:
     """(block, index, numbers of all pieces, pieces of each document, ids, sizes) a block.
 
     ``pieces(body)`` lists the pieces of a document; documents keep their order.
     """
+    block_bytes = block_bytes or BLOCK_BYTES
     part = TaskContext.get().partitionId() if TaskContext.get() else 0
     run, index, numbers, counts, ids, sizes, size = 0, Index(), [], [], [], [], 0
 
@@ -60,7 +61,7 @@ def runs(batches: Iterator[pa.RecordBatch], pieces: Callable) -> Iterator[tuple]
         some_sizes = [len(b) for b in bodies]
         sizes += some_sizes
         size += sum(some_sizes)
-        if size >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS // 2:
+        if size >= block_bytes or len(ids) >= BLOCK_DOCS // 2:
             yield closed()
             run, index, numbers, counts, ids, sizes, size = run + 1, Index(), [], [], [], [], 0
     if ids:

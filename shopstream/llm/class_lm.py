@@ -2,12 +2,11 @@
 
 P(word | previous) = P(class | previous word's class) * P(word | class)
 
-1. Blocks of documents (see ``blocks``) hold the places of every word; their sums over training documents are the counts
-   c of all words, their number N and the vocabulary size V.
+1. The words of all training documents are counted: c of each, their number N and the vocabulary size V.
 2. Exchange clustering: the ``CORE`` most frequent words are moved between ``CLASSES`` classes, one after the other, as long as
    the likelihood of their bigrams (counted over all training documents) grows. Every other training word then makes the
    same move once: into the class with the largest likelihood of all its neighbours, again over all of the training text.
-3. The blocks are joined with the words' classes and counts and gathered by block; each block keeps one byte a token, its
+3. Blocks of documents (see ``blocks``) hold the places of every word. They are joined with the words' classes and counts and gathered by block; each block keeps one byte a token, its
    class, besides sums per document.
 4. Class transitions are counted over all training documents and smoothed towards the classes' frequencies; words
    are emitted with an absolute discount, and what it sets free in each class goes to unknown words.
@@ -19,6 +18,7 @@ score has too. What the driver holds is bounded: CORE^2 bigram counts and CLASSE
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +33,7 @@ CORE = 2048
 CLASSES = 64
 SWEEPS = 10
 SMOOTHING = 5.0  # weight of the classes' frequencies in a transition, in tokens
+TASK_BYTES = 24 << 20  # text bytes of a block, and of what a task gathers before it hands it on
 END = b""        # the end of a document; no word is empty
 
 
@@ -52,18 +53,52 @@ def learnt_from(ids: list, folds: int, held: int) -> np.ndarray:
     return np.array([(r := remainder(i, folds)) is not None and r != held for i in ids], bool)
 
 
-def _block_rows(folds: int, held: int):
+def _count_rows(folds: int, held: int):
+    """Rows (piece, c): words of training documents, and how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, index, numbers, counts, ids, _ in blocks.runs(batches, words_of):
-            learnt = np.repeat(learnt_from(ids, folds, held), counts)
-            order = np.argsort(numbers, kind="stable").astype(np.uint32)
-            ends = np.cumsum(np.bincount(numbers, minlength=len(index)))
-            c = np.bincount(numbers[learnt], minlength=len(index)).astype(np.int64)
-            batch = blocks.rows(block, list(index), blocks.packed(order, ends), None, ids, counts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.append(c, 0))], names=[*blocks.NAMES, "c"])
+        total, size = Counter(), 0
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["piece", "c"])
+        for ids, bodies in chunks(batches):
+            for body, use in zip(bodies, learnt_from(ids, folds, held), strict=True):
+                if use:
+                    total.update(words_of(body))
+                    size += len(body)
+            if size >= TASK_BYTES:
+                yield rows()
+                total, size = Counter(), 0
+        if total:
+            yield rows()
     return run
 
 
+def place_width(tokens: int) -> int:
+    """Bytes of a place in a block of so many tokens."""
+    return 3 if tokens < 1 << 24 else 4
+
+
+def narrowed(places: np.ndarray, tokens: int) -> np.ndarray:
+    """Places as bytes, ``place_width`` each."""
+    return places.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :place_width(tokens)].ravel()
+
+
+def widened(content: np.ndarray, tokens: int) -> np.ndarray:
+    width = place_width(tokens)
+    out = np.zeros((len(content) // width, 4), np.uint8)
+    out[:, :width] = content.reshape(-1, width)
+    return out.view("<u4").ravel()
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each block: a word and its places among the block's tokens."""
+    for block, index, numbers, counts, ids, _ in blocks.runs(batches, words_of, TASK_BYTES):
+        order = np.argsort(numbers, kind="stable")
+        ends = np.cumsum(np.bincount(numbers, minlength=len(index)))
+        at = blocks.packed(narrowed(order, len(numbers)), ends * place_width(len(numbers)))
+        yield blocks.rows(block, list(index), at, None, ids, counts)
+
+
 def _core_rows(core: list[bytes], folds: int, held: int):
     """Rows (prev, word, n): how often core words follow a core word (ranks; packed) in training documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +200,7 @@ def neighbour_weights(counts: np.ndarray, cls: np.ndarray, classes: int) -> np.n
 
 def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
     """Rows (piece, x, n): the classes of a word's core neighbours in training documents, left ones, then right
-    ones plus CLASSES, and how often."""
+    ones plus CLASSES, and how often (null: once each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = dict(zip(core, cls.tolist(), strict=True))
         index, held_pairs, size = blocks.Index(), [], 0
@@ -173,9 +208,12 @@ def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
         def flush():
             pairs, n = np.unique(np.concatenate(held_pairs), return_counts=True)
             ends = np.searchsorted(pairs >> 8, np.arange(len(index)), side="right")
+            many = np.diff(np.append(0, ends))
+            several = np.zeros(len(index), bool)  # words that have a neighbour class more than once; the others need no numbers
+            several[np.repeat(np.arange(len(index)), many)[n > 1]] = True
+            times = blocks.packed(n[np.repeat(several, many)].astype(np.uint32), np.cumsum(many * several), several)
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(index), pa.binary()), blocks.packed((pairs & 255).astype(np.uint8), ends), blocks.packed(n.astype(np.uint32), ends)],
-                names=["piece", "x", "n"])
+                [pa.array(list(index), pa.binary()), blocks.packed((pairs & 255).astype(np.uint8), ends), times], names=["piece", "x", "n"])
 
         def number(w):  # a core word: its class; others: past the classes
             return of[w] if w in of else CLASSES + index[w]
@@ -187,7 +225,7 @@ def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
             left = np.flatnonzero(other[1:] & ~other[:-1])
             right = np.flatnonzero(other[:-1] & ~other[1:])
             held_pairs += [(seq[left + 1] - CLASSES) << 8 | seq[left], (seq[right] - CLASSES) << 8 | (seq[right + 1] + CLASSES)]
-            if size >= blocks.BLOCK_BYTES // 4:
+            if size >= TASK_BYTES // 5:
                 yield flush()
                 index.clear()
                 memo.clear()
@@ -209,11 +247,16 @@ def _assign_rows(weights: np.ndarray, start: np.ndarray):
                 batch = whole.slice(at, 2000)
                 pieces = batch.column("piece").to_pylist()
                 x, many = blocks.gathered(batch.column("x"), np.uint8)
-                n, _ = blocks.gathered(batch.column("n"), np.uint32)
-                row_sums = np.zeros((len(pieces), weights.shape[1]))
-                np.add.at(row_sums, np.repeat(np.arange(len(pieces)), many), weights[x] * n[:, None])
+                times, rows_with = blocks.gathered(batch.column("n"), np.uint32)
+                n = np.ones(len(x))
+                n[np.repeat(rows_with > 0, many)] = times
                 first = [i for i, p in enumerate(pieces) if i == 0 or p != pieces[i - 1]]
-                sums = np.add.reduceat(row_sums, first, axis=0)
+                # entries stand in the order of their rows, so those of a piece are a run (an empty run sums to nothing)
+                begin = np.append(0, np.cumsum(many))[first]
+                some = np.flatnonzero(np.diff(np.append(begin, len(x))))
+                sums = np.zeros((len(first), weights.shape[1]))
+                if len(some):
+                    sums[some] = np.add.reduceat(weights[x] * n[:, None], begin[some], axis=0)
                 names = [pieces[i] for i in first]
                 if last is not None:
                     if names[0] == last:
@@ -237,7 +280,9 @@ def _encoded(folds: int, held: int, n: int, v: int, total: np.ndarray, kinds: np
         is_head = table.column("head").to_pylist()
         ids, lengths = blocks.header(table.column("at")[is_head.index(True)].as_py())
         table = table.filter(pa.array([not h for h in is_head]))
-        at, many = blocks.gathered(table.column("at"), np.uint32)
+        content, size = blocks.gathered(table.column("at"), np.uint8)
+        tokens = int(lengths.sum())
+        at, many = widened(content, tokens), size // place_width(tokens)
         cls = np.repeat(table.column("cls").fill_null(unknown).to_numpy().astype(np.uint8), many)
         c = np.repeat(table.column("count").fill_null(0).to_numpy().astype(np.int64), many)
         seq, known = np.empty(len(at), np.uint8), np.empty(len(at), np.int64)
@@ -313,8 +358,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     empty result.
     """
     rows = text_rows(docs, id_col, text_col)
-    held_rows = stored(rows.mapInArrow(_block_rows(folds, held), blocks.SCHEMA + ", c long"), "word-blocks")
-    words = stored(held_rows.groupBy("piece").agg(F.sum("c").alias("count")).where("count > 0"), "word-counts")
+    counted = rows.mapInArrow(_count_rows(folds, held), "piece binary, c long")
+    words = stored(counted.groupBy("piece").agg(F.sum("c").alias("count")), "word-counts")
     sums = words.agg(F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)).first()
     n, v, once, twice = (int(x or 0) for x in sums)
     discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
@@ -333,7 +378,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     for r in known.groupBy("cls").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
         total[r["cls"]], kinds[r["cls"]] = r["n"], r["kinds"]
     end = int(cls[-1])
-    encoded = stored(held_rows.drop("c", "n").join(known, "piece", "left").drop("piece").groupBy("block")
+    held_rows = rows.mapInArrow(_block_rows, blocks.SCHEMA).drop("n")
+    encoded = stored(held_rows.join(known, "piece", "left").drop("piece").groupBy("block")
                      .applyInArrow(_encoded(folds, held, n, v, total, kinds, discount), _ENCODED), "class-blocks")
     states = CLASSES + 1
     moves = np.zeros(states * states)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shopstream.llm import blocks, class_lm
+from shopstream.llm import class_lm
 from tests.llm.helpers import documents
 
 
@@ -34,7 +34,7 @@ def is_held(i):
 
 @pytest.mark.parametrize("block", [3_000, 32 << 20])
 def test_counts_and_base_score_match_brute_force_and_the_model_beats_it(spark, monkeypatch, block):
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", block)
+    monkeypatch.setattr(class_lm, "TASK_BYTES", block)
     monkeypatch.setattr(class_lm, "CORE", 64)
     monkeypatch.setattr(class_lm, "CLASSES", 8)
     rows = [*enumerate(two_languages()), (900, ""), (901, None), (902, "A1 a1\x0bnever-seen É é"), (None, "a1 a2 nowhere"), (0, "a1 a1")]
@@ -87,6 +87,12 @@ def test_exchange_ends_where_no_single_move_helps(seed):
             assert likelihood(counts, other, 4) <= best + 1e-6
 
 
+@pytest.mark.parametrize("tokens", [70_000, 1 << 24])
+def test_places_are_packed_and_read_back(tokens):
+    places = np.array([0, 1, 65_536, 69_999])
+    assert class_lm.widened(class_lm.narrowed(places, tokens), tokens).tolist() == places.tolist()
+
+
 def test_probabilities_of_every_history_sum_to_one():
     rnd = np.random.default_rng(2)
     classes, discount = 5, 0.4
