@@ -165,8 +165,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = spark.sparkContext.broadcast(twice_filter(rows, bits, min_chars))
     suspects = stored(rows.mapInArrow(_suspects(shared, bits, min_chars), "id long, key binary"), "line-suspects")
     held = suspects.groupBy("key", "id").agg(F.lit(1).alias("one"))
-    repeated = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
-                .where(F.col("n") >= min_docs).select("key", "keeper"))
+    # stored, so that the join below has an exchange of its own on either side and a hot line is split
+    repeated = stored(held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper"))
+                      .where(F.col("n") >= min_docs).select("key", "keeper"), "repeated-lines")
     return (suspects.join(repeated, "key").where("id <> keeper")
             .groupBy("id").agg(F.collect_set("key").alias("keys")))
 
