@@ -3,11 +3,15 @@
 P(word | previous) = P(class | previous word's class) * P(word | class)
 
 1. The words of all training documents are counted: c of each, their number N and the vocabulary size V.
-2. Exchange clustering: the ``CORE`` most frequent words are moved between ``CLASSES`` classes, one after the other, as long as
-   the likelihood of their bigrams (counted over all training documents) grows. Every other training word then makes the
-   same move once: into the class with the largest likelihood of all its neighbours, again over all of the training text.
-3. Blocks of documents (see ``blocks``) hold the places of every word. They are joined with the words' classes and counts and gathered by block; each block keeps one byte a token, its
-   class, besides sums per document.
+2. Exchange clustering of the whole vocabulary. The ``CORE`` most frequent words start it on the driver: they are moved
+   between ``CLASSES`` classes, one after the other, as long as the likelihood of their bigrams (counted over all training
+   documents) grows. Then every training word takes part, from a table of words and classes that stays in Spark: a sweep
+   counts, for each word, the classes that all its neighbours had after the last sweep (in the first one, neighbours of the core)
+   and moves it to the class where these bigrams are likeliest. All words move at once, so the likelihood of all class bigrams
+   is measured after each sweep; sweeps end when it no longer rises (or after ``SWEEPS``), and the table with the largest one is kept.
+3. Blocks of documents (see ``blocks``) hold their distinct words and, in a row of its own, the number of each token's word; they are
+   stored once. A block's words are joined with their classes and gathered by block; at the end each block keeps one byte a
+   token, its class, besides sums per document.
 4. Class transitions are counted over all training documents and smoothed towards the classes' frequencies; words
    are emitted with an absolute discount, and what it sets free in each class goes to unknown words.
 
@@ -17,6 +21,7 @@ score has too. What the driver holds is bounded: CORE^2 bigram counts and CLASSE
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm import blocks
-from shopstream.llm.common import Memo, chunks, stored, text_rows
+from shopstream.llm.common import chunks, cut, stored, text_rows
 
 CORE = 2048
 CLASSES = 64
@@ -91,12 +96,29 @@ def widened(content: np.ndarray, tokens: int) -> np.ndarray:
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each block: a word and its places among the block's tokens."""
+    """Rows of each block: a word and its number in the block; the header also has the number of each token's word."""
     for block, index, numbers, counts, ids, _ in blocks.runs(batches, words_of, TASK_BYTES):
-        order = np.argsort(numbers, kind="stable")
-        ends = np.cumsum(np.bincount(numbers, minlength=len(index)))
-        at = blocks.packed(narrowed(order, len(numbers)), ends * place_width(len(numbers)))
-        yield blocks.rows(block, list(index), at, None, ids, counts)
+        own = blocks.packed(np.arange(len(index), dtype=np.uint32), np.arange(1, len(index) + 1))
+        batch = blocks.rows(block, list(index), own, None, ids, counts)
+        tokens = pa.array([narrowed(numbers, len(index)).tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.concat_arrays([pa.nulls(len(index), pa.binary()), tokens])], names=blocks.NAMES)
+
+
+def _opened(table: pa.Table) -> tuple[list, np.ndarray, pa.Table, np.ndarray]:
+    """(ids, tokens of each document, words by number, number of each token's word) of all rows of a block."""
+    is_head = table.column("head").to_numpy()
+    head = int(np.flatnonzero(is_head)[0])
+    ids, lengths = blocks.header(table.column("at")[head].as_py())
+    tokens = np.frombuffer(table.column("n")[head].as_py(), np.uint8)
+    words = table.filter(pa.array(~is_head)).drop_columns(["head", "n"])
+    words = words.take(pa.array(np.argsort(blocks.gathered(words.column("at"), np.uint32)[0])))
+    return ids, lengths, words, widened(tokens, words.num_rows)
+
+
+def gathered_blocks(held_rows: DataFrame, known: DataFrame):
+    """The rows of each block, its words with the columns of ``known`` (null: not there)."""
+    words = held_rows.where("not head").join(known, "piece", "left")
+    return words.unionByName(held_rows.where("head"), allowMissingColumns=True).groupBy("block")
 
 
 def _core_rows(core: list[bytes], folds: int, held: int):
@@ -189,105 +211,169 @@ def exchange(counts: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarr
     return cls
 
 
-def neighbour_weights(counts: np.ndarray, cls: np.ndarray, classes: int) -> np.ndarray:
-    """Row x, column k: what one neighbour x (left class, then right class) adds to the log-likelihood of class k."""
-    onehot = np.eye(classes)[cls]
-    grid = onehot.T @ counts @ onehot + 0.1
-    given_left = np.log(grid / grid.sum(axis=1, keepdims=True))             # P(k | left)
-    right_given = np.log(grid / grid.sum(axis=1, keepdims=True)).T          # P(right | k), row right
-    return np.concatenate([given_left, right_given])
+_PROFILE = "piece binary, cls int, x binary, n binary"
 
 
-def _profile_rows(core: list[bytes], cls: np.ndarray, folds: int, held: int):
-    """Rows (piece, x, n): the classes of a word's core neighbours in training documents, left ones, then right
-    ones plus CLASSES, and how often (null: once each)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = dict(zip(core, cls.tolist(), strict=True))
-        index, held_pairs, size = blocks.Index(), [], 0
-
-        def flush():
-            pairs, n = np.unique(np.concatenate(held_pairs), return_counts=True)
-            ends = np.searchsorted(pairs >> 8, np.arange(len(index)), side="right")
-            many = np.diff(np.append(0, ends))
-            several = np.zeros(len(index), bool)  # words that have a neighbour class more than once; the others need no numbers
-            several[np.repeat(np.arange(len(index)), many)[n > 1]] = True
-            times = blocks.packed(n[np.repeat(several, many)].astype(np.uint32), np.cumsum(many * several), several)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(index), pa.binary()), blocks.packed((pairs & 255).astype(np.uint8), ends), times], names=["piece", "x", "n"])
-
-        def number(w):  # a core word: its class; others: past the classes
-            return of[w] if w in of else CLASSES + index[w]
-        memo = Memo(number)
-        for ids, bodies in chunks(batches):
-            seq = _sequence(bodies, learnt_from(ids, folds, held), memo.__getitem__, of[END])
-            size += len(seq)
-            other = seq >= CLASSES
-            left = np.flatnonzero(other[1:] & ~other[:-1])
-            right = np.flatnonzero(other[:-1] & ~other[1:])
-            held_pairs += [(seq[left + 1] - CLASSES) << 8 | seq[left], (seq[right] - CLASSES) << 8 | (seq[right + 1] + CLASSES)]
-            if size >= TASK_BYTES // 5:
-                yield flush()
-                index.clear()
-                memo.clear()
-                held_pairs, size = [], 0
-        if held_pairs:
-            yield flush()
+def _profile_batch(pieces, cls, word: np.ndarray, x: np.ndarray, n: np.ndarray, kind) -> pa.RecordBatch:
+    """Rows (piece, cls, x, n): how often (null: once each) a word has which neighbours; entries sorted by the word's number."""
+    many = np.bincount(word, minlength=len(pieces))
+    several = np.zeros(len(pieces), bool)  # words that have an entry of more than one; the others need no numbers
+    several[word[n > 1]] = True
+    times = blocks.packed(n[several[word]].astype(kind), np.cumsum(many * several), several)
+    return pa.RecordBatch.from_arrays([pieces, cls, blocks.packed(x.astype(np.uint8), np.cumsum(many)), times], names=["piece", "cls", "x", "n"])
+
+
+def _profiles(folds: int, held: int):
+    """All rows of a block -> a row a training word: the classes of its neighbours, left ones, then right ones plus
+    CLASSES, and 2 * CLASSES for the word itself. Neighbours without a class are not in it."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, lengths, words, numbers = _opened(table)
+        size = words.num_rows
+        kind = np.uint32 if size < 1 << 24 else np.int64
+        # the first history is an end, as every document's last token is
+        seq = np.append(numbers[-1:], numbers[np.repeat(learnt_from(ids, folds, held), lengths)]).astype(kind)
+        there = np.bincount(seq[1:], minlength=size) > 0
+        cls = words.column("cls").combine_chunks()
+        of = cls.fill_null(255).to_numpy(zero_copy_only=False).astype(kind)[seq]
+        left, right = seq[:-1], seq[1:]
+        same, eight = left == right, kind(8)
+        pairs = np.concatenate([
+            (right << eight | of[:-1])[~same & (of[:-1] < CLASSES)], (left << eight | (of[1:] + kind(CLASSES)))[~same & (of[1:] < CLASSES)],
+            (right << eight | kind(2 * CLASSES))[same & (of[1:] < CLASSES)]])
+        pairs, n = np.unique(pairs, return_counts=True)
+        piece = words.column("piece").combine_chunks()
+        batch = _profile_batch(piece, cls.cast(pa.int32()), (pairs >> eight).astype(np.int64), pairs & kind(255), n, np.uint32)
+        return pa.Table.from_batches([batch.filter(pa.array(there))])
     return run
 
 
-def _assign_rows(weights: np.ndarray, start: np.ndarray):
-    """Rows sorted by piece -> (piece, cls): the class of the largest likelihood; words without a core neighbour: of the largest class."""
-    def best(piece: list, likelihood: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(piece, pa.binary()), pa.array(np.argmax(likelihood + start, axis=1).astype(np.int32))], names=["piece", "cls"])
+def _dense(batch: pa.RecordBatch, kind, group: np.ndarray, groups: int) -> np.ndarray:
+    """Entries of all rows, added by group: a column for each possible neighbour."""
+    x, many = blocks.gathered(batch.column("x"), np.uint8)
+    times, rows_with = blocks.gathered(batch.column("n"), kind)
+    n = np.ones(len(x))
+    n[np.repeat(rows_with > 0, many)] = times
+    width = 2 * CLASSES + 1
+    return np.bincount(np.repeat(group, many) * width + x, weights=n, minlength=groups * width).reshape(groups, width)
+
+
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by piece -> one row a piece."""
+    def rows(pieces: list, cls: list, sums: np.ndarray) -> pa.RecordBatch:
+        word, x = np.nonzero(sums)
+        return _profile_batch(pa.array(pieces, pa.binary()), pa.array(cls, pa.int32()), word, x, sums[word, x], np.int64)
+
+    last, last_cls, open_sum = None, None, None
+    for whole in batches:
+        for at in range(0, whole.num_rows, 2000):
+            batch = whole.slice(at, 2000)
+            pieces, cls = batch.column("piece").to_pylist(), batch.column("cls").to_pylist()
+            first = np.array([i == 0 or p != pieces[i - 1] for i, p in enumerate(pieces)])
+            begin = np.flatnonzero(first)
+            sums = _dense(batch, np.uint32, np.cumsum(first) - 1, len(begin))
+            names, of = [pieces[i] for i in begin], [cls[i] for i in begin]
+            if last is not None:
+                if names[0] == last:
+                    sums[0] += open_sum
+                else:
+                    names.insert(0, last)
+                    of.insert(0, last_cls)
+                    sums = np.concatenate([open_sum[None], sums])
+            if len(names) > 1:
+                yield rows(names[:-1], of[:-1], sums[:-1])
+            last, last_cls, open_sum = names[-1], of[-1], sums[-1]
+    if last is not None:
+        yield rows([last], [last_cls], open_sum[None])
+
+
+def _grid_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (at, n): how often a class follows a class, from the left neighbours of the words that have one."""
+    grid = np.zeros((CLASSES, CLASSES))
+    for batch in batches:
+        batch = batch.filter(batch.column("cls").is_valid())
+        sums = _dense(batch, np.int64, batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64), CLASSES)
+        grid += sums[:, :CLASSES].T
+        grid[np.arange(CLASSES), np.arange(CLASSES)] += sums[:, -1]
+    total = grid.ravel().astype(np.int64)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+
+def class_bigrams(sums: DataFrame) -> np.ndarray:
+    grid = np.zeros(CLASSES * CLASSES)
+    for r in sums.mapInArrow(_grid_rows, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        grid[r["at"]] = r["n"]
+    return grid.reshape(CLASSES, CLASSES)
+
+
+def gain_over_independence(grid: np.ndarray) -> float:
+    """What class bigrams add to the log-likelihood of the training text; the rest of it depends on no class."""
+    return float(_xlogx(grid).sum() - _xlogx(grid.sum(axis=0)).sum() - _xlogx(grid.sum(axis=1)).sum() + _xlogx(grid.sum()))
+
+
+def move_weights(grid: np.ndarray) -> np.ndarray:
+    """Row x, column k: what one neighbour x adds to the log-likelihood if the word is of class k."""
+    grid = grid + 0.1
+    before, after = np.log(grid.sum(axis=1)), np.log(grid.sum(axis=0))
+    logs = np.log(grid)
+    return np.concatenate([logs - after, logs.T - before, (np.diag(logs) - before - after)[None]])
+
+
+def _move_rows(grid: np.ndarray, all_words: bool):
+    """Rows (piece, cls): each word (or only those without a class) in its likeliest class; without a neighbour that has
+    one, in the class of the most tokens."""
+    weights, most = move_weights(grid), int(np.argmax(grid.sum(axis=0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, open_sum = None, None
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
-                pieces = batch.column("piece").to_pylist()
-                x, many = blocks.gathered(batch.column("x"), np.uint8)
-                times, rows_with = blocks.gathered(batch.column("n"), np.uint32)
-                n = np.ones(len(x))
-                n[np.repeat(rows_with > 0, many)] = times
-                first = [i for i, p in enumerate(pieces) if i == 0 or p != pieces[i - 1]]
-                # entries stand in the order of their rows, so those of a piece are a run (an empty run sums to nothing)
-                begin = np.append(0, np.cumsum(many))[first]
-                some = np.flatnonzero(np.diff(np.append(begin, len(x))))
-                sums = np.zeros((len(first), weights.shape[1]))
-                if len(some):
-                    sums[some] = np.add.reduceat(weights[x] * n[:, None], begin[some], axis=0)
-                names = [pieces[i] for i in first]
-                if last is not None:
-                    if names[0] == last:
-                        sums[0] += open_sum
-                    else:
-                        names.insert(0, last)
-                        sums = np.concatenate([open_sum[None], sums])
-                if len(names) > 1:
-                    yield best(names[:-1], sums[:-1])
-                last, open_sum = names[-1], sums[-1]
-        if last is not None:
-            yield best([last], open_sum[None])
+                size = batch.num_rows
+                sums = _dense(batch, np.int64, np.arange(size), size)
+                old = batch.column("cls").fill_null(-1).to_numpy(zero_copy_only=False)
+                score = sums @ weights
+                new = np.where(sums.any(axis=1), np.argmax(score, axis=1), most)
+                rows = np.arange(size)
+                stay = (old >= 0) & ((score[rows, new] <= score[rows, old] + 1e-9) | (not all_words))
+                yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(np.where(stay, old, new).astype(np.int32))], names=["piece", "cls"])
     return run
 
 
+def clustered(held_rows: DataFrame, core: DataFrame, folds: int, held: int, history: list | None = None) -> DataFrame:
+    """``(piece, cls)`` of every training word, from the classes of some. ``history`` gets the likelihood after each sweep."""
+    spark = held_rows.sparkSession
+
+    def summed(classes):
+        profiles = gathered_blocks(held_rows, classes).applyInArrow(_profiles(folds, held), _PROFILE)
+        out = cut(profiles.repartition("piece").sortWithinPartitions("piece").mapInArrow(_sum_rows, _PROFILE))
+        gc.collect()  # what earlier sweeps shuffled and stored goes only with its objects
+        spark.sparkContext._jvm.System.gc()
+        return out
+    sums = summed(core)
+    classes = sums.mapInArrow(_move_rows(class_bigrams(sums), False), "piece binary, cls int")
+    best, kept = -np.inf, classes
+    for _ in range(SWEEPS):
+        sums = summed(classes)
+        grid = class_bigrams(sums)
+        now = gain_over_independence(grid)
+        if history is not None:
+            history.append(now)
+        if now <= best:
+            break
+        best, kept = now, sums.select("piece", "cls")
+        classes = sums.mapInArrow(_move_rows(grid, True), "piece binary, cls int")
+    return kept
+
+
 def _encoded(folds: int, held: int, n: int, v: int, total: np.ndarray, kinds: np.ndarray, discount: float):
     """All rows of a block -> one row: a class for each token, and sums for each document."""
     unknown = len(total)
 
     def run(table: pa.Table) -> pa.Table:
-        is_head = table.column("head").to_pylist()
-        ids, lengths = blocks.header(table.column("at")[is_head.index(True)].as_py())
-        table = table.filter(pa.array([not h for h in is_head]))
-        content, size = blocks.gathered(table.column("at"), np.uint8)
-        tokens = int(lengths.sum())
-        at, many = widened(content, tokens), size // place_width(tokens)
-        cls = np.repeat(table.column("cls").fill_null(unknown).to_numpy().astype(np.uint8), many)
-        c = np.repeat(table.column("count").fill_null(0).to_numpy().astype(np.int64), many)
-        seq, known = np.empty(len(at), np.uint8), np.empty(len(at), np.int64)
-        seq[at], known[at] = cls, c
-        emit = np.zeros(len(at))
+        ids, lengths, words, numbers = _opened(table)
+        seq = words.column("cls").fill_null(unknown).to_numpy().astype(np.uint8)[numbers]
+        known = words.column("count").fill_null(0).to_numpy().astype(np.int64)[numbers]
+        emit = np.zeros(len(seq))
         seen = known > 0
         emit[seen] = np.log10((known[seen] - discount) / total[seq[seen]])
         base = np.log10((known + 1) / (n + v + 1))
@@ -367,20 +453,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     core = [bytes(r["piece"]) for r in words.where(F.col("piece") != F.lit(END)).orderBy(F.desc("count"), "piece").limit(CORE - 1).collect()] + [END]
     counts = core_bigrams(rows, core, folds, held)
     cls = exchange(counts, CLASSES)
-    share = np.bincount(cls, minlength=CLASSES) / len(cls)
-    profiles = rows.mapInArrow(_profile_rows(core, cls, folds, held), "piece binary, x binary, n binary")
-    others = (profiles.repartition("piece").sortWithinPartitions("piece")
-              .mapInArrow(_assign_rows(neighbour_weights(counts, cls, CLASSES), np.log(share + 1e-3)), "piece binary, cls int"))
-    classes = others.unionByName(docs.sparkSession.createDataFrame([(bytearray(w), int(k)) for w, k in zip(core, cls, strict=True)], "piece binary, cls int"))
+    classes = docs.sparkSession.createDataFrame([(bytearray(w), int(k)) for w, k in zip(core, cls, strict=True)], "piece binary, cls int")
+    held_rows = stored(rows.mapInArrow(_block_rows, blocks.SCHEMA), "word-blocks")
+    if n:
+        classes = clustered(held_rows, classes, folds, held)
     known = stored(words.join(classes, "piece"), "word-classes")
 
     total, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in known.groupBy("cls").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
         total[r["cls"]], kinds[r["cls"]] = r["n"], r["kinds"]
     end = int(cls[-1])
-    held_rows = rows.mapInArrow(_block_rows, blocks.SCHEMA).drop("n")
-    encoded = stored(held_rows.join(known, "piece", "left").drop("piece").groupBy("block")
-                     .applyInArrow(_encoded(folds, held, n, v, total, kinds, discount), _ENCODED), "class-blocks")
+    encoded = stored(gathered_blocks(held_rows, known).applyInArrow(_encoded(folds, held, n, v, total, kinds, discount), _ENCODED), "class-blocks")
     states = CLASSES + 1
     moves = np.zeros(states * states)
     for r in encoded.select("seq", "n_tokens", "learnt").mapInArrow(_transition_rows(end, states), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():

@@ -113,3 +113,25 @@ def test_edge_cases(spark):
     docs = documents(spark, [(1, "x y"), (1, "x y"), (3, "word " * 100_000)]).withColumn("c", F.lit("x")).withColumn("block", F.lit(1)).withColumn("id", F.lit("x"))
     got = class_lm.lm_scores(docs).collect()
     assert sorted(r["n_tokens"] for r in got) == [3, 3, 100_001] and len({r["score"] for r in got if r["doc_id"] == 1}) == 1
+
+
+def test_every_training_word_is_moved_by_all_its_neighbours(spark, monkeypatch):
+    """Two languages of rare words beside one frequent word: only neighbours outside the core tell the languages apart."""
+    monkeypatch.setattr(class_lm, "CORE", 2)
+    monkeypatch.setattr(class_lm, "CLASSES", 3)
+    monkeypatch.setattr(class_lm, "TASK_BYTES", 2_000)
+    rnd = random.Random(6)
+    texts = [f"the {' '.join(rnd.choice('xy') + str(rnd.randrange(40)) for _ in range(1))} " + " ".join(f"{'pq'[k % 2]}{rnd.randrange(40)}" for k in range(20)) for _ in range(300)]
+    rows = class_lm.text_rows(documents(spark, texts))
+    held_rows = class_lm.stored(rows.mapInArrow(class_lm._block_rows, class_lm.blocks.SCHEMA), "test-blocks")
+    start = spark.createDataFrame([(bytearray(b"the"), 0), (bytearray(class_lm.END), 1)], "piece binary, cls int")
+    history = []
+    got = {bytes(r["piece"]): r["cls"] for r in class_lm.clustered(held_rows, start, 7, 2, history).collect()}
+    training = [[class_lm.END, *class_lm.words_of(t.encode())] for i, t in enumerate(texts) if not is_held(i)]
+    assert set(got) == {w for t in training for w in t}
+    grid = np.zeros((3, 3))
+    for t in training:
+        for a, b in zip(t, t[1:], strict=False):
+            grid[got[a], got[b]] += 1
+    assert len(history) > 1 and max(history) > history[0]
+    assert abs(class_lm.gain_over_independence(grid) - max(history)) < 1e-6 * max(history)
