@@ -4,12 +4,13 @@ The automaton holds every run of words of all templates. A text is streamed thro
 gives its matching statistics: the length and state of the longest run of template words that ends at each
 word. Runs that cannot be extended (maximal matches) of at least ``MIN_RUN`` words are placed in their
 templates and chained in order, over small gaps on either side, into covered spans; a template is
-reported where a chain covers enough of it. Base phrases are read off the same statistics: a phrase stands
+reported at every place where a chain covers enough of it and overlaps no better one of the same template. Base phrases are read off the same statistics: a phrase stands
 where the match is at least as long and its state lies under the phrase's in the tree of suffix links.
 """
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -162,8 +163,23 @@ class Scanner:
             runs.append((before - n + 1, before + 1, v))
         return bases, runs
 
+    @staticmethod
+    def _chained(matches: list) -> list[tuple[int, int, int, int]]:
+        """The best chain that ends with each match: (covered words, start, end, end in the template)."""
+        out, chains = [], []
+        for s, e, ts, te in matches:
+            top = (te - ts, s, e, te)
+            chains = [c for c in chains if c[2] + MAX_GAP >= s]  # no later match can reach the others
+            for covered, cs, ce, cte in chains:
+                skip = max(0, ce - s, cte - ts)  # words that the chain has already
+                if skip < e - s and s + skip - ce <= MAX_GAP and ts + skip - cte <= MAX_GAP and s >= cs:
+                    top = max(top, (covered + te - ts - skip, cs, e, te), key=lambda c: c[:2])  # of equal ones the shortest
+            chains.append(top)
+            out.append(top)
+        return out
+
     def chains(self, runs: list) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, coverage) of the best chain of each template, where it covers enough."""
+        """(label, start, end, coverage) of each template's chains that cover enough and overlap no better one of the template."""
         placed = defaultdict(list)
         for start, end, v in runs:
             for number, last in self.auto.places[v]:
@@ -174,21 +190,24 @@ class Scanner:
             if number < base:
                 continue
             words, label = self.templates[number - base]
-            best = None
-            chains: list[tuple[int, int, int, int]] = []  # (covered words, start, end, end in the template)
-            for s, e, ts, te in sorted(set(matches)):
-                top = (te - ts, s, e, te)
-                chains = [c for c in chains if c[2] + MAX_GAP >= s]  # no later match can reach the others
-                for covered, cs, ce, cte in chains:
-                    skip = max(0, ce - s, cte - ts)  # words that the chain has already
-                    if skip < e - s and s + skip - ce <= MAX_GAP and ts + skip - cte <= MAX_GAP and s >= cs:
-                        top = max(top, (covered + te - ts - skip, cs, e, te), key=lambda c: (c[0], -c[1]))
-                chains.append(top)
-                if best is None or top[0] > best[0]:
-                    best = top
-            coverage = best[0] / len(words)
-            if coverage >= COVERAGE:
-                found.append((label, best[1], best[2], coverage))
+            parts = [sorted(set(matches))]
+            while parts:  # what lies between the chains taken is chained anew, without the words of those
+                later = []
+                for part in parts:
+                    taken: list[tuple[int, int]] = []
+                    enough = [c for c in self._chained(part) if c[0] / len(words) >= COVERAGE]
+                    for covered, s, e, _ in sorted(enough, key=lambda c: (-c[0], c[2] - c[1], c[1])):
+                        at = bisect(taken, (s, e))
+                        if (at == 0 or taken[at - 1][1] <= s) and (at == len(taken) or taken[at][0] >= e):
+                            taken.insert(at, (s, e))
+                            found.append((label, s, e, covered / len(words)))
+                    between = defaultdict(list)
+                    for m in part if taken else ():
+                        at = bisect(taken, m[0], key=lambda t: t[0])
+                        if (at == 0 or taken[at - 1][1] <= m[0]) and (at == len(taken) or taken[at][0] >= m[1]):
+                            between[at].append(m)
+                    later += between.values()
+                parts = later
         return found
 
     def result(self, body: bytes) -> dict:
@@ -228,7 +247,7 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] | None = None, templa
 
     ``n_base`` counts every place where the words of a base phrase stand consecutively, ``first_word`` and ``last_word`` are
     the smallest and largest start (null without one). ``labels`` adds those of covered templates, whose ``spans`` (words, from
-    0) are listed. ``score``: 1 with a base phrase, else the best coverage of a reported template, else 0. A null or empty text has
+    0) are listed, one for each place a notice stands. ``score``: 1 with a base phrase, else the best coverage of a reported template, else 0. A null or empty text has
     no words; repeated rows and rows without an id are scanned each. An empty table gives an empty result.
     """
     run = _scan_rows(PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)

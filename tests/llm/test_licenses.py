@@ -93,3 +93,23 @@ def test_edge_cases(spark):
     docs = docs.withColumn("labels", F.lit(1)).withColumn("id", F.lit("x")).withColumn("body", F.lit("x"))
     got = sorted((r["doc_id"] or -1, r["n_base"], r["labels"]) for r in licenses.scan_licenses(docs).collect())
     assert got == [(-1, 1, "reserved"), (1, 1, "cc-by"), (1, 1, "cc-by"), (2, 20_000, "gpl")]
+
+
+def test_every_place_of_a_notice_is_reported(spark):
+    notice = licenses.TEMPLATES["mit"][1].split()
+    edited = notice[:12] + ["really"] + notice[12:]
+    filler = prose(3, 40).split()
+    places, text = [], []
+    for part in (notice, filler, edited, notice, notice[:9], filler, notice):
+        if part is notice or part is edited:
+            places.append((len(text), len(text) + len(part) - 1))
+        text += part
+    row = licenses.scan_licenses(documents(spark, [" ".join(text)])).first()
+    assert [(s["label"], s["first"], s["last"]) for s in row["spans"]] == [("mit", a, b) for a, b in places]
+
+
+def test_short_notices_back_to_back_are_told_apart():
+    scanner = licenses.Scanner({}, {"t": ["a b c d e f g"]})
+    text = " ".join(["a b c x e f g"] * 50)
+    spans = scanner.result(text.encode())["spans"]
+    assert [(s["first"], s["last"]) for s in spans] == [(7 * i, 7 * i + 6) for i in range(50)]
