@@ -69,3 +69,17 @@ def test_a_full_filter_changes_nothing(spark):
     docs = [(i, prose(100 + i, 50, 50) + " " + (items[i % 30][1] if i % 3 else "")) for i in range(40)]
     got = decontaminate.contained_items(documents(spark, docs), items_table(spark, items), filter_bits=4).collect()
     assert sorted(tuple(r)[:4] for r in got) == brute(docs, items)
+
+
+def test_no_item_of_a_few_shingles_is_missed(spark):
+    """Items of one to eight shingles, copied into the first block and the middle of long documents."""
+    items = [(i, prose(i, 5 if i < 500 else 5 + i % 8, 9000)) for i in range(800)]
+    docs = []
+    for i, text in items:
+        words = prose(5000 + i, 120, 9000).split()
+        at = 3 if i % 2 else 60
+        docs.append((i, " ".join([*words[:at], text, *words[at:]])))
+    got = decontaminate.contained_items(documents(spark, docs), items_table(spark, items)).collect()
+    assert sorted(tuple(r)[:4] for r in got) == brute(docs, items)
+    only_short = decontaminate.contained_items(documents(spark, docs), items_table(spark, items[:500])).collect()
+    assert sorted(tuple(r)[:4] for r in only_short) == brute(docs, items[:500])
