@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import class_lm, decontaminate, embedding_dedup, licenses, line_dedup, packing, quality, simhash, token_counts, toxicity
+from shopstream.llm import (
+    alignment,
+    centroids,
+    class_lm,
+    decontaminate,
+    embedding_dedup,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from shopstream.llm.common import read_table
 
 
@@ -57,6 +71,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), containment=0.8)
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"), clusters=40, rounds=5, scale=256, salt="2")
+
+
+#: fixed values: the rules that urls are judged by
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.align_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -68,4 +101,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_url_filter": op12_url_filter,
+    "op13_token_alignment": op13_token_alignment,
 }
