@@ -1,9 +1,9 @@
 """Operator 13, cross-tokenizer alignment by pointer jumping.
 
-1. Both tokenizers encode every text; tokenizer A's library sees each distinct pre-token once while a task remembers it. Tokens are
-   laid out by the bytes they stand for, so a token is known by where it ends.
+1. Texts are cut before the first space after a non-space: there no token of either side goes on. A task encodes and aligns each distinct
+   piece once while it remembers it. Tokens are laid out by the bytes they stand for, so a token is known by where it ends.
 2. Every token points to the farthest-right token of the other side that it overlaps; a token of A that ends where one
-   of B ends points to itself. Successors are doubled, for all tokens of many documents at once, until nothing changes: each
+   of B ends points to itself. Successors are doubled, for all tokens of all new pieces at once, until nothing changes: each
    token then points to the terminal token of its component, which labels its group. A group of n tokens takes about log2(n) steps.
 3. The documents are stored with their links packed into bytes. A block of documents hands on each distinct pair of ids once, with
    how often it is in the block: these rows are summed to corpus counts, and joined with them to bring the counts back to the blocks.
@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import chunks, stored, text_rows
-from shopstream.llm.token_counts import Cutter
+from shopstream.llm.token_counts import PATTERN, Cutter
 
 BLOCK_BYTES = 8 << 20  # text bytes of a block
-REMEMBERED = 1 << 18   # distinct pre-tokens that a task holds
+REMEMBERED = 400_000   # distinct pieces that a task holds
+REMEMBERED_CHARS = 64  # longer ones are not held
 _RUN_BITS = 20
 
 
@@ -37,52 +40,63 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(c): b for c, b in [*zip(plain, plain, strict=True), *((256 + i, b) for i, b in enumerate(others))]}
 
 
+#: A space after a non-space begins a piece; white space that begins otherwise, and that at the end of a text, stays in its piece.
+PIECES = re.compile(r" \s*\S+(?:[^\S ]\s*\S+)*(?:\s+\Z)?|\s+\Z").findall
+
+
 class SideA:
-    """A byte-level tokenizer; special strings inside texts are plain text."""
+    """A byte-level tokenizer, whose pre-tokens begin at every such space; special strings inside texts are plain text.
+
+    Where its ids stand in the order of its merges, merging by id is the same as merging by its list, and ASCII pieces (of which
+    all versions of Unicode say the same) take the faster library that does so."""
 
     def __init__(self, source: str):
-        self.cutter = Cutter(source)
-        self.library = self.cutter.library
+        self.library = Cutter(source).library
         self.library.encode_special_tokens = True
         spec, alphabet = json.loads(source), byte_alphabet()
-        vocab = {i: bytes(alphabet[c] for c in p) for p, i in spec["model"]["vocab"].items()
-                 if all(c in alphabet for c in p)}
-        self.bytes = [vocab.get(i, b"") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        pieces = [self.cutter.pre_tokens(t) for t in texts]
-        fresh = list({p for some in pieces for p in some}.difference(self.known))
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-            fresh = list({p for some in pieces for p in some})
-        known = self.known
-        for p, e in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            known[p] = e.ids
-        out = []
-        for some in pieces:
-            ids: list[int] = []
-            for p in some:
-                ids += known[p]
-            out.append(ids)
-        return out
+        vocab = spec["model"]["vocab"]
+        spelled = {i: bytes(alphabet[c] for c in p) for p, i in vocab.items() if all(c in alphabet for c in p)}
+        self.bytes = [spelled.get(i, b"") for i in range(self.library.get_vocab_size(with_added_tokens=True))]
+        self.lengths = [len(x) for x in self.bytes]
+        merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+        singles = [i for i, x in spelled.items() if len(x) == 1]
+        in_order = len(singles) == 256 and merged[:1] > [max(singles)] and all(x < y for x, y in pairwise(merged))
+        plain = {k: spec["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")}
+        self.by_id = None
+        if in_order and not any(plain.values()):
+            import tiktoken
+
+            ranks = {spelled[i]: i for i in [*singles, *merged]}
+            self.by_id = tiktoken.Encoding("ids", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, pieces: list[str]) -> list[list[int]]:
+        if self.by_id is None:
+            return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        others = iter(self.library.encode_batch_fast([p for p in pieces if not p.isascii()], add_special_tokens=False))
+        return [self.by_id(p) if p.isascii() else next(others).ids for p in pieces]
 
 
 class SideB:
-    """A SentencePiece model that puts a space before the text."""
+    """A SentencePiece model that puts a space before the text and has no token that goes on after a space."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.bytes = [self._of(i) for i in range(self.library.get_piece_size())]
+        size = self.library.get_piece_size()
+        if any(re.search("[^▁]▁", self.library.id_to_piece(i)) for i in range(size)):
+            raise ValueError("models with tokens across spaces are not supported")
+        if "".join(self.library.encode("  a  b", out_type=str)) != "▁▁▁a▁▁b":
+            raise ValueError("only models that keep white space and add a space are supported")
+        self.bytes = [self._of(i) for i in range(size)]
+        self.lengths = [len(x) for x in self.bytes]
 
     def _of(self, i: int) -> bytes:
         piece = self.library.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, pieces: list[str]) -> list[list[int]]:
+        return self.library.encode([p[1:] for p in pieces], num_threads=1)
 
 
 def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,47 +113,68 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Aligner:
-    def __init__(self, a: SideA, b: SideB):
-        self.a, self.b = a, b
-        self.len_a, self.len_b = (np.array([len(x) for x in side.bytes], np.int64) for side in (a, b))
+    def __init__(self, a: SideA, b: SideB, kind: str):
+        self.a, self.b, self.kind = a, b, kind
+        self.len_a, self.len_b = (np.array(side.lengths, np.int64) for side in (a, b))
         # a token in a digest and what follows it: in a group, after the last token of A, after the last of B
         self.texts = [f"{i}{mark}" for mark, side in ((",", a), ("|", a), (",", b), (";", b)) for i in range(len(side.bytes))]
         sizes = np.cumsum([0, len(a.bytes), len(a.bytes), len(b.bytes)])
         self.within_a, self.last_a, self.within_b, self.last_b = sizes.tolist()
-
-    def _tokens(self, bodies: list[bytes]):
-        """Ids of both sides; none where the tokens of a side are not the bytes of the text after a space."""
-        texts = [b.decode("utf-8", "replace") for b in bodies]
-        for body, a, b in zip(bodies, self.a.encode([" " + t for t in texts]), self.b.encode(texts), strict=True):
-            whole = b" " + body
-            same = body and all(b"".join([side.bytes[i] for i in ids]) == whole for side, ids in ((self.a, a), (self.b, b)))
-            yield (a, b) if same else ([], [])
-
-    def align(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str], list[np.ndarray]]:
-        """(tokens of A, tokens of B, digest, linked ids as a * size of B + b) of each text."""
-        both = list(self._tokens(bodies))
-        n_a, n_b = (np.array([len(x[k]) for x in both], np.int64) for k in (0, 1))
-        a, b = (np.fromiter((i for x in both for i in x[k]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
+        self.known: dict[str, tuple | None] = {}
+
+    def _aligned(self, pieces: list[str]) -> Iterator[tuple | None]:
+        """(tokens of A, tokens of B, text of the groups, links) of each piece; None where the tokens of a side are not its bytes."""
+        whole, encoded = [p.encode() for p in pieces], (self.a.encode(pieces), self.b.encode(pieces))
+        sound = [True] * len(pieces)
+        for side, tokens in zip((self.a, self.b), encoded, strict=True):
+            size = side.lengths.__getitem__
+            if b"".join([side.bytes[i] for ids in tokens for i in ids]) != b"".join(whole) or any(
+                    sum(map(size, ids)) != len(w) for ids, w in zip(tokens, whole, strict=True)):  # look for the pieces that differ
+                sound = [same and b"".join([side.bytes[i] for i in ids]) == w for same, ids, w in zip(sound, tokens, whole, strict=True)]
+        both = [x if same else None for x, same in zip(zip(*encoded, strict=True), sound, strict=True)]
+        some = [x for x in both if x]
+        n_a, n_b = (np.fromiter((len(x[k]) for x in some), np.int64, len(some)) for k in (0, 1))
+        a, b = (np.fromiter(chain.from_iterable([x[k] for x in some]), np.int64, int(n.sum())) for k, n in ((0, n_a), (1, n_b)))
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         top_a, top_b = terminals(end_a, end_b)
 
-        last = np.flatnonzero(top_a == np.arange(len(a)))           # terminal tokens, one a group
-        links = a[last] * len(self.b.bytes) + b[np.searchsorted(end_b, end_a[last])]
+        ends = top_a == np.arange(len(a))
+        last = np.flatnonzero(ends)           # terminal tokens, one a group
+        links = (a[last] * len(self.b.bytes) + b[np.searchsorted(end_b, end_a[last])]).astype(self.kind)
         group_a, group_b = np.searchsorted(last, top_a), np.searchsorted(last, top_b)
         ends_b = np.cumsum(np.bincount(group_b, minlength=len(last)))  # tokens of B up to the end of each group
-        text = np.empty(len(a) + len(b), np.int64)
-        text[np.arange(len(a)) + np.append(0, ends_b)[group_a]] = a + np.where(top_a == np.arange(len(a)), self.last_a, self.within_a)
+        marked = np.empty(len(a) + len(b), np.int64)
+        marked[np.arange(len(a)) + np.append(0, ends_b)[group_a]] = a + np.where(ends, self.last_a, self.within_a)
         closes = np.append(group_b[1:] != group_b[:-1], True)[:len(b)]
-        text[np.arange(len(b)) + last[group_b] + 1] = b + np.where(closes, self.last_b, self.within_b)
+        marked[np.arange(len(b)) + last[group_b] + 1] = b + np.where(closes, self.last_b, self.within_b)
 
-        cuts = np.append(0, np.cumsum(n_a + n_b))
-        groups = np.searchsorted(last, np.append(0, np.cumsum(n_a)))   # groups before each text
-        digests, linked = [], []
-        for i in range(len(bodies)):
-            words = text[cuts[i]:cuts[i + 1]].tolist()
-            digests.append(hashlib.sha256("".join([self.texts[w] for w in words])[:-1].encode()).hexdigest() if words else "")
-            linked.append(links[groups[i]:groups[i + 1]])
-        return n_a, n_b, digests, linked
+        words, links = [self.texts[i] for i in marked.tolist()], links.tobytes()
+        cuts = np.append(0, np.cumsum(n_a + n_b)).tolist()
+        groups = (np.searchsorted(last, np.append(0, np.cumsum(n_a))) * np.dtype(self.kind).itemsize).tolist()  # bytes of links before each piece
+        done = zip(n_a.tolist(), n_b.tolist(), ("".join(words[x:y]) for x, y in pairwise(cuts)), (links[x:y] for x, y in pairwise(groups)), strict=True)
+        for x in both:
+            yield next(done) if x else None
+
+    def align(self, bodies: list[bytes]) -> Iterator[tuple[int, int, str, bytes]]:
+        """(tokens of A, tokens of B, digest, linked ids as a * size of B + b) of each text."""
+        texts = [b.decode("utf-8", "replace") for b in bodies]
+        pieces = [PIECES(" " + t) if t else [] for t in texts]
+        distinct = set(chain.from_iterable(pieces))
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        fresh = list(distinct.difference(self.known))
+        self.known.update(zip(fresh, self._aligned(fresh), strict=True))
+        known = self.known
+        for body, text, some in zip(bodies, texts, pieces, strict=True):
+            parts = [known[p] for p in some]
+            if not parts or None in parts or text.encode() != body:
+                yield 0, 0, "", b""
+                continue
+            a, b, groups, links = zip(*parts, strict=True)
+            yield sum(a), sum(b), hashlib.sha256("".join(groups)[:-1].encode()).hexdigest(), b"".join(links)
+        for p in fresh:
+            if len(p) > REMEMBERED_CHARS:
+                del known[p]
 
 
 _DOC = "block long, doc_id long, n_a long, n_b long, groups_sha256 string, links binary"
@@ -148,15 +183,14 @@ _DOC = "block long, doc_id long, n_a long, n_b long, groups_sha256 string, links
 def _aligned_rows(shared, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, model = shared.value
-        aligner = Aligner(SideA(source), SideB(model))
+        aligner = Aligner(SideA(source), SideB(model), kind)
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         run_no, size = 0, 0
         for ids, bodies in chunks(batches):
-            n_a, n_b, digests, linked = aligner.align(bodies)
+            n_a, n_b, digests, links = zip(*aligner.align(bodies), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), part << _RUN_BITS | run_no)), pa.array(ids, pa.int64()), pa.array(n_a), pa.array(n_b),
-                 pa.array(digests, pa.string()), pa.array([x.astype(kind).tobytes() for x in linked], pa.binary())],
-                names=["block", "doc_id", "n_a", "n_b", "groups_sha256", "links"])
+                [pa.array(np.full(len(ids), part << _RUN_BITS | run_no)), pa.array(ids, pa.int64()), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
+                 pa.array(digests, pa.string()), pa.array(links, pa.binary())], names=["block", "doc_id", "n_a", "n_b", "groups_sha256", "links"])
             size += sum(map(len, bodies))
             if size >= BLOCK_BYTES:
                 run_no, size = run_no + 1, 0
