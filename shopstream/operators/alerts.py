@@ -18,6 +18,10 @@ semantics); rows without a device or an event time belong to no window; a coupon
 counts as a click; the event list is reported as a multiset (``event_counts``: distinct
 event id and count), which is bounded by the number of event kinds instead of the
 number of events in the window.
+
+``alerting_windows`` decides only which windows raise an alert, in batch and in streaming, from aggregates of
+bounded size: a Theta sketch of the coupon users (exact far beyond the threshold, then a few dozen hashes) and
+a click flag. ``with_lists`` then collects the lists of those windows from an archive of the events.
 """
 
 from __future__ import annotations
@@ -124,6 +128,45 @@ def coupon_alerts(events: DataFrame, window: str = DEFAULT_WINDOW, slide: str =
                             .withColumn("window_end", timefmt.ms_to_ts(F.col("ws") + F.lit(win_ms))))
 
 
+def sketch_bits(min_uids: int) -> int:
+    """Size of the sketch of coupon users (log2 of its entries): exact up to four times the threshold at least."""
+    return max(4, (4 * (min_uids + 1) - 1).bit_length())
+
+
+def alerting_windows(timed: DataFrame, window: str = DEFAULT_WINDOW, slide: str = DEFAULT_SLIDE,
+                     min_uids: int = DEFAULT_MIN_UIDS, click_col: str = "evid") -> DataFrame:
+    """``(mid, window_start, window_end, n_uids)`` of the windows that raise an alert. ``timed`` needs ``event_time``, in a stream
+    with its watermark. Only coupon takes and clicks decide, so nothing else is kept. ``n_uids`` is exact up to the size of
+    the sketch, an estimate above it. The window must be a multiple of the slide."""
+    is_coupon, is_click = rule_columns(click_col)
+    # one predicate that reads the event time: it stays above the watermark, which all events move
+    decides = F.when(F.col("event_time").isNotNull(), (is_coupon & F.col("uid").isNotNull()) | is_click)
+    bits = sketch_bits(min_uids)
+    panes = (timed.filter(decides).groupBy("mid", F.window("event_time", slide).alias("pane"))
+                  .agg(F.theta_sketch_agg(F.when(is_coupon, F.col("uid")), bits).alias("users"), F.bool_or(is_click).alias("clicked")))
+    windows = (panes.groupBy("mid", F.window(F.window_time("pane"), window, slide).alias("window"))
+                    .agg(F.theta_union_agg("users", bits).alias("users"), F.bool_or("clicked").alias("clicked")))
+    n_uids = F.theta_sketch_estimate("users")
+    return windows.filter((n_uids > F.lit(min_uids)) & ~F.col("clicked")).select(
+        "mid", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), n_uids.cast("long").alias("n_uids"))
+
+
+def with_lists(windows: DataFrame, events: DataFrame, click_col: str = "evid") -> DataFrame:
+    """Alerts of the given windows (``mid, window_start, window_end``), their lists collected from ``events``. Events are
+    reduced to distinct facts per window before anything is collected."""
+    is_coupon, is_click = rule_columns(click_col)
+    facts = [F.col("evid"), F.when(is_coupon, F.col("uid")).alias("c_uid"), F.when(is_coupon, F.col("itemid")).alias("c_item")]
+    spans = windows.select(F.col("mid").alias("w_mid"), "window_start", "window_end",
+                           F.unix_millis("window_start").alias("w_from"), F.unix_millis("window_end").alias("w_to"))
+    ev = usable(events)
+    inside = ev.join(spans, (ev.mid == spans.w_mid) & (ev.ts >= spans.w_from) & (ev.ts < spans.w_to))
+    per_evid = (inside.groupBy("mid", "window_start", "window_end", *facts).agg(F.bool_or(is_click).alias("clicked"), F.count(F.lit(1)).alias("n"))
+                      .groupBy("mid", "window_start", "window_end", "evid")
+                      .agg(F.collect_set("c_uid").alias("c_uids"), F.collect_set("c_item").alias("c_items"),
+                           F.bool_or("clicked").alias("clicked"), F.sum("n").alias("n")))
+    return alert_rows(per_evid.groupBy("mid", "window_start", "window_end").agg(*merged_sets()))
+
+
 def alert_id(mid: Column, ts_ms: Column) -> Column:
     """``<mid>_<epoch minute>``: at most one stored alert per device per minute."""
     return F.concat_ws("_", mid, timefmt.minute_bucket(ts_ms).cast("string"))

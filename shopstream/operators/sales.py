@@ -5,6 +5,8 @@
 * ``sale_join``         - the batch equivalent: orders INNER details.
 * ``interval_join``     - orders INNER details whose arrival times are within a
                           tolerance (60 s): the net effect of the upstream cache.
+* ``interval_full_join`` - the same with the orders and details that never meet (FULL OUTER);
+                          ``full_rows`` is shared with the streaming form.
 * ``user_latest``       - last row per user id.
 * ``with_user``         - LEFT join of sales with users; age in whole years, 0 when
                           the user is unknown.
@@ -95,6 +97,32 @@ def interval_join(orders: DataFrame, details: DataFrame,
     return sale_row(o.join(d, cond, "inner"))
 
 
+def full_rows(j: DataFrame) -> DataFrame:
+    """Rows of an outer join of both sides -> ``order_id, order_detail_id, match_kind, o_ts, d_ts``."""
+    kind = (F.when(F.col("order_detail_id").isNull(), F.lit("order_only"))
+             .when(F.col("o_id").isNull(), F.lit("detail_only")).otherwise(F.lit("both")))
+    return j.select(F.coalesce("o_id", "order_id").alias("order_id"), "order_detail_id", kind.alias("match_kind"), "o_ts", "d_ts")
+
+
+def interval_full_join(orders: DataFrame, details: DataFrame, tolerance_s: int = DEFAULT_TOLERANCE_S) -> DataFrame:
+    """Orders FULL OUTER details with the same order id and arrival times within ``tolerance_s`` seconds: what the
+    interval join pairs, and what it drops on either side.
+
+    Planned as ``details LEFT JOIN orders`` (whose skewed side can be split) plus the orders without a detail in reach. These are
+    found on details reduced to their first and last arrival per order and span of ``tolerance_s``: an order's reach holds one whole
+    span, so a span's first or last arrival lies in it if any of its arrivals does. The reduction is combined map-side."""
+    o, d = order_side(orders), detail_side(details)
+    matched = d.join(o, (d.order_id == o.o_id) & interval_condition(o.o_ts, d.d_ts, tolerance_s), "left")
+    span = timefmt.floor_to("d_ts", tolerance_s * 1000)
+    spans = d.groupBy(F.col("order_id").alias("k_id"), span.alias("k_span")).agg(F.min("d_ts").alias("k_first"), F.max("d_ts").alias("k_last"))
+    tol = F.lit(tolerance_s * 1000)
+    in_reach = (o.o_id == spans.k_id) & (spans.k_last >= o.o_ts - tol) & (spans.k_first <= o.o_ts + tol)
+    lonely = o.join(spans, in_reach, "left_anti").select(
+        "o_id", F.lit(None).cast("string").alias("order_id"), F.lit(None).cast("string").alias("order_detail_id"),
+        "o_ts", F.lit(None).cast("long").alias("d_ts"))
+    return full_rows(matched).unionByName(full_rows(lonely))
+
+
 def one_per_detail(sales_df: DataFrame) -> DataFrame:
     """One sale row per ``order_detail_id``: the latest by create time, then by all other columns,
     so that a replay picks the same row."""

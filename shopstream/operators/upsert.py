@@ -5,7 +5,7 @@ A writer reduces each micro-batch to one row per key and writes it to
 streaming query, which lives as long as its checkpoint: a batch that is replayed rewrites
 its own folder, while a query with a fresh checkpoint, whose batch numbers start anew, gets
 the next generation and can overwrite nothing. Readers keep the row with the highest
-``(gen, batch_id, order...)`` per key.
+``(gen, batch_id, order...)`` per key, or, where rows carry the time of their change, ``(order..., gen, batch_id)``.
 
 ``compact`` folds all of it into a snapshot, a generation that no query can reuse, in a new
 table folder; streams then write to the new folder, or go on in a folder of their own that is read
@@ -94,8 +94,15 @@ def write_batch(df: DataFrame, path: str, batch_id: int, keys: Sequence[str],
      .partitionBy(*partition_by, BATCH_COL).parquet(folder))
 
 
-def _rows(spark: SparkSession, path: str, place: int, partition_by: Sequence[str]) -> DataFrame:
-    rows = spark.read.parquet(path).withColumn(_PLACE, F.lit(place))
+def table_schema(columns: T.StructType, partition_by: Sequence[str] = ()) -> T.StructType:
+    """Columns of a stored table: those of its rows, then the partition columns."""
+    own = [f for f in columns.fields if f.name not in partition_by]
+    return T.StructType([*own, *(T.StructField(c, T.StringType()) for c in [GEN_COL, *partition_by]), T.StructField(BATCH_COL, T.IntegerType())])
+
+
+def _rows(spark: SparkSession, path: str, place: int, partition_by: Sequence[str], schema: T.StructType | None) -> DataFrame:
+    reader = spark.read if schema is None else spark.read.schema(table_schema(schema, partition_by))
+    rows = reader.parquet(path).withColumn(_PLACE, F.lit(place))
     for c in [GEN_COL, *partition_by]:
         rows = rows.withColumn(c, F.col(c).cast("string"))
     return rows
@@ -104,22 +111,23 @@ def _rows(spark: SparkSession, path: str, place: int, partition_by: Sequence[str
 def read_latest(spark: SparkSession, path: str | Sequence[str], keys: Sequence[str],
                 order: Sequence[str] = (), keep: str = "last", where=None,
                 batch_first: bool = True, partition_by: Sequence[str] = (),
-                only: DataFrame | None = None) -> DataFrame:
+                only: DataFrame | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Current table state. ``keep="last"``: the row from the highest generation and batch per key
     (then ``order``), i.e. later writes overwrite. ``keep="first"``: the row from the
     lowest, i.e. a key once written is never replaced. ``batch_first=False``
-    ranks by ``order`` first (the earliest record wins whatever batch wrote it: the DAU
-    table). Several folders are one table, the later ones written later (a snapshot, then
+    ranks by ``order`` first: the earliest record wins whatever batch wrote it (the DAU table), or the latest
+    change (orders and users), also if a job that was set back to an older checkpoint wrote it. Several folders are one table, the later ones written later (a snapshot, then
     what came after it).
 
     ``partition_by`` names string partition columns (read back as strings, not as
     inferred dates). ``where`` is applied before the per-key reduction, so a
     predicate on partition columns prunes folders; it must only use columns fixed
-    by the key. ``only`` has the keys to be looked up (a semi-join before the reduction)."""
+    by the key. ``only`` has the keys to be looked up (a semi-join before the reduction). ``schema``: columns of
+    the rows; with it nothing is inferred from files, and a table whose batches were all empty is an empty table."""
     paths = [path] if isinstance(path, str) else list(path)
-    rows = _rows(spark, paths[0], 0, partition_by)
+    rows = _rows(spark, paths[0], 0, partition_by, schema)
     for i, p in enumerate(paths[1:], 1):
-        rows = rows.unionByName(_rows(spark, p, i, partition_by))
+        rows = rows.unionByName(_rows(spark, p, i, partition_by, schema))
     if where is not None:
         rows = rows.filter(where)
     if only is not None:

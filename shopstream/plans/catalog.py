@@ -217,8 +217,8 @@ def q_kpi_total_json(spark, sf_dir):
 
 def q_order_upsert(spark, sf_dir):
     versions = td.order_versions(spark, sf_dir)
-    latest = upsert.latest_per_key(versions, ["id"], ["version"])
-    return latest.select("id", "version", "order_status", "total_amount")
+    stored = versions.select("id", "version", "order_status", "total_amount")
+    return upsert.latest_per_key(stored, ["id"], ["version"])
 
 
 def q_upsert_latest(spark, sf_dir):
@@ -251,6 +251,12 @@ def q_sale_interval_join(spark, sf_dir):
     return j.select(*sales.SALE_COLUMNS_NO_USER)
 
 
+def q_sale_interval_full_join(spark, sf_dir):
+    """Pairs within the tolerance, and the orders and details that never meet."""
+    j = sales.interval_full_join(td.orders(spark, sf_dir), td.details(spark, sf_dir))
+    return j.select("order_id", "order_detail_id", "match_kind")
+
+
 def _users(spark, sf_dir):
     return sales.user_latest(td.user_changes(spark, sf_dir))
 
@@ -312,6 +318,19 @@ def q_coupon_alert_per_minute(spark, sf_dir):
     return per_min.select("alert_id", "mid", _window_start_text(), "n_uids")
 
 
+def q_coupon_alert_windows(spark, sf_dir):
+    """The windows that raise an alert, from aggregates of bounded size."""
+    timed = alerts.usable(td.event_log(spark, sf_dir)).withColumn("event_time", timefmt.ms_to_ts("ts"))
+    return alerts.alerting_windows(timed, ALERT_WINDOW, ALERT_SLIDE, ALERT_MIN_UIDS).select("mid", _window_start_text())
+
+
+def q_coupon_alert_lists(spark, sf_dir):
+    """Bounded decision first, then the lists of the alerting windows."""
+    ev = td.event_log(spark, sf_dir)
+    timed = alerts.usable(ev).withColumn("event_time", timefmt.ms_to_ts("ts"))
+    return _alert_out(alerts.with_lists(alerts.alerting_windows(timed, ALERT_WINDOW, ALERT_SLIDE, ALERT_MIN_UIDS), ev))
+
+
 def q_coupon_alert_events(spark, sf_dir):
     a = _alerts(spark, sf_dir)
     return a.select("mid", _window_start_text(),
@@ -351,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "sale_full_join": q_sale_full_join,
     "sale_join": q_sale_join,
     "sale_interval_join": q_sale_interval_join,
+    "sale_interval_full_join": q_sale_interval_full_join,
     "user_latest": q_user_latest,
     "user_age": q_user_age,
     "sale_wide": q_sale_wide,
@@ -360,5 +380,7 @@ QUERIES: dict[str, Query] = {
     "coupon_alert_literal_click": q_coupon_alert_literal_click,
     "coupon_alert_per_minute": q_coupon_alert_per_minute,
     "coupon_alert_events": q_coupon_alert_events,
+    "coupon_alert_windows": q_coupon_alert_windows,
+    "coupon_alert_lists": q_coupon_alert_lists,
     "upsert_latest": q_upsert_latest,
 }

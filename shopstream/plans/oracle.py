@@ -294,6 +294,12 @@ SELECT d.id AS order_detail_id, o.id AS order_id, o.order_status, o.create_time,
        d.sku_id, d.order_price AS sku_price, d.sku_name, o.create_date AS dt
 FROM orders_l o JOIN details_l d ON o.id = d.order_id"""
     q["sale_interval_join"] = _with(ORDERS, DETAILS, SALE_INTERVAL) + "SELECT * FROM sale_iv"
+    q["sale_interval_full_join"] = _with(ORDERS, DETAILS) + """
+SELECT coalesce(o.id, d.order_id) AS order_id, d.id AS order_detail_id,
+       CASE WHEN o.id IS NOT NULL AND d.id IS NOT NULL THEN 'both'
+            WHEN o.id IS NOT NULL THEN 'order_only' ELSE 'detail_only' END AS match_kind
+FROM orders_l o FULL OUTER JOIN details_l d
+  ON o.id = d.order_id AND d.ts BETWEEN o.ts - 60000 AND o.ts + 60000"""
     q["user_latest"] = _with(USERS) + "SELECT * FROM users_latest"
     q["user_age"] = _with(USERS) + f"SELECT id, CAST({AGE} AS INTEGER) AS age FROM users_latest"
     wide = f"""
@@ -317,6 +323,9 @@ WHERE rn = 1"""
     q["coupon_alert"] = alert_base + (
         f"SELECT mid, {WS_TEXT} AS window_start, n_uids, uids, item_ids FROM win "
         f"WHERE n_uids > {min_uids} AND NOT clicked_evid")
+    q["coupon_alert_lists"] = q["coupon_alert"]
+    q["coupon_alert_windows"] = alert_base + (
+        f"SELECT mid, {WS_TEXT} AS window_start FROM win WHERE n_uids > {min_uids} AND NOT clicked_evid")
     q["coupon_alert_literal"] = alert_base + (
         f"SELECT mid, {WS_TEXT} AS window_start, n_uids, uids, item_ids FROM win "
         f"WHERE n_uids > {min_uids} AND NOT clicked_type")

@@ -48,6 +48,16 @@ ORDER_TABLE_COLUMNS = ["id", "province_id", "consignee", "order_comment", "consi
                        "tracking_no", "parent_order_id", "out_trade_no", "trade_body",
                        "create_date", "create_hour"]
 
+# Rows of the maintained tables: what the jobs store (see ``operators.upsert``).
+_CHANGE = [T.StructField("timestamp", T.TimestampType()), T.StructField("offset", T.LongType())]
+DAU_TABLE = T.StructType([T.StructField(c, T.LongType() if c == "ts" else S) for c in DAU_COLUMNS])
+ORDER_TABLE = T.StructType([T.StructField(c, T.DoubleType() if c == "total_amount" else S) for c in ORDER_TABLE_COLUMNS] + _CHANGE)
+USER_TABLE = T.StructType(USER_SCHEMA.fields + _CHANGE)
+SALE_TABLE = T.StructType([
+    T.StructField("order_detail_id", S), T.StructField("order_id", S), T.StructField("order_status", S), T.StructField("create_time", S),
+    T.StructField("user_id", S), T.StructField("sku_id", S), T.StructField("user_gender", S), T.StructField("user_age", T.IntegerType()),
+    T.StructField("user_level", S), T.StructField("sku_price", T.DoubleType()), T.StructField("sku_name", S), T.StructField("dt", S)])
+
 # A CDC change-set entry: one binlog entry for one table and one operation; each row is
 # the after-image as an ordered list of (name, value) string pairs.
 CDC_COLUMN = T.StructType([T.StructField("name", S), T.StructField("value", S)])

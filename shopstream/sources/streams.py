@@ -62,15 +62,22 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "kafka",
     return wanted.select("value", "timestamp", no_offset, *(["topic"] if several else []))
 
 
+def read_change_lines(spark: SparkSession, topic: str | None = None, *, fmt: str = "kafka", bootstrap_servers: str | None = None,
+                      path: str | None = None, starting_offsets: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the JSON text of change entries, from a Kafka topic or from JSON-lines files."""
+    return read_topic(spark, topic, fmt="kafka" if fmt == "kafka" else "text", bootstrap_servers=bootstrap_servers, path=path,
+                      starting_offsets=starting_offsets, max_per_trigger=max_per_trigger)
+
+
 def read_changes(spark: SparkSession, topic: str | None = None, *, fmt: str = "kafka",
                  bootstrap_servers: str | None = None, path: str | None = None,
                  starting_offsets: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
-    """Stream of change entries (``schemas.CDC_ENTRY_SCHEMA``): from a Kafka topic that carries them as
-    JSON, or from files; a micro-batch takes ``max_per_trigger`` records (files) at most."""
-    if fmt == "kafka":
-        lines = read_topic(spark, topic, bootstrap_servers=bootstrap_servers, starting_offsets=starting_offsets,
-                           max_per_trigger=max_per_trigger)
-        return changes_of(lines)
+    """Stream of change entries (``schemas.CDC_ENTRY_SCHEMA``): from a Kafka topic or files that carry them as
+    JSON, or from files of another format; a micro-batch takes ``max_per_trigger`` records (files) at most. A line
+    that is no entry is a row of nulls."""
+    if fmt in ("kafka", "json"):
+        return changes_of(read_change_lines(spark, topic, fmt=fmt, bootstrap_servers=bootstrap_servers, path=path,
+                                            starting_offsets=starting_offsets, max_per_trigger=max_per_trigger))
     reader = spark.readStream.schema(schemas.CDC_ENTRY_SCHEMA)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstream import schemas
 from shopstream.operators import upsert
 
 
@@ -13,23 +14,28 @@ def dau_table(spark: SparkSession, path: str, days=None) -> DataFrame:
     """DAU rows; with ``days`` only those ``log_date`` folders are read."""
     where = F.col("log_date").isin(*days) if days else None
     return upsert.read_latest(spark, path, ["mid", "log_date"], ["ts"], keep="first", where=where,
-                              batch_first=False, partition_by=["log_date"])
+                              batch_first=False, partition_by=["log_date"], schema=schemas.DAU_TABLE)
 
 
 def order_table(spark: SparkSession, path: str, days=None) -> DataFrame:
-    """Latest order rows; with ``days`` only those ``create_date`` folders are read."""
+    """Order rows of the latest change; with ``days`` only those ``create_date`` folders are read."""
     where = F.col("create_date").isin(*days) if days else None
     return upsert.read_latest(spark, path, ["id"], ["timestamp", "offset"], where=where,
-                              partition_by=["create_date"])
+                              batch_first=False, partition_by=["create_date"], schema=schemas.ORDER_TABLE)
 
 
 def sale_table(spark: SparkSession, path: str, days=None) -> DataFrame:
     """Sale detail rows (one per ``order_detail_id``); with ``days`` only those order
     dates (``dt`` folders) are read."""
     where = F.col("dt").isin(*days) if days else None
-    return upsert.read_latest(spark, path, ["order_detail_id"], where=where, partition_by=["dt"])
+    return upsert.read_latest(spark, path, ["order_detail_id"], where=where, partition_by=["dt"], schema=schemas.SALE_TABLE)
+
+
+def user_table(spark: SparkSession, path: str | list[str], only: DataFrame | None = None) -> DataFrame:
+    """User rows of the latest change, of the ids in ``only`` if it is given. Several folders are one table (a snapshot first)."""
+    return upsert.read_latest(spark, path, ["id"], ["timestamp", "offset"], batch_first=False, only=only, schema=schemas.USER_TABLE)
 
 
 def keyed_table(spark: SparkSession, path: str, key: str, order=()) -> DataFrame:
-    """Latest row per ``key`` of an index-like table (sale details, alerts, users)."""
+    """Latest row per ``key`` of an index-like table (sale details, alerts)."""
     return upsert.read_latest(spark, path, [key], list(order))

@@ -5,6 +5,8 @@
     python -m shopstream.streaming.apps alerts --servers HOST:9092 --table PATH
     python -m shopstream.streaming.apps users  --servers HOST:9092 --table PATH
     python -m shopstream.streaming.apps sales  --servers HOST:9092 --table PATH --users PATH
+    python -m shopstream.streaming.apps sales-topics --servers HOST:9092 --table PATH --users PATH
+    python -m shopstream.streaming.apps unmatched    --servers HOST:9092 --table PATH
     python -m shopstream.streaming.apps intake --servers HOST:9092 --table ARCHIVE --source-topic logs
     python -m shopstream.streaming.apps cdc    --servers HOST:9092 --source-topic changes
     python -m shopstream.streaming.apps compact --table PATH --snapshot PATH --key id [--order ts]
@@ -12,7 +14,9 @@
 
 ``--source-path`` (with ``--format json|text|parquet``) reads topic files instead of
 Kafka; a topic root (what ``cdc`` and ``intake`` write with ``--topics-path``) serves all
-jobs, each takes its own topics. ``--rejects PATH`` keeps the lines a job cannot use. Checkpoints go under ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
+jobs, each takes its own topics. ``--rejects PATH`` keeps the lines a job cannot use (a folder per topic where
+it reads several), ``--counts PATH`` the counts of every batch, ``--archive PATH`` (alerts) takes the lists of
+alerts from the intake's archive. A job that fails ends the process. Checkpoints go under ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
 The master and cluster settings come from ``spark-submit``.
 """
 
@@ -21,9 +25,10 @@ from __future__ import annotations
 import argparse
 
 from shopstream.operators import routing, upsert
-from shopstream.session import get_spark
+from shopstream.session import configured_join, get_spark
 from shopstream.sources import streams
 from shopstream.streaming import jobs
+from shopstream.streaming.counts import CountsListener
 
 DEFAULT_TOPICS = {
     "dau": routing.TOPIC_STARTUP,
@@ -35,9 +40,31 @@ DEFAULT_TOPICS = {
 }
 
 
+# The topics whose lines a job can reject, by the parser that reads them.
+REJECTED_TOPICS = {
+    "sales": {"orders": routing.TOPIC_ORDER, "details": routing.TOPIC_ORDER_DETAIL},
+    "unmatched": {"orders": routing.TOPIC_ORDER, "details": routing.TOPIC_ORDER_DETAIL},
+    "sales-topics": {"orders": routing.TOPIC_ORDER, "details": routing.TOPIC_ORDER_DETAIL, "users": routing.TOPIC_USER},
+}
+
+
+def await_all(spark, queries) -> None:
+    """Until all queries have ended; the first one that fails stops the others and is raised."""
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for q in queries:
+            if (failed := q.exception()) is not None:
+                raise failed
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="shopstream.streaming.apps")
-    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "intake", "cdc", "compact"])
+    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "sales-topics", "unmatched", "intake", "cdc", "compact"])
     p.add_argument("--servers", help="Kafka bootstrap servers")
     p.add_argument("--source-topic")
     p.add_argument("--source-path")
@@ -45,6 +72,8 @@ def main(argv=None) -> None:
     p.add_argument("--table", help="output table / index / archive folder")
     p.add_argument("--users", action="append", help="user table folder (sales job; repeatable: snapshot first)")
     p.add_argument("--rejects", help="folder for the lines the job cannot use")
+    p.add_argument("--counts", help="folder of the counts that the batches report")
+    p.add_argument("--archive", help="alerts: the intake's archive, to read the lists of alerts from")
     p.add_argument("--timezone", help="time zone of dates and hours (default: the launcher's, else UTC)")
     p.add_argument("--topics-path", help="topic folder when not publishing to Kafka")
     p.add_argument("--checkpoint")
@@ -63,7 +92,7 @@ def main(argv=None) -> None:
     if a.job == "compact":
         # batch maintenance: fold all merge-on-read batches into one snapshot
         upsert.compact(spark, a.table, a.snapshot, a.key, a.order, a.keep, a.partition_by,
-                       batch_first=a.keep == "last")
+                       batch_first=a.keep == "last" and not a.order)
         return
     fmt = "kafka" if a.source_path is None else a.format
 
@@ -75,29 +104,64 @@ def main(argv=None) -> None:
                source=a.source_path or f"{a.servers} {a.source_topic}")
     topic = a.source_topic or DEFAULT_TOPICS.get(a.job)
     topics_fmt = "kafka" if a.topics_path is None else "json"
+    spark.streams.resetTerminated()
+    counts = None
+    if a.counts:
+        counts = CountsListener(spark, a.counts)
+        spark.streams.addListener(counts)
+    queries = []
+    try:
+        queries.append(_start(a, spark, source, topic, topics_fmt, fmt, run))
+        queries += _start_rejects(a, spark, source, topic, fmt, run)
+        await_all(spark, queries)
+    finally:
+        if counts:
+            for q in queries:
+                counts.wait(q.id)
+            spark.streams.removeListener(counts)
+    if counts and counts.failure:
+        raise counts.failure
+
+
+def _start(a, spark, source, topic, topics_fmt, fmt, run):
+    """The job itself."""
     if a.job == "dau":
-        q = jobs.start_dau(source(topic), a.table, **run)
-    elif a.job == "orders":
-        q = jobs.start_orders(source(topic), a.table, **run)
-    elif a.job == "alerts":
-        q = jobs.start_alerts(source(topic), a.table, **run)
-    elif a.job == "users":
-        q = jobs.start_users(source(topic), a.table, **run)
-    elif a.job == "sales":
-        q = jobs.start_sales(source(routing.TOPIC_ORDER), source(routing.TOPIC_ORDER_DETAIL),
-                             a.users, a.table, **run)
-    elif a.job == "intake":
-        q = jobs.start_intake(source(topic), a.table, topics_fmt=topics_fmt, rejects_path=a.rejects,
-                              topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
-    else:
-        entries = streams.read_changes(spark, topic, fmt=fmt, bootstrap_servers=a.servers, path=a.source_path,
-                                       max_per_trigger=a.max_per_trigger)
-        q = jobs.start_cdc(entries, topics_fmt=topics_fmt, topics_path=a.topics_path,
-                           bootstrap_servers=a.servers, **run)
-    if a.rejects and a.job in jobs.PARSERS:
-        own = {**run, "checkpoint": f"{a.checkpoint}-rejects" if a.checkpoint else None}
-        jobs.start_rejects(source(topic), a.job, a.rejects, **own).awaitTermination()
-    q.awaitTermination()
+        return jobs.start_dau(source(topic), a.table, **run)
+    if a.job == "orders":
+        return jobs.start_orders(source(topic), a.table, **run)
+    if a.job == "alerts":
+        return jobs.start_alerts(source(topic), a.table, archive=a.archive, **run)
+    if a.job == "users":
+        return jobs.start_users(source(topic), a.table, **run)
+    if a.job == "sales":
+        return jobs.start_sales(source(routing.TOPIC_ORDER), source(routing.TOPIC_ORDER_DETAIL), a.users, a.table, **run)
+    if a.job == "sales-topics":
+        topics = ",".join((routing.TOPIC_ORDER, routing.TOPIC_ORDER_DETAIL, routing.TOPIC_USER))
+        return jobs.start_sales_topics(source(topics), a.users[0], a.table, **run)
+    if a.job == "unmatched":
+        return jobs.start_unmatched(source(routing.TOPIC_ORDER), source(routing.TOPIC_ORDER_DETAIL), a.table, **run)
+    if a.job == "intake":
+        return jobs.start_intake(source(topic), a.table, topics_fmt=topics_fmt, rejects_path=a.rejects,
+                                 topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
+    entries = streams.read_changes(spark, topic, fmt=fmt, bootstrap_servers=a.servers, path=a.source_path,
+                                   max_per_trigger=a.max_per_trigger)
+    return jobs.start_cdc(entries, topics_fmt=topics_fmt, topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
+
+
+def _start_rejects(a, spark, source, topic, fmt, run) -> list:
+    """Queries that keep the lines the job cannot use (the intake does it itself)."""
+    if not a.rejects or a.job == "intake":
+        return []
+
+    def start(lines, parser, path, name):
+        own = {**run, "checkpoint": f"{a.checkpoint}-{name}" if a.checkpoint else None}
+        return jobs.start_rejects(lines, parser, path, **own)
+    if a.job == "cdc":
+        lines = streams.read_change_lines(spark, topic, fmt=fmt, bootstrap_servers=a.servers, path=a.source_path, max_per_trigger=a.max_per_trigger)
+        return [start(lines, "cdc", a.rejects, "rejects")]
+    if a.job in REJECTED_TOPICS:
+        return [start(source(t), parser, configured_join(a.rejects, parser), f"rejects-{parser}") for parser, t in REJECTED_TOPICS[a.job].items()]
+    return [start(source(topic), a.job, a.rejects, "rejects")]
 
 
 if __name__ == "__main__":

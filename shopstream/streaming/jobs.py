@@ -15,7 +15,10 @@ the join tolerance plus lateness.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +26,7 @@ from shopstream import schemas
 from shopstream.functions import masking, parse, timefmt
 from shopstream.operators import alerts, routing, sales, upsert
 from shopstream.session import checkpoint_path
+from shopstream.sources import tables
 from shopstream.streaming import sinks
 
 DEFAULT_TRIGGER = "5 seconds"
@@ -48,9 +52,11 @@ def counted(df: DataFrame, name: str, valid) -> DataFrame:
 
 def rejected_lines(lines: DataFrame, job: str) -> DataFrame:
     """Lines of a job's topic that its parser cannot use, with their text."""
-    parser, key = PARSERS[job]
-    parsed = parser(lines.select("value", F.col("value").alias("raw"), "timestamp"))
-    return parsed.filter(~parse.valid_record(key)).select(F.col("raw").alias("value"), "timestamp")
+    raw = lines.select("value", F.col("value").alias("raw"), "timestamp")
+    if job == "cdc":
+        entry = F.from_json("value", schemas.CDC_ENTRY_SCHEMA)
+        return raw.filter(~valid_entry(entry)).select(F.col("raw").alias("value"), "timestamp")
+    return PARSERS[job][0](raw).filter(~_valid(job)).select(F.col("raw").alias("value"), "timestamp")
 
 
 def start_rejects(lines: DataFrame, job: str, path: str, **kw) -> StreamingQuery:
@@ -171,12 +177,47 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
         "alert_id", alerts.alert_id(F.col("mid"), F.col("ts")))
 
 
-def start_alerts(lines: DataFrame, index_path: str, **kw) -> StreamingQuery:
-    """Write alerts keyed ``mid_<minute>``; a later window in the same minute overwrites."""
-    sink = sinks.upsert_sink(index_path, ["alert_id"], ["ts", "window_start"])
+def alert_windows_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW, slide: str = alerts.DEFAULT_SLIDE,
+                         lateness: str = "1 minute", min_uids: int = alerts.DEFAULT_MIN_UIDS, click_col: str = "evid") -> DataFrame:
+    """Event lines -> alerting windows without their lists, from state of bounded size per pane and window."""
+    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", _valid("alerts")))
+    timed = ev.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
+    return alerts.alerting_windows(timed, window, slide, min_uids, click_col)
+
+
+def archived_events(spark: SparkSession, archive_path: str, days: list[str]) -> DataFrame:
+    """Event records of the intake's archive, from the folders of these days."""
+    lines = spark.read.schema("value string, gen string, batch_id string, log_date string").text(archive_path)
+    parsed = parse.parse_event(lines.filter(F.col("log_date").isin(*days)).select("value"))
+    return parsed.filter(~F.col("type").eqNullSafe("startup"))
+
+
+def start_alerts(lines: DataFrame, index_path: str, archive: str | None = None, **kw) -> StreamingQuery:
+    """Write alerts keyed ``mid_<minute>``; a later window in the same minute overwrites.
+
+    With ``archive`` (the folder of the intake job, which archives lines before it publishes them) the state only decides which windows
+    alert, and their lists are read from the archived days of these windows; events that came too late for the decision are in
+    the lists. Without it the state keeps the lists of every open window."""
     opts = {k: kw.pop(k) for k in ("window", "slide", "lateness", "min_uids", "click_col") if k in kw}
-    out = alert_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
-    return _start(out, "alerts", sink, target=index_path, **kw)
+    if archive is None:
+        out = alert_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
+        return _start(out, "alerts", sinks.upsert_sink(index_path, ["alert_id"], ["ts", "window_start"]), target=index_path, **kw)
+    click_col = opts.get("click_col", "evid")
+
+    def write(df, batch_id):
+        df.persist()
+        try:
+            spans = df.select(F.explode(F.sequence(F.to_date("window_start"), F.to_date("window_end"))).alias("day")).distinct().collect()
+            if not spans:  # no window alerts
+                return
+            events = archived_events(df.sparkSession, archive, sorted(str(r["day"]) for r in spans))
+            found = alerts.with_lists(df, events, click_col).withColumn("alert_id", alerts.alert_id(F.col("mid"), F.col("ts")))
+            upsert.write_batch(found, index_path, batch_id, ["alert_id"], ["ts", "window_start"], writer=upsert.query_id(df))
+        finally:
+            df.unpersist()
+
+    out = alert_windows_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
+    return _start(out, "alerts", write, target=index_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -193,22 +234,47 @@ def start_users(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
     return _start(user_stream(lines), "users", sink, target=table_path, **kw)
 
 
-def sale_stream(order_lines: DataFrame, detail_lines: DataFrame,
-                tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute") -> DataFrame:
-    """Stream-stream interval join of orders and details on the order id with
-    ``|detail arrival - order arrival| <= tolerance_s``; state is evicted once the
-    watermark passes the tolerance."""
+def _sale_sides(order_lines: DataFrame, detail_lines: DataFrame, tolerance_s: int, lateness: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Watermarked orders and details, and their join condition: the order id, and arrivals within the tolerance."""
     o = counted(parse.parse_order(order_lines.select("value", "timestamp"), mask=masking.mask_tel_head), "sale_orders_rows", _valid("orders")) \
         .withColumn("ts", F.unix_millis("timestamp"))
-    d = counted(parse.parse_detail(detail_lines.select("value", "timestamp")), "sale_details_rows", parse.valid_record("id") & F.col("order_id").isNotNull()) \
+    d = counted(parse.parse_detail(detail_lines.select("value", "timestamp")), "sale_details_rows", _valid("details")) \
         .withColumn("ts", F.unix_millis("timestamp"))
     o = sales.order_side(o, "timestamp").withColumnRenamed("timestamp", "o_time").withWatermark("o_time", lateness)
     d = sales.detail_side(d, "timestamp").withColumnRenamed("timestamp", "d_time").withWatermark("d_time", lateness)
     tol = F.expr(f"INTERVAL {int(tolerance_s)} SECONDS")
-    cond = (o.o_id == d.order_id) & (d.d_time >= o.o_time - tol) & (d.d_time <= o.o_time + tol)
+    return o, d, (o.o_id == d.order_id) & (d.d_time >= o.o_time - tol) & (d.d_time <= o.o_time + tol)
+
+
+def sale_stream(order_lines: DataFrame, detail_lines: DataFrame,
+                tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute") -> DataFrame:
+    """Stream-stream interval join of orders and details on the order id with
+    ``|detail arrival - order arrival| <= tolerance_s``; state is evicted once the
+    watermark passes the tolerance."""
+    o, d, cond = _sale_sides(order_lines, detail_lines, tolerance_s, lateness)
     return sales.sale_row(o.join(d, cond, "inner"))
 
 
+def sale_full_stream(order_lines: DataFrame, detail_lines: DataFrame,
+                     tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute") -> DataFrame:
+    """The same join FULL OUTER: pairs as they meet, and each order or detail that never meets another side once, when
+    the watermark says that none can come any more (``match_kind`` tells). Columns as ``sales.interval_full_join``."""
+    o, d, cond = _sale_sides(order_lines, detail_lines, tolerance_s, lateness)
+    return sales.full_rows(o.join(d, cond, "full_outer"))
+
+
+def start_unmatched(order_lines: DataFrame, detail_lines: DataFrame, path: str,
+                    tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute", **kw) -> StreamingQuery:
+    """Report the orders and details that the sales job drops, in a folder per batch, partitioned by ``match_kind``; how many pairs and
+    how many of each kind there are is observed."""
+    rows = sale_full_stream(order_lines, detail_lines, tolerance_s, lateness)
+    kinds = [F.count_if(F.col("match_kind") == k).alias(f"n_{k}") for k in ("both", "order_only", "detail_only")]
+
+    def write(df, batch_id):
+        df.filter(F.col("match_kind") != "both").write.mode("overwrite").partitionBy("match_kind").json(sinks.batch_folder(df, path, batch_id))
+    return _start(rows.observe("sale_matches", *kinds), "unmatched", write, target=path, **kw)
+
+
 def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str | list[str], sale_index: str,
                 as_of=None, **kw) -> StreamingQuery:
     """Each batch of joined sales is enriched with the user table as it is at that
@@ -216,30 +282,63 @@ def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str
     and written keyed by ``order_detail_id``, partitioned by the order date ``dt``. ``user_table`` may be
     several folders, e.g. a snapshot and what was written after it."""
     def write(df, batch_id):
-        spark = df.sparkSession
         df.persist()
         try:
-            users = _read_users(spark, user_table, df.select(F.col("user_id").alias("id")).distinct())
-            when = as_of if as_of is not None else F.current_timestamp()
-            wide = sales.one_per_detail(sales.with_user(df, users, when))
-            upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], ["create_time"], partition_by=["dt"],
-                               writer=upsert.query_id(df))
+            _write_sales(df, user_table, sale_index, batch_id, as_of)
         finally:
             df.unpersist()
 
     return _start(sale_stream(order_lines, detail_lines), "sales", write, target=sale_index, **kw)
 
 
+def _write_sales(sale_rows: DataFrame, user_table: str | list[str], sale_index: str, batch_id: int, as_of=None) -> None:
+    """Sales of one micro-batch with the users as the table has them now, keyed by ``order_detail_id``."""
+    spark = sale_rows.sparkSession
+    users = _read_users(spark, user_table, sale_rows.select(F.col("user_id").alias("id")).distinct())
+    when = as_of if as_of is not None else F.current_timestamp()
+    wide = sales.one_per_detail(sales.with_user(sale_rows, users, when))
+    upsert.write_batch(wide, sale_index, batch_id, ["order_detail_id"], ["create_time"], partition_by=["dt"],
+                       writer=upsert.query_id(sale_rows))
+
+
+def sales_topics_stream(lines: DataFrame, tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute") -> DataFrame:
+    """Lines of the order, detail and user topics (with their ``topic``) -> rows ``kind, sale, user``: the joined sales, and the
+    user changes as they are."""
+    def of(topic):
+        return lines.filter(F.col("topic") == topic)
+    sale = sale_stream(of(routing.TOPIC_ORDER), of(routing.TOPIC_ORDER_DETAIL), tolerance_s, lateness)
+    user = user_stream(of(routing.TOPIC_USER))
+    users = user.select(F.lit("user").alias("kind"), F.struct(*[F.col(c) for c in schemas.USER_TABLE.names]).alias("user"))
+    rows = sale.select(F.lit("sale").alias("kind"), F.struct(*[F.col(c) for c in sales.SALE_COLUMNS_NO_USER]).alias("sale"))
+    return rows.unionByName(users, allowMissingColumns=True)
+
+
+def start_sales_topics(lines: DataFrame, user_table: str, sale_index: str, as_of=None,
+                       tolerance_s: int = sales.DEFAULT_TOLERANCE_S, lateness: str = "1 minute", **kw) -> StreamingQuery:
+    """One job over the three topics: each micro-batch first writes its user changes to ``user_table`` and then its sales, so a sale
+    sees the users that came with it. Both writes replace their own folder when a batch is replayed."""
+    def write(df, batch_id):
+        df.persist()
+        try:
+            users = df.filter(F.col("kind") == "user").select("user.*")
+            upsert.write_batch(users, user_table, batch_id, ["id"], ["timestamp", "offset"], writer=upsert.query_id(df))
+            _write_sales(df.filter(F.col("kind") == "sale").select("sale.*"), user_table, sale_index, batch_id, as_of)
+        finally:
+            df.unpersist()
+
+    return _start(sales_topics_stream(lines, tolerance_s, lateness), "sales-topics", write, target=f"{user_table} {sale_index}", **kw)
+
+
 def _read_users(spark: SparkSession, user_table: str | list[str], ids: DataFrame) -> DataFrame:
     """Latest user rows for the ids of one micro-batch: the table is semi-joined with
     the batch's ids before the per-id reduction, so the aggregation only sees the
-    users the batch needs. A folder that is not there yet has no users; one that cannot be read
-    fails the batch, which is then tried again."""
+    users the batch needs. A folder that is not there yet, or has empty batches only, has no users; one that
+    cannot be read fails the batch, which is then tried again."""
     folders = [user_table] if isinstance(user_table, str) else list(user_table)
     found = [f for f in folders if upsert.path_exists(spark, f)]
     if not found:
         return spark.createDataFrame([], schemas.USER_SCHEMA)
-    return upsert.read_latest(spark, found, ["id"], ["timestamp", "offset"], only=ids)
+    return tables.user_table(spark, found, only=ids)
 
 
 # ---------------------------------------------------------------------------------
@@ -249,7 +348,8 @@ def _read_users(spark: SparkSession, user_table: str | list[str], ids: DataFrame
 def cdc_stream(entries: DataFrame) -> DataFrame:
     """Change entries -> ``topic, key, value, timestamp`` rows for the published changes; the key is the row's
     first column (its id), the timestamp the change time, so consumers can order versions of a row."""
-    routed = routing.cdc_route(routing.cdc_explode(entries))
+    read = counted(entries, "cdc_entries", F.col("entry_type").isNotNull())
+    routed = routing.cdc_route(routing.cdc_explode(read))
     return routing.cdc_after_json(routed).select(
         "topic", F.col("after")[0]["value"].alias("key"), "value", timefmt.ms_to_ts("ts").alias("timestamp"))
 
@@ -262,14 +362,20 @@ def start_cdc(entries: DataFrame, *, topics_fmt: str = "kafka", topics_path: str
     return _start(cdc_stream(entries), "cdc", publish, target=topics_path or bootstrap_servers, **kw)
 
 
-# Parser and required key of each job's topic.
+def valid_entry(entry: Column) -> Column:
+    """Whether a line was a change entry: every entry names its type."""
+    return F.coalesce(entry["entry_type"].isNotNull(), F.lit(False))
+
+
+# Parser and required fields of each job's topic.
 PARSERS = {
-    "dau": (parse.parse_startup, "mid"),
-    "alerts": (parse.parse_event, "mid"),
-    "orders": (parse.parse_order, "id"),
-    "users": (parse.parse_user, "id"),
+    "dau": (parse.parse_startup, ["mid"]),
+    "alerts": (parse.parse_event, ["mid"]),
+    "orders": (parse.parse_order, ["id"]),
+    "details": (parse.parse_detail, ["id", "order_id"]),
+    "users": (parse.parse_user, ["id"]),
 }
 
 
-def _valid(job: str):
-    return parse.valid_record(PARSERS[job][1])
+def _valid(job: str) -> Column:
+    return reduce(and_, [parse.valid_record(key) for key in PARSERS[job][1]])

@@ -104,3 +104,38 @@ def test_tables_read_through_their_readers(spark, scratch):
     df = spark.createDataFrame([("m1", "2024-01-01", 5), ("m1", "2024-01-01", 3), ("m2", "2024-01-02", 1)], "mid string, log_date string, ts long")
     upsert.write_batch(df, scratch, 0, ["mid", "log_date"], ["ts"], keep="first", partition_by=["log_date"], writer="q")
     assert rows(tables.dau_table(spark, scratch, ["2024-01-01"]).select("mid", F.col("ts"))) == [("m1", 3)]
+
+
+def test_a_job_set_back_to_its_old_checkpoint_outranks_older_changes(spark, scratch):
+    table = os.path.join(scratch, "users")
+    a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
+    _users(a, "1.json", ["u1", "u2"], level="t1", at="2024-01-01T00:00:01Z")
+    _run_users(spark, a, table, os.path.join(scratch, "ck_a"))
+    _users(b, "1.json", ["u1", "u2"], level="t2", at="2024-01-01T00:00:02Z")
+    _run_users(spark, b, table, os.path.join(scratch, "ck_b"))
+    _users(a, "2.json", ["u1"], level="t3", at="2024-01-01T00:00:03Z")
+    _run_users(spark, a, table, os.path.join(scratch, "ck_a"))  # the older generation writes the newer change
+    assert {r["id"]: r["user_level"] for r in tables.user_table(spark, table).collect()} == {"u1": "t3", "u2": "t2"}
+
+
+def test_order_table_keeps_the_latest_change(spark, scratch):
+    def batch(i, at, amount):
+        return spark.createDataFrame([(i, amount, "2024-01-01", at)], "id string, total_amount double, create_date string, at string").select(
+            "id", "total_amount", "create_date", F.to_timestamp("at").alias("timestamp"), F.lit(None).cast("long").alias("offset"))
+    for writer, n, at, amount in (("q1", 0, "2024-01-01 00:00:01", 1.0), ("q2", 0, "2024-01-01 00:00:02", 2.0), ("q1", 1, "2024-01-01 00:00:03", 3.0)):
+        upsert.write_batch(batch("o", at, amount), scratch, n, ["id"], ["timestamp", "offset"], partition_by=["create_date"], writer=writer)
+    assert rows(tables.order_table(spark, scratch, ["2024-01-01"]), "id", "total_amount") == [("o", 3.0)]
+
+
+def test_first_user_batch_without_valid_rows(spark, scratch):
+    src, table = os.path.join(scratch, "s"), os.path.join(scratch, "users")
+    os.makedirs(src)
+    with open(os.path.join(src, "1.json"), "w") as f:
+        f.write(json.dumps({"value": "no json", "timestamp": "2024-01-01T00:00:00Z"}) + "\n")
+    _run_users(spark, src, table, os.path.join(scratch, "ck"))
+    ids = spark.createDataFrame([("u1",)], "id string")
+    assert jobs._read_users(spark, table, ids).count() == 0
+    assert tables.user_table(spark, table).count() == 0
+    _users(src, "2.json", ["u1"])
+    _run_users(spark, src, table, os.path.join(scratch, "ck"))
+    assert jobs._read_users(spark, table, ids).count() == 1
