@@ -65,7 +65,7 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "kafka",
 def read_change_lines(spark: SparkSession, topic: str | None = None, *, fmt: str = "kafka", bootstrap_servers: str | None = None,
                       path: str | None = None, starting_offsets: str = "latest", max_per_trigger: int | None = None) -> DataFrame:
     """Stream of the JSON text of change entries, from a Kafka topic or from JSON-lines files."""
-    return read_topic(spark, topic, fmt="kafka" if fmt == "kafka" else "text", bootstrap_servers=bootstrap_servers, path=path,
+    return read_topic(spark, topic or "changes", fmt="kafka" if fmt == "kafka" else "text", bootstrap_servers=bootstrap_servers, path=path,
                       starting_offsets=starting_offsets, max_per_trigger=max_per_trigger)
 
 
