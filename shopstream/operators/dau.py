@@ -8,7 +8,7 @@ event date removes the midnight double count).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopstream import schemas
@@ -16,6 +16,11 @@ from shopstream.operators.dedup import first_per_key
 
 DAU_KEY = ["mid", "log_date"]
 
+# A seen filter is a table of ``buckets`` bitmaps (4 KB each, at most 16 MB by default: this bounds its broadcast).
+FILTER_BUCKETS = 4096
+_BITS = 32_768  # of one bitmap of ``bitmap_construct_agg``
+_PROBES = 3
+
 
 def filter_unseen(logs: DataFrame, seen: DataFrame, keys=DAU_KEY) -> DataFrame:
     """Anti join against the seen ``(mid, log_date)`` set.
@@ -27,20 +32,59 @@ def filter_unseen(logs: DataFrame, seen: DataFrame, keys=DAU_KEY) -> DataFrame:
     return logs.join(seen.select(*keys).distinct(), on=list(keys), how="left_anti")
 
 
+def _probes(keys) -> tuple[Column, list[Column]]:
+    """(hash for the bucket, places in its bitmap) of a key, from disjoint bits of one 64-bit hash."""
+    h = F.xxhash64(*keys)
+    places = [F.pmod(F.shiftrightunsigned(h, 15 * i), F.lit(_BITS)) for i in range(_PROBES)]
+    return F.shiftrightunsigned(h, 15 * _PROBES), places
+
+
+def seen_filter(seen: DataFrame, keys=DAU_KEY, buckets: int = FILTER_BUCKETS) -> DataFrame:
+    """``(bucket, bits)``: a Bloom filter of the seen keys, blocked so that all bits of a key lie in one bitmap. Bits are set by
+    an aggregate that is combined before its shuffle; the result has ``buckets`` rows at most, whatever the number of keys (more keys
+    only mean more suspects). Meant to be kept per day and read by every batch."""
+    high, places = _probes(keys)
+    return (seen.select(F.pmod(high, F.lit(buckets)).cast("int").alias("bucket"), F.explode(F.array(*places)).alias("place"))
+                .groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")))
+
+
+def _bit(bits: Column, place: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bits, (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+
+def filter_unseen_by_filter(logs: DataFrame, seen: DataFrame, known: DataFrame, keys=DAU_KEY, buckets: int = FILTER_BUCKETS) -> DataFrame:
+    """``filter_unseen`` with the filter ``known`` of the seen keys (``seen_filter`` with as many ``buckets``): rows that it
+    rejects are new and skip the anti join's shuffle, the suspects take it. Exact: the filter has no false negatives."""
+    high, places = _probes(keys)
+    small = F.broadcast(known.select(F.col("bucket").alias("_bucket"), "bits"))  # buckets * 4 KB at most
+    marked = logs.withColumn("_bucket", F.pmod(high, F.lit(buckets)).cast("int")).join(small, "_bucket", "left")
+    suspect = F.col("bits").isNotNull()
+    for place in places:
+        suspect = suspect & _bit(F.col("bits"), place)
+    # a null key is never seen
+    suspect = F.coalesce(suspect, F.lit(False)) & ~F.greatest(*[F.col(k).isNull() for k in keys])
+    marked = marked.withColumn("_suspect", suspect).drop("_bucket", "bits")
+    new = marked.filter(~F.col("_suspect")).drop("_suspect")
+    return new.unionByName(filter_unseen(marked.filter("_suspect").drop("_suspect"), seen, keys).select(*new.columns))
+
+
 def dedup_daily(logs: DataFrame, order=("ts", "event_id")) -> DataFrame:
     """First record per device and day, ordered by ``ts`` then a tiebreak column."""
     order = [c for c in order if c in logs.columns]
     return first_per_key(logs, DAU_KEY, order)
 
 
-def new_devices(logs: DataFrame, seen: DataFrame, order=("ts", "event_id")) -> DataFrame:
-    """First record per device and day among devices not yet seen that day.
+def new_devices(logs: DataFrame, seen: DataFrame, order=("ts", "event_id"), known: DataFrame | None = None) -> DataFrame:
+    """First record per device and day among devices not yet seen that day; ``known`` is a ``seen_filter`` that tells
+    most new devices without the seen set.
 
     Same result as ``dedup_daily(filter_unseen(logs, seen))`` (the anti join drops
     whole keys, so it commutes with the per-key pick) but planned the other way
     round: the per-key aggregate is combined map-side first, so a device that holds
     a third of all rows reaches the join as one row."""
-    return filter_unseen(dedup_daily(logs, order), seen)
+    first = dedup_daily(logs, order)
+    return filter_unseen(first, seen) if known is None else filter_unseen_by_filter(first, seen, known)
 
 
 def dau_rows(logs: DataFrame) -> DataFrame:

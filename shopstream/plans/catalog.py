@@ -118,6 +118,12 @@ def _seen_split(spark, sf_dir):
     return batch, seen
 
 
+def q_dau_seen_filter(spark, sf_dir):
+    """The same rows as ``dau_seen_anti``, with a Bloom filter of the seen keys before the anti join."""
+    batch, seen = _seen_split(spark, sf_dir)
+    return dau.dau_rows(dau.new_devices(batch, seen, known=dau.seen_filter(seen)))
+
+
 def q_dau_seen_anti(spark, sf_dir):
     batch, seen = _seen_split(spark, sf_dir)
     return dau.dau_rows(dau.new_devices(batch, seen))
@@ -351,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "cdc_after_json": q_cdc_after_json,
     "dau_dedup": q_dau_dedup,
     "dau_seen_anti": q_dau_seen_anti,
+    "dau_seen_filter": q_dau_seen_filter,
     "dau_filter_counts": q_dau_filter_counts,
     "dau_total": q_dau_total,
     "dau_hourly": q_dau_hourly,

@@ -232,6 +232,7 @@ unseen_first AS (
         FROM unseen) WHERE rn = 1
 )"""
     q["dau_seen_anti"] = _with(APP_LOGS, SEEN, seen_dedup) + "SELECT * FROM unseen_first"
+    q["dau_seen_filter"] = q["dau_seen_anti"]
     q["dau_filter_counts"] = _with(APP_LOGS, SEEN) + (
         "SELECT (SELECT count(*) FROM batch) AS n_in, (SELECT count(*) FROM unseen) AS n_unseen, "
         "(SELECT count(*) FROM (SELECT DISTINCT mid, log_date FROM unseen)) AS n_new")

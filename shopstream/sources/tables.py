@@ -39,3 +39,15 @@ def user_table(spark: SparkSession, path: str | list[str], only: DataFrame | Non
 def keyed_table(spark: SparkSession, path: str, key: str, order=()) -> DataFrame:
     """Latest row per ``key`` of an index-like table (sale details, alerts)."""
     return upsert.read_latest(spark, path, [key], list(order))
+
+
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save rows as the catalogue table ``name``, hashed into ``buckets`` by ``key`` and sorted by it in each. Tables of as many
+    buckets on the keys of a join (orders by ``id``, their details by ``order_id``; sales by ``user_id``, users by ``id``) are joined
+    without an exchange, however large they are.
+
+    The rows are brought together by bucket first, so a bucket is one file (its sort order then holds too). A key that
+    holds a large share of the rows is one bucket and one task of the join: where that is too much, join the plain
+    tables instead, whose exchange adaptive execution can split."""
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)

@@ -126,13 +126,28 @@ def dau_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return first.select("mid", "log_date", "_first.*").select(*schemas.DAU_COLUMNS)
 
 
-def start_dau(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
+def dau_first_seen_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Startup lines -> the first record of each ``(mid, log_date)`` to arrive, once, in append mode. The state is the key and
+    when it may go, no record: smaller than that of ``dau_stream``, which also takes back a record for an earlier one that
+    comes late. A key is held for a day plus ``lateness`` after its event time, so all of its day falls on it."""
+    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", _valid("dau"))
+    timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", _day_and(lateness))
+    return timed.dropDuplicatesWithinWatermark(["mid", "log_date"]).select(*schemas.DAU_COLUMNS)
+
+
+def _day_and(lateness: str) -> str:
+    return f"{86_400_000 + alerts.duration_ms(lateness)} milliseconds"
+
+
+def start_dau(lines: DataFrame, table_path: str, first_seen: bool = False, **kw) -> StreamingQuery:
     """Write new devices to the DAU table (partitioned by ``log_date``); readers keep
-    the earliest record per device and day (``sources.tables.dau_table``)."""
+    the earliest record per device and day (``sources.tables.dau_table``). ``first_seen`` takes records in the order
+    of their arrival, with less state."""
     observed = lines.observe("dau_in", F.count(F.lit(1)).alias("n_in"))
-    out = dau_stream(observed).observe("dau_new", F.count(F.lit(1)).alias("n_new"))
+    devices = dau_first_seen_stream(observed) if first_seen else dau_stream(observed)
+    out = devices.observe("dau_new", F.count(F.lit(1)).alias("n_new"))
     sink = sinks.upsert_sink(table_path, ["mid", "log_date"], ["ts"], keep="first", partition_by=["log_date"])
-    kw.setdefault("output_mode", "update")
+    kw.setdefault("output_mode", "append" if first_seen else "update")
     return _start(out, "dau", sink, target=table_path, **kw)
 
 
