@@ -287,6 +287,12 @@ def q_sale_wide_keyed(spark, sf_dir):
     return sales.one_per_detail(q_sale_wide(spark, sf_dir))
 
 
+def q_sale_wide_resent(spark, sf_dir):
+    """The sale index when details are sent again: one row per ``order_detail_id`` out of several."""
+    j = sales.interval_join(td.orders(spark, sf_dir), td.resent_details(spark, sf_dir))
+    return sales.one_per_detail(sales.with_user(j, _users(spark, sf_dir), F.lit(AS_OF).cast("timestamp")))
+
+
 # ---------------------------------------------------------------------------------
 # coupon alerts
 
@@ -324,6 +330,12 @@ def q_coupon_alert_per_minute(spark, sf_dir):
     return per_min.select("alert_id", "mid", _window_start_text(), "n_uids")
 
 
+def q_coupon_alert_minute_pick(spark, sf_dir):
+    """Windows that end in the same minute: the later one is the stored alert of the device and minute."""
+    found = alerts.coupon_alerts(td.dense_event_log(spark, sf_dir), window="90 seconds", slide="30 seconds", min_uids=ALERT_MIN_UIDS)
+    return alerts.one_per_minute(found).select("alert_id", "mid", _window_start_text(), "n_uids")
+
+
 def q_coupon_alert_windows(spark, sf_dir):
     """The windows that raise an alert, from aggregates of bounded size."""
     timed = alerts.usable(td.event_log(spark, sf_dir)).withColumn("event_time", timefmt.ms_to_ts("ts"))
@@ -382,10 +394,12 @@ QUERIES: dict[str, Query] = {
     "user_age": q_user_age,
     "sale_wide": q_sale_wide,
     "sale_wide_keyed": q_sale_wide_keyed,
+    "sale_wide_resent": q_sale_wide_resent,
     "coupon_alert": q_coupon_alert,
     "coupon_alert_literal": q_coupon_alert_literal,
     "coupon_alert_literal_click": q_coupon_alert_literal_click,
     "coupon_alert_per_minute": q_coupon_alert_per_minute,
+    "coupon_alert_minute_pick": q_coupon_alert_minute_pick,
     "coupon_alert_events": q_coupon_alert_events,
     "coupon_alert_windows": q_coupon_alert_windows,
     "coupon_alert_lists": q_coupon_alert_lists,

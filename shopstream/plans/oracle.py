@@ -319,6 +319,16 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY create_
         user_level DESC NULLS LAST, sku_price DESC, sku_name DESC NULLS LAST, dt DESC) AS rn FROM sale_wide)
 WHERE rn = 1"""
 
+    resent = """
+details_sent AS (
+  SELECT id, order_id, sku_id, sku_name, order_price, ts FROM details_l
+  UNION ALL
+  SELECT id, order_id, sku_id, sku_name, order_price * 1.1, ts + 1000 FROM details_l WHERE l_linenumber = 1
+)"""
+    q["sale_wide_resent"] = q["sale_wide_keyed"].replace(
+        _with(ORDERS, DETAILS, SALE_INTERVAL, USERS, wide),
+        _with(ORDERS, DETAILS, resent, SALE_INTERVAL.replace("details_l", "details_sent"), USERS, wide))
+
     alert_base = _with(APP_LOGS, ALERT_WINDOWS)
     min_uids = C.ALERT_MIN_UIDS
     q["coupon_alert"] = alert_base + (
@@ -340,6 +350,16 @@ SELECT alert_id, mid, window_start, n_uids FROM (
          row_number() OVER (PARTITION BY mid || '_' || CAST((ws + 3 * 86400000) // 60000 AS VARCHAR)
                             ORDER BY ws DESC) AS rn
   FROM win WHERE n_uids > {min_uids} AND NOT clicked_evid)
+WHERE rn = 1"""
+    q["coupon_alert_minute_pick"] = _with(APP_LOGS) + f"""
+SELECT alert_id, mid, {WS_TEXT} AS window_start, n_uids FROM (
+  SELECT mid || '_' || CAST((ws + 90000) // 60000 AS VARCHAR) AS alert_id, mid, ws, n_uids,
+         row_number() OVER (PARTITION BY mid, (ws + 90000) // 60000 ORDER BY ws DESC) AS rn
+  FROM (SELECT mid, ws, count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS n_uids, bool_or(evid = 'clickItem') AS clicked
+        FROM (SELECT a.mid, a.uid, a.evid, ((1704067200000 + (a.ts - 1704067200000) // 2880) // 30000 - k.k) * 30000 AS ws
+              FROM app_logs a CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) k)
+        GROUP BY mid, ws)
+  WHERE n_uids > {min_uids} AND NOT clicked)
 WHERE rn = 1"""
     q["coupon_alert_events"] = alert_base + f""",
 mix AS (SELECT mid, ws, evid, count(*) AS n FROM ev_w GROUP BY mid, ws, evid)

@@ -54,6 +54,7 @@ ITEM_BUCKETS = 50
 OS_EVEN, OS_ODD = "android", "ios"
 # feed arrival clock: order k arrives k * ARRIVAL_STEP_MS after ARRIVAL_BASE_MS
 ARRIVAL_BASE_MS = 1_704_067_200_000
+DENSITY = 2880
 ARRIVAL_STEP_MS = 700
 CLICK_TYPE_EVERY = 211
 BROKEN_EVERY = 101
@@ -128,6 +129,12 @@ def typed_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "type", F.when(F.col("event_id") % CLICK_TYPE_EVERY == 0, F.lit("clickItem")).otherwise(F.col("type")))
 
 
+def dense_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log in ``DENSITY`` times less time: a day takes 30 seconds."""
+    return event_log(spark, sf_dir).withColumn(
+        "ts", F.lit(ARRIVAL_BASE_MS) + F.floor((F.col("ts") - F.lit(ARRIVAL_BASE_MS)) / F.lit(DENSITY)))
+
+
 def foreign_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines with fields the log schema doesn't know (text, number, nested) and a client ``ts``;
     every ``BROKEN_EVERY``-th line is cut off."""
@@ -228,6 +235,13 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resent_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details, those of the first line of each order sent again a second later at a price 10 % higher (unrounded)."""
+    d = details(spark, sf_dir)
+    again = (d.filter(F.col("l_linenumber") == 1).withColumn("order_price", F.col("order_price") * 1.1).withColumn("ts", F.col("ts") + 1000))
+    return d.unionByName(again)
+
+
 def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = details(spark, sf_dir)
     fields = [F.col(c).cast("string").alias(c) for c in
