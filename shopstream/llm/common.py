@@ -18,10 +18,13 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 def scratch_root(spark: SparkSession) -> str:
     """Folder that all executors share (``spark.checkpoint.dir``).
 
-    Only a session without that setting (tests, one machine) gets a folder of its own.
+    Only a session of one machine without that setting (tests) gets a folder of its own; a cluster without it is an error, because
+    its executors would write to folders that the others don't see.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to shared storage")
         root = "file://" + tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

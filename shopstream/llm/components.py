@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is an aggregation (combined before the shuffle) and an equi-join, so a hub that touches
-a third of all rows is split by the engine's skew handling; nothing is collected but two numbers a
-round. Rounds grow with the logarithm of the largest component.
+Each step is an aggregation (combined before the shuffle) and an equi-join. What is aggregated is stored
+before it is joined, so that both sides of the join have an exchange of their own and the engine's skew handling can split
+a hub that touches a third of all rows; nothing is collected but two numbers a round. Rounds grow with the logarithm of the largest component.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u moves to the smallest of u and its neighbours."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select(
-        "u", F.least("u", "m").alias("m"))
+    low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        "u", F.least("u", "m").alias("m")))
     return (both.where("v > u").join(low, "u")
             .select(F.col("m").alias("a"), F.col("v").alias("b"))
             .where("a <> b").distinct())
@@ -40,7 +40,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """u and its smaller neighbours move to the smallest of them. Edges have a < b."""
-    low = edges.groupBy("b").agg(F.min("a").alias("m"))
+    low = cut(edges.groupBy("b").agg(F.min("a").alias("m")))
     moved = edges.join(low, "b").where("a <> m").select(F.col("m"), F.col("a").alias("c"))
     own = low.select("m", F.col("b").alias("c"))
     return moved.unionByName(own).select(F.col("m").alias("a"), F.col("c").alias("b")).distinct()
@@ -62,7 +62,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
                         F.greatest("a", "b").cast("long").alias("b")).distinct())
     before = _state(edges)
     while before[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(cut(_large_star(edges))))
         now = _state(edges)
         if now == before:
             break

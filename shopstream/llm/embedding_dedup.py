@@ -106,6 +106,21 @@ def candidates(a: np.ndarray, b: np.ndarray, width: float, count: int) -> np.nda
     return hits >= count
 
 
+def near_pairs(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float, dense: bool) -> np.ndarray:
+    """Which candidates (a[i], b[j]) have a cosine of the threshold or more. Many candidates take a matrix product, but next to
+    the threshold the sum by rows decides, so that a link doesn't depend on who else is a candidate."""
+    out = np.zeros(len(i), bool)
+    rest = np.arange(len(i))
+    if dense:
+        cosine = (a @ b.T)[i, j]
+        out = cosine >= threshold
+        rest = np.flatnonzero(np.abs(cosine - threshold) < 1e-9)
+    for at in range(0, len(rest), 65536):
+        some = rest[at:at + 65536]
+        out[some] = np.einsum("ij,ij->i", a[i[some]], b[j[some]]) >= threshold
+    return out
+
+
 def _compare(threshold: float, count: int):
     """The one or two blocks of a pair -> (node, links, root)."""
     width = WINDOW * deviation(threshold) * (1 + 1e-9)
@@ -132,11 +147,7 @@ def _compare(threshold: float, count: int):
                 i, j = i[j > i + at], j[j > i + at]
             if not len(i):
                 continue
-            if len(i) * 16 > found.size:
-                cosine = (unit[a][strip] @ unit[b].T)[i, j]
-            else:
-                cosine = np.concatenate([np.einsum("ij,ij->i", unit[a][i[s:s + 65536] + at], unit[b][j[s:s + 65536]]) for s in range(0, len(i), 65536)])
-            near = cosine >= threshold
+            near = near_pairs(unit[a][strip], unit[b], i, j, threshold, dense=len(i) * 16 > found.size)
             i, j = i[near] + at, j[near] + start
             np.add.at(links, i, weight[j])
             np.add.at(links, j, weight[i])

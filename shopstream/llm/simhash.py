@@ -67,8 +67,9 @@ def fingerprint(hashes: np.ndarray) -> int:
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(shingle_hashes(b, words)) for b in binary_views(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.array([fingerprint(shingle_hashes(b, words)) for b in binary_views(batch.column("body"))], np.uint64)
+            rest = batch.drop_columns(["body"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(fps.view(np.int64))], names=[*rest.schema.names, "fp"])
     return run
 
 
@@ -224,21 +225,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty result.
     """
     prints = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("low"))
-    roots = connected_components(near_pairs(prints.select("fp").distinct(), max_bits))
-    named = stored(nodes.join(roots, nodes["fp"] == roots["node"], "left")
-                   .select("fp", "low", F.coalesce("root", "fp").alias("root")), "components")
+    named = components(prints, max_bits)
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
     return prints.join(named.join(low, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
+def components(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``(fp, low, root)`` of distinct fingerprints: the smallest id that has it, and the component it is in."""
+    nodes = prints.groupBy("fp").agg(F.min("id").alias("low"))
+    roots = connected_components(near_pairs(prints.select("fp").distinct(), max_bits))
+    return stored(nodes.join(roots, nodes["fp"] == roots["node"], "left")
+                  .select("fp", "low", F.coalesce("root", "fp").alias("root")), "components")
+
+
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                       max_bits: int = 4) -> DataFrame:
-    """The documents, in their own columns, that have the smallest id of their component; rows that
-    repeat that id give one row (the smallest by its columns). Rows without an id cannot name
-    their group and stay."""
-    found = near_duplicates(docs, id_col, text_col, words, max_bits)
-    kept = found.where("id = component_id").select(F.col("id").alias("_keep_id")).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("_keep_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    chosen = rows.join(kept, "_keep_id", "left_semi").groupBy("_keep_id").agg(F.min("_row").alias("_row"))
-    return chosen.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))
+    """Of each component the document, in its own columns, with the smallest id; of several texts under that id the one with the
+    smallest hash, of rows that repeat both one (by the hash of their columns, maps left out). Texts that are no near copies
+    of each other both stay, also under one id. Rows without an id cannot name their group and stay. An empty table gives an
+    empty result."""
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    prints = stored(text_rows(docs, id_col, text_col).withColumn("h", F.xxhash64("body"))
+                    .mapInArrow(_fingerprints(words), "id long, h long, fp long"), "fingerprints")
+    named = components(prints, max_bits).select("fp", "root")
+    chosen = (prints.where("id is not null").join(named, "fp").groupBy("root").agg(F.min(F.struct("id", "h")).alias("k"))
+              .select(F.col("k.id").alias("_keep_id"), F.col("k.h").alias("_keep_hash")).distinct())
+    order = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    rows = docs.select(F.col(id_col).cast("long").alias("_keep_id"), text_hash.alias("_keep_hash"), order.alias("_order"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    kept = (rows.join(chosen, ["_keep_id", "_keep_hash"], "left_semi").groupBy("_keep_id", "_keep_hash")
+            .agg(F.min_by("_row", "_order").alias("_row")))
+    return kept.select("_row.*").unionByName(docs.where(F.col(id_col).isNull()))

@@ -81,3 +81,17 @@ def test_edge_cases(spark):
     got = embedding_dedup.near_vectors(table).collect()
     assert sorted((r["vec_id"] or -1, r["n_links"], r["component_id"] or -1) for r in got) == brute(rows)
     assert {r["vec_id"] for r in got if r["kept"]} == {1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 14, None}
+
+
+def test_links_next_to_the_threshold_don_t_depend_on_the_other_candidates():
+    rnd = np.random.default_rng(5)
+    a = rnd.standard_normal((300, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    for i, j in ((3, 9), (7, 200)):
+        threshold = float(np.einsum("ij,ij->i", a[[i]], a[[j]])[0])
+        for t in (threshold, np.nextafter(threshold, 2)):
+            pairs = np.array([(i, j)] + [(x, y) for x in range(50) for y in range(300)])
+            one = embedding_dedup.near_pairs(a, a, pairs[:1, 0], pairs[:1, 1], t, dense=False)[0]
+            many = [embedding_dedup.near_pairs(a, a, pairs[:, 0], pairs[:, 1], t, dense=d) for d in (False, True)]
+            assert one == many[0][0] == many[1][0] == (threshold >= t)
+            assert np.array_equal(*many)

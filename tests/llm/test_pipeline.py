@@ -72,3 +72,25 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, folder):
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(want[i].split()) for i in clean}
     assert sorted(map(tuple, rows)) == sorted(map(tuple, corpus_pipeline.run(spark, folder).collect()))
     assert packing.pack(docs.limit(0), packing.word_count(docs["text"])).count() == 0
+
+
+DOC_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, m map<string,long>, id long, fp string"
+
+
+def _write(spark, out, docs, labels, items):
+    spark.createDataFrame([(i, t, "en", "s", 0, {"k": 1}, 5, "x") for i, t in docs], DOC_COLUMNS).write.parquet(f"{out}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{out}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{out}/benchmark.parquet")
+
+
+def test_pipeline_of_empty_tables(spark, scratch):
+    _write(spark, scratch, [], [], [])
+    assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
+def test_pipeline_with_null_and_repeated_ids_and_extra_columns(spark, scratch):
+    """Rows without an id stay; texts that share an id stay, a repeated row is one; a map and clashing names do no harm."""
+    docs = [(i, prose(3000 + i, 40)) for i in range(40)] + [(3, prose(5000, 40)), (5, prose(3005, 40)), (None, prose(3001, 40)), (None, None), (99, prose(7, 30_000))]
+    _write(spark, scratch, docs, [(i, 1, 0) for i in range(40)], [(0, None)])
+    got = [r["doc_id"] for r in corpus_pipeline.run(spark, scratch).collect()]
+    assert sorted(-1 if i is None else i for i in got) == sorted([-1, -1, 99, 3, *range(40)])

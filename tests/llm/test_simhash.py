@@ -4,9 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
-from shopstream.llm import simhash
+from shopstream.llm import components, simhash
+from shopstream.llm.common import cut
 from tests.llm.helpers import documents, prose, union_find
 
 
@@ -79,3 +81,43 @@ def test_edge_cases(spark):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, -1, 1]
     long = documents(spark, [prose(1, 200_000)])
     assert simhash.near_duplicates(long).first()["component_id"] == 0
+
+
+def test_texts_that_share_an_id_and_rows_that_cannot_be_ordered(spark):
+    """Different texts under one id both stay; rows that repeat id and text give one, also with a map among the columns."""
+    docs = documents(spark, [(1, prose(1, 60)), (1, prose(2, 60)), (2, prose(3, 60)), (2, prose(3, 60)), (3, prose(3, 60)), (None, prose(3, 60))])
+    docs = docs.withColumn("m", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("_row", F.lit(1)).withColumn("h", F.lit(2)).withColumn("root", F.lit(3))
+    kept = simhash.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in rows) == sorted([(1, prose(1, 60)), (1, prose(2, 60)), (2, prose(3, 60)), (-1, prose(3, 60))])
+    assert simhash.one_of_each_group(docs.limit(0)).count() == 0
+
+
+def test_near_copies_under_one_id_are_one_document(spark):
+    text = prose(4, 400)
+    docs = documents(spark, [(7, text), (7, text + " "), (7, text.upper()), (9, text)])
+    kept = simhash.one_of_each_group(docs).collect()
+    assert [r["doc_id"] for r in kept] == [7]
+
+
+def test_a_hub_s_joins_can_be_split(spark):
+    """Both sides of the joins around a hub have an exchange of their own, so adaptive execution splits it."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        edges = cut(spark.range(1, n).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") - 1).alias("a"), F.col("id").alias("b")).where("a < b").repartition(8))
+        last = cut(edges.select((n - F.col("b")).alias("a"), (n - F.col("a")).alias("b")))  # the hub is the largest node
+        for step, graph in ((components._large_star, edges), (components._small_star, last)):
+            out = step(graph)
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString(), step
+        roots = {r["node"]: r["root"] for r in components.connected_components(edges).collect()}
+        assert len(roots) == n and set(roots.values()) == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
