@@ -2,6 +2,10 @@
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as Parquet and read
 again as the ``docs`` of the next one. All but the last return the columns of ``documents``.
+
+Rows without an id are kept by every stage: they cannot be named as copies. Of texts under one id each stays, unless they are near
+copies; a repeated row gives one. A null or empty text is a document without lines. Extra columns, maps among them, pass through. Empty
+tables give an empty result; without labels nothing is rejected, without benchmark items nothing is contaminated.
 """
 
 from __future__ import annotations
