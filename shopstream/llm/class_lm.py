@@ -2,16 +2,20 @@
 
 P(word | previous) = P(class | previous word's class) * P(word | class)
 
-1. The words of all training documents are counted: c of each, their number N and the vocabulary size V.
+1. Blocks of documents (see ``blocks``) hold their distinct words, how often training documents have each, and the number of
+   each token's word; they are stored once. The words go to ranges of the vocabulary once, as many ranges as there are blocks: there
+   they are counted (c of each, their number N, the vocabulary size V) and numbered; from then on only numbers move.
 2. Exchange clustering of the whole vocabulary. The ``CORE`` most frequent words start it on the driver: they are moved
    between ``CLASSES`` classes, one after the other, as long as the likelihood of their bigrams (counted over all training
    documents) grows. Then every training word takes part, from a table of words and classes that stays in Spark: a sweep
    counts, for each word, the classes that all its neighbours had after the last sweep (in the first one, neighbours of the core)
    and moves it to the class where these bigrams are likeliest. All words move at once, so the likelihood of all class bigrams
    is measured after each sweep; sweeps end when it no longer rises (or after ``SWEEPS``), and the table with the largest one is kept.
-3. Blocks of documents (see ``blocks``) hold their distinct words and, in a row of its own, the number of each token's word; they are
-   stored once. A block's words are joined with their classes and gathered by block; at the end each block keeps one byte a
-   token, its class, besides sums per document.
+   Distinct bigrams are counted and stored once, at the ranges of their words; a sweep shuffles them and a byte for each word
+   that a range asks of another one. A bigram with a core word is at its other word, so that no range has all neighbours of a
+   frequent word; the sums of core words come from all ranges.
+3. At the end blocks ask the ranges for classes and counts of their words; a block keeps one byte a token, its class, besides
+   sums per document.
 4. Class transitions are counted over all training documents and smoothed towards the classes' frequencies; words
    are emitted with an absolute discount, and what it sets free in each class goes to unknown words.
 
@@ -23,7 +27,6 @@ from __future__ import annotations
 
 import gc
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopstream.llm import blocks
-from shopstream.llm.common import chunks, cut, stored, text_rows
+from shopstream.llm.common import chunks, discarded, stored, text_rows
 
 CORE = 2048
 CLASSES = 64
@@ -58,26 +61,6 @@ def learnt_from(ids: list, folds: int, held: int) -> np.ndarray:
     return np.array([(r := remainder(i, folds)) is not None and r != held for i in ids], bool)
 
 
-def _count_rows(folds: int, held: int):
-    """Rows (piece, c): words of training documents, and how often."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, size = Counter(), 0
-
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], names=["piece", "c"])
-        for ids, bodies in chunks(batches):
-            for body, use in zip(bodies, learnt_from(ids, folds, held), strict=True):
-                if use:
-                    total.update(words_of(body))
-                    size += len(body)
-            if size >= TASK_BYTES:
-                yield rows()
-                total, size = Counter(), 0
-        if total:
-            yield rows()
-    return run
-
-
 def place_width(tokens: int) -> int:
     """Bytes of a place in a block of so many tokens."""
     return 3 if tokens < 1 << 24 else 4
@@ -95,42 +78,129 @@ def widened(content: np.ndarray, tokens: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each block: a word and its number in the block; the header also has the number of each token's word."""
+def _block_rows(batches: Iterator[pa.RecordBatch], folds: int = 7, held: int = 2) -> Iterator[pa.RecordBatch]:
+    """Rows of each block: a word, its number in the block and how often training documents of the block have it; the header
+    also has the number of each token's word."""
     for block, index, numbers, counts, ids, _ in blocks.runs(batches, words_of, TASK_BYTES):
-        own = blocks.packed(np.arange(len(index), dtype=np.uint32), np.arange(1, len(index) + 1))
-        batch = blocks.rows(block, list(index), own, None, ids, counts)
-        tokens = pa.array([narrowed(numbers, len(index)).tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.concat_arrays([pa.nulls(len(index), pa.binary()), tokens])], names=blocks.NAMES)
+        size = len(index)
+        each = np.arange(1, size + 1)
+        own = blocks.packed(np.arange(size, dtype=np.uint32), each)
+        learnt = np.bincount(numbers[np.repeat(learnt_from(ids, folds, held), counts)], minlength=size).astype(np.uint32)
+        batch = blocks.rows(block, list(index), own, blocks.packed(learnt, each), ids, counts)
+        tokens = pa.array([narrowed(numbers, size).tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.concat_arrays([batch.column("n").slice(0, size), tokens])], names=blocks.NAMES)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """First all lowest bytes, then all second ones, ...: bytes that hardly differ stand together, so shuffled rows get smaller."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def _from_planes(table: pa.Table, name: str, kind) -> np.ndarray:
+    """All numbers of a column of planes in a row."""
+    width = np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).view(kind).ravel() for x in table.column(name).to_pylist() if x]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
 
+def _numbers(table: pa.Table, name: str, kind) -> np.ndarray:
+    return blocks.gathered(table.column(name), kind)[0]
 
-def _opened(table: pa.Table) -> tuple[list, np.ndarray, pa.Table, np.ndarray]:
-    """(ids, tokens of each document, words by number, number of each token's word) of all rows of a block."""
-    is_head = table.column("head").to_numpy()
-    head = int(np.flatnonzero(is_head)[0])
-    ids, lengths = blocks.header(table.column("at")[head].as_py())
-    tokens = np.frombuffer(table.column("n")[head].as_py(), np.uint8)
-    words = table.filter(pa.array(~is_head)).drop_columns(["head", "n"])
-    words = words.take(pa.array(np.argsort(blocks.gathered(words.column("at"), np.uint32)[0])))
-    return ids, lengths, words, widened(tokens, words.num_rows)
 
+def _binary(*arrays: np.ndarray) -> list[pa.Array]:
+    """A column of one value for each array."""
+    return [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in arrays]
 
-def gathered_blocks(held_rows: DataFrame, known: DataFrame):
-    """The rows of each block, its words with the columns of ``known`` (null: not there)."""
-    words = held_rows.where("not head").join(known, "piece", "left")
-    return words.unionByName(held_rows.where("head"), allowMissingColumns=True).groupBy("block")
 
+def _runs_of(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal keys."""
+    if not len(keys):
+        return []
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return list(zip(begin.tolist(), np.append(begin[1:], len(keys)).tolist(), strict=True))
 
-def _core_rows(core: list[bytes], folds: int, held: int):
+
+_RANGES = "r int, block long, pieces array<binary>, at binary, x binary"
+
+
+def _range_rows(table: pa.Table) -> pa.Table:
+    """All words of a range, of all blocks -> a row with its distinct words and their training counts, and a row a block: the
+    numbers its words have in the block, and in the range."""
+    words = table.column("piece").combine_chunks()
+    words = (words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words).dictionary_encode()
+    at = words.indices.to_numpy().astype(np.uint32)
+    counts = np.bincount(at, weights=_numbers(table, "n", np.uint32), minlength=len(words.dictionary)).astype(np.int64)
+    block, own = table.column("block").to_numpy(), _numbers(table, "at", np.uint32)
+    order = np.argsort(block, kind="stable")
+    block, own, at = block[order], own[order], at[order]
+    runs = _runs_of(block)
+    r = table.column("r")[0].as_py()
+    return pa.table({
+        "r": pa.array([r] * (len(runs) + 1), pa.int32()), "block": pa.array([None, *(int(block[i]) for i, _ in runs)], pa.int64()),
+        "pieces": pa.array([words.dictionary.to_pylist(), *[None] * len(runs)], pa.list_(pa.binary())),
+        "at": pa.array([None, *(own[i:j].tobytes() for i, j in runs)], pa.binary()),
+        "x": pa.array([counts.tobytes(), *(at[i:j].tobytes() for i, j in runs)], pa.binary())})
+
+
+def ranged(held_rows: DataFrame) -> DataFrame:
+    """The vocabulary in ranges of words, as many as there are blocks, so that a range stays as small as a block."""
+    ranges = max(12, held_rows.where("head").count())
+    by = F.pmod(F.xxhash64("piece"), F.lit(ranges)).cast("int")
+    return stored(held_rows.where("not head").withColumn("r", by).groupBy("r").applyInArrow(_range_rows, _RANGES), "word-ranges")
+
+
+def _most_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece, c, r, i): the CORE most frequent training words of each range, and the end."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            counts = np.frombuffer(row["x"], np.int64)
+            least = np.sort(counts)[-CORE] if len(counts) > CORE else 1
+            top = [i for i in np.flatnonzero(counts >= max(1, least)).tolist() if row["pieces"][i] != END]
+            top = sorted(top, key=lambda i: (-counts[i], row["pieces"][i]))[:CORE] + [i for i, p in enumerate(row["pieces"]) if p == END]
+            yield pa.RecordBatch.from_arrays([pa.array([row["pieces"][i] for i in top], pa.binary()), pa.array(counts[top], pa.int64()),
+                                              pa.array([row["r"]] * len(top), pa.int32()), pa.array(top, pa.int32())], names=["piece", "c", "r", "i"])
+
+
+def _named_rows(wanted: frozenset):
+    """Rows (piece, r, i) of the words asked for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                got = [i for i, p in enumerate(row["pieces"]) if p in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array([row["pieces"][i] for i in got], pa.binary()), pa.array([row["r"]] * len(got), pa.int32()),
+                                                  pa.array(got, pa.int32())], names=["piece", "r", "i"])
+    return run
+
+
+def _named(ranges: DataFrame, pieces) -> list:
+    """Rows (piece, r, i) of some words (CORE at most)."""
+    return ranges.where("block is null").select("r", "pieces").mapInArrow(_named_rows(frozenset(pieces)), "piece binary, r int, i int").collect()
+
+
+def _count_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (n, v, once, twice): tokens, words, and words of one and two tokens in training documents."""
+    for batch in batches:
+        for x in batch.column("x").to_pylist():
+            counts = np.frombuffer(x, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([int(k)]) for k in (counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum())],
+                                             names=["n", "v", "once", "twice"])
+
+
+def _core_rows(core: dict, size: int):
     """Rows (prev, word, n): how often core words follow a core word (ranks; packed) in training documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(core)
-        rank = dict(zip(core, range(size), strict=True))
         total = np.zeros(size * size, np.int64)
-        for ids, bodies in chunks(batches):
-            seq = _sequence(bodies, learnt_from(ids, folds, held), lambda w: rank.get(w, -1), size - 1)
-            both = (seq[:-1] >= 0) & (seq[1:] >= 0)
-            total += np.bincount(seq[:-1][both] * size + seq[1:][both], minlength=size * size)
+        for batch in batches:
+            for row in batch.to_pylist():
+                many = np.frombuffer(row["cm"], np.uint32)
+                if row["r"] in core:
+                    rank = np.full(len(many), -1, np.int64)
+                    numbers, ranks = core[row["r"]]
+                    there = numbers < len(many)
+                    rank[numbers[there]] = ranks[there]
+                    word = np.repeat(rank, many)
+                    at = np.flatnonzero(word >= 0)
+                    np.add.at(total, (np.frombuffer(row["cc"], np.uint16)[at] >> 1) * np.int64(size) + word[at], np.frombuffer(row["cn"], np.int64)[at])
         grid = total.reshape(size, size)
         prev = np.flatnonzero(grid.any(axis=1))
         words = [np.flatnonzero(grid[p]) for p in prev]
@@ -151,22 +221,22 @@ def _core_sums(size: int):
     return run
 
 
-def core_bigrams(rows: DataFrame, core: list[bytes], folds: int, held: int) -> np.ndarray:
+def core_counts(links: DataFrame, core: list) -> np.ndarray:
     """``[v, w]``: how often core word w follows core word v in the training documents (CORE^2 numbers at most)."""
-    packed = rows.mapInArrow(_core_rows(core, folds, held), "prev int, word binary, n binary")
+    packed = links.where("src is null").select("r", "cm", "cc", "cn").mapInArrow(_core_rows(places_of(core), len(core)), "prev int, word binary, n binary")
     counts = np.zeros((len(core), len(core)))
     for r in packed.repartition("prev").mapInArrow(_core_sums(len(core)), "prev int, n binary").toLocalIterator():
         counts[r["prev"]] = np.frombuffer(r["n"], np.int64)
     return counts
 
 
-def _sequence(bodies: list[bytes], wanted: np.ndarray, number, end: int) -> np.ndarray:
-    """Numbers of the words of the wanted documents in a row, after an end (the history of the first)."""
-    words: list[bytes] = []
-    for body, w in zip(bodies, wanted, strict=True):
-        if w:
-            words += words_of(body)
-    return np.append(np.int64(end), np.fromiter((number(w) for w in words), np.int64, len(words)))
+def core_bigrams(rows: DataFrame, core: list[bytes], folds: int, held: int) -> np.ndarray:
+    """``core_counts`` of some words of texts."""
+    held_rows = stored(rows.mapInArrow(lambda batches: _block_rows(batches, folds, held), blocks.SCHEMA), "word-blocks")
+    ranges = ranged(held_rows)
+    found = {bytes(r["piece"]): (r["r"], r["i"]) for r in _named(ranges, core)}
+    at = [found.get(w, (-1, i)) for i, w in enumerate(core)]
+    return core_counts(linked(held_rows, ranges, at, folds, held), at)
 
 
 def _xlogx(x):
@@ -211,99 +281,204 @@ def exchange(counts: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarr
     return cls
 
 
-_PROFILE = "piece binary, cls int, x binary, n binary"
+NONE = 255    # a word that has no class yet
+UNSEEN = 254  # a word that no training document has
+
+_ENTRIES = "r int, cu binary, cc binary, cn binary, tu binary, tc binary, tn binary"
+
+
+def _word_ids(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Range and number in it of each word of a block."""
+    of_range, many = np.empty(size, np.int64), np.empty(size, np.int64)
+    at, per = blocks.gathered(table.column("at"), np.uint32)
+    of_range[at] = np.repeat(table.column("r").to_numpy().astype(np.int64), per)
+    many[at] = _numbers(table, "x", np.uint32)
+    return of_range, many
+
+
+def _ranked(core: dict, of_range: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Rank of each word among the core words, -1 for the others. ``core``: range -> (numbers, ranks)."""
+    rank = np.full(len(number), -1, np.int64)
+    for r in np.unique(of_range).tolist():
+        if r in core:
+            mine = np.flatnonzero(of_range == r)
+            numbers, ranks = core[r]
+            at = np.minimum(np.searchsorted(numbers, number[mine]), len(numbers) - 1)
+            found = numbers[at] == number[mine]
+            rank[mine[found]] = ranks[at[found]]
+    return rank
+
+
+def _entry_rows(core: dict, folds: int, held: int):
+    """A block's header and its words' numbers -> its bigrams by the range of a word of theirs: (word, neighbour, how often).
+
+    A bigram of two words outside the core is there once for each (a word after itself: once); one with a core word is there
+    once, at the other word, and serves both; so no range holds all neighbours of a core word. Neighbours are
+    2 * rank + side (core words) or 2 * (range << 32 | number) + side; side 1: the neighbour is the right one."""
+    def run(head: pa.Table, gets: pa.Table) -> pa.Table:
+        empty = pa.table({f: pa.array([], pa.int32() if f == "r" else pa.binary()) for f in ("r", "cu", "cc", "cn", "tu", "tc", "tn")})
+        if not head.num_rows or not gets.num_rows:
+            return empty
+        ids, lengths = blocks.header(head.column("at")[0].as_py())
+        size = int(blocks.gathered(gets.column("at"), np.uint32)[1].sum())
+        numbers = widened(np.frombuffer(head.column("n")[0].as_py(), np.uint8), size)
+        of_range, number = _word_ids(gets, size)
+        rank = _ranked(core, of_range, number)
+        order = np.lexsort((number, of_range))  # words get numbers by range, so that bigrams are sorted by it
+        place = np.empty(size, np.uint32)
+        place[order] = np.arange(size, dtype=np.uint32)
+        of_range, number, rank = of_range[order], number[order], rank[order]
+        # the first history is an end, as every document's last token is
+        seq = place[np.append(numbers[-1:], numbers[np.repeat(learnt_from(ids, folds, held), lengths)])]
+        pairs, n = np.unique(seq[:-1].astype(np.int64) * size + seq[1:], return_counts=True)
+        del seq, numbers
+        left, right, n = (pairs // size).astype(np.uint32), (pairs % size).astype(np.uint32), n.astype(np.uint32)
+        del pairs
+        is_core, code = rank >= 0, (of_range << 32 | number) * 2
+
+        def by_right(which):
+            at = np.flatnonzero(which)
+            return at[np.argsort(right[at], kind="stable")]
+        at_right, at_left = by_right(is_core[left]), np.flatnonzero(~is_core[left] & is_core[right])
+        both = ~is_core[left] & ~is_core[right]
+        tail_right, tail_left = by_right(both), np.flatnonzero(both & (left != right))
+        sides = [
+            (0, right[at_right], (2 * rank[left[at_right]]).astype(np.uint16), n[at_right]), (0, left[at_left], (2 * rank[right[at_left]] + 1).astype(np.uint16), n[at_left]),
+            (3, right[tail_right], code[left[tail_right]], n[tail_right]), (3, left[tail_left], code[right[tail_left]] + 1, n[tail_left])]
+        out: list = [[], *([] for _ in range(6))]
+        for k, u, neighbour, times in sides:
+            for i, j in _runs_of(of_range[u]):
+                out[0].append(int(of_range[u[i]]))
+                for m in range(6):
+                    value = (number[u[i:j]].astype(np.uint32), neighbour[i:j], times[i:j])[m - k] if k <= m < k + 3 else None
+                    out[m + 1].append(None if value is None else _planes(value))
+        return pa.table([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=empty.column_names)
+    return run
 
 
-def _profile_batch(pieces, cls, word: np.ndarray, x: np.ndarray, n: np.ndarray, kind) -> pa.RecordBatch:
-    """Rows (piece, cls, x, n): how often (null: once each) a word has which neighbours; entries sorted by the word's number."""
-    many = np.bincount(word, minlength=len(pieces))
-    several = np.zeros(len(pieces), bool)  # words that have an entry of more than one; the others need no numbers
-    several[word[n > 1]] = True
-    times = blocks.packed(n[several[word]].astype(kind), np.cumsum(many * several), several)
-    return pa.RecordBatch.from_arrays([pieces, cls, blocks.packed(x.astype(np.uint8), np.cumsum(many)), times], names=["piece", "cls", "x", "n"])
+_LINKS = "r int, src int, cm binary, cc binary, cn binary, tm binary, tp binary, tn binary"
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(n[order].astype(np.int64), first) if len(key) else np.empty(0, np.int64)
+
+
+def _link_rows(table: pa.Table) -> pa.Table:
+    """All entries of a range -> a row with each bigram once (the neighbours outside the core as places in the list of all such
+    neighbours), and a row for each range that such neighbours are of, with their numbers in it: what a sweep asks for."""
+    r = table.column("r")[0].as_py()
+    key, cn = _summed(_from_planes(table, "cu", np.uint32).astype(np.int64) << 16 | _from_planes(table, "cc", np.uint16), _from_planes(table, "cn", np.uint32))
+    cu, cc = key >> 16, (key & 0xFFFF).astype(np.uint16)
+    u, code = _from_planes(table, "tu", np.uint32).astype(np.int64), _from_planes(table, "tc", np.int64)
+    want, place = np.unique(code >> 1, return_inverse=True)
+    own = (code >> 1) == (np.int64(r) << 32 | u)
+    key, tn = _summed(u << 32 | place << 2 | own << 1 | (code & 1), _from_planes(table, "tn", np.uint32))
+    tu, tp = key >> 32, (key & 0xFFFFFFFF).astype(np.uint32)
+    words = int(max(cu[-1] if len(cu) else -1, tu[-1] if len(tu) else -1)) + 1
+    src = want >> 32
+    runs = _runs_of(src)
+    asked = [(want[i:j] & 0xFFFFFFFF).astype(np.uint32).tobytes() for i, j in runs]
+    links = [np.bincount(cu, minlength=words).astype(np.uint32), cc, cn, np.bincount(tu, minlength=words).astype(np.uint32), tp, tn]
+    none = [None] * len(runs)
+    return pa.table([pa.array([r] * (len(runs) + 1), pa.int32()), pa.array([None, *(int(src[i]) for i, _ in runs)], pa.int32()),
+                     *(pa.array([x.tobytes(), *(asked if k == 0 else none)], pa.binary()) for k, x in enumerate(links))],
+                    names=["r", "src", "cm", "cc", "cn", "tm", "tp", "tn"])
+
+
+def _handed(asked: pa.Table, classes: pa.Table) -> pa.Table:
+    """What other ranges ask of a range, and its classes -> rows (r, src, cls): the classes for each; its own with src -1."""
+    if not classes.num_rows:
+        return pa.table({"r": pa.array([], pa.int32()), "src": pa.array([], pa.int32()), "cls": pa.array([], pa.binary())})
+    own, cls = classes.column("r")[0].as_py(), np.frombuffer(classes.column("cls")[0].as_py(), np.uint8)
+    numbers, many = blocks.gathered(asked.column("cm"), np.uint32)
+    ends = np.cumsum(many)
+    got = cls[numbers]
+    return pa.table({
+        "r": pa.array([own, *asked.column("r").to_pylist()], pa.int32()), "src": pa.array([-1, *[own] * asked.num_rows], pa.int32()),
+        "cls": pa.array([cls.tobytes(), *(got[e - m:e].tobytes() for e, m in zip(ends, many, strict=True))], pa.binary())})
+
+
+_PROFILES = "r int, cls binary, cm binary, cx binary, cn binary, tm binary, tx binary, tn binary, at binary, n binary"
+
+
+def _profiles(core: dict, core_cls: np.ndarray):
+    """A range's bigrams and the classes handed to it -> its words' neighbours x (left ones by class, right ones plus CLASSES, 2 * CLASSES for the
+    word itself; 255: without a class), and sums of two kinds at width * row + x: rows of core words, then a row for
+    each class with the neighbours of its words outside the core."""
+    size, width = len(core_cls), 2 * CLASSES + 1
+    of_core = np.append(core_cls, NONE).astype(np.uint8)
+
+    def run(links: pa.Table, got: pa.Table) -> pa.Table:
+        got = got.sort_by("src")
+        r = got.column("r")[0].as_py()
+        handed = got.column("cls").to_pylist()
+        cls = np.frombuffer(handed[0], np.uint8).copy()
+        want = np.frombuffer(b"".join(handed[1:]), np.uint8)
+        rank = np.full(len(cls), -1, np.int64)
+        if r in core:
+            rank[core[r][0]] = core[r][1]
+            cls[core[r][0]] = of_core[core[r][1]]
+        cm, tm = (np.append(x, np.zeros(len(cls) - len(x), np.uint32)) for x in (_numbers(links, "cm", np.uint32), _numbers(links, "tm", np.uint32)))
+        cc, cn = _numbers(links, "cc", np.uint16).astype(np.int64), _numbers(links, "cn", np.int64)
+        tp, tn = _numbers(links, "tp", np.uint32), _numbers(links, "tn", np.int64)
+        cu, tu = np.repeat(np.arange(len(cls)), cm), np.repeat(np.arange(len(cls)), tm)
+        to, side = cc >> 1, cc & 1
+        own = rank[cu] == to
+        near = of_core[to].astype(np.int64)
+        cx = np.where(own, 2 * CLASSES, near + CLASSES * side)
+        cx[near >= CLASSES] = NONE
+        near = want[tp >> 2].astype(np.int64) if len(tp) else np.empty(0, np.int64)
+        tx = np.where(tp & 2, 2 * CLASSES, near + CLASSES * (tp & 1))
+        tx[near >= CLASSES] = NONE
+
+        total = np.zeros((size + CLASSES) * width, np.int64)
+
+        def add(rows, x, n, which):
+            total[:] += np.bincount((rows * width + x)[which], weights=n[which], minlength=len(total)).astype(np.int64)
+        mine, valid = cls[cu].astype(np.int64), cls[cu] < CLASSES
+        add(to, np.where(own, 2 * CLASSES, mine + CLASSES * (1 - side)), cn, valid)   # at the core word that is the neighbour
+        add(rank[cu], cx, cn, (rank[cu] >= 0) & ~own & (cx < NONE))                   # at a core word with a core neighbour
+        add(size + mine, cx, cn, (rank[cu] < 0) & valid & (cx < NONE))
+        add(size + cls[tu].astype(np.int64), tx, tn, (cls[tu] < CLASSES) & (tx < NONE))
+        at = np.flatnonzero(total)
+        return pa.table([pa.array([r], pa.int32()), *_binary(cls, cm, cx.astype(np.uint8), cn, tm, tx.astype(np.uint8), tn, at.astype(np.int64), total[at])],
+                        names=["r", "cls", "cm", "cx", "cn", "tm", "tx", "tn", "at", "n"])
+    return run
 
 
-def _profiles(folds: int, held: int):
-    """All rows of a block -> a row a training word: the classes of its neighbours, left ones, then right ones plus
-    CLASSES, and 2 * CLASSES for the word itself. Neighbours without a class are not in it."""
-    def run(table: pa.Table) -> pa.Table:
-        ids, lengths, words, numbers = _opened(table)
-        size = words.num_rows
-        kind = np.uint32 if size < 1 << 24 else np.int64
-        # the first history is an end, as every document's last token is
-        seq = np.append(numbers[-1:], numbers[np.repeat(learnt_from(ids, folds, held), lengths)]).astype(kind)
-        there = np.bincount(seq[1:], minlength=size) > 0
-        cls = words.column("cls").combine_chunks()
-        of = cls.fill_null(255).to_numpy(zero_copy_only=False).astype(kind)[seq]
-        left, right = seq[:-1], seq[1:]
-        same, eight = left == right, kind(8)
-        pairs = np.concatenate([
-            (right << eight | of[:-1])[~same & (of[:-1] < CLASSES)], (left << eight | (of[1:] + kind(CLASSES)))[~same & (of[1:] < CLASSES)],
-            (right << eight | kind(2 * CLASSES))[same & (of[1:] < CLASSES)]])
-        pairs, n = np.unique(pairs, return_counts=True)
-        piece = words.column("piece").combine_chunks()
-        batch = _profile_batch(piece, cls.cast(pa.int32()), (pairs >> eight).astype(np.int64), pairs & kind(255), n, np.uint32)
-        return pa.Table.from_batches([batch.filter(pa.array(there))])
+def _total_rows(rows: int):
+    """Sums of all ranges of a task: rows (prev, word, n) as ``_core_sums`` takes them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = 2 * CLASSES + 1
+        total = np.zeros(rows * width, np.int64)
+        for batch in batches:
+            for at, n in zip(batch.column("at").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                total[np.frombuffer(at, np.int64)] += np.frombuffer(n, np.int64)
+        grid = total.reshape(rows, width)
+        some = np.flatnonzero(grid.any(axis=1))
+        at = [np.flatnonzero(grid[i]) for i in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([x.astype(np.uint32).tobytes() for x in at], pa.binary()),
+                                          pa.array([grid[i, x].tobytes() for i, x in zip(some, at, strict=True)], pa.binary())], names=["prev", "word", "n"])
     return run
 
 
-def _dense(batch: pa.RecordBatch, kind, group: np.ndarray, groups: int) -> np.ndarray:
-    """Entries of all rows, added by group: a column for each possible neighbour."""
-    x, many = blocks.gathered(batch.column("x"), np.uint8)
-    times, rows_with = blocks.gathered(batch.column("n"), kind)
-    n = np.ones(len(x))
-    n[np.repeat(rows_with > 0, many)] = times
+def _totals(profiles: DataFrame, rows: int) -> np.ndarray:
     width = 2 * CLASSES + 1
-    return np.bincount(np.repeat(group, many) * width + x, weights=n, minlength=groups * width).reshape(groups, width)
-
-
-def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by piece -> one row a piece."""
-    def rows(pieces: list, cls: list, sums: np.ndarray) -> pa.RecordBatch:
-        word, x = np.nonzero(sums)
-        return _profile_batch(pa.array(pieces, pa.binary()), pa.array(cls, pa.int32()), word, x, sums[word, x], np.int64)
-
-    last, last_cls, open_sum = None, None, None
-    for whole in batches:
-        for at in range(0, whole.num_rows, 2000):
-            batch = whole.slice(at, 2000)
-            pieces, cls = batch.column("piece").to_pylist(), batch.column("cls").to_pylist()
-            first = np.array([i == 0 or p != pieces[i - 1] for i, p in enumerate(pieces)])
-            begin = np.flatnonzero(first)
-            sums = _dense(batch, np.uint32, np.cumsum(first) - 1, len(begin))
-            names, of = [pieces[i] for i in begin], [cls[i] for i in begin]
-            if last is not None:
-                if names[0] == last:
-                    sums[0] += open_sum
-                else:
-                    names.insert(0, last)
-                    of.insert(0, last_cls)
-                    sums = np.concatenate([open_sum[None], sums])
-            if len(names) > 1:
-                yield rows(names[:-1], of[:-1], sums[:-1])
-            last, last_cls, open_sum = names[-1], of[-1], sums[-1]
-    if last is not None:
-        yield rows([last], [last_cls], open_sum[None])
-
-
-def _grid_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (at, n): how often a class follows a class, from the left neighbours of the words that have one."""
-    grid = np.zeros((CLASSES, CLASSES))
-    for batch in batches:
-        batch = batch.filter(batch.column("cls").is_valid())
-        sums = _dense(batch, np.int64, batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64), CLASSES)
-        grid += sums[:, :CLASSES].T
-        grid[np.arange(CLASSES), np.arange(CLASSES)] += sums[:, -1]
-    total = grid.ravel().astype(np.int64)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+    total = np.zeros((rows, width))
+    packed = profiles.select("at", "n").mapInArrow(_total_rows(rows), "prev int, word binary, n binary")
+    for r in packed.repartition("prev").mapInArrow(_core_sums(width), "prev int, n binary").toLocalIterator():
+        total[r["prev"]] = np.frombuffer(r["n"], np.int64)
+    return total
 
 
-def class_bigrams(sums: DataFrame) -> np.ndarray:
-    grid = np.zeros(CLASSES * CLASSES)
-    for r in sums.mapInArrow(_grid_rows, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
-        grid[r["at"]] = r["n"]
-    return grid.reshape(CLASSES, CLASSES)
+def class_bigrams(total: np.ndarray, core_cls: np.ndarray) -> np.ndarray:
+    """How often a class follows a class, from the left neighbours of all words that have one."""
+    by_class = total[len(core_cls):].copy()
+    np.add.at(by_class, core_cls, total[:len(core_cls)])
+    return by_class[:, :CLASSES].T + np.diag(by_class[:, -1])
 
 
 def gain_over_independence(grid: np.ndarray) -> float:
@@ -319,60 +494,187 @@ def move_weights(grid: np.ndarray) -> np.ndarray:
     return np.concatenate([logs - after, logs.T - before, (np.diag(logs) - before - after)[None]])
 
 
-def _move_rows(grid: np.ndarray, all_words: bool):
-    """Rows (piece, cls): each word (or only those without a class) in its likeliest class; without a neighbour that has
-    one, in the class of the most tokens."""
-    weights, most = move_weights(grid), int(np.argmax(grid.sum(axis=0)))
+def _likeliest(sums: np.ndarray, old: np.ndarray, weights: np.ndarray, most: int, all_words: bool) -> np.ndarray:
+    """Each word (or only those without a class) in its likeliest class; without a neighbour that has one, in the class of the
+    most tokens."""
+    score = sums @ weights
+    new = np.where(sums.any(axis=1), np.argmax(score, axis=1), most)
+    rows = np.arange(len(sums))
+    has = old < CLASSES
+    stay = has & ((score[rows, new] <= score[rows, np.where(has, old, 0)] + 1e-9) | (not all_words))
+    return np.where(stay | (old == UNSEEN), old, new).astype(np.uint8)
 
+
+def _move_rows(weights: np.ndarray, most: int, all_words: bool):
+    """Rows (r, cls): the classes of a range after a sweep."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                size = batch.num_rows
-                sums = _dense(batch, np.int64, np.arange(size), size)
-                old = batch.column("cls").fill_null(-1).to_numpy(zero_copy_only=False)
-                score = sums @ weights
-                new = np.where(sums.any(axis=1), np.argmax(score, axis=1), most)
-                rows = np.arange(size)
-                stay = (old >= 0) & ((score[rows, new] <= score[rows, old] + 1e-9) | (not all_words))
-                yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(np.where(stay, old, new).astype(np.int32))], names=["piece", "cls"])
+        width, step = 2 * CLASSES + 1, 4096
+        for batch in batches:
+            for row in batch.to_pylist():
+                old = np.frombuffer(row["cls"], np.uint8)
+                sides = [(np.append(0, np.cumsum(np.frombuffer(row[m], np.uint32).astype(np.int64))), np.frombuffer(row[x], np.uint8), np.frombuffer(row[n], np.int64))
+                         for m, x, n in (("cm", "cx", "cn"), ("tm", "tx", "tn"))]
+                new = np.empty(len(old), np.uint8)
+                for begin in range(0, len(old), step):
+                    end = min(begin + step, len(old))
+                    sums = np.zeros((end - begin) * width)
+                    for ends, x, n in sides:
+                        i, j = ends[begin], ends[end]
+                        word = np.repeat(np.arange(end - begin), np.diff(ends[begin:end + 1]))
+                        there = x[i:j] < NONE
+                        sums += np.bincount((word * width + x[i:j])[there], weights=n[i:j][there], minlength=len(sums))
+                    new[begin:end] = _likeliest(sums.reshape(-1, width), old[begin:end], weights, most, all_words)
+                yield pa.RecordBatch.from_arrays([pa.array([row["r"]], pa.int32()), *_binary(new)], names=["r", "cls"])
     return run
 
 
-def clustered(held_rows: DataFrame, core: DataFrame, folds: int, held: int, history: list | None = None) -> DataFrame:
-    """``(piece, cls)`` of every training word, from the classes of some. ``history`` gets the likelihood after each sweep."""
-    spark = held_rows.sparkSession
-
-    def summed(classes):
-        profiles = gathered_blocks(held_rows, classes).applyInArrow(_profiles(folds, held), _PROFILE)
-        out = cut(profiles.repartition("piece").sortWithinPartitions("piece").mapInArrow(_sum_rows, _PROFILE))
-        gc.collect()  # what earlier sweeps shuffled and stored goes only with its objects
-        spark.sparkContext._jvm.System.gc()
-        return out
-    sums = summed(core)
-    classes = sums.mapInArrow(_move_rows(class_bigrams(sums), False), "piece binary, cls int")
-    best, kept = -np.inf, classes
-    for _ in range(SWEEPS):
-        sums = summed(classes)
-        grid = class_bigrams(sums)
-        now = gain_over_independence(grid)
-        if history is not None:
-            history.append(now)
-        if now <= best:
-            break
-        best, kept = now, sums.select("piece", "cls")
-        classes = sums.mapInArrow(_move_rows(grid, True), "piece binary, cls int")
+def _started(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            cls = np.where(np.frombuffer(row["x"], np.int64) > 0, NONE, UNSEEN).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([row["r"]], pa.int32()), *_binary(cls)], names=["r", "cls"])
+
+
+def places_of(core: list) -> dict:
+    """Range -> (numbers, ranks) of its core words, by number; ``core``: (range, number) by rank."""
+    out: dict = {}
+    for rank, (r, i) in enumerate(core):
+        out.setdefault(r, []).append((i, rank))
+    return {r: tuple(np.array(x, np.int64) for x in zip(*sorted(some), strict=True)) for r, some in out.items()}
+
+
+def linked(held_rows: DataFrame, ranges: DataFrame, core: list, folds: int, held: int) -> DataFrame:
+    """Distinct training bigrams and how often each is there, by ranges of words; ``core``: (range, number) of core words, by rank."""
+    head = held_rows.where("head").select("block", "at", "n")
+    gets = ranges.where("block is not null").select("block", "r", "at", "x")
+    entries = head.groupBy("block").cogroup(gets.groupBy("block")).applyInArrow(_entry_rows(places_of(core), folds, held), _ENTRIES)
+    links = stored(entries.groupBy("r").applyInArrow(_link_rows, _LINKS), "word-links")
+    _freed(links.sparkSession)
+    return links
+
+
+def _freed(spark) -> None:
+    """What earlier jobs shuffled goes only with its objects, here and in the JVM."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def swept(links: DataFrame, ranges: DataFrame, core: list, cls: np.ndarray, history: list | None = None) -> tuple[DataFrame, np.ndarray]:
+    """Classes of all words, ``(r, cls)``, and of the core words, after the sweeps; ``core``: their (range, number).
+
+    A sweep hands each range the classes of its words' neighbours, a byte each, and writes the neighbours' classes and the new
+    classes; those of the sweep before are deleted."""
+    places = places_of(core)
+    asked, links_of = links.where("src is not null").select("src", "r", "cm"), links.where("src is null").drop("src")
+    classes = stored(ranges.where("block is null").mapInArrow(_started, "r int, cls binary"), "word-classes")
+
+    def profiles(classes, cls):
+        handed = asked.groupBy("src").cogroup(classes.groupBy("r")).applyInArrow(_handed, "r int, src int, cls binary")
+        out = stored(links_of.groupBy("r").cogroup(handed.groupBy("r")).applyInArrow(_profiles(places, cls), _PROFILES), "word-profiles")
+        total = _totals(out, len(cls) + CLASSES)
+        return out, total, class_bigrams(total, cls)
+
+    def moved(out, total, grid, cls, all_words):
+        weights, most = move_weights(grid), int(np.argmax(grid.sum(axis=0)))
+        new = stored(out.mapInArrow(_move_rows(weights, most, all_words), "r int, cls binary"), "word-classes")
+        return new, _likeliest(total[:len(cls)], cls.astype(np.int64), weights, most, all_words).astype(np.int64)
+
+    best, kept = -np.inf, None
+    for sweep in range(SWEEPS + 1):
+        out, total, grid = profiles(classes, cls)
+        if sweep:  # the first one only gives a class to the words outside the core
+            now = gain_over_independence(grid)
+            if history is not None:
+                history.append(now)
+            if now <= best:
+                discarded(out, classes)
+                break
+            if kept is not None:
+                discarded(kept[0])
+            best, kept = now, (classes, cls)
+        if sweep < SWEEPS:
+            old = classes
+            classes, cls = moved(out, total, grid, cls, sweep > 0)
+            if not sweep:
+                discarded(old)
+        discarded(out)
+        _freed(links.sparkSession)
     return kept
 
 
+def _classes_named(places: dict, cls: np.ndarray):
+    """Rows (piece, cls) of training words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                of = _overlaid(places, cls, row["r"], row["cls"])
+                there = of < CLASSES
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, t in zip(row["pieces"], there, strict=True) if t], pa.binary()), pa.array(of[there].astype(np.int32))],
+                                                 names=["piece", "cls"])
+    return run
+
+
+def _overlaid(places: dict, core_cls: np.ndarray, r: int, content: bytes) -> np.ndarray:
+    """Classes of a range's words, those of its core words set."""
+    of = np.frombuffer(content, np.uint8).copy()
+    if r in places:
+        numbers, ranks = places[r]
+        of[numbers] = np.where(of[numbers] == UNSEEN, UNSEEN, core_cls[ranks])
+    return of
+
+
+def clustered(held_rows: DataFrame, core: DataFrame, folds: int, held: int, history: list | None = None) -> DataFrame:
+    """``(piece, cls)`` of every training word, from the classes of some (CORE at most). ``history`` gets the likelihood after each sweep."""
+    start = {bytes(r["piece"]): r["cls"] for r in core.collect()}
+    ranges = ranged(held_rows)
+    words = ranges.where("block is null")
+    found = _named(ranges, start)
+    at = [(r["r"], r["i"]) for r in found]
+    links = linked(held_rows, ranges, at, folds, held)
+    classes, cls = swept(links, ranges, at, np.array([start[bytes(r["piece"])] for r in found], np.int64), history)
+    discarded(links)
+    return words.select("r", "pieces").join(classes, "r").mapInArrow(_classes_named(places_of(at), cls), "piece binary, cls int")
+
+
+def _class_sums(places: dict, core_cls: np.ndarray):
+    """Rows (cls, n, kinds): tokens and words of each class in a range."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                of, counts = _overlaid(places, core_cls, row["r"], row["cls"]), np.frombuffer(row["x"], np.int64)
+                there = of < CLASSES
+                n = np.zeros(CLASSES, np.int64)
+                np.add.at(n, of[there], counts[there])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(n), pa.array(np.bincount(of[there], minlength=CLASSES))],
+                                                 names=["cls", "n", "kinds"])
+    return run
+
+
+def _given(places: dict, core_cls: np.ndarray):
+    """The words that blocks have of a range, and its classes and counts -> rows (block, at, cls, count)."""
+    def run(gets: pa.Table, words: pa.Table) -> pa.Table:
+        of = _overlaid(places, core_cls, words.column("of")[0].as_py(), words.column("classes")[0].as_py())
+        counts = np.frombuffer(words.column("counts")[0].as_py(), np.int64)
+        number, many = blocks.gathered(gets.column("x"), np.uint32)
+        ends = np.cumsum(many)
+        cls, count = of[number], counts[number]
+        return pa.table({"block": gets.column("block"), "at": gets.column("at"),
+                         "cls": pa.array([cls[e - m:e].tobytes() for e, m in zip(ends, many, strict=True)], pa.binary()),
+                         "count": pa.array([count[e - m:e].tobytes() for e, m in zip(ends, many, strict=True)], pa.binary())})
+    return run
+
+
 def _encoded(folds: int, held: int, n: int, v: int, total: np.ndarray, kinds: np.ndarray, discount: float):
-    """All rows of a block -> one row: a class for each token, and sums for each document."""
+    """A block's header and its words' classes and counts -> one row: a class for each token, and sums for each document."""
     unknown = len(total)
 
-    def run(table: pa.Table) -> pa.Table:
-        ids, lengths, words, numbers = _opened(table)
-        seq = words.column("cls").fill_null(unknown).to_numpy().astype(np.uint8)[numbers]
-        known = words.column("count").fill_null(0).to_numpy().astype(np.int64)[numbers]
+    def run(head: pa.Table, words: pa.Table) -> pa.Table:
+        ids, lengths = blocks.header(head.column("at")[0].as_py())
+        at = _numbers(words, "at", np.uint32)
+        of, counts = np.empty(len(at), np.uint8), np.empty(len(at), np.int64)
+        of[at], counts[at] = _numbers(words, "cls", np.uint8), _numbers(words, "count", np.int64)
+        numbers = widened(np.frombuffer(head.column("n")[0].as_py(), np.uint8), len(at))
+        seq, known = np.where(of < unknown, of, unknown).astype(np.uint8)[numbers], counts[numbers]
         emit = np.zeros(len(seq))
         seen = known > 0
         emit[seen] = np.log10((known[seen] - discount) / total[seq[seen]])
@@ -443,27 +745,39 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     training rows every token is unknown and both scores are 0 (the log of certainty: there is one event). An empty table gives an
     empty result.
     """
-    rows = text_rows(docs, id_col, text_col)
-    counted = rows.mapInArrow(_count_rows(folds, held), "piece binary, c long")
-    words = stored(counted.groupBy("piece").agg(F.sum("c").alias("count")), "word-counts")
-    sums = words.agg(F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)).first()
+    held_rows = stored(text_rows(docs, id_col, text_col).mapInArrow(lambda batches: _block_rows(batches, folds, held), blocks.SCHEMA), "word-blocks")
+    ranges = ranged(held_rows)
+    heads = stored(held_rows.where("head"), "word-heads")
+    discarded(held_rows)  # from here on words are numbers
+    _freed(docs.sparkSession)
+    words = ranges.where("block is null")
+    sums = words.select("x").mapInArrow(_count_sums, "n long, v long, once long, twice long").agg(F.sum("n"), F.sum("v"), F.sum("once"), F.sum("twice")).first()
     n, v, once, twice = (int(x or 0) for x in sums)
     discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
 
-    core = [bytes(r["piece"]) for r in words.where(F.col("piece") != F.lit(END)).orderBy(F.desc("count"), "piece").limit(CORE - 1).collect()] + [END]
-    counts = core_bigrams(rows, core, folds, held)
-    cls = exchange(counts, CLASSES)
-    classes = docs.sparkSession.createDataFrame([(bytearray(w), int(k)) for w, k in zip(core, cls, strict=True)], "piece binary, cls int")
-    held_rows = stored(rows.mapInArrow(_block_rows, blocks.SCHEMA), "word-blocks")
+    frequent = words.select("r", "pieces", "x").mapInArrow(_most_frequent, "piece binary, c long, r int, i int")
+    top = frequent.where(F.col("piece") != F.lit(END)).orderBy(F.desc("c"), "piece").limit(CORE - 1).collect() + frequent.where(F.col("piece") == F.lit(END)).collect()
+    core, at = [bytes(r["piece"]) for r in top], [(r["r"], r["i"]) for r in top]
+    if END not in core:
+        core.append(END)
+        at.append((-1, 0))  # an empty table has no words
+    links = linked(heads, ranges, at, folds, held)
+    cls = exchange(core_counts(links, at), CLASSES)
     if n:
-        classes = clustered(held_rows, classes, folds, held)
-    known = stored(words.join(classes, "piece"), "word-classes")
+        classes, cls = swept(links, ranges, at, cls)
+    else:
+        classes = words.select("r", "x").mapInArrow(_started, "r int, cls binary")
+    discarded(links)
+    places, end = places_of(at), int(cls[-1])
 
     total, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in known.groupBy("cls").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("kinds")).collect():
+    per_class = words.select("r", "x").join(classes, "r").mapInArrow(_class_sums(places, cls), "cls int, n long, kinds long")
+    for r in per_class.groupBy("cls").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
         total[r["cls"]], kinds[r["cls"]] = r["n"], r["kinds"]
-    end = int(cls[-1])
-    encoded = stored(gathered_blocks(held_rows, known).applyInArrow(_encoded(folds, held, n, v, total, kinds, discount), _ENCODED), "class-blocks")
+    gets = ranges.where("block is not null").select("block", "r", "at", "x")
+    facts = words.join(classes, "r").select(F.col("r").alias("of"), F.col("x").alias("counts"), F.col("cls").alias("classes"))
+    given = gets.groupBy("r").cogroup(facts.groupBy("of")).applyInArrow(_given(places, cls), "block long, at binary, cls binary, count binary")
+    encoded = stored(heads.select("block", "at", "n").groupBy("block").cogroup(given.groupBy("block")).applyInArrow(_encoded(folds, held, n, v, total, kinds, discount), _ENCODED), "class-blocks")
     states = CLASSES + 1
     moves = np.zeros(states * states)
     for r in encoded.select("seq", "n_tokens", "learnt").mapInArrow(_transition_rows(end, states), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():

@@ -41,6 +41,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        root = f"{scratch_root(spark)}/llm-"
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if files.makeQualified(path).getParent().equals(files.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root + "x")).getParent()):
+                files.delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint for small iterated tables."""
     scratch_root(df.sparkSession)
