@@ -3,7 +3,7 @@
 P(word | previous) = P(class | previous word's class) * P(word | class)
 
 1. Blocks of documents (see ``blocks``) hold their distinct words, how often training documents have each, and the number of
-   each token's word; they are stored once. The words go to ranges of the vocabulary once, as many ranges as there are blocks: there
+   each token's word; they are stored once. The words go to ranges of the vocabulary once (their number follows that of the tokens): there
    they are counted (c of each, their number N, the vocabulary size V) and numbered; from then on only numbers move.
 2. Exchange clustering of the whole vocabulary. The ``CORE`` most frequent words start it on the driver: they are moved
    between ``CLASSES`` classes, one after the other, as long as the likelihood of their bigrams (counted over all training
@@ -42,6 +42,7 @@ CLASSES = 64
 SWEEPS = 10
 SMOOTHING = 5.0  # weight of the classes' frequencies in a transition, in tokens
 TASK_BYTES = 24 << 20  # text bytes of a block, and of what a task gathers before it hands it on
+RANGE_BYTES = 6 << 20  # bytes of token places (three a token) for each range of the vocabulary
 END = b""        # the end of a document; no word is empty
 
 
@@ -112,6 +113,18 @@ def _binary(*arrays: np.ndarray) -> list[pa.Array]:
     return [pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in arrays]
 
 
+def _short(n: np.ndarray) -> bytes:
+    """Counts: a byte each, then those from 255 on as they are (their byte is 255)."""
+    return np.minimum(n, 255).astype(np.uint8).tobytes() + n[n >= 255].astype(np.int64).tobytes()
+
+
+def _long(content: bytes, size: int) -> np.ndarray:
+    """So many counts that ``_short`` packed."""
+    n = np.frombuffer(content, np.uint8, size).astype(np.int64)
+    n[n == 255] = np.frombuffer(content, np.uint8, offset=size).view(np.int64) if len(content) > size else 0
+    return n
+
+
 def _runs_of(keys: np.ndarray) -> list[tuple[int, int]]:
     """Begin and end of each run of equal keys."""
     if not len(keys):
@@ -143,8 +156,9 @@ def _range_rows(table: pa.Table) -> pa.Table:
 
 
 def ranged(held_rows: DataFrame) -> DataFrame:
-    """The vocabulary in ranges of words, as many as there are blocks, so that a range stays as small as a block."""
-    ranges = max(12, held_rows.where("head").count())
+    """The vocabulary in ranges of words, a range for every two million tokens, so that a range stays as small as a block."""
+    places = held_rows.where("head").agg(F.sum(F.length("n"))).first()[0] or 0
+    ranges = max(12, places // RANGE_BYTES)
     by = F.pmod(F.xxhash64("piece"), F.lit(ranges)).cast("int")
     return stored(held_rows.where("not head").withColumn("r", by).groupBy("r").applyInArrow(_range_rows, _RANGES), "word-ranges")
 
@@ -200,7 +214,7 @@ def _core_rows(core: dict, size: int):
                     rank[numbers[there]] = ranks[there]
                     word = np.repeat(rank, many)
                     at = np.flatnonzero(word >= 0)
-                    np.add.at(total, (np.frombuffer(row["cc"], np.uint16)[at] >> 1) * np.int64(size) + word[at], np.frombuffer(row["cn"], np.int64)[at])
+                    np.add.at(total, (np.frombuffer(row["cc"], np.uint16)[at] >> 1) * np.int64(size) + word[at], _long(row["cn"], len(word))[at])
         grid = total.reshape(size, size)
         prev = np.flatnonzero(grid.any(axis=1))
         words = [np.flatnonzero(grid[p]) for p in prev]
@@ -381,10 +395,11 @@ def _link_rows(table: pa.Table) -> pa.Table:
     src = want >> 32
     runs = _runs_of(src)
     asked = [(want[i:j] & 0xFFFFFFFF).astype(np.uint32).tobytes() for i, j in runs]
-    links = [np.bincount(cu, minlength=words).astype(np.uint32), cc, cn, np.bincount(tu, minlength=words).astype(np.uint32), tp, tn]
+    many = [np.bincount(u, minlength=words).astype(np.uint32).tobytes() for u in (cu, tu)]
+    links = [many[0], cc.tobytes(), _short(cn), many[1], tp.tobytes(), _short(tn)]
     none = [None] * len(runs)
     return pa.table([pa.array([r] * (len(runs) + 1), pa.int32()), pa.array([None, *(int(src[i]) for i, _ in runs)], pa.int32()),
-                     *(pa.array([x.tobytes(), *(asked if k == 0 else none)], pa.binary()) for k, x in enumerate(links))],
+                     *(pa.array([x, *(asked if k == 0 else none)], pa.binary()) for k, x in enumerate(links))],
                     names=["r", "src", "cm", "cc", "cn", "tm", "tp", "tn"])
 
 
@@ -422,8 +437,9 @@ def _profiles(core: dict, core_cls: np.ndarray):
             rank[core[r][0]] = core[r][1]
             cls[core[r][0]] = of_core[core[r][1]]
         cm, tm = (np.append(x, np.zeros(len(cls) - len(x), np.uint32)) for x in (_numbers(links, "cm", np.uint32), _numbers(links, "tm", np.uint32)))
-        cc, cn = _numbers(links, "cc", np.uint16).astype(np.int64), _numbers(links, "cn", np.int64)
-        tp, tn = _numbers(links, "tp", np.uint32), _numbers(links, "tn", np.int64)
+        cc, tp = _numbers(links, "cc", np.uint16).astype(np.int64), _numbers(links, "tp", np.uint32)
+        short = [links.column(c)[0].as_py() if links.num_rows else b"" for c in ("cn", "tn")]
+        cn, tn = _long(short[0], len(cc)), _long(short[1], len(tp))
         cu, tu = np.repeat(np.arange(len(cls)), cm), np.repeat(np.arange(len(cls)), tm)
         to, side = cc >> 1, cc & 1
         own = rank[cu] == to
@@ -444,7 +460,9 @@ def _profiles(core: dict, core_cls: np.ndarray):
         add(size + mine, cx, cn, (rank[cu] < 0) & valid & (cx < NONE))
         add(size + cls[tu].astype(np.int64), tx, tn, (cls[tu] < CLASSES) & (tx < NONE))
         at = np.flatnonzero(total)
-        return pa.table([pa.array([r], pa.int32()), *_binary(cls, cm, cx.astype(np.uint8), cn, tm, tx.astype(np.uint8), tn, at.astype(np.int64), total[at])],
+        counts = [pa.array([x], pa.binary()) for x in short]
+        return pa.table([pa.array([r], pa.int32()), *_binary(cls, cm, cx.astype(np.uint8)), counts[0], *_binary(tm, tx.astype(np.uint8)), counts[1],
+                         *_binary(at.astype(np.int64), total[at])],
                         names=["r", "cls", "cm", "cx", "cn", "tm", "tx", "tn", "at", "n"])
     return run
 
@@ -512,7 +530,7 @@ def _move_rows(weights: np.ndarray, most: int, all_words: bool):
         for batch in batches:
             for row in batch.to_pylist():
                 old = np.frombuffer(row["cls"], np.uint8)
-                sides = [(np.append(0, np.cumsum(np.frombuffer(row[m], np.uint32).astype(np.int64))), np.frombuffer(row[x], np.uint8), np.frombuffer(row[n], np.int64))
+                sides = [(np.append(0, np.cumsum(np.frombuffer(row[m], np.uint32).astype(np.int64))), np.frombuffer(row[x], np.uint8), _long(row[n], len(row[x])))
                          for m, x, n in (("cm", "cx", "cn"), ("tm", "tx", "tn"))]
                 new = np.empty(len(old), np.uint8)
                 for begin in range(0, len(old), step):
