@@ -135,3 +135,11 @@ def test_every_training_word_is_moved_by_all_its_neighbours(spark, monkeypatch):
             grid[got[a], got[b]] += 1
     assert len(history) > 1 and max(history) > history[0]
     assert abs(class_lm.gain_over_independence(grid) - max(history)) < 1e-6 * max(history)
+
+
+@pytest.mark.parametrize("counts", [[], [1, 1, 2], [254, 255, 256, 1, 1 << 40, 255]])
+def test_counts_and_planes_are_packed_and_read_back(counts):
+    n = np.array(counts, np.int64)
+    assert class_lm._long(class_lm._short(n), len(n)).tolist() == counts
+    table = class_lm.pa.table({"n": class_lm.pa.array([class_lm._planes(n), None, class_lm._planes(n)], class_lm.pa.binary())})
+    assert class_lm._from_planes(table, "n", np.int64).tolist() == counts * 2
