@@ -239,7 +239,7 @@ def core_counts(links: DataFrame, core: list) -> np.ndarray:
     """``[v, w]``: how often core word w follows core word v in the training documents (CORE^2 numbers at most)."""
     packed = links.where("src is null").select("r", "cm", "cc", "cn").mapInArrow(_core_rows(places_of(core), len(core)), "prev int, word binary, n binary")
     counts = np.zeros((len(core), len(core)))
-    for r in packed.repartition("prev").mapInArrow(_core_sums(len(core)), "prev int, n binary").toLocalIterator():
+    for r in packed.repartition("prev").mapInArrow(_core_sums(len(core)), "prev int, n binary").collect():
         counts[r["prev"]] = np.frombuffer(r["n"], np.int64)
     return counts
 
@@ -487,7 +487,7 @@ def _totals(profiles: DataFrame, rows: int) -> np.ndarray:
     width = 2 * CLASSES + 1
     total = np.zeros((rows, width))
     packed = profiles.select("at", "n").mapInArrow(_total_rows(rows), "prev int, word binary, n binary")
-    for r in packed.repartition("prev").mapInArrow(_core_sums(width), "prev int, n binary").toLocalIterator():
+    for r in packed.repartition("prev").mapInArrow(_core_sums(width), "prev int, n binary").collect():
         total[r["prev"]] = np.frombuffer(r["n"], np.int64)
     return total
 
