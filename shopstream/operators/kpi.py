@@ -20,6 +20,7 @@ KPI_ORDER_AMOUNT = ("order_amount", "新增交易额")
 NEW_MID_VALUE = 233
 
 TODAY, YESTERDAY = "today", "yesterday"
+VALUE_TYPES = {"dau": "long", "order": "decimal(20,2)"}
 
 
 def yesterday_of(day: str) -> str:
@@ -97,3 +98,19 @@ def hourly_compare_json(series: DataFrame, value_type: str = "long") -> DataFram
     doc = F.struct(F.coalesce(F.col("mm")[TODAY], empty).alias(TODAY),
                    F.coalesce(F.col("mm")[YESTERDAY], empty).alias(YESTERDAY))
     return pairs.select(F.to_json(doc).alias("doc"))
+
+
+def hour_documents(hours: DataFrame, value_type: str = "long") -> DataFrame:
+    """``date, hour, value`` (a row an hour) -> ``day, doc`` for every day that has values: the document of ``hourly_compare_json`` for
+    that day. A day's 24 hours are brought together once and stand in its own document and in the next day's. Rows without a date or
+    hour belong to no document; an empty table gives an empty result."""
+    entry = F.struct(F.col("hour"), F.col("value").cast(value_type).alias("value"))
+    per_day = (hours.filter(F.col("date").isNotNull() & F.col("hour").isNotNull())
+                    .groupBy("date").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("m")))
+    next_day = F.date_format(F.date_add(F.col("date").cast("date"), 1), "yyyy-MM-dd")
+    placed = per_day.select("m", F.explode(F.array(F.struct(F.col("date").alias("day"), F.lit(TODAY).alias("series")),
+                                                   F.struct(next_day.alias("day"), F.lit(YESTERDAY).alias("series")))).alias("at"))
+    both = placed.groupBy("at.day").agg(*[F.any_value(F.when(F.col("at.series") == s, F.col("m")), F.lit(True)).alias(s) for s in (TODAY, YESTERDAY)])
+    empty = F.create_map().cast("map<string,%s>" % value_type)
+    doc = F.struct(F.col(TODAY), F.coalesce(F.col(YESTERDAY), empty).alias(YESTERDAY))
+    return both.filter(F.col(TODAY).isNotNull()).select("day", F.to_json(doc).alias("doc"))

@@ -33,13 +33,13 @@ GEN_COL = "gen"
 _PLACE = "_place"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop = _file_system(spark, path)
+    fs, hadoop = file_system(spark, path)
     return fs.exists(hadoop)
 
 
@@ -51,11 +51,16 @@ def query_id(df: DataFrame) -> str:
     return found
 
 
+def generations(spark: SparkSession, path: str) -> list[str]:
+    """Folder names of all generations under ``path``, oldest first."""
+    fs, hadoop = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    return sorted(n for n in names if n.startswith(f"{GEN_COL}="))
+
+
 def generation(spark: SparkSession, path: str, writer: str) -> str:
     """Folder name of the writer's generation: the one it has, or the next number."""
-    fs, hadoop = _file_system(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
-    taken = sorted(n.removeprefix(f"{GEN_COL}=") for n in names if n.startswith(f"{GEN_COL}="))
+    taken = [n.removeprefix(f"{GEN_COL}=") for n in generations(spark, path)]
     for g in taken:
         if g.partition("-")[2] == writer:
             return g

@@ -158,6 +158,12 @@ def q_dau_hourly_json(spark, sf_dir):
     return kpi.hourly_compare_json(q_dau_hourly_compare(spark, sf_dir), "long")
 
 
+def q_dau_hour_documents(spark, sf_dir):
+    """The hour documents of all days from one scan, as the hours job publishes them."""
+    hours = _dau_table(spark, sf_dir).groupBy(F.col("log_date").alias("date"), F.col("log_hour").alias("hour")).agg(F.count(F.lit(1)).alias("value"))
+    return kpi.hour_documents(hours, kpi.VALUE_TYPES["dau"])
+
+
 # ---------------------------------------------------------------------------------
 # orders
 
@@ -206,6 +212,11 @@ def q_order_hourly_json(spark, sf_dir):
     return kpi.hourly_compare_json(_order_hourly_compare(spark, sf_dir), "decimal(20,2)")
 
 
+def q_order_hour_documents(spark, sf_dir):
+    hours = _order_table(spark, sf_dir).groupBy(F.col("create_date").alias("date"), F.col("create_hour").alias("hour")).agg(F.sum("total_amount").alias("value"))
+    return kpi.hour_documents(hours, kpi.VALUE_TYPES["order"])
+
+
 def _kpi_total(spark, sf_dir):
     # devices of DAU_DAY and the order amount of ORDER_DAY: the test tables keep app
     # logs and orders in different years, so each metric is read for a day it has data
@@ -375,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "dau_hourly": q_dau_hourly,
     "dau_hourly_compare": q_dau_hourly_compare,
     "dau_hourly_json": q_dau_hourly_json,
+    "dau_hour_documents": q_dau_hour_documents,
     "route_dau": q_route_dau,
     "order_enrich": q_order_enrich,
     "mask_tel_tail": q_mask_tel_tail,
@@ -383,6 +395,7 @@ QUERIES: dict[str, Query] = {
     "order_hourly": q_order_hourly,
     "order_hourly_compare": q_order_hourly_compare,
     "order_hourly_json": q_order_hourly_json,
+    "order_hour_documents": q_order_hour_documents,
     "order_upsert": q_order_upsert,
     "kpi_total": q_kpi_total,
     "kpi_total_json": q_kpi_total_json,

@@ -157,6 +157,16 @@ def _json_hours(cte: str, value_sql: str) -> str:
             f"{part('yesterday')} || '}}}}' AS doc")
 
 
+def _day_documents(src: str, date_col: str, hour_col: str, value: str) -> str:
+    return f"""
+SELECT t.date AS day, '{{"today":{{' || t.m || '}},"yesterday":{{' || coalesce(y.m, '') || '}}}}' AS doc
+FROM day_hours t LEFT JOIN day_hours y ON y.date = strftime(CAST(t.date AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d')""", f"""
+day_hours AS (
+  SELECT date, string_agg('"' || hour || '":' || v, ',' ORDER BY hour) AS m
+  FROM (SELECT {date_col} AS date, {hour_col} AS hour, CAST({value} AS VARCHAR) AS v FROM {src} GROUP BY 1, 2)
+  GROUP BY date)"""
+
+
 def _compare(src: str, date_col: str, hour_col: str, value: str, day: str) -> str:
     from shopstream.operators.kpi import yesterday_of
     return (f"SELECT CASE WHEN {date_col} = '{day}' THEN 'today' ELSE 'yesterday' END AS series, "
@@ -247,6 +257,9 @@ unseen_first AS (
     q["dau_hourly_compare"] = _with(APP_LOGS, DAU, dau_cmp) + "SELECT * FROM dau_cmp"
     q["dau_hourly_json"] = _with(APP_LOGS, DAU, dau_cmp) + _json_hours("dau_cmp", "CAST(value AS VARCHAR)")
 
+    docs, day_hours = _day_documents("dau", "log_date", "log_hour", "count(*)")
+    q["dau_hour_documents"] = _with(APP_LOGS, DAU, day_hours) + docs
+
     q["order_enrich"] = _with(ORDERS) + f"SELECT {ORDER_ROW} FROM orders_l"
     q["mask_tel_tail"] = _with(ORDERS) + "SELECT id, '*******' || substr(consignee_tel, 8, 4) AS tel_masked FROM orders_l"
     q["mask_tel_head"] = _with(ORDERS) + "SELECT id, substr(consignee_tel, 1, 4) || '*******' AS tel_masked FROM orders_l"
@@ -260,6 +273,8 @@ unseen_first AS (
     q["order_hourly_compare"] = _with(ORDERS, ord_cmp) + "SELECT * FROM ord_cmp"
     q["order_hourly_json"] = _with(ORDERS, ord_cmp) + _json_hours(
         "ord_cmp", "CAST(CAST(value AS DECIMAL(20,2)) AS VARCHAR)")
+    docs, day_hours = _day_documents("orders_l", "create_date", "create_hour", "CAST(round(sum(total_amount), 2) AS DECIMAL(20,2))")
+    q["order_hour_documents"] = _with(ORDERS, day_hours) + docs
     q["order_upsert"] = _with(ORDERS) + """
 SELECT id, version, order_status, total_amount FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC) AS rn FROM (

@@ -7,6 +7,7 @@
     python -m shopstream.streaming.apps sales  --servers HOST:9092 --table PATH --users PATH
     python -m shopstream.streaming.apps sales-topics --servers HOST:9092 --table PATH --users PATH
     python -m shopstream.streaming.apps unmatched    --servers HOST:9092 --table PATH
+    python -m shopstream.streaming.apps hours  --servers HOST:9092 --table PATH --metric dau|order
     python -m shopstream.streaming.apps intake --servers HOST:9092 --table ARCHIVE --source-topic logs
     python -m shopstream.streaming.apps cdc    --servers HOST:9092 --source-topic changes
     python -m shopstream.streaming.apps compact --table PATH --snapshot PATH --key id [--order ts]
@@ -27,7 +28,7 @@ import argparse
 from shopstream.operators import routing, upsert
 from shopstream.session import configured_join, get_spark
 from shopstream.sources import streams
-from shopstream.streaming import jobs
+from shopstream.streaming import hours, jobs
 from shopstream.streaming.counts import CountsListener
 
 DEFAULT_TOPICS = {
@@ -64,7 +65,7 @@ def await_all(spark, queries) -> None:
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="shopstream.streaming.apps")
-    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "sales-topics", "unmatched", "intake", "cdc", "compact"])
+    p.add_argument("job", choices=["dau", "orders", "alerts", "users", "sales", "sales-topics", "unmatched", "hours", "intake", "cdc", "compact"])
     p.add_argument("--servers", help="Kafka bootstrap servers")
     p.add_argument("--source-topic")
     p.add_argument("--source-path")
@@ -74,6 +75,7 @@ def main(argv=None) -> None:
     p.add_argument("--rejects", help="folder for the lines the job cannot use")
     p.add_argument("--counts", help="folder of the counts that the batches report")
     p.add_argument("--archive", help="alerts: the intake's archive, to read the lists of alerts from")
+    p.add_argument("--metric", default="dau", choices=sorted(hours.CHANGES), help="hours: what is counted")
     p.add_argument("--timezone", help="time zone of dates and hours (default: the launcher's, else UTC)")
     p.add_argument("--topics-path", help="topic folder when not publishing to Kafka")
     p.add_argument("--checkpoint")
@@ -102,7 +104,8 @@ def main(argv=None) -> None:
 
     run = dict(checkpoint=a.checkpoint, trigger=a.trigger, available_now=a.available_now,
                source=a.source_path or f"{a.servers} {a.source_topic}")
-    topic = a.source_topic or DEFAULT_TOPICS.get(a.job)
+    parser = {"dau": "dau", "order": "orders"}[a.metric] if a.job == "hours" else a.job
+    topic = a.source_topic or DEFAULT_TOPICS.get(parser)
     topics_fmt = "kafka" if a.topics_path is None else "json"
     spark.streams.resetTerminated()
     counts = None
@@ -112,7 +115,7 @@ def main(argv=None) -> None:
     queries = []
     try:
         queries.append(_start(a, spark, source, topic, topics_fmt, fmt, run))
-        queries += _start_rejects(a, spark, source, topic, fmt, run)
+        queries += _start_rejects(a, spark, source, topic, fmt, run, parser)
         await_all(spark, queries)
     finally:
         if counts:
@@ -140,6 +143,8 @@ def _start(a, spark, source, topic, topics_fmt, fmt, run):
         return jobs.start_sales_topics(source(topics), a.users[0], a.table, **run)
     if a.job == "unmatched":
         return jobs.start_unmatched(source(routing.TOPIC_ORDER), source(routing.TOPIC_ORDER_DETAIL), a.table, **run)
+    if a.job == "hours":
+        return hours.start_hours(source(topic), a.metric, a.table, topics_fmt=topics_fmt, topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
     if a.job == "intake":
         return jobs.start_intake(source(topic), a.table, topics_fmt=topics_fmt, rejects_path=a.rejects,
                                  topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
@@ -148,7 +153,7 @@ def _start(a, spark, source, topic, topics_fmt, fmt, run):
     return jobs.start_cdc(entries, topics_fmt=topics_fmt, topics_path=a.topics_path, bootstrap_servers=a.servers, **run)
 
 
-def _start_rejects(a, spark, source, topic, fmt, run) -> list:
+def _start_rejects(a, spark, source, topic, fmt, run, parser) -> list:
     """Queries that keep the lines the job cannot use (the intake does it itself)."""
     if not a.rejects or a.job == "intake":
         return []
@@ -161,7 +166,7 @@ def _start_rejects(a, spark, source, topic, fmt, run) -> list:
         return [start(lines, "cdc", a.rejects, "rejects")]
     if a.job in REJECTED_TOPICS:
         return [start(source(t), parser, configured_join(a.rejects, parser), f"rejects-{parser}") for parser, t in REJECTED_TOPICS[a.job].items()]
-    return [start(source(topic), a.job, a.rejects, "rejects")]
+    return [start(source(topic), parser, a.rejects, "rejects")]
 
 
 if __name__ == "__main__":

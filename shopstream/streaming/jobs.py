@@ -32,7 +32,7 @@ from shopstream.streaming import sinks
 DEFAULT_TRIGGER = "5 seconds"
 
 
-def _start(df: DataFrame, name: str, batch_fn, *, target: str | None, checkpoint: str | None = None,
+def start(df: DataFrame, name: str, batch_fn, *, target: str | None, checkpoint: str | None = None,
            source: str | None = None, trigger: str = DEFAULT_TRIGGER, available_now: bool = False,
            output_mode: str = "append") -> StreamingQuery:
     """Start a job. Without ``checkpoint`` it is kept under the session's checkpoint folder, for this job on
@@ -56,14 +56,14 @@ def rejected_lines(lines: DataFrame, job: str) -> DataFrame:
     if job == "cdc":
         entry = F.from_json("value", schemas.CDC_ENTRY_SCHEMA)
         return raw.filter(~valid_entry(entry)).select(F.col("raw").alias("value"), "timestamp")
-    return PARSERS[job][0](raw).filter(~_valid(job)).select(F.col("raw").alias("value"), "timestamp")
+    return PARSERS[job][0](raw).filter(~valid(job)).select(F.col("raw").alias("value"), "timestamp")
 
 
 def start_rejects(lines: DataFrame, job: str, path: str, **kw) -> StreamingQuery:
     """Keep what ``job`` drops: the text of each rejected line, in a folder per batch."""
     def write(df, batch_id):
         df.write.mode("overwrite").json(sinks.batch_folder(df, path, batch_id))
-    return _start(rejected_lines(lines, job), f"{job}-rejects", write, target=path, **kw)
+    return start(rejected_lines(lines, job), f"{job}-rejects", write, target=path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -101,7 +101,7 @@ def start_intake(lines: DataFrame, archive_path: str, *, topics_fmt: str = "kafk
         write_text(df.filter(F.col("topic").isNull()), rejects, batch_id)
 
     out = intake_stream(lines, arrival_col).observe("intake", F.count(F.lit(1)).alias("n_in"), F.count_if("rejected").alias("n_rejected"))
-    return _start(out, "intake", sinks.fan_out(archive, publish, reject), target=archive_path, **kw)
+    return start(out, "intake", sinks.fan_out(archive, publish, reject), target=archive_path, **kw)
 
 
 def _json_key(field: str):
@@ -118,7 +118,7 @@ def dau_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFrame:
     emitted when first seen and again only if an earlier record arrives late. The
     day window carries the event time, so a device's state is dropped ``lateness``
     after its day has closed."""
-    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", _valid("dau"))
+    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", valid("dau"))
     timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
     payload = [c for c in schemas.DAU_COLUMNS if c not in ("mid", "log_date", "ts")]
     first = (timed.groupBy("mid", "log_date", F.window("event_time", "1 day").alias("day"))
@@ -130,7 +130,7 @@ def dau_first_seen_stream(lines: DataFrame, lateness: str = "1 hour") -> DataFra
     """Startup lines -> the first record of each ``(mid, log_date)`` to arrive, once, in append mode. The state is the key and
     when it may go, no record: smaller than that of ``dau_stream``, which also takes back a record for an earlier one that
     comes late. A key is held for a day plus ``lateness`` after its event time, so all of its day falls on it."""
-    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", _valid("dau"))
+    logs = counted(parse.parse_startup(lines.select("value")), "dau_rows", valid("dau"))
     timed = logs.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", _day_and(lateness))
     return timed.dropDuplicatesWithinWatermark(["mid", "log_date"]).select(*schemas.DAU_COLUMNS)
 
@@ -148,7 +148,7 @@ def start_dau(lines: DataFrame, table_path: str, first_seen: bool = False, **kw)
     out = devices.observe("dau_new", F.count(F.lit(1)).alias("n_new"))
     sink = sinks.upsert_sink(table_path, ["mid", "log_date"], ["ts"], keep="first", partition_by=["log_date"])
     kw.setdefault("output_mode", "append" if first_seen else "update")
-    return _start(out, "dau", sink, target=table_path, **kw)
+    return start(out, "dau", sink, target=table_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -157,13 +157,13 @@ def start_dau(lines: DataFrame, table_path: str, first_seen: bool = False, **kw)
 
 def order_stream(lines: DataFrame) -> DataFrame:
     """Order lines -> 20-column order rows (tail-masked phone, date and hour split), with ``timestamp`` and ``offset``."""
-    parsed = counted(parse.parse_order(lines.select("value", "timestamp", "offset"), mask=masking.mask_tel_tail), "orders_rows", _valid("orders"))
+    parsed = counted(parse.parse_order(lines.select("value", "timestamp", "offset"), mask=masking.mask_tel_tail), "orders_rows", valid("orders"))
     return parsed.select(*schemas.ORDER_TABLE_COLUMNS, "timestamp", "offset")
 
 
 def start_orders(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
     sink = sinks.upsert_sink(table_path, ["id"], ["timestamp", "offset"], partition_by=["create_date"])
-    return _start(order_stream(lines), "orders", sink, target=table_path, **kw)
+    return start(order_stream(lines), "orders", sink, target=table_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -174,7 +174,7 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
                  slide: str = alerts.DEFAULT_SLIDE, lateness: str = "1 minute",
                  min_uids: int = alerts.DEFAULT_MIN_UIDS, click_col: str = "evid") -> DataFrame:
     """Event lines -> alerts, emitted once per window when the watermark passes its end."""
-    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", _valid("alerts")))
+    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", valid("alerts")))
     timed = ev.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
     is_coupon, is_click = alerts.rule_columns(click_col)
     # 1) tumbling slide-sized panes per (mid, evid): raw events are aggregated once;
@@ -195,7 +195,7 @@ def alert_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW,
 def alert_windows_stream(lines: DataFrame, window: str = alerts.DEFAULT_WINDOW, slide: str = alerts.DEFAULT_SLIDE,
                          lateness: str = "1 minute", min_uids: int = alerts.DEFAULT_MIN_UIDS, click_col: str = "evid") -> DataFrame:
     """Event lines -> alerting windows without their lists, from state of bounded size per pane and window."""
-    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", _valid("alerts")))
+    ev = alerts.usable(counted(parse.parse_event(lines.select("value")), "alerts_rows", valid("alerts")))
     timed = ev.withColumn("event_time", timefmt.ms_to_ts("ts")).withWatermark("event_time", lateness)
     return alerts.alerting_windows(timed, window, slide, min_uids, click_col)
 
@@ -216,7 +216,7 @@ def start_alerts(lines: DataFrame, index_path: str, archive: str | None = None,
     opts = {k: kw.pop(k) for k in ("window", "slide", "lateness", "min_uids", "click_col") if k in kw}
     if archive is None:
         out = alert_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
-        return _start(out, "alerts", sinks.upsert_sink(index_path, ["alert_id"], ["ts", "window_start"]), target=index_path, **kw)
+        return start(out, "alerts", sinks.upsert_sink(index_path, ["alert_id"], ["ts", "window_start"]), target=index_path, **kw)
     click_col = opts.get("click_col", "evid")
 
     def write(df, batch_id):
@@ -232,7 +232,7 @@ def start_alerts(lines: DataFrame, index_path: str, archive: str | None = None,
             df.unpersist()
 
     out = alert_windows_stream(lines, **opts).observe("alerts_new", F.count(F.lit(1)).alias("n_new"))
-    return _start(out, "alerts", write, target=index_path, **kw)
+    return start(out, "alerts", write, target=index_path, **kw)
 
 
 # ---------------------------------------------------------------------------------
@@ -240,20 +240,20 @@ def start_alerts(lines: DataFrame, index_path: str, archive: str | None = None,
 
 
 def user_stream(lines: DataFrame) -> DataFrame:
-    return counted(parse.parse_user(lines.select("value", "timestamp", "offset")), "users_rows", _valid("users"))
+    return counted(parse.parse_user(lines.select("value", "timestamp", "offset")), "users_rows", valid("users"))
 
 
 def start_users(lines: DataFrame, table_path: str, **kw) -> StreamingQuery:
     """Keep the latest row per user id (later arrivals overwrite)."""
     sink = sinks.upsert_sink(table_path, ["id"], ["timestamp", "offset"])
-    return _start(user_stream(lines), "users", sink, target=table_path, **kw)
+    return start(user_stream(lines), "users", sink, target=table_path, **kw)
 
 
 def _sale_sides(order_lines: DataFrame, detail_lines: DataFrame, tolerance_s: int, lateness: str) -> tuple[DataFrame, DataFrame, Column]:
     """Watermarked orders and details, and their join condition: the order id, and arrivals within the tolerance."""
-    o = counted(parse.parse_order(order_lines.select("value", "timestamp"), mask=masking.mask_tel_head), "sale_orders_rows", _valid("orders")) \
+    o = counted(parse.parse_order(order_lines.select("value", "timestamp"), mask=masking.mask_tel_head), "sale_orders_rows", valid("orders")) \
         .withColumn("ts", F.unix_millis("timestamp"))
-    d = counted(parse.parse_detail(detail_lines.select("value", "timestamp")), "sale_details_rows", _valid("details")) \
+    d = counted(parse.parse_detail(detail_lines.select("value", "timestamp")), "sale_details_rows", valid("details")) \
         .withColumn("ts", F.unix_millis("timestamp"))
     o = sales.order_side(o, "timestamp").withColumnRenamed("timestamp", "o_time").withWatermark("o_time", lateness)
     d = sales.detail_side(d, "timestamp").withColumnRenamed("timestamp", "d_time").withWatermark("d_time", lateness)
@@ -287,7 +287,7 @@ def start_unmatched(order_lines: DataFrame, detail_lines: DataFrame, path: str,
 
     def write(df, batch_id):
         df.filter(F.col("match_kind") != "both").write.mode("overwrite").partitionBy("match_kind").json(sinks.batch_folder(df, path, batch_id))
-    return _start(rows.observe("sale_matches", *kinds), "unmatched", write, target=path, **kw)
+    return start(rows.observe("sale_matches", *kinds), "unmatched", write, target=path, **kw)
 
 
 def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str | list[str], sale_index: str,
@@ -303,7 +303,7 @@ def start_sales(order_lines: DataFrame, detail_lines: DataFrame, user_table: str
         finally:
             df.unpersist()
 
-    return _start(sale_stream(order_lines, detail_lines), "sales", write, target=sale_index, **kw)
+    return start(sale_stream(order_lines, detail_lines), "sales", write, target=sale_index, **kw)
 
 
 def _write_sales(sale_rows: DataFrame, user_table: str | list[str], sale_index: str, batch_id: int, as_of=None) -> None:
@@ -341,7 +341,7 @@ def start_sales_topics(lines: DataFrame, user_table: str, sale_index: str, as_of
         finally:
             df.unpersist()
 
-    return _start(sales_topics_stream(lines, tolerance_s, lateness), "sales-topics", write, target=f"{user_table} {sale_index}", **kw)
+    return start(sales_topics_stream(lines, tolerance_s, lateness), "sales-topics", write, target=f"{user_table} {sale_index}", **kw)
 
 
 def _read_users(spark: SparkSession, user_table: str | list[str], ids: DataFrame) -> DataFrame:
@@ -374,7 +374,7 @@ def start_cdc(entries: DataFrame, *, topics_fmt: str = "kafka", topics_path: str
     def publish(df, batch_id):
         sinks.write_topics(df, batch_id, fmt=topics_fmt, path=topics_path,
                            bootstrap_servers=bootstrap_servers)
-    return _start(cdc_stream(entries), "cdc", publish, target=topics_path or bootstrap_servers, **kw)
+    return start(cdc_stream(entries), "cdc", publish, target=topics_path or bootstrap_servers, **kw)
 
 
 def valid_entry(entry: Column) -> Column:
@@ -392,5 +392,5 @@ PARSERS = {
 }
 
 
-def _valid(job: str) -> Column:
+def valid(job: str) -> Column:
     return reduce(and_, [parse.valid_record(key) for key in PARSERS[job][1]])

@@ -1,0 +1,117 @@
+"""The hour documents that the stream keeps up equal those of the tables, whatever the order of arrival."""
+
+import os
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from conftest import SF001, rows
+from shopstream.operators import kpi
+from shopstream.plans import catalog
+from shopstream.sources import streams
+from shopstream.sources import testdata as td
+from shopstream.streaming import apps, hours
+
+LATE = "4000 days"  # nothing is late
+
+
+def _published(spark, path):
+    """The last document of each day."""
+    got = spark.read.schema("key string, value string, batch_id long").json(path)
+    return {r["key"]: r["value"] for r in got.orderBy("batch_id").collect()}
+
+
+def _run(spark, scratch, metric, pieces, lateness=LATE):
+    """Every piece is a run of its own from the checkpoint of the one before."""
+    src, table, docs = (os.path.join(scratch, x) for x in ("src", "hours", "docs"))
+    for piece in pieces:
+        piece.select("value", F.timestamp_millis("arrival_ms").alias("timestamp")).coalesce(1).write.mode("append").json(src)
+        q = hours.start_hours(streams.read_topic(spark, "t", fmt="json", path=src), metric, table, topics_fmt="json", topics_path=docs,
+                              lateness=lateness, available_now=True, checkpoint=os.path.join(scratch, "ck"))
+        q.awaitTermination(300)
+    return table, docs
+
+
+def test_device_hours_equal_batch_in_any_order(spark, scratch):
+    lines = td.log_lines(spark, SF001)
+    table, docs = _run(spark, scratch, "dau", [lines.filter(f"event_id % 3 = {k}") for k in (2, 0, 1)])
+    want = catalog.q_dau_hour_documents(spark, SF001)
+    assert _published(spark, docs) == {r["day"]: r["doc"] for r in want.collect()}
+    assert _published(spark, docs)[catalog.DAU_DAY] == catalog.q_dau_hourly_json(spark, SF001).first()["doc"]
+    assert rows(kpi.hour_documents(hours.read_hours(spark, table))) == rows(want)
+
+
+def test_a_version_that_comes_later_takes_the_earlier_one_back(spark, scratch):
+    lines = td.order_lines(spark, SF001).withColumn("k", F.pmod(F.xxhash64("value"), F.lit(2)))
+    raised = F.regexp_replace("value", '"total_amount":"[0-9.]+"', '"total_amount":"10.5"')
+    again = lines.filter("k = 0").limit(200)
+    later = again.withColumn("value", raised).withColumn("arrival_ms", F.col("arrival_ms") + 1000)
+    table, docs = _run(spark, scratch, "order", [lines.filter("k = 0"), lines.filter("k = 1"), later, again])
+    ids = later.select(F.get_json_object("value", "$.id").alias("id"))
+    hour = catalog._order_table(spark, SF001).join(ids.withColumn("new", F.lit(10.5)), "id", "left")
+    want = kpi.hour_documents(hour.groupBy(F.col("create_date").alias("date"), F.col("create_hour").alias("hour"))
+                                  .agg(F.sum(F.coalesce("new", "total_amount")).alias("value")), "decimal(20,2)")
+    assert _published(spark, docs) == {r["day"]: r["doc"] for r in want.collect()}
+
+
+def test_launcher_publishes_order_hours(spark, scratch):
+    src, table, docs, bad = (os.path.join(scratch, x) for x in ("src", "hours", "docs", "bad"))
+    first = td.order_lines(spark, SF001).orderBy("arrival_ms").limit(300)
+    first.select("value", F.timestamp_millis("arrival_ms").alias("timestamp")).unionByName(
+        spark.createDataFrame([("no json",)], "value string").withColumn("timestamp", F.timestamp_millis(F.lit(0)))).coalesce(1).write.json(src)
+    apps.main(["hours", "--metric", "order", "--source-path", src, "--table", table, "--topics-path", docs, "--rejects", bad,
+               "--checkpoint", os.path.join(scratch, "ck"), "--available-now"])
+    parsed = first.select(F.get_json_object("value", "$.create_time").alias("t"), F.get_json_object("value", "$.total_amount").cast("double").alias("a"))
+    want = parsed.groupBy(F.substring("t", 1, 10).alias("date"), F.substring("t", 12, 2).alias("hour")).agg(F.sum("a").alias("value"))
+    assert _published(spark, docs) == {r["day"]: r["doc"] for r in kpi.hour_documents(want, "decimal(20,2)").collect()}
+    assert [r["value"] for r in spark.read.json(bad).select("value").collect()] == ["no json"]
+
+
+def test_documents_of_an_empty_table_and_of_rows_without_an_hour(spark):
+    some = spark.createDataFrame([("2024-01-01", "05", 2.0), ("2024-01-02", "23", 3.0), (None, "05", 1.0), ("2024-01-02", None, 1.0)], "date string, hour string, value double")
+    got = {r["day"]: r["doc"] for r in kpi.hour_documents(some).collect()}
+    assert got == {"2024-01-01": '{"today":{"05":2},"yesterday":{}}', "2024-01-02": '{"today":{"23":3},"yesterday":{"05":2}}'}
+    assert kpi.hour_documents(some.limit(0)).count() == 0
+
+
+class _State:
+    def __init__(self):
+        self.held, self.hasTimedOut = None, False
+
+    exists = property(lambda s: s.held is not None)
+    get = property(lambda s: s.held)
+
+    def update(self, new):
+        self.held = new
+
+    def remove(self):
+        self.held = None
+
+    def setTimeoutTimestamp(self, at):
+        self.at = at
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+
+def _rows(*some):
+    return pd.DataFrame([(*r, r[0]) for r in some], columns=["first_order", "second_order", "date", "hour", "value", "at"])
+
+
+def _out(run, state, *parts):
+    return [tuple(r) for df in run(("k",), iter([_rows(*p) for p in parts]), state) for r in df.itertuples(index=False)]
+
+
+def test_changes_of_one_key():
+    state, run = _State(), hours._replaced(True, 1000)
+    assert _out(run, state, [(50, 0, "d", "05", 1.0), (40, 0, "d", "04", 1.0)], [(60, 0, "d", "06", 1.0)]) == [("d", "04", 1, 1.0)]
+    assert state.at == 1060
+    assert _out(run, state, [(70, 0, "d", "07", 1.0)]) == []           # a later record changes nothing
+    assert _out(run, state, [(39, 0, "d", "04", 1.0)]) == []           # earlier, in the same hour
+    assert _out(run, state, [(10, 0, "d", "01", 1.0)]) == [("d", "01", 1, 1.0), ("d", "04", -1, -1.0)]
+    state.hasTimedOut = True
+    assert _out(run, state) == [] and not state.exists
+    state, run = _State(), hours._replaced(False, 1000)
+    assert _out(run, state, [(5, 1, "d", "05", 3.0), (5, 2, "d", "05", 4.0)]) == [("d", "05", 1, 4.0)]
+    assert _out(run, state, [(4, 9, "d", "05", 9.0)]) == []            # an older version
+    assert _out(run, state, [(5, 2, "d", "06", 5.0)]) == [("d", "06", 1, 5.0), ("d", "05", -1, -4.0)]
