@@ -8,8 +8,9 @@ that is contained to c meets a window that holds all its shared shingles with a
 hash. At c = 0.8 that is 0.19 at the least, a miss of 4e-5 in 48 hashes, if it is in the document's first block, which
 one window only holds; elsewhere two windows hold it. Shared shingles that are scattered, each in two windows of its own, meet one
 with a chance of about c * (2n / (n + 2u) - n / (n + 3u)) a hash, 0.21 at the least: a miss of 2e-5.
-Shorter items have too few shingles for their windows: each document that shares any shingle with one is a
-candidate, so none is missed.
+Shorter items have too few shingles for their windows: a document that holds an item to c lacks n - ceil(c * n) of its shingles
+at the most, so it has one of any of them and one more. Documents with one of that many of the item's rarest shingles (by
+the number of documents that hold them) are candidates: none is missed, and an opening that all documents share makes none.
 
 Only window values that are in a bit map of the items' values (fixed size, broadcast) leave the task
 that reads the document. Candidates are verified by exact shingle containment over whole
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopstream.llm.common import ALNUM, Memo, bit_filter, chunks, in_filter, mix, stored, text_rows
@@ -146,6 +147,20 @@ def _doc_hits(shared, sizes: list[int], bits: int):
     return run
 
 
+def _short_candidates(held: DataFrame, shingles: DataFrame, sizes_of: DataFrame, short: DataFrame, containment: float) -> DataFrame:
+    """``(id, item)`` of documents and short items by the items' rarest shingles. An item of several rows that are short ones only in
+    part has any shingle of those as one to find it by."""
+    documents = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
+    small = sizes_of.where(F.col("n_shingles") < SMALLEST)
+    least = F.greatest(F.lit(1), F.ceil(F.lit(containment) * F.col("n_shingles") - 1e-9))
+    # SMALLEST - 1 rows an item at the most
+    rarest = F.row_number().over(Window.partitionBy("item").orderBy(F.coalesce("documents", F.lit(0)), "shingle"))
+    index = (shingles.join(small, "item").join(documents, "shingle", "left").withColumn("place", rarest)
+             .where(F.col("place") <= F.col("n_shingles") - least + 1).select("item", "shingle"))
+    mixed = short.join(small, "item", "left_anti").select("item", "shingle")
+    return held.join(index.union(mixed), "shingle").select("id", "item")
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_id: str = "item_id", item_text: str = "text", containment: float = 0.8,
                     filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -173,7 +188,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     held = hits.where("shingle is not null").select("id", "shingle").distinct()
     if 0 in classes:
         short = known.where("shingle is not null and size = 0").select(F.col("id").alias("item"), "shingle").distinct()
-        candidates = candidates.union(held.join(short, "shingle").select("id", "item")).distinct()
+        candidates = candidates.union(_short_candidates(held, shingles, sizes_of, short, containment)).distinct()
     shared_n = (candidates.join(held, "id").join(shingles, ["item", "shingle"])
                 .groupBy("id", "item").agg(F.count(F.lit(1)).alias("n_shared")))
     return (shared_n.join(sizes_of, "item").withColumn("containment", F.col("n_shared") / F.col("n_shingles"))

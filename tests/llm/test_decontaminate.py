@@ -83,3 +83,28 @@ def test_no_item_of_a_few_shingles_is_missed(spark):
     assert sorted(tuple(r)[:4] for r in got) == brute(docs, items)
     only_short = decontaminate.contained_items(documents(spark, docs), items_table(spark, items[:500])).collect()
     assert sorted(tuple(r)[:4] for r in only_short) == brute(docs, items[:500])
+
+
+def test_a_shared_opening_makes_no_candidates(spark):
+    """Short items and documents that open alike: candidates come from the shingles that tell the items apart."""
+    opening = "which of the following is the"
+    items = [(i, f"{opening} {prose(i, 3 + i % 3, 9000)}") for i in range(120)]
+    docs = [(d, f"{opening} {prose(3000 + d, 40, 9000)}" + (f" {items[d][1]}" if d < 60 else "")) for d in range(300)]
+    held = spark.createDataFrame([(i, s.encode()) for i, t in docs for s in shingles([t])], "id long, shingle binary")
+    index = spark.createDataFrame([(i, s.encode()) for i, t in items for s in shingles([t])], "item long, shingle binary")
+    sizes = index.groupBy("item").agg(F.count(F.lit(1)).alias("n_shingles"))
+    found = {tuple(r) for r in decontaminate._short_candidates(held, index, sizes, index, 0.8).collect()}
+    assert len(found) < 200 < 300 * 120
+    want = brute(docs, items)
+    assert {w[:2] for w in want} <= found
+    got = decontaminate.contained_items(documents(spark, docs), items_table(spark, items)).collect()
+    assert len(want) >= 60 and sorted(tuple(r)[:4] for r in got) == want
+
+
+def test_an_item_of_short_and_long_rows(spark):
+    items = [(1, "a b c d e f"), (1, " ".join(f"w{i}" for i in range(6))), (1, " ".join(f"x{i}" for i in range(14))), (2, "p q r s t")]
+    docs = [(i, " ".join(t for _, t in some)) for i, some in enumerate([items[:3], items[:2], items[1:3], items])]
+    got = decontaminate.contained_items(documents(spark, docs), items_table(spark, items), containment=0.5).collect()
+    ds, bs = {i: shingles([t]) for i, t in docs}, {k: shingles([t for i, t in items if i == k]) for k in (1, 2)}
+    want = sorted((d, b, len(y), len(x & y)) for d, x in ds.items() for b, y in bs.items() if len(x & y) / len(y) >= 0.5)
+    assert sorted(tuple(r)[:4] for r in got) == want
