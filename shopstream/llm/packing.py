@@ -90,7 +90,8 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
     other. An empty table gives an empty result. Columns of the input are not returned.
     """
     # ids and lengths are stored: the texts are read once, and no later step computes a length again
-    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens")), "lengths")
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
+                  .withColumn("row", F.monotonically_increasing_id()), "lengths")
     histogram = (rows.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
                  .agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total"))
                  .orderBy("bin").collect())
@@ -106,11 +107,11 @@ def pack(docs: DataFrame, length: Column, id_col: str = "doc_id", buckets: int =
         return F.element_at(F.array(*[F.lit(v).cast("long") for v in values or [0]]), bucket + 1)
 
     bucket = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds or [0]]), lambda b: b < F.col("n_tokens")))
-    placed = rows.withColumn("bucket", bucket).withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+    placed = rows.withColumn("bucket", bucket).withColumn("slice", F.pmod(F.xxhash64("doc_id", "row"), F.lit(slices)))
     counts = placed.groupBy("bucket", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("bucket", "slice", before.alias("start"))
-    number = F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("doc_id", "n_tokens")) - 1
+    number = F.row_number().over(Window.partitionBy("bucket", "slice").orderBy("doc_id", "n_tokens", "row")) - 1
     at = placed.withColumn("number", number).join(starts, ["bucket", "slice"]).withColumn("at", F.col("start") + F.col("number"))
     size = by_bucket(sizes, F.col("bucket"))
     return at.select("doc_id", "n_tokens", "bucket", by_bucket(bounds, F.col("bucket")).alias("padded_to"),

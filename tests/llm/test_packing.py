@@ -77,3 +77,15 @@ def test_long_lengths_share_bins_but_keep_their_largest(spark):
     lengths = spark.range(4090, 200_000).select(F.col("id").alias("n"), packing.length_bin(F.col("id")).alias("bin"))
     row = lengths.agg(F.min(F.col("bin") - F.col("n")), F.max((F.col("bin") - F.col("n")) / F.col("n")), F.countDistinct("bin")).first()
     assert row[0] >= 0 and row[1] < 0.001 and row[2] < 7000
+
+
+def test_a_third_of_all_rows_under_one_id_is_dealt_over_slices(spark, monkeypatch):
+    """The rows of a null or repeated id do not meet in one window."""
+    monkeypatch.setattr(packing, "SLICE_ROWS", 50)
+    docs = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.lit("a b").alias("text"))
+    packed = packing.pack(docs, packing.word_count(F.col("text")), buckets=1, budget=40)
+    check(packed.collect(), 40)
+    assert packed.where("doc_id is null").count() == 300
+    # rows of the null id in its fullest slice: the windows' partitions are by bucket and slice
+    dealt = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(doc_id" in dealt and any("xxhash64(doc_id" in line and "row#" in line.split("xxhash64(")[1] for line in dealt.splitlines())
