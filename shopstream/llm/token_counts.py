@@ -3,7 +3,8 @@
 1. Texts are cut at the tokenizer's special strings and into pre-tokens. Blocks of documents (see ``blocks``) hold for
    every distinct pre-token the documents it is in and how often.
 2. The blocks' rows are brought together and sorted by pre-token (the shuffle and sort of a sort-merge join): the library
-   encodes every distinct pre-token of the corpus once, and its number of tokens is joined to the frequencies.
+   encodes every distinct pre-token of the corpus once, and its number of tokens is joined to the frequencies. Rows of a pre-token
+   that many documents of a block hold go to tasks by block, too: a hot pre-token is split, and encoded once in each.
 3. Each task sums per document what it has joined before it hands it on, and the sums are gathered by block. No token
    ids of any document are ever made, and the text is read once.
 """
@@ -21,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shopstream.llm import blocks
 from shopstream.llm.common import Memo, text_rows
 
+HOT_BYTES = 512     # places of a pre-token in a block from which on its rows are dealt by block
 MAX_SUMS = 1 << 24  # documents that a task holds sums of before it hands them on
 
 #: fixed value: the byte-level pre-tokenizer's pattern
@@ -126,8 +129,7 @@ def _partial(block: list, head: list, at: list, n: list) -> pa.RecordBatch:
 
 
 def _joined_rows(shared):
-    """Rows sorted by pre-token, all of one pre-token in this task: the library encodes it once, and its number of tokens
-    is joined to all its rows. What is handed on are partial sums of the documents, by block."""
+    """Rows sorted by pre-token: the library encodes each once, and its number of tokens is joined to all its rows in this task. What is handed on are partial sums of the documents, by block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Cutter(shared.value).library.encode_batch
         sums, last, last_tokens = _Sums(), None, 0
@@ -158,6 +160,11 @@ def _joined_rows(shared):
     return run
 
 
+def _together(rows: DataFrame) -> DataFrame:
+    """All rows of a pre-token in one task, sorted; rows of more than HOT_BYTES spread over all tasks."""
+    return rows.repartition("piece", F.when(F.length("at") > HOT_BYTES, F.col("block"))).sortWithinPartitions("piece")
+
+
 def _sums(table: pa.Table) -> pa.Table:
     """All partial sums of a block -> its documents. A block is bounded; each task has a row of it."""
     is_head = table.column("head").to_pylist()
@@ -179,6 +186,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = text_rows(docs, id_col, text_col)
-    held = rows.mapInArrow(_block_rows(shared), blocks.SCHEMA).repartition("piece").sortWithinPartitions("piece")
+    held = _together(rows.mapInArrow(_block_rows(shared), blocks.SCHEMA))
     return (held.mapInArrow(_joined_rows(shared), "block long, head boolean, at binary, n binary").groupBy("block")
             .applyInArrow(_sums, "doc_id long, n_bytes long, n_tokens long"))

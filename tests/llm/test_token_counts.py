@@ -69,3 +69,15 @@ def test_edge_cases(spark, library):
     assert got == [(-1, 0, 0), (-1, 3, 2), (1, 5, 3), (1, 5, 3)]
     with pytest.raises(ValueError):
         token_counts.Cutter(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+
+
+def test_rows_of_a_hot_pre_token_are_dealt_over_tasks(spark):
+    rows = spark.range(64).selectExpr("id AS block", "cast(' the' AS binary) AS piece", "false AS head", "cast(repeat('x', 4000) AS binary) AS at", "cast('' AS binary) AS n")
+    rare = rows.selectExpr("block", "cast('rare' AS binary)", "head", "cast('xx' AS binary)", "n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = token_counts._together(rows.union(rare)).select("piece", F.spark_partition_id().alias("task")).groupBy("piece", "task").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = [r["count"] for r in tasks if r["piece"] == b" the"]
+    assert len(hot) >= 6 and max(hot) < 32 and [r["count"] for r in tasks if r["piece"] == b"rare"] == [64]
